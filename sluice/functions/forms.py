@@ -1,52 +1,61 @@
-"""Form-encoded parameter parsing (``a=1&b=2``) as one array/map expression.
+"""Form-encoded parameter parsing (``a=1&b=2``) as one map expression.
 
 Semantics follow a standard form parser: pieces split on ``&``, empty pieces
 skipped, ``key=value`` split at the first ``=`` (a bare ``key`` has value
 ``""``), both halves percent-decoded with ``+`` meaning a space, a piece with a
 malformed escape dropped. When several texts are given (body, then query) their
 pieces are concatenated in that order and the **first** value of a key wins.
+
+Plan: drop malformed pieces, reverse the piece order, and let ``str_to_map``
+(code-generated) build the map with the session's ``LAST_WIN`` key policy, so
+the last entry of the reversed list, i.e. the first parameter, wins. Decoding
+then runs once per map entry. This keeps lambdas (evaluated interpreted) to
+three trivial ones; see ``require_last_win``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+DEDUP_POLICY = "spark.sql.mapKeyDedupPolicy"
+
+
+def require_last_win(spark: SparkSession | None = None) -> None:
+    """Form maps are built under ``LAST_WIN``; it only turns would-be errors into results."""
+    spark = spark or SparkSession.getActiveSession()
+    if spark is not None and spark.conf.get(DEDUP_POLICY, "EXCEPTION") != "LAST_WIN":
+        spark.conf.set(DEDUP_POLICY, "LAST_WIN")
 
-def _entries(*texts: Column) -> Column:
+
+def parse_form(*texts: Column) -> Column:
+    """``MAP<STRING,STRING>`` of the first value of every parameter in ``texts``."""
+    require_last_win()
     joined = F.concat_ws("&", *texts)  # null texts are skipped
-    pieces = F.filter(F.split(joined, "&"), lambda p: p != F.lit(""))
-    pairs = F.transform(pieces, lambda p: F.split(p, "=", 2))
-    decoded = F.transform(
-        pairs,
-        lambda kv, i: F.struct(
-            F.try_url_decode(kv[0]).alias("key"),
-            i.alias("pos"),
-            F.try_url_decode(F.coalesce(F.try_element_at(kv, F.lit(2)), F.lit(""))).alias("value"),
-        ),
+    pieces = F.array_remove(F.split(joined, "&"), "")
+    good = F.filter(pieces, lambda p: F.try_url_decode(p).isNotNull())
+    raw = F.when(F.size(good) > 0, F.str_to_map(F.array_join(F.reverse(good), "&"), F.lit("&"), F.lit("="))).otherwise(
+        F.create_map().cast("map<string,string>")
     )
-    return F.filter(decoded, lambda e: e["key"].isNotNull() & e["value"].isNotNull())
+    keys = F.transform_keys(raw, lambda k, _v: F.url_decode(k))
+    return F.transform_values(keys, lambda _k, v: F.coalesce(F.url_decode(v), F.lit("")))
 
 
-def first_wins_map(entries: Column) -> Column:
-    """Map from an array of ``struct(key, pos, value)`` keeping the first value per key.
+def with_form_params(df: DataFrame, out: str, *texts: Column) -> DataFrame:
+    """Add ``out`` = ``parse_form(*texts)``, computed once per row (see ``materialize``)."""
+    return materialize(df, {out: parse_form(*texts)})
 
-    Sorting by (key, pos) and keeping the head of each run is O(n log n) per
-    row, so an adversarial request with many parameters cannot stall a task.
-    The surviving entries are put back in their original order.
-    """
-    by_key = F.array_sort(entries)
-    heads = F.filter(
-        by_key,
-        lambda e, i: (i == 0) | (e["key"] != F.element_at(by_key, i)["key"]),
-    )
-    in_order = F.array_sort(F.transform(heads, lambda e: F.struct(e["pos"].alias("pos"), e["key"].alias("key"), e["value"].alias("value"))))
-    return F.map_from_entries(F.transform(in_order, lambda e: F.struct(e["key"], e["value"])))
 
+def materialize(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
+    """Add ``cols`` through a one-row-per-row ``inline`` (a Generate node).
 
-def parse_form(*texts: Column) -> Column:
-    """``MAP<STRING,STRING>`` of the first value of every parameter in ``texts``."""
-    return first_wins_map(_entries(*texts))
+    Filters on later verdict columns are pushed down through projections by
+    substituting every alias; an expensive map referenced by a dozen checks
+    would then be rebuilt a dozen times. Output of a generator cannot be
+    substituted, so the expression is evaluated exactly once per row.
+    """
+    packed = F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))
+    return df.select("*", F.inline(packed))
 
 
 def decode_path(path: Column) -> Column:

@@ -33,4 +33,4 @@ def fill_unknown(m: Column) -> Column:
 
 def sorted_keys(m: Column, sep: str = ",") -> Column:
     """The map's keys, sorted and joined: a stable text form for comparisons."""
-    return F.array_join(F.array_sort(F.map_keys(m)), sep)
+    return F.array_join(F.sort_array(F.map_keys(m)), sep)

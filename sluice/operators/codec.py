@@ -12,6 +12,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.functions.forms import materialize
 from sluice.schema import DECODED_RECORD, EVENT_RECORD
 
 _CORRUPT = "_corrupt_record"
@@ -61,7 +62,8 @@ def decode_struct(value: Column, codec: str = "json") -> Column:
 
 def decode(df: DataFrame, value: str = "value", codec: str = "json", out: str = "record", ok: str = "decoded") -> DataFrame:
     """Add ``record`` (null when undecodable) and ``decoded`` (bool)."""
-    d = decode_struct(F.col(value), codec)
+    df = materialize(df, {"_dec": decode_struct(F.col(value), codec)})
+    d = F.col("_dec")
     good = F.col(value).isNotNull() & d.isNotNull() & d[_CORRUPT].isNull()
     rec = F.struct(*[d[f.name].alias(f.name) for f in EVENT_RECORD.fields])
-    return df.withColumn("_dec", d).withColumns({ok: good, out: F.when(good, rec)}).drop("_dec")
+    return materialize(df, {ok: good, out: F.when(good, rec)}).drop("_dec")

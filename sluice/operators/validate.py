@@ -23,6 +23,10 @@ from sluice.schema import (
 )
 
 INT64_TEXT = "^[+-]?[0-9]+$"
+# Postback times are epoch ms scaled to ns in 64 bits by the original; beyond
+# this the scaled value overflows, so such times are rejected instead of garbled.
+MAX_POSTBACK_MS = 9_223_372_036_854
+TS_RANGE_MSG = TS_PARSE_MSG + "timestamp out of range"
 
 
 def missing_field_checks(params: Column, fields: Sequence[str]) -> list[tuple[Column, int, Column]]:
@@ -30,20 +34,28 @@ def missing_field_checks(params: Column, fields: Sequence[str]) -> list[tuple[Co
     return [(~has_key(params, f), BAD_REQUEST, F.lit(MISSING_FIELD_MSG % f)) for f in fields]
 
 
-def first_match(checks: Sequence[tuple[Column, int, Column]]) -> tuple[Column, Column]:
-    """Fold checks into (status, reason) columns; no failing check gives (200, null)."""
-    status: Column | None = None
-    reason: Column | None = None
-    for cond, code, why in checks:
-        status = F.when(cond, F.lit(code)) if status is None else status.when(cond, F.lit(code))
-        reason = F.when(cond, why) if reason is None else reason.when(cond, why)
-    return status.otherwise(F.lit(OK)), reason.otherwise(F.lit(None).cast("string"))
+def with_verdict(df: DataFrame, checks: Sequence[tuple[Column, int, Column]], status: str = "status", reason: str = "reason") -> DataFrame:
+    """Add ``status``/``reason`` of the first failing check; (200, null) when all pass.
+
+    One CASE finds the index of the first failing check; status and reason are
+    looked up from it in the next projection. Evaluating the checks once keeps
+    the generated code small enough for the JIT.
+    """
+    idx = F.lit(0)
+    for n, (cond, _code, _why) in reversed(list(enumerate(checks, start=1))):
+        idx = F.when(cond, F.lit(n)).otherwise(idx)
+    tmp = f"_{status}_check"
+    df = df.withColumn(tmp, idx)
+    codes = F.array(F.lit(OK), *[F.lit(code) for _c, code, _w in checks])
+    why = F.lit(None).cast("string")
+    for n, (_cond, _code, text) in reversed(list(enumerate(checks, start=1))):
+        why = F.when(F.col(tmp) == n, text).otherwise(why)
+    return df.withColumns({status: F.element_at(codes, F.col(tmp) + 1), reason: why}).drop(tmp)
 
 
 def validate_event(df: DataFrame, params: str = "params") -> DataFrame:
     """``did``, then ``timestamp``, then ``event_type`` must be present."""
-    status, reason = first_match(missing_field_checks(F.col(params), REQUIRED_EVENT_FIELDS))
-    return df.withColumns({"status": status, "reason": reason})
+    return with_verdict(df, missing_field_checks(F.col(params), REQUIRED_EVENT_FIELDS))
 
 
 def ts_parse_error(ts: Column) -> Column:
@@ -63,14 +75,15 @@ def postback_checks(params: Column, key: Column | str, bypass_sign: bool = False
         sign = F.try_element_at(params, F.lit("sign"))
         checks.append((postback_sign(params, key) != first_item(sign), BAD_REQUEST, F.lit(SIGN_MISMATCH_MSG)))
     ts = F.try_element_at(params, F.lit("ts"))
-    checks.append((postback_ts_ms(ts).isNull(), SERVER_ERROR, ts_parse_error(ts)))
+    ms = postback_ts_ms(ts)
+    checks.append((ms.isNull(), SERVER_ERROR, ts_parse_error(ts)))
+    checks.append((~ms.between(-MAX_POSTBACK_MS, MAX_POSTBACK_MS), SERVER_ERROR, F.lit(TS_RANGE_MSG)))
     return checks
 
 
 def validate_postback(df: DataFrame, key: Column | str, params: str = "params", bypass_sign: bool = False) -> DataFrame:
     """F11 required fields in order, F12 signature (unless bypassed), F13 int64 ``ts``."""
-    status, reason = first_match(postback_checks(F.col(params), key, bypass_sign))
-    return df.withColumns({"status": status, "reason": reason})
+    return with_verdict(df, postback_checks(F.col(params), key, bypass_sign))
 
 
 def verify_sign(df: DataFrame, key: Column | str, params: str = "params", bypass: bool = False) -> DataFrame:

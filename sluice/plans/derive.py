@@ -90,3 +90,125 @@ def request_log(events: DataFrame) -> DataFrame:
         xff.alias("x_forwarded_for"),
         remote.alias("remote_addr"),
     )
+
+
+def epoch_ms() -> Column:
+    return F.unix_millis(F.col("ts").cast("timestamp"))
+
+
+def postback_ts() -> Column:
+    """``ts`` parameter: epoch ms, or one of the malformed forms by ``event_id % 23``."""
+    m = _m(23)
+    return (
+        F.when(m == 1, F.lit(" 12 "))
+        .when(m == 2, F.lit("1e3"))
+        .when(m == 3, F.lit(""))
+        .when(m == 4, F.lit("99999999999999999999"))
+        .when(m == 5, F.lit("-5"))
+        .when(m == 6, F.lit("253402300800000"))
+        .otherwise(epoch_ms().cast("string"))
+    )
+
+
+# postback parameters in the order the partner's handler requires them
+_PB_FIELDS = ("appid", "adname", "adid", "device", "idfa", "point", "ts", "sign", "keyword")
+
+
+def postback_requests(events: DataFrame, key: str) -> DataFrame:
+    """One signed partner postback per event (request log schema)."""
+    vals = {
+        "appid": F.concat(F.lit("app"), F.pmod(_u(), F.lit(50)).cast("string")),
+        "adname": F.concat(F.lit("ad-"), F.col("event_type")),
+        "adid": _m(1000).cast("string"),
+        "device": F.concat(F.lit("iPhone"), (F.pmod(_u(), F.lit(5)) + 8).cast("string")),
+        "idfa": F.concat(F.lit("idfa-"), _u().cast("string")),
+        "point": k_of_props(),
+        "ts": postback_ts(),
+        "keyword": F.concat(F.lit("kw"), _i().cast("string")),
+    }
+
+    def signed(k: str) -> Column:
+        parts = []
+        for name in ("adid", "adname", "appid", "device", "idfa", "point", "ts"):
+            parts += [F.lit(f"{name}="), vals[name]]
+        return F.md5(F.concat(*parts, F.lit("key="), F.lit(k)))
+
+    m17 = _m(17)
+    vals["sign"] = (
+        F.when(m17 == 3, signed(key + "-wrong"))
+        .when(m17 == 5, F.upper(signed(key)))
+        .when(m17 == 7, F.concat(signed(key), F.lit(",x1")))
+        .otherwise(signed(key))
+    )
+    missing = _m(19)
+
+    def part(pos: int, name: str) -> Column:
+        return F.when(missing != pos + 1, F.concat(F.lit(name + "="), F.url_encode(vals[name])))
+
+    body = F.concat_ws("&", *[part(p, n) for p, n in enumerate(_PB_FIELDS) if p < 4])
+    query = F.concat_ws(
+        "&",
+        *[part(p, n) for p, n in enumerate(_PB_FIELDS) if p >= 4],
+        _when(_m(3) != 0, F.concat(F.lit("ip="), ip_addr())),
+        _when(_m(4) == 1, F.concat(F.lit("aid=a"), _i().cast("string"), F.lit("&timestamp=t"), _i().cast("string"))),
+        F.concat(F.lit("channel=c"), _m(3).cast("string")),
+    )
+    return events.select(
+        _i().alias("request_id"),
+        F.lit("/anwo").alias("path"),
+        query.alias("query"),
+        body.alias("body"),
+        F.lit(None).cast("string").alias("x_forwarded_for"),
+        F.concat(ip_addr(), F.lit(":443")).alias("remote_addr"),
+    )
+
+
+def _entry(key: str, value: Column, present: Column | None = None) -> Column:
+    return F.struct(F.lit(key).alias("key"), value.alias("value"), (present if present is not None else F.lit(True)).alias("present"))
+
+
+def click_record() -> Column:
+    """The record a bidder would publish for this event, with fields damaged by rule."""
+    from sluice.operators.assemble import record
+
+    k = k_of_props().cast("int")
+    adv = F.when(_m(5) == 2, F.lit("")).when(_m(10) == 3, F.lit(None).cast("string")).otherwise(F.concat(F.lit("adv"), F.pmod(_u(), F.lit(100)).cast("string")))
+    osv = F.when(_m(8) == 5, F.lit("")).otherwise(F.concat((F.pmod(k, F.lit(10)) + 7).cast("string"), F.lit("."), F.pmod(k, F.lit(3)).cast("string")))
+    model = F.when(_m(11) == 6, F.lit("")).otherwise(F.concat(F.lit("iPhone"), (F.pmod(_u(), F.lit(5)) + 8).cast("string")))
+    campaign = F.when(_m(7) == 6, F.lit(None).cast("string")).otherwise(F.concat(F.lit("c"), _m(4).cast("string")))
+    entries = F.array(
+        _entry("adv_id", adv, _m(5) != 1),
+        _entry("os_version", osv, _m(8) != 3),
+        _entry("device_model", model, _m(11) != 4),
+        _entry("event_type", F.col("event_type")),
+        _entry("campaign", campaign),
+    )
+    kept = F.transform(F.filter(entries, lambda e: e["present"]), lambda e: F.struct(e["key"], e["value"]))
+    ext = F.when(_m(31) != 0, F.map_from_entries(kept))
+    return record(
+        event=F.when(_m(97) != 3, F.col("event_type")),
+        id=F.when(_m(37) != 2, F.concat(F.lit("auc-"), _i().cast("string"))),
+        timestamp=ts_text(),
+        did=F.when(_m(41) != 3, device_id()),
+        ip=F.when(_m(13) != 0, ip_addr()),
+        extension=ext,
+    )
+
+
+def click_messages(events: DataFrame, topic: str = "clicks") -> DataFrame:
+    """Topic messages (``offset`` = event_id) carrying encoded click records; a few are corrupt."""
+    from sluice.operators.codec import encode
+
+    value = (
+        F.when(_m(89) == 7, F.encode(F.lit("not a record"), "UTF-8"))
+        .when(_m(89) == 8, F.lit(None).cast("binary"))
+        .otherwise(encode(click_record()))
+    )
+    return events.select(
+        F.lit(topic).alias("topic"),
+        F.lit(0).alias("partition"),
+        _i().alias("offset"),
+        F.lit(None).cast("binary").alias("key"),
+        value.alias("value"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )

@@ -121,3 +121,92 @@ SELECT page_id, path, CAST(len(pieces) AS INTEGER) AS n_params,
   nullif(regexp_extract(url, '\\?(?:[^#]*&)?utm_source=([^&#]*)', 1), '') AS utm_source
 FROM p
 """
+
+# --- partner postbacks ------------------------------------------------------
+_PB = ("appid", "adname", "adid", "device", "idfa", "point", "ts", "sign", "keyword")
+_PB_MISSING = " ".join(f"WHEN i % 19 = {n + 1} THEN 'Missing Required field: No {f}'" for n, f in enumerate(_PB))
+
+POSTBACKS = (
+    E
+    + f""", pb AS (
+  SELECT *,
+    CASE WHEN i % 23 = 1 THEN ' 12 ' WHEN i % 23 = 2 THEN '1e3' WHEN i % 23 = 3 THEN ''
+         WHEN i % 23 = 4 THEN '99999999999999999999' WHEN i % 23 = 5 THEN '-5'
+         WHEN i % 23 = 6 THEN '253402300800000' ELSE CAST(ms AS VARCHAR) END AS pts
+  FROM e),
+v AS (
+  SELECT *,
+    CASE {_PB_MISSING}
+         WHEN i % 17 IN (3, 5) THEN 'Sign mismatched!'
+         WHEN i % 23 IN (1, 2, 3) THEN 'Failed to parse ts:strconv.ParseInt: parsing "' || pts || '": invalid syntax'
+         WHEN i % 23 = 4 THEN 'Failed to parse ts:strconv.ParseInt: parsing "' || pts || '": value out of range'
+         WHEN i % 23 = 6 THEN 'Failed to parse ts:timestamp out of range' END AS reason,
+    CASE WHEN i % 19 BETWEEN 1 AND 9 OR i % 17 IN (3, 5) THEN 400
+         WHEN i % 23 IN (1, 2, 3, 4, 6) THEN 500 ELSE 200 END AS status
+  FROM pb)
+"""
+)
+
+ORACLE["postback_verdicts"] = POSTBACKS + "SELECT i AS request_id, status, reason FROM v"
+
+ORACLE["postback_records"] = (
+    POSTBACKS
+    + """
+SELECT i AS request_id, 'anwo_postback' AS event, 'kw' || CAST(i AS VARCHAR) AS id,
+  strftime(epoch_ms(CAST(pts AS BIGINT)), '%Y-%m-%dT%H:%M:%SZ') AS timestamp,
+  'idfa-' || CAST(u AS VARCHAR) AS did, CAST(NULL AS VARCHAR) AS aid,
+  CASE WHEN i % 3 <> 0 THEN ip END AS ip, 'ios' AS os,
+  'adid,adname,appid,channel,device,point' AS ext_keys,
+  'app' || CAST(u % 50 AS VARCHAR) AS ext_appid, 'ad-' || et AS ext_adname,
+  CAST(i % 1000 AS VARCHAR) AS ext_adid, 'iPhone' || CAST(u % 5 + 8 AS VARCHAR) AS ext_device,
+  k AS ext_point, 'c' || CAST(i % 3 AS VARCHAR) AS ext_channel
+FROM v WHERE status = 200
+"""
+)
+
+ORACLE["postback_outbox"] = (
+    POSTBACKS
+    + f"""
+SELECT i AS source_id, 'GET' AS method,
+  '{settings.POSTBACK_BASE_URL}?params=kw' || CAST(i AS VARCHAR) AS url,
+  'Connection: keep-alive' AS headers, '{settings.ROUTES["default"]}' AS topic
+FROM v WHERE status = 200
+"""
+)
+
+# --- partner clicks -----------------------------------------------------------
+CLICKS = (
+    E
+    + """, c AS (
+  SELECT *,
+    CASE WHEN i % 89 IN (7, 8) THEN 'undecodable'
+         WHEN i % 97 = 3 THEN 'no_event'
+         WHEN et <> 'click' THEN 'not_click'
+         WHEN i % 31 = 0 THEN 'no_extension'
+         WHEN i % 5 = 1 THEN 'no_adv_id'
+         WHEN i % 5 = 2 OR i % 10 = 3 THEN 'bad_adv_id'
+         WHEN i % 37 = 2 THEN 'no_id'
+         WHEN i % 41 = 3 THEN 'no_did'
+         WHEN i % 13 = 0 THEN 'no_ip'
+         WHEN i % 10 = 5 THEN 'bad_timestamp'
+         WHEN i % 11 = 4 THEN 'no_device_model'
+         ELSE 'ok' END AS verdict,
+    CASE WHEN i % 8 IN (3, 5) THEN 'unknown'
+         ELSE CAST(CAST(k AS INTEGER) % 10 + 7 AS VARCHAR) || '.' || CAST(CAST(k AS INTEGER) % 3 AS VARCHAR) END AS osv
+  FROM e)
+"""
+)
+
+ORACLE["click_verdicts"] = CLICKS + "SELECT i AS offset, verdict FROM c"
+
+ORACLE["click_urls"] = (
+    CLICKS
+    + f"""
+SELECT i AS source_id, 'GET' AS method,
+  '{settings.CLICK_BASE_URL}?pid={settings.PARTNER_PID}&advid=adv' || CAST(u % 100 AS VARCHAR)
+    || '&ip=' || ip || '&cts=' || CAST(ms AS VARCHAR) || '&osv=' || osv
+    || '&idfa=' || upper(did) || '&keywords=auc-' || CAST(i AS VARCHAR) AS url,
+  'Connection: keep-alive' AS headers
+FROM c WHERE verdict = 'ok'
+"""
+)

@@ -12,13 +12,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.functions.forms import parse_form
+from sluice.functions.forms import with_form_params
 from sluice.functions.maps import sorted_keys
 from sluice.operators.assemble import client_addr
 from sluice.operators.prefix import request_paths
 from sluice.plans import derive, settings
+from sluice.operators.routing import topic_for
 from sluice.plans.ingest import ingest_forms, topic_counts
-from sluice.schema import RECEIPT_FMT
+from sluice.plans.partner import click_outbox, judge_clicks, judge_postbacks, postback_outbox
+from sluice.schema import DEFAULT_ROUTE, RECEIPT_FMT
 from sluice.session import ensure_utc
 from sluice.sources.forms import url_query
 
@@ -95,7 +97,7 @@ def client_address(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def form_url_params(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    df = request_paths(pages.withColumn("params", parse_form(url_query("url"))))
+    df = request_paths(with_form_params(pages, "params", url_query("url")))
     entries = F.transform(F.map_entries("params"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     p = F.col("params")
     return df.select(
@@ -109,6 +111,56 @@ def form_url_params(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- partner postbacks and clicks ---------------------------------------
+
+
+def _postbacks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_postbacks(derive.postback_requests(_events(spark, sf_dir), settings.PARTNER_KEY), settings.PARTNER_KEY)
+
+
+def postback_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _postbacks(spark, sf_dir).select("request_id", "status", "reason")
+
+
+def postback_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _postbacks(spark, sf_dir).filter(F.col("status") == 200)
+    return df.select(
+        "request_id",
+        F.col("record.event").alias("event"),
+        F.col("record.id").alias("id"),
+        F.col("record.timestamp").alias("timestamp"),
+        F.col("record.did").alias("did"),
+        F.col("record.aid").alias("aid"),
+        F.col("record.ip").alias("ip"),
+        F.col("record.os").alias("os"),
+        sorted_keys(F.col("record.extension")).alias("ext_keys"),
+        _ext("appid").alias("ext_appid"),
+        _ext("adname").alias("ext_adname"),
+        _ext("adid").alias("ext_adid"),
+        _ext("device").alias("ext_device"),
+        _ext("point").alias("ext_point"),
+        _ext("channel").alias("ext_channel"),
+    )
+
+
+def postback_outbox_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ad-server notification per accepted postback, plus its topic (always default)."""
+    out = postback_outbox(_postbacks(spark, sf_dir), settings.POSTBACK_BASE_URL)
+    return out.withColumn("topic", topic_for(F.lit(DEFAULT_ROUTE), settings.ROUTES))
+
+
+def _clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive.click_messages(_events(spark, sf_dir))
+
+
+def click_verdicts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_clicks(_clicks(spark, sf_dir)).select("offset", "verdict")
+
+
+def click_urls_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return click_outbox(_clicks(spark, sf_dir), settings.CLICK_BASE_URL, settings.PARTNER_PID)
+
+
 QUERIES: dict[str, Query] = {
     "events_per_topic": events_per_topic,
     "form_event_record": form_event_record,
@@ -117,4 +169,9 @@ QUERIES: dict[str, Query] = {
     "form_replies": form_replies,
     "client_address": client_address,
     "form_url_params": form_url_params,
+    "postback_verdicts": postback_verdicts,
+    "postback_records": postback_records,
+    "postback_outbox": postback_outbox_q,
+    "click_verdicts": click_verdicts_q,
+    "click_urls": click_urls_q,
 }

@@ -24,7 +24,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.driver.memory", os.environ.get("SLUICE_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel(os.environ.get("SLUICE_LOG_LEVEL", "ERROR"))
     ensure_utc(spark)
     return spark
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.functions.forms import parse_form
+from sluice.functions.forms import with_form_params
 
 REQUEST_LOG = T.StructType(
     [
@@ -30,7 +30,7 @@ def read_request_log(spark: SparkSession, path: str, fmt: str = "parquet") -> Da
 
 def parse_requests(df: DataFrame, body: str = "body", query: str = "query", out: str = "params") -> DataFrame:
     """Add ``params``: body parameters take precedence over query ones, first value wins."""
-    return df.withColumn(out, parse_form(F.col(body), F.col(query)))
+    return with_form_params(df, out, F.col(body), F.col(query))
 
 
 def url_query(url: str = "url") -> F.Column:
