@@ -6,11 +6,12 @@ skipped, ``key=value`` split at the first ``=`` (a bare ``key`` has value
 malformed escape dropped. When several texts are given (body, then query) their
 pieces are concatenated in that order and the **first** value of a key wins.
 
-Plan: drop malformed pieces, reverse the piece order, and let ``str_to_map``
-(code-generated) build the map with the session's ``LAST_WIN`` key policy, so
-the last entry of the reversed list, i.e. the first parameter, wins. Decoding
-then runs once per map entry. This keeps lambdas (evaluated interpreted) to
-three trivial ones; see ``require_last_win``.
+Plan: reverse the piece order and let ``str_to_map`` (code-generated) build
+the map under the session's ``LAST_WIN`` key policy, so the last entry of the
+reversed list, i.e. the first parameter, wins. Decoding then runs once per map
+entry. Lambdas run interpreted, so passes the raw text shows to be unnecessary
+(dropping malformed pieces, decoding keys) are skipped after a code-generated
+regex test on the whole text.
 """
 
 from __future__ import annotations
@@ -19,6 +20,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DEDUP_POLICY = "spark.sql.mapKeyDedupPolicy"
+# a '%' not followed by two hex digits: the piece cannot be decoded
+_MALFORMED = r"%(?![0-9A-Fa-f]{2})"
+# some key (text between a piece start and its '=') holds an escape or a plus
+_CODED_KEY = r"(?:^|&)[^=&]*[%+]"
 
 
 def require_last_win(spark: SparkSession | None = None) -> None:
@@ -28,17 +33,22 @@ def require_last_win(spark: SparkSession | None = None) -> None:
         spark.conf.set(DEDUP_POLICY, "LAST_WIN")
 
 
+def _decode(text: Column) -> Column:
+    """Percent/plus decoding, skipped for text that has neither (most parameters)."""
+    return F.when((F.instr(text, "%") > 0) | (F.instr(text, "+") > 0), F.url_decode(text)).otherwise(text)
+
+
 def parse_form(*texts: Column) -> Column:
     """``MAP<STRING,STRING>`` of the first value of every parameter in ``texts``."""
     require_last_win()
     joined = F.concat_ws("&", *texts)  # null texts are skipped
     pieces = F.array_remove(F.split(joined, "&"), "")
-    good = F.filter(pieces, lambda p: F.try_url_decode(p).isNotNull())
+    good = F.when(joined.rlike(_MALFORMED), F.filter(pieces, lambda p: ~p.rlike(_MALFORMED))).otherwise(pieces)
     raw = F.when(F.size(good) > 0, F.str_to_map(F.array_join(F.reverse(good), "&"), F.lit("&"), F.lit("="))).otherwise(
         F.create_map().cast("map<string,string>")
     )
-    keys = F.transform_keys(raw, lambda k, _v: F.url_decode(k))
-    return F.transform_values(keys, lambda _k, v: F.coalesce(F.url_decode(v), F.lit("")))
+    keyed = F.when(joined.rlike(_CODED_KEY), F.transform_keys(raw, lambda k, _v: _decode(k))).otherwise(raw)
+    return F.transform_values(keyed, lambda _k, v: F.coalesce(_decode(v), F.lit("")))
 
 
 def with_form_params(df: DataFrame, out: str, *texts: Column) -> DataFrame:
