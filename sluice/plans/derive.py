@@ -212,3 +212,58 @@ def click_messages(events: DataFrame, topic: str = "clicks") -> DataFrame:
         value.alias("value"),
         F.col("ts").cast("timestamp").alias("timestamp"),
     )
+
+
+def stored_record() -> Column:
+    """The form-event record of an event, as the service stored it."""
+    from sluice.operators.assemble import record
+
+    ext = F.create_map(
+        F.lit("event_type"), F.col("event_type"),
+        F.lit("value"), value_text(),
+        F.lit("k"), k_of_props(),
+    )
+    return record(
+        event=F.lit("TrackerEvent"),
+        id=F.lit(""),
+        timestamp=ts_text(),
+        did=device_id(),
+        aid=F.concat(F.lit("a"), _i().cast("string")),
+        ip=F.when(_m(3) != 0, ip_addr()),
+        extension=ext,
+    )
+
+
+def write_backup_logs(events: DataFrame, root: str) -> str:
+    """Write backup logs for every event under ``root``; return ``root``.
+
+    ``backup.log`` (event_id % 5 != 4) holds dated error/record/data triples;
+    ``backup.log.0`` (% 10 == 4) and ``backup.log.99`` (% 10 == 9) hold bare
+    ``data:`` lines as retry generations do. Payloads are damaged by
+    ``event_id % 43``: 1 = a number above 255, 2 = bytes that are not a
+    record, 3 = an empty list.
+    """
+    from sluice.functions.bytelist import bytes_to_list_text
+    from sluice.operators.codec import encode
+
+    payload = encode(stored_record())
+    m43 = _m(43)
+    listed = bytes_to_list_text(payload)
+    data_text = (
+        F.when(m43 == 1, F.concat(F.regexp_replace(listed, r"\]$", ""), F.lit(" 300]")))
+        .when(m43 == 2, bytes_to_list_text(F.encode(F.lit("garbage"), "UTF-8")))
+        .when(m43 == 3, F.lit("[]"))
+        .otherwise(listed)
+    )
+    stamp = F.concat(F.date_format("ts", "yyyy/MM/dd HH:mm:ss"), F.lit(" "))
+    note = F.when(_m(29) == 0, F.lit(" note data: [1 2 3]")).otherwise(F.lit(""))
+    dated = F.array(
+        F.concat(stamp, F.lit("error: kafka: Failed to produce message to topic")),
+        F.concat(stamp, F.lit("record: aid=a"), _i().cast("string"), note),
+        F.concat(stamp, F.lit("data: "), data_text),
+    )
+    bare = F.array(F.concat(F.lit("data: "), data_text))
+    fname = F.when(_m(5) != 4, F.lit("backup.log")).when(_m(10) == 4, F.lit("backup.log.0")).otherwise(F.lit("backup.log.99"))
+    lines = events.select(fname.alias("file"), F.explode(F.when(_m(5) != 4, dated).otherwise(bare)).alias("value"))
+    lines.write.mode("overwrite").partitionBy("file").text(root)
+    return root

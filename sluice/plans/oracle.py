@@ -210,3 +210,46 @@ SELECT i AS source_id, 'GET' AS method,
 FROM c WHERE verdict = 'ok'
 """
 )
+
+# --- dead letters and replay --------------------------------------------------
+REPLAY = (
+    E
+    + f""", r AS (
+  SELECT *,
+    CASE WHEN i % 5 <> 4 THEN 0 WHEN i % 10 = 4 THEN 1 ELSE 100 END AS attempt,
+    i % 43 IN (1, 2, 3) AS bad
+  FROM e)
+"""
+)
+
+ORACLE["dead_letter_roundtrip"] = (
+    REPLAY
+    + f"""
+SELECT attempt, CASE WHEN bad THEN 'undecodable' ELSE 'ok' END AS verdict,
+  CASE WHEN NOT bad THEN 'a' || CAST(i AS VARCHAR) END AS aid,
+  CASE WHEN NOT bad THEN did END AS did,
+  CASE WHEN NOT bad THEN ts_text END AS timestamp,
+  CASE WHEN NOT bad THEN et END AS event_type,
+  CASE WHEN NOT bad THEN vtext END AS value,
+  CASE WHEN NOT bad THEN k END AS k,
+  CASE WHEN NOT bad THEN {_topic('et')} END AS topic
+FROM r
+"""
+)
+
+ORACLE["replay_summary"] = (
+    REPLAY
+    + """
+SELECT attempt, count(*) FILTER (WHERE NOT bad) AS success, count(*) FILTER (WHERE bad) AS failed
+FROM r GROUP BY attempt
+"""
+)
+
+ORACLE["retry_generation"] = (
+    REPLAY
+    + """
+SELECT attempt, CASE WHEN attempt + 1 <= 100 THEN attempt + 1 END AS next_attempt,
+  CASE WHEN attempt + 1 <= 100 THEN 'retry' ELSE 'exhausted' END AS retry, count(*) AS n_lines
+FROM r WHERE bad GROUP BY ALL
+"""
+)

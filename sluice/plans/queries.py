@@ -21,7 +21,9 @@ from sluice.operators.routing import topic_for
 from sluice.plans.ingest import ingest_forms, topic_counts
 from sluice.plans.partner import click_outbox, judge_clicks, judge_postbacks, postback_outbox
 from sluice.schema import DEFAULT_ROUTE, RECEIPT_FMT
-from sluice.session import ensure_utc
+from sluice.plans.replay import replay
+from sluice.session import ensure_utc, scratch_path
+from sluice.sources.backup_log import read_backup_log
 from sluice.sources.forms import url_query
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,6 +163,42 @@ def click_urls_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return click_outbox(_clicks(spark, sf_dir), settings.CLICK_BASE_URL, settings.PARTNER_PID)
 
 
+# --- dead letters and replay --------------------------------------------
+
+
+def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = derive.write_backup_logs(_events(spark, sf_dir), scratch_path(spark, "backup"))
+    return replay(read_backup_log(spark, root), settings.ROUTES)
+
+
+def dead_letter_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _replayed(spark, sf_dir)
+    return df.select(
+        "attempt",
+        "verdict",
+        F.col("record.aid").alias("aid"),
+        F.col("record.did").alias("did"),
+        F.col("record.timestamp").alias("timestamp"),
+        _ext("event_type").alias("event_type"),
+        _ext("value").alias("value"),
+        _ext("k").alias("k"),
+        "topic",
+    )
+
+
+def replay_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _replayed(spark, sf_dir)
+    return df.groupBy("attempt").agg(
+        F.count_if(F.col("verdict") == "ok").alias("success"),
+        F.count_if(F.col("verdict") != "ok").alias("failed"),
+    )
+
+
+def retry_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _replayed(spark, sf_dir).filter(F.col("retry") != "ok")
+    return df.groupBy("attempt", "next_attempt", "retry").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 QUERIES: dict[str, Query] = {
     "events_per_topic": events_per_topic,
     "form_event_record": form_event_record,
@@ -174,4 +212,7 @@ QUERIES: dict[str, Query] = {
     "postback_outbox": postback_outbox_q,
     "click_verdicts": click_verdicts_q,
     "click_urls": click_urls_q,
+    "dead_letter_roundtrip": dead_letter_roundtrip,
+    "replay_summary": replay_summary_q,
+    "retry_generation": retry_generation,
 }
