@@ -253,3 +253,57 @@ SELECT attempt, CASE WHEN attempt + 1 <= 100 THEN attempt + 1 END AS next_attemp
 FROM r WHERE bad GROUP BY ALL
 """
 )
+
+# --- codec, messages, partitions ----------------------------------------------
+ORACLE["codec_roundtrip"] = (
+    E
+    + """
+SELECT true AS decoded, 'TrackerEvent' AS event, '' AS id, ts_text AS timestamp, did,
+  'a' || CAST(i AS VARCHAR) AS aid, CASE WHEN i % 3 <> 0 THEN ip END AS ip,
+  CAST(NULL AS VARCHAR) AS os, CAST(NULL AS VARCHAR) AS exchange,
+  'event_type,k,value' AS ext_keys, et AS ext_event_type, vtext AS ext_value, k AS ext_k
+FROM e
+"""
+)
+
+ORACLE["topic_messages"] = (
+    E
+    + f"""
+SELECT {_topic('et')} AS topic, CAST(NULL AS INTEGER) AS partition, true AS no_key,
+  'a' || CAST(i AS VARCHAR) AS aid, et AS event_type
+FROM e
+"""
+)
+
+ORACLE["string_message"] = (
+    E
+    + f"""
+SELECT {_topic('et')} AS topic, 'a' || CAST(i AS VARCHAR) AS aid, ts_text AS timestamp FROM e
+"""
+)
+
+ORACLE["message_partitions"] = """
+SELECT 'a' || CAST(event_id AS VARCHAR) AS aid, 3 AS manual_partition,
+  CAST(NULL AS INTEGER) AS hash_partition, CAST(NULL AS INTEGER) AS random_partition
+FROM events
+"""
+
+# --- request dispatch -----------------------------------------------------------
+_PREFIX_VALUES = ", ".join(f"('{p}')" for p in settings.PREFIXES)
+DISPATCH = f"""
+WITH p AS (
+  SELECT page_id, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+pre AS (SELECT * FROM (VALUES {_PREFIX_VALUES}) t(prefix)),
+m AS (
+  SELECT page_id, path, arg_max(prefix, length(prefix)) AS prefix
+  FROM p LEFT JOIN pre ON starts_with(p.path, pre.prefix) GROUP BY page_id, path)
+"""
+
+ORACLE["prefix_match"] = (
+    DISPATCH
+    + """
+SELECT page_id, path, prefix, CASE WHEN prefix IS NULL THEN 'No handler matched.' END AS reason FROM m
+"""
+)
+
+ORACLE["request_count"] = DISPATCH + "SELECT count(*) AS n_requests, count(prefix) AS n_matched FROM m"

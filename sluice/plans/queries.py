@@ -17,12 +17,17 @@ from sluice.functions.maps import sorted_keys
 from sluice.operators.assemble import client_addr
 from sluice.operators.prefix import request_paths
 from sluice.plans import derive, settings
-from sluice.operators.routing import topic_for
+from sluice.operators.codec import decode, encode
+from sluice.operators.counters import request_count
+from sluice.operators.prefix import match_prefix
+from sluice.operators.routing import route, topic_for
 from sluice.plans.ingest import ingest_forms, topic_counts
 from sluice.plans.partner import click_outbox, judge_clicks, judge_postbacks, postback_outbox
 from sluice.schema import DEFAULT_ROUTE, RECEIPT_FMT
 from sluice.plans.replay import replay
 from sluice.session import ensure_utc, scratch_path
+from sluice.sinks.kafka import to_messages, to_string_messages
+from sluice.sinks.partition import assign_partition
 from sluice.sources.backup_log import read_backup_log
 from sluice.sources.forms import url_query
 
@@ -199,6 +204,75 @@ def retry_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.groupBy("attempt", "next_attempt", "retry").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
+# --- codec, messages, partitions -----------------------------------------
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir).select(derive.stored_record().alias("record"))
+
+
+def codec_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P9 then P10: every record survives encode/decode unchanged."""
+    enc = _stored(spark, sf_dir).select(encode(F.col("record")).alias("value"))
+    df = decode(enc)
+    return df.select(
+        "decoded",
+        *[F.col(f"record.{c}").alias(c) for c in ("event", "id", "timestamp", "did", "aid", "ip", "os", "exchange")],
+        sorted_keys(F.col("record.extension")).alias("ext_keys"),
+        _ext("event_type").alias("ext_event_type"),
+        _ext("value").alias("ext_value"),
+        _ext("k").alias("ext_k"),
+    )
+
+
+def _routed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _stored(spark, sf_dir)
+    return route(df, settings.ROUTES, event_type=F.try_element_at(F.col("record.extension"), F.lit("event_type")))
+
+
+def topic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: one message per record, each carrying its own topic; payload decodes back."""
+    msgs = to_messages(_routed_records(spark, sf_dir), encode(F.col("record")))
+    text = F.col("value").cast("string")
+    return msgs.select(
+        "topic",
+        "partition",
+        F.col("key").isNull().alias("no_key"),
+        F.get_json_object(text, "$.aid").alias("aid"),
+        F.get_json_object(text, "$.extension.event_type").alias("event_type"),
+    )
+
+
+def string_message(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: string payload variant."""
+    msgs = to_string_messages(_routed_records(spark, sf_dir), F.to_json(F.col("record")))
+    return msgs.select("topic", F.get_json_object("value", "$.aid").alias("aid"), F.get_json_object("value", "$.timestamp").alias("timestamp"))
+
+
+def message_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: manual partition 3 for every message; hash/random leave it to the producer."""
+    df = _stored(spark, sf_dir).select(F.col("record.aid").alias("aid"))
+    df = assign_partition(df, "manual", 3, out="manual_partition")
+    df = assign_partition(df, "hash", out="hash_partition")
+    return assign_partition(df, "random", out="random_partition")
+
+
+# --- request dispatch ------------------------------------------------------
+
+
+def _dispatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = request_paths(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return match_prefix(pages, list(settings.PREFIXES), key="page_id")
+
+
+def prefix_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dispatched(spark, sf_dir).select("page_id", "path", "prefix", "reason")
+
+
+def request_count_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return request_count(_dispatched(spark, sf_dir), matched="prefix")
+
+
 QUERIES: dict[str, Query] = {
     "events_per_topic": events_per_topic,
     "form_event_record": form_event_record,
@@ -215,4 +289,10 @@ QUERIES: dict[str, Query] = {
     "dead_letter_roundtrip": dead_letter_roundtrip,
     "replay_summary": replay_summary_q,
     "retry_generation": retry_generation,
+    "codec_roundtrip": codec_roundtrip,
+    "topic_messages": topic_messages,
+    "string_message": string_message,
+    "message_partitions": message_partitions,
+    "prefix_match": prefix_match,
+    "request_count": request_count_q,
 }
