@@ -267,3 +267,79 @@ def write_backup_logs(events: DataFrame, root: str) -> str:
     lines = events.select(fname.alias("file"), F.explode(F.when(_m(5) != 4, dated).otherwise(bare)).alias("value"))
     lines.write.mode("overwrite").partitionBy("file").text(root)
     return root
+
+
+# CSV upload variants by upload_id % 4: header names, in file order.
+UPLOAD_ROWS = 500
+UPLOAD_HEADERS = (
+    ("did", "timestamp", "event_type", "ip", "aid", "value", "k", "note"),
+    ("event_type", "k", "value", "timestamp", "did"),
+    ("did", "timestamp", "event_type", "did", "value"),
+    ("did", "event_type", "value"),
+)
+
+
+def _csv_quote(c: Column) -> Column:
+    return F.when(c.rlike('[,"\r\n]'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c)
+
+
+def csv_note() -> Column:
+    return (
+        F.when(_m(7) == 0, F.lit('x,"y"'))
+        .when(_m(11) == 0, F.lit("line\nbreak"))
+        .when(_m(13) == 0, F.lit(""))
+        .otherwise(F.concat(F.lit("n"), _i().cast("string")))
+    )
+
+
+def write_uploads(events: DataFrame, root: str) -> str:
+    """One CSV upload per ``UPLOAD_ROWS`` events under ``root/upload_id=N/``; return ``root``.
+
+    Rows with ``event_id % 53 == 0`` get an extra field, ``% 59 == 0`` lose
+    their last field. Variant 2's header starts with a byte-order mark and
+    names ``did`` twice (the first column holds junk).
+    """
+    upload = F.floor(_i() / UPLOAD_ROWS)
+    variant = F.pmod(upload, F.lit(4))
+    vals = {
+        "did": device_id(),
+        "timestamp": ts_text(),
+        "event_type": F.col("event_type"),
+        "ip": F.when(_m(3) != 0, ip_addr()).otherwise(F.lit("")),
+        "aid": F.concat(F.lit("a"), _i().cast("string")),
+        "value": value_text(),
+        "k": k_of_props(),
+        "note": csv_note(),
+    }
+
+    def fields(v: int) -> Column:
+        names = list(UPLOAD_HEADERS[v])
+        cols = [_csv_quote(vals[n]) for n in names]
+        if v == 2:
+            cols[0] = F.concat(F.lit("junk-"), _i().cast("string"))
+        long_row = F.array(*cols, F.lit("extra"))
+        short_row = F.array(*cols[:-1])
+        return F.when(_m(53) == 0, long_row).when(_m(59) == 0, short_row).otherwise(F.array(*cols))
+
+    line = F.array_join(
+        F.when(variant == 0, fields(0)).when(variant == 1, fields(1)).when(variant == 2, fields(2)).otherwise(fields(3)), ","
+    )
+    rows = events.select(upload.alias("upload_id"), _i().alias("line_no"), line.alias("value"))
+    uid = F.col("upload_id")
+    header = (
+        F.when(F.pmod(uid, F.lit(4)) == 0, F.lit(",".join(UPLOAD_HEADERS[0])))
+        .when(F.pmod(uid, F.lit(4)) == 1, F.lit(",".join(UPLOAD_HEADERS[1])))
+        .when(F.pmod(uid, F.lit(4)) == 2, F.lit("﻿" + ",".join(UPLOAD_HEADERS[2])))
+        .otherwise(F.lit(",".join(UPLOAD_HEADERS[3])))
+    )
+    headers = rows.select("upload_id").distinct().select("upload_id", F.lit(-1).cast("long").alias("line_no"), header.alias("value"))
+    (
+        rows.unionByName(headers)
+        .repartition("upload_id")
+        .sortWithinPartitions("upload_id", "line_no")
+        .select("upload_id", "value")
+        .write.mode("overwrite")
+        .partitionBy("upload_id")
+        .text(root)
+    )
+    return root

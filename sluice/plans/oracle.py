@@ -307,3 +307,55 @@ SELECT page_id, path, prefix, CASE WHEN prefix IS NULL THEN 'No handler matched.
 )
 
 ORACLE["request_count"] = DISPATCH + "SELECT count(*) AS n_requests, count(prefix) AS n_matched FROM m"
+
+# --- CSV uploads ----------------------------------------------------------------
+UPLOADS = (
+    E
+    + """, x AS (
+  SELECT *, i // 500 AS upload_id, (i // 500) % 4 AS variant, (i % 53 = 0 OR i % 59 = 0) AS ragged,
+    CASE WHEN i % 7 = 0 THEN 'x,"y"' WHEN i % 11 = 0 THEN 'line' || chr(10) || 'break'
+         WHEN i % 13 = 0 THEN '' ELSE 'n' || CAST(i AS VARCHAR) END AS note
+  FROM e)
+"""
+)
+
+ORACLE["csv_event_record"] = (
+    UPLOADS
+    + f"""
+SELECT upload_id, 'TrackerEvent' AS event, '' AS id, did, ts_text AS timestamp,
+  CASE WHEN variant = 0 THEN 'a' || CAST(i AS VARCHAR) END AS aid,
+  CASE WHEN variant = 0 THEN CASE WHEN i % 3 <> 0 THEN ip ELSE '' END END AS ip,
+  CASE variant WHEN 0 THEN 'event_type,k,note,value' WHEN 1 THEN 'event_type,k,value' ELSE 'event_type,value' END AS ext_keys,
+  et AS ext_event_type, vtext AS ext_value,
+  CASE WHEN variant IN (0, 1) THEN k END AS ext_k,
+  CASE WHEN variant = 0 THEN note END AS ext_note,
+  {_topic('et')} AS topic
+FROM x WHERE variant <> 3 AND NOT ragged
+"""
+)
+
+ORACLE["csv_quarantine"] = (
+    UPLOADS
+    + """
+SELECT upload_id, 500 AS status, 'Err read file:wrong number of fields' AS reason, count(*) AS n_rows
+FROM x WHERE variant <> 3 AND ragged GROUP BY upload_id
+"""
+)
+
+ORACLE["csv_file_verdicts"] = (
+    UPLOADS
+    + """
+SELECT DISTINCT upload_id, CASE WHEN variant = 3 THEN 400 ELSE 200 END AS status,
+  CASE WHEN variant = 3 THEN 'Missing Required field: No timestamp' END AS reason
+FROM x
+"""
+)
+
+ORACLE["upload_receipts"] = (
+    UPLOADS
+    + """
+SELECT upload_id, count(*) FILTER (WHERE NOT ragged) AS n_written,
+  CAST(count(*) FILTER (WHERE NOT ragged) AS VARCHAR) || ' messages have been writen.' AS receipt
+FROM x WHERE variant <> 3 GROUP BY upload_id
+"""
+)

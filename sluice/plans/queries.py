@@ -18,7 +18,7 @@ from sluice.operators.assemble import client_addr
 from sluice.operators.prefix import request_paths
 from sluice.plans import derive, settings
 from sluice.operators.codec import decode, encode
-from sluice.operators.counters import request_count
+from sluice.operators.counters import receipts, request_count
 from sluice.operators.prefix import match_prefix
 from sluice.operators.routing import route, topic_for
 from sluice.plans.ingest import ingest_forms, topic_counts
@@ -29,6 +29,7 @@ from sluice.session import ensure_utc, scratch_path
 from sluice.sinks.kafka import to_messages, to_string_messages
 from sluice.sinks.partition import assign_partition
 from sluice.sources.backup_log import read_backup_log
+from sluice.sources.csv_upload import read_event_csv
 from sluice.sources.forms import url_query
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -273,6 +274,52 @@ def request_count_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return request_count(_dispatched(spark, sf_dir), matched="prefix")
 
 
+# --- CSV uploads -------------------------------------------------------------
+
+
+def _uploads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    root = derive.write_uploads(_events(spark, sf_dir), scratch_path(spark, "uploads"))
+    rows, files = read_event_csv(spark, root, glob="*.txt")
+    uid = F.regexp_extract("file_path", r"upload_id=([0-9]+)", 1).cast("long").alias("upload_id")
+    return rows.withColumn("upload_id", uid), files.withColumn("upload_id", uid)
+
+
+def csv_event_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = _uploads(spark, sf_dir)
+    rows = route(rows.filter(F.col("status") == 200), settings.ROUTES, event_type="event_type")
+    return rows.select(
+        "upload_id",
+        F.col("record.event").alias("event"),
+        F.col("record.id").alias("id"),
+        F.col("record.did").alias("did"),
+        F.col("record.timestamp").alias("timestamp"),
+        F.col("record.aid").alias("aid"),
+        F.col("record.ip").alias("ip"),
+        sorted_keys(F.col("record.extension")).alias("ext_keys"),
+        _ext("event_type").alias("ext_event_type"),
+        _ext("value").alias("ext_value"),
+        _ext("k").alias("ext_k"),
+        _ext("note").alias("ext_note"),
+        "topic",
+    )
+
+
+def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = _uploads(spark, sf_dir)
+    bad = rows.filter(F.col("status") != 200)
+    return bad.groupBy("upload_id", "status", "reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def csv_file_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, files = _uploads(spark, sf_dir)
+    return files.select("upload_id", "status", "reason")
+
+
+def upload_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = _uploads(spark, sf_dir)
+    return receipts(rows, by="upload_id").select("upload_id", "n_written", "receipt")
+
+
 QUERIES: dict[str, Query] = {
     "events_per_topic": events_per_topic,
     "form_event_record": form_event_record,
@@ -295,4 +342,8 @@ QUERIES: dict[str, Query] = {
     "message_partitions": message_partitions,
     "prefix_match": prefix_match,
     "request_count": request_count_q,
+    "csv_event_record": csv_event_record,
+    "csv_quarantine": csv_quarantine,
+    "csv_file_verdicts": csv_file_verdicts,
+    "upload_receipts": upload_receipts,
 }
