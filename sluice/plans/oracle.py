@@ -359,3 +359,5 @@ SELECT upload_id, count(*) FILTER (WHERE NOT ragged) AS n_written,
 FROM x WHERE variant <> 3 GROUP BY upload_id
 """
 )
+
+ORACLE["stream_click_urls"] = ORACLE["click_urls"]

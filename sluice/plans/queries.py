@@ -30,6 +30,7 @@ from sluice.sinks.kafka import to_messages, to_string_messages
 from sluice.sinks.partition import assign_partition
 from sluice.sources.backup_log import read_backup_log
 from sluice.sources.csv_upload import read_event_csv
+from sluice.streaming.click_job import message_file_stream, start_click_job
 from sluice.sources.forms import url_query
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -320,6 +321,32 @@ def upload_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return receipts(rows, by="upload_id").select("upload_id", "n_written", "receipt")
 
 
+# --- streaming ---------------------------------------------------------------
+
+
+def stream_click_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The click job as a Structured Streaming query over a file stream of messages.
+
+    The messages Spark derives from ``events`` are landed as Parquet, streamed
+    with ``availableNow`` in several micro-batches, and the outbox the job
+    wrote is returned (same rows as ``click_urls``).
+    """
+    root = scratch_path(spark, "clickstream")
+    derive.click_messages(_events(spark, sf_dir)).repartition(8).write.mode("overwrite").parquet(f"{root}/in")
+    q = start_click_job(
+        message_file_stream(spark, f"{root}/in", max_files_per_trigger=2),
+        f"{root}/outbox",
+        f"{root}/checkpoint",
+        settings.CLICK_BASE_URL,
+        settings.PARTNER_PID,
+        available_now=True,
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{root}/outbox").drop("batch_id")
+
+
 QUERIES: dict[str, Query] = {
     "events_per_topic": events_per_topic,
     "form_event_record": form_event_record,
@@ -346,4 +373,5 @@ QUERIES: dict[str, Query] = {
     "csv_quarantine": csv_quarantine,
     "csv_file_verdicts": csv_file_verdicts,
     "upload_receipts": upload_receipts,
+    "stream_click_urls": stream_click_urls,
 }
