@@ -18,6 +18,9 @@ Plan:
    schema (``header=True, enforceSchema=True``), PERMISSIVE mode with a
    corrupt-record column; assemble records from column positions;
 5. union the groups.
+
+Zero-length files are skipped by Spark's file listing, so an empty upload
+produces no rows and no file verdict (the original replied with an EOF error).
 """
 
 from __future__ import annotations
