@@ -29,3 +29,8 @@ def epoch_ms_in_range(ms: Column) -> Column:
 def epoch_ms_to_rfc3339(ms: Column) -> Column:
     """Epoch milliseconds to RFC 3339 with whole seconds; null when out of range."""
     return F.when(epoch_ms_in_range(ms), F.date_format(F.timestamp_millis(ms), RFC3339_SECONDS))
+
+
+def now_epoch_seconds() -> Column:
+    """X11: current UTC time in epoch seconds (fixed per query, so all rows agree)."""
+    return F.unix_seconds(F.current_timestamp())

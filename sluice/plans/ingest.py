@@ -30,3 +30,26 @@ def ingest_forms(requests: DataFrame, routes: Mapping[str, str] | DataFrame) ->
 def topic_counts(ingested: DataFrame) -> DataFrame:
     """Valid events per topic (partial counts per task, merged by topic)."""
     return ingested.filter(F.col("status") == 200).groupBy("topic").agg(F.count(F.lit(1)).alias("n_events"))
+
+
+def form_messages_and_dead_letters(ingested: DataFrame, codec: str = "json") -> tuple[DataFrame, DataFrame]:
+    """Split ingested requests into topic messages (valid) and dead letters (rejected).
+
+    Both come from one pass over the request log; nothing is dropped: every
+    request is either a message or a dead letter carrying its reason.
+    """
+    from sluice.operators.codec import encode
+    from sluice.sinks.deadletter import to_dead_letters
+    from sluice.sinks.kafka import to_messages
+
+    ok = F.col("status") == 200
+    messages = to_messages(ingested.filter(ok), encode(F.col("record"), codec))
+    rejected = ingested.filter(~ok)
+    dead = to_dead_letters(
+        rejected,
+        error=F.col("reason"),
+        record=F.col("params"),
+        data=F.encode(F.concat_ws("&", F.col("body"), F.col("query")), "UTF-8"),
+        topic=F.lit(None).cast("string"),
+    )
+    return messages, dead

@@ -361,3 +361,11 @@ FROM x WHERE variant <> 3 GROUP BY upload_id
 )
 
 ORACLE["stream_click_urls"] = ORACLE["click_urls"]
+
+ORACLE["dead_letter_table"] = (
+    FORMS
+    + """
+SELECT 0 AS attempt, reason AS error, count(*) AS n_letters, count(*) AS n_with_payload
+FROM f WHERE reason IS NOT NULL GROUP BY reason
+"""
+)

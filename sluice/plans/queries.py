@@ -21,11 +21,12 @@ from sluice.operators.codec import decode, encode
 from sluice.operators.counters import receipts, request_count
 from sluice.operators.prefix import match_prefix
 from sluice.operators.routing import route, topic_for
-from sluice.plans.ingest import ingest_forms, topic_counts
+from sluice.plans.ingest import form_messages_and_dead_letters, ingest_forms, topic_counts
 from sluice.plans.partner import click_outbox, judge_clicks, judge_postbacks, postback_outbox
 from sluice.schema import DEFAULT_ROUTE, RECEIPT_FMT
 from sluice.plans.replay import replay
 from sluice.session import ensure_utc, scratch_path
+from sluice.sinks.deadletter import write_dead_letters
 from sluice.sinks.kafka import to_messages, to_string_messages
 from sluice.sinks.partition import assign_partition
 from sluice.sources.backup_log import read_backup_log
@@ -347,6 +348,18 @@ def stream_click_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/outbox").drop("batch_id")
 
 
+def dead_letter_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: rejected form requests appended to a Parquet dead-letter table, read back by reason."""
+    _, dead = form_messages_and_dead_letters(_forms(spark, sf_dir))
+    path = scratch_path(spark, "dead_letter")
+    write_dead_letters(dead, path)
+    back = spark.read.parquet(path)
+    return back.groupBy("attempt", "error").agg(
+        F.count(F.lit(1)).alias("n_letters"),
+        F.count_if(F.col("data").isNotNull() & F.col("record").isNotNull()).alias("n_with_payload"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "events_per_topic": events_per_topic,
     "form_event_record": form_event_record,
@@ -374,4 +387,5 @@ QUERIES: dict[str, Query] = {
     "csv_file_verdicts": csv_file_verdicts,
     "upload_receipts": upload_receipts,
     "stream_click_urls": stream_click_urls,
+    "dead_letter_table": dead_letter_table,
 }
