@@ -1,31 +1,68 @@
-"""Printed byte lists such as ``[123 34 101]`` to bytes and back."""
+"""Printed byte lists such as ``[123 34 101]`` to bytes and back.
+
+Parsing stays JVM-side: the numbers are split and cast as one array
+(``try_cast`` to ``array<int>``) and validated with code-generated array
+aggregates; one trivial lambda turns each number into two hex digits. A
+number above 255, a leading zero or a non-number makes the whole list
+invalid (null bytes) rather than producing a wrong byte.
+
+Formatting (bytes to text) is used when writing legacy logs; Spark has no
+per-byte decimal formatter, so it runs as an Arrow-batched pandas UDF.
+"""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# decimal text of every byte value, built by rule
+_DECIMAL = [str(v) for v in range(256)]
+
+
+def _format_batch(values: pd.Series) -> pd.Series:
+    dec = _DECIMAL
+    return pd.Series(
+        [None if v is None else "[" + " ".join([dec[b] for b in v]) + "]" for v in values],
+        dtype=object,
+    )
+
+
+_UDF = {}
+
 
 def bytes_to_list_text(b: Column) -> Column:
     """Binary to ``[b0 b1 ...]`` with decimal byte values; ``[]`` when empty."""
-    pairs = F.regexp_extract_all(F.hex(b), F.lit("(..)"), 1)
-    decimals = F.transform(pairs, lambda h: F.conv(h, 16, 10))
-    return F.when(b.isNull(), F.lit(None)).otherwise(F.concat(F.lit("["), F.array_join(decimals, " "), F.lit("]")))
+    if "fmt" not in _UDF:
+        _UDF["fmt"] = F.pandas_udf(_format_batch, "string")
+    return _UDF["fmt"](b)
 
 
 def _numbers(inner: Column) -> Column:
-    return F.filter(F.split(inner, " "), lambda x: x != F.lit(""))
+    return F.array_remove(F.split(inner, " "), "").try_cast("array<int>")
 
 
-def list_text_is_valid(inner: Column) -> Column:
-    """Every number is 0..255 (at most 3 digits, so no overflow)."""
-    return F.forall(
-        _numbers(inner),
-        lambda x: x.rlike("^[0-9]{1,3}$") & (x.try_cast("int") <= F.lit(255)),
+def list_text_is_valid(inner: Column, nums: Column | None = None) -> Column:
+    """Every item is a decimal 0..255 without leading zeros (``nums``: the parsed items, if at hand)."""
+    nums = _numbers(inner) if nums is None else nums
+    return (
+        inner.isNotNull()
+        & ~inner.rlike(r"(^| )0[0-9]")
+        & (F.size(F.array_compact(nums)) == F.size(nums))
+        & (F.coalesce(F.array_max(nums), F.lit(0)) <= F.lit(255))
+        & (F.coalesce(F.array_min(nums), F.lit(0)) >= F.lit(0))
     )
 
 
+def numbers_to_bytes(nums: Column) -> Column:
+    """Validated ``array<int>`` of byte values to binary."""
+    return F.unhex(F.array_join(F.transform(nums, lambda x: F.lpad(F.hex(x), 2, "0")), ""))
+
+
 def list_text_to_bytes(inner: Column) -> Column:
-    """The space-separated numbers inside the brackets to binary; null if any is out of range."""
-    hexes = F.transform(_numbers(inner), lambda x: F.lpad(F.hex(x.try_cast("int")), 2, "0"))
-    return F.when(list_text_is_valid(inner), F.unhex(F.array_join(hexes, "")))
+    """The space-separated numbers inside the brackets to binary; null if any is invalid."""
+    return F.when(list_text_is_valid(inner), numbers_to_bytes(_numbers(inner)))
+
+
+def list_text_numbers(inner: Column) -> Column:
+    return _numbers(inner)
