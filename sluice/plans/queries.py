@@ -25,7 +25,7 @@ from sluice.plans.ingest import form_messages_and_dead_letters, ingest_forms, to
 from sluice.plans.partner import click_outbox, judge_clicks, judge_postbacks, postback_outbox
 from sluice.schema import DEFAULT_ROUTE, RECEIPT_FMT
 from sluice.plans.replay import replay
-from sluice.session import ensure_utc, scratch_path
+from sluice.session import ensure_utc, landed_path, scratch_path
 from sluice.sinks.deadletter import write_dead_letters
 from sluice.sinks.kafka import to_messages, to_string_messages
 from sluice.sinks.partition import assign_partition
@@ -50,8 +50,18 @@ def _ext(name: str) -> F.Column:
     return F.try_element_at(F.col("record.extension"), F.lit(name))
 
 
+def _landed(spark: SparkSession, sf_dir: str, kind: str, make) -> DataFrame:
+    """A derived input (request log, messages) landed once as Parquet and read back."""
+    ev = _events(spark, sf_dir)
+    return spark.read.parquet(landed_path(spark, kind, ev, lambda p: make(ev).write.mode("overwrite").parquet(p)))
+
+
+def _request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed(spark, sf_dir, "form-requests", derive.request_log)
+
+
 def _forms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest_forms(derive.request_log(_events(spark, sf_dir)), settings.ROUTES)
+    return ingest_forms(_request_log(spark, sf_dir), settings.ROUTES)
 
 
 # --- form ingest -----------------------------------------------------------
@@ -101,7 +111,7 @@ def form_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def client_address(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = derive.request_log(_events(spark, sf_dir))
+    df = _request_log(spark, sf_dir)
     return df.select("request_id", client_addr(F.col("x_forwarded_for"), F.col("remote_addr")).alias("client_addr"))
 
 
@@ -125,7 +135,8 @@ def form_url_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _postbacks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_postbacks(derive.postback_requests(_events(spark, sf_dir), settings.PARTNER_KEY), settings.PARTNER_KEY)
+    log = _landed(spark, sf_dir, "postback-requests", lambda ev: derive.postback_requests(ev, settings.PARTNER_KEY))
+    return judge_postbacks(log, settings.PARTNER_KEY)
 
 
 def postback_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,7 +171,7 @@ def postback_outbox_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive.click_messages(_events(spark, sf_dir))
+    return _landed(spark, sf_dir, "click-messages", derive.click_messages)
 
 
 def click_verdicts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,7 +186,8 @@ def click_urls_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = derive.write_backup_logs(_events(spark, sf_dir), scratch_path(spark, "backup"))
+    ev = _events(spark, sf_dir)
+    root = landed_path(spark, "backup-logs", ev, lambda p: derive.write_backup_logs(ev, p))
     return replay(read_backup_log(spark, root), settings.ROUTES)
 
 
@@ -280,7 +292,8 @@ def request_count_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _uploads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    root = derive.write_uploads(_events(spark, sf_dir), scratch_path(spark, "uploads"))
+    ev = _events(spark, sf_dir)
+    root = landed_path(spark, "uploads", ev, lambda p: derive.write_uploads(ev, p))
     rows, files = read_event_csv(spark, root, glob="*.txt")
     uid = F.regexp_extract("file_path", r"upload_id=([0-9]+)", 1).cast("long").alias("upload_id")
     return rows.withColumn("upload_id", uid), files.withColumn("upload_id", uid)
@@ -332,10 +345,11 @@ def stream_click_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     with ``availableNow`` in several micro-batches, and the outbox the job
     wrote is returned (same rows as ``click_urls``).
     """
+    ev = _events(spark, sf_dir)
+    source = landed_path(spark, "click-messages", ev, lambda p: derive.click_messages(ev).write.mode("overwrite").parquet(p))
     root = scratch_path(spark, "clickstream")
-    derive.click_messages(_events(spark, sf_dir)).repartition(8).write.mode("overwrite").parquet(f"{root}/in")
     q = start_click_job(
-        message_file_stream(spark, f"{root}/in", max_files_per_trigger=2),
+        message_file_stream(spark, source, max_files_per_trigger=2),
         f"{root}/outbox",
         f"{root}/checkpoint",
         settings.CLICK_BASE_URL,

@@ -55,3 +55,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/sluice/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _fs_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def landed_path(spark: SparkSession, kind: str, source, write) -> str:
+    """Land a derived dataset once and reuse it while its source is unchanged.
+
+    ``source`` is the DataFrame it derives from; the key is the source's file
+    list and total size, so new data lands again. ``write(path)`` must write
+    the dataset to ``path`` (the writer's ``_SUCCESS`` marker is the commit).
+    """
+    import hashlib
+
+    files = sorted(source.inputFiles())
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    size = 0
+    for f in files:
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        size += p.getFileSystem(conf).getFileStatus(p).getLen()
+    key = hashlib.sha1(("\n".join(files) + f"|{size}").encode()).hexdigest()[:16]
+    root = checkpoint_root(spark).rstrip("/")
+    path = f"{root}/sluice/landed/{kind}-{key}"
+    if not _fs_exists(spark, f"{path}/_SUCCESS"):
+        write(path)
+    return path
