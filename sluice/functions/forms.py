@@ -38,34 +38,55 @@ def _decode(text: Column) -> Column:
     return F.when((F.instr(text, "%") > 0) | (F.instr(text, "+") > 0), F.url_decode(text)).otherwise(text)
 
 
-def parse_form(*texts: Column) -> Column:
-    """``MAP<STRING,STRING>`` of the first value of every parameter in ``texts``."""
-    require_last_win()
-    joined = F.concat_ws("&", *texts)  # null texts are skipped
-    pieces = F.array_remove(F.split(joined, "&"), "")
+def _raw_map(joined: Column, pieces: Column) -> Column:
     good = F.when(joined.rlike(_MALFORMED), F.filter(pieces, lambda p: ~p.rlike(_MALFORMED))).otherwise(pieces)
-    raw = F.when(F.size(good) > 0, F.str_to_map(F.array_join(F.reverse(good), "&"), F.lit("&"), F.lit("="))).otherwise(
+    return F.when(F.size(good) > 0, F.str_to_map(F.array_join(F.reverse(good), "&"), F.lit("&"), F.lit("="))).otherwise(
         F.create_map().cast("map<string,string>")
     )
-    keyed = F.when(joined.rlike(_CODED_KEY), F.transform_keys(raw, lambda k, _v: _decode(k))).otherwise(raw)
+
+
+def _decoded(raw: Column, coded_keys: Column) -> Column:
+    keyed = F.when(coded_keys, F.transform_keys(raw, lambda k, _v: _decode(k))).otherwise(raw)
     return F.transform_values(keyed, lambda _k, v: F.coalesce(_decode(v), F.lit("")))
 
 
+def parse_form(*texts: Column) -> Column:
+    """``MAP<STRING,STRING>`` of the first value of every parameter in ``texts``.
+
+    A single expression; ``with_form_params`` computes the same map in stages
+    so that the parts without lambdas keep whole-stage code generation.
+    """
+    require_last_win()
+    joined = F.concat_ws("&", *texts)  # null texts are skipped
+    pieces = F.array_remove(F.split(joined, "&"), "")
+    return _decoded(_raw_map(joined, pieces), joined.rlike(_CODED_KEY))
+
+
 def with_form_params(df: DataFrame, out: str, *texts: Column) -> DataFrame:
-    """Add ``out`` = ``parse_form(*texts)``, computed once per row (see ``materialize``)."""
-    return materialize(df, {out: parse_form(*texts)})
+    """Add ``out`` = ``parse_form(*texts)``, each stage computed once per row (see ``materialize``)."""
+    require_last_win()
+    j, pc, raw, ck = (f"_{out}_{n}" for n in ("joined", "pieces", "raw", "coded"))
+    joined = F.concat_ws("&", *texts)
+    df = materialize(df, {j: joined, pc: F.array_remove(F.split(joined, "&"), "")})
+    df = materialize(df, {raw: _raw_map(F.col(j), F.col(pc)), ck: F.col(j).rlike(_CODED_KEY)})
+    df = materialize(df, {out: _decoded(F.col(raw), F.col(ck))})
+    return df.drop(j, pc, raw, ck)
 
 
 def materialize(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
-    """Add ``cols`` through a one-row-per-row ``inline`` (a Generate node).
+    """Add ``cols``, each evaluated exactly once per row.
 
     Filters on later verdict columns are pushed down through projections by
-    substituting every alias; an expensive map referenced by a dozen checks
-    would then be rebuilt a dozen times. Output of a generator cannot be
-    substituted, so the expression is evaluated exactly once per row.
+    substituting every alias; an expensive map read by a dozen checks would
+    then be rebuilt a dozen times. So the values are computed in a projection
+    and passed through a one-row-per-row ``inline`` (a Generate node), whose
+    output cannot be substituted. The Generate only moves attributes, so it
+    stays inside whole-stage code generation.
     """
-    packed = F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))
-    return df.select("*", F.inline(packed))
+    tmp = {f"__m_{n}": c for n, c in cols.items()}
+    df = df.withColumns(tmp)
+    packed = F.array(F.struct(*[F.col(t).alias(n) for n, t in zip(cols, tmp)]))
+    return df.select("*", F.inline(packed)).drop(*tmp)
 
 
 def decode_path(path: Column) -> Column:
