@@ -369,3 +369,5 @@ SELECT 0 AS attempt, reason AS error, count(*) AS n_letters, count(*) AS n_with_
 FROM f WHERE reason IS NOT NULL GROUP BY reason
 """
 )
+
+ORACLE["stream_form_ingest"] = ORACLE["events_per_topic"]

@@ -32,6 +32,7 @@ from sluice.sinks.partition import assign_partition
 from sluice.sources.backup_log import read_backup_log
 from sluice.sources.csv_upload import read_event_csv
 from sluice.streaming.click_job import message_file_stream, start_click_job
+from sluice.streaming.ingest_job import request_file_stream, start_ingest_job
 from sluice.sources.forms import url_query
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -374,6 +375,25 @@ def dead_letter_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_form_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form ingest as a streaming query: valid events per topic read back from the topic table."""
+    ev = _events(spark, sf_dir)
+    source = landed_path(spark, "form-requests", ev, lambda p: derive.request_log(ev).write.mode("overwrite").parquet(p))
+    root = scratch_path(spark, "ingeststream")
+    q = start_ingest_job(
+        request_file_stream(spark, source, max_files_per_trigger=2),
+        settings.ROUTES,
+        f"{root}/topics",
+        f"{root}/dead_letter",
+        f"{root}/checkpoint",
+        available_now=True,
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{root}/topics").groupBy("topic").agg(F.count(F.lit(1)).alias("n_events"))
+
+
 QUERIES: dict[str, Query] = {
     "events_per_topic": events_per_topic,
     "form_event_record": form_event_record,
@@ -402,4 +422,5 @@ QUERIES: dict[str, Query] = {
     "upload_receipts": upload_receipts,
     "stream_click_urls": stream_click_urls,
     "dead_letter_table": dead_letter_table,
+    "stream_form_ingest": stream_form_ingest,
 }

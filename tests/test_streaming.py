@@ -40,3 +40,19 @@ def test_rerun_batch_overwrites_its_partition(spark):
     write_outbox(out, root, 8)
     got = spark.read.parquet(root)
     assert got.filter("batch_id = 7").count() == 5 and got.count() == 10
+
+
+def test_ingest_stream_equals_batch(spark):
+    from sluice.plans.ingest import ingest_forms, topic_counts
+    from sluice.streaming.ingest_job import request_file_stream, start_ingest_job
+
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    root = scratch_path(spark, "test-ingest")
+    derive.request_log(events).repartition(3).write.parquet(f"{root}/in")
+    q = start_ingest_job(request_file_stream(spark, f"{root}/in", 1), settings.ROUTES, f"{root}/topics", f"{root}/dead", f"{root}/ckpt", available_now=True)
+    q.awaitTermination()
+    streamed = spark.read.parquet(f"{root}/topics").groupBy("topic").count()
+    batch = topic_counts(ingest_forms(spark.read.parquet(f"{root}/in"), settings.ROUTES))
+    assert sorted(tuple(r) for r in streamed.collect()) == sorted(tuple(r) for r in batch.collect())
+    dead = spark.read.parquet(f"{root}/dead")
+    assert dead.count() + sum(r[1] for r in streamed.collect()) == events.count()
