@@ -64,7 +64,7 @@ def parse_form(*texts: Column) -> Column:
 
 def with_form_params(df: DataFrame, out: str, *texts: Column) -> DataFrame:
     """Add ``out`` = ``parse_form(*texts)``, each stage computed once per row (see ``materialize``)."""
-    require_last_win()
+    require_last_win(df.sparkSession)
     j, pc, raw, ck = (f"_{out}_{n}" for n in ("joined", "pieces", "raw", "coded"))
     joined = F.concat_ws("&", *texts)
     df = materialize(df, {j: joined, pc: F.array_remove(F.split(joined, "&"), "")})

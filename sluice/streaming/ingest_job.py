@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sluice.functions.forms import require_last_win
 from sluice.plans.ingest import form_messages_and_dead_letters, ingest_forms
 from sluice.sinks.topic_table import write_topic_table
 from sluice.sources.forms import REQUEST_LOG
@@ -45,6 +46,7 @@ def start_ingest_job(
             .parquet(dead_letter_path)
         )
 
+    require_last_win(requests.sparkSession)
     writer = requests.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
