@@ -18,8 +18,12 @@ def parse_rfc3339(text: Column) -> Column:
 
 
 def rfc3339_to_epoch_ms(text: Column) -> Column:
-    """RFC 3339 text to epoch milliseconds as text; null when not RFC 3339."""
-    return F.unix_millis(parse_rfc3339(text)).cast("string")
+    """RFC 3339 text to epoch milliseconds as text; null when not RFC 3339.
+
+    Sub-millisecond parts are cut toward zero (integer division), so an
+    instant 0.5 ms before 1970 gives 0, not -1 as flooring would.
+    """
+    return F.call_function("div", F.unix_micros(parse_rfc3339(text)), F.lit(1000)).cast("string")
 
 
 def epoch_ms_in_range(ms: Column) -> Column:

@@ -86,3 +86,10 @@ def test_codec_roundtrip_with_nulls(spark):
     back = decode(df.select(encode(F.col("r")).alias("value"))).first()
     assert back.decoded and back.record.event == "" and back.record.exchange is None
     assert back.record.extension == {"a": None, "b": "x"}
+
+
+def test_epoch_ms_truncates_toward_zero(spark):
+    from sluice.functions.timefmt import rfc3339_to_epoch_ms
+
+    df = spark.createDataFrame([("1969-12-31T23:59:59.9995Z",), ("1970-01-01T00:00:01.0019Z",), ("x",)], "t string")
+    assert [r[0] for r in df.select(rfc3339_to_epoch_ms(F.col("t"))).collect()] == ["0", "1001", None]
