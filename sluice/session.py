@@ -73,12 +73,8 @@ def landed_path(spark: SparkSession, kind: str, source, write) -> str:
     import hashlib
 
     files = sorted(source.inputFiles())
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    size = 0
-    for f in files:
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        size += p.getFileSystem(conf).getFileStatus(p).getLen()
+    # total bytes from the file index Spark already built (no extra file-system calls)
+    size = str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     key = hashlib.sha1(("\n".join(files) + f"|{size}").encode()).hexdigest()[:16]
     root = checkpoint_root(spark).rstrip("/")
     path = f"{root}/sluice/landed/{kind}-{key}"
