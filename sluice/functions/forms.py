@@ -24,6 +24,8 @@ DEDUP_POLICY = "spark.sql.mapKeyDedupPolicy"
 _MALFORMED = r"%(?![0-9A-Fa-f]{2})"
 # some key (text between a piece start and its '=') holds an escape or a plus
 _CODED_KEY = r"(?:^|&)[^=&]*[%+]"
+# some value may need work: an escape or plus anywhere, or a piece without '='
+_VALUE_WORK = r"[%+]|(?:^|&)[^=&]*(?:&|$)"
 
 
 def require_last_win(spark: SparkSession | None = None) -> None:
@@ -45,9 +47,10 @@ def _raw_map(joined: Column, pieces: Column) -> Column:
     )
 
 
-def _decoded(raw: Column, coded_keys: Column) -> Column:
+def _decoded(raw: Column, coded_keys: Column, value_work: Column | None = None) -> Column:
     keyed = F.when(coded_keys, F.transform_keys(raw, lambda k, _v: _decode(k))).otherwise(raw)
-    return F.transform_values(keyed, lambda _k, v: F.coalesce(_decode(v), F.lit("")))
+    values = F.transform_values(keyed, lambda _k, v: F.coalesce(_decode(v), F.lit("")))
+    return values if value_work is None else F.when(value_work, values).otherwise(keyed)
 
 
 def parse_form(*texts: Column) -> Column:
@@ -68,9 +71,10 @@ def with_form_params(df: DataFrame, out: str, *texts: Column) -> DataFrame:
     j, pc, raw, ck = (f"_{out}_{n}" for n in ("joined", "pieces", "raw", "coded"))
     joined = F.concat_ws("&", *texts)
     df = materialize(df, {j: joined, pc: F.array_remove(F.split(joined, "&"), "")})
-    df = materialize(df, {raw: _raw_map(F.col(j), F.col(pc)), ck: F.col(j).rlike(_CODED_KEY)})
-    df = materialize(df, {out: _decoded(F.col(raw), F.col(ck))})
-    return df.drop(j, pc, raw, ck)
+    vw = f"_{out}_values"
+    df = materialize(df, {raw: _raw_map(F.col(j), F.col(pc)), ck: F.col(j).rlike(_CODED_KEY), vw: F.col(j).rlike(_VALUE_WORK)})
+    df = materialize(df, {out: _decoded(F.col(raw), F.col(ck), F.col(vw))})
+    return df.drop(j, pc, raw, ck, vw)
 
 
 def materialize(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
