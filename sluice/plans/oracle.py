@@ -371,3 +371,14 @@ FROM f WHERE reason IS NOT NULL GROUP BY reason
 )
 
 ORACLE["stream_form_ingest"] = ORACLE["events_per_topic"]
+
+ORACLE["topic_dump"] = (
+    FORMS
+    + f"""
+SELECT '{settings.ROUTES["click"]}' AS topic, true AS decoded,
+  CASE WHEN i % 7 IN (1, 4) THEN 'other-' || CAST(i AS VARCHAR) ELSE did END AS did,
+  ts_text AS timestamp, CASE WHEN i % 5 <> 0 THEN 'a' || CAST(i AS VARCHAR) END AS aid,
+  CASE WHEN i % 3 <> 0 THEN ip END AS ip, et AS event_type, vtext AS value
+FROM f WHERE reason IS NULL AND et = 'click'
+"""
+)

@@ -30,7 +30,9 @@ from sluice.sinks.deadletter import write_dead_letters
 from sluice.sinks.kafka import to_messages, to_string_messages
 from sluice.sinks.partition import assign_partition
 from sluice.sources.backup_log import read_backup_log
+from sluice.sinks.topic_table import write_topic_table
 from sluice.sources.csv_upload import read_event_csv
+from sluice.sources.topic_table import dump_topic
 from sluice.streaming.click_job import message_file_stream, start_click_job
 from sluice.streaming.ingest_job import request_file_stream, start_ingest_job
 from sluice.sources.forms import url_query
@@ -394,6 +396,28 @@ def stream_form_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/topics").groupBy("topic").agg(F.count(F.lit(1)).alias("n_events"))
 
 
+def topic_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land valid form events in the topic table, then dump one topic (pruned scan) and decode it."""
+    ev = _events(spark, sf_dir)
+
+    def land(path: str) -> None:
+        messages, _ = form_messages_and_dead_letters(ingest_forms(_request_log(spark, sf_dir), settings.ROUTES))
+        write_topic_table(messages, path)
+
+    path = landed_path(spark, "topic-table", ev, land)
+    df = dump_topic(spark, path, settings.ROUTES["click"])
+    return df.select(
+        "topic",
+        "decoded",
+        F.col("record.did").alias("did"),
+        F.col("record.timestamp").alias("timestamp"),
+        F.col("record.aid").alias("aid"),
+        F.col("record.ip").alias("ip"),
+        _ext("event_type").alias("event_type"),
+        _ext("value").alias("value"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "events_per_topic": events_per_topic,
     "form_event_record": form_event_record,
@@ -423,4 +447,5 @@ QUERIES: dict[str, Query] = {
     "stream_click_urls": stream_click_urls,
     "dead_letter_table": dead_letter_table,
     "stream_form_ingest": stream_form_ingest,
+    "topic_dump": topic_dump,
 }
