@@ -15,12 +15,13 @@ def receipts(df: DataFrame, by: str = "request_id", ok: str = "status", out: str
     return df.groupBy(by).agg(n.alias("n_written")).withColumn(out, F.format_string(RECEIPT_FMT, F.col("n_written")))
 
 
-def replay_summary(df: DataFrame, verdict: str = "verdict") -> DataFrame:
-    """A2: success and failed counts of a replay."""
-    return df.agg(
+def replay_summary(df: DataFrame, verdict: str = "verdict", by: str | None = None) -> DataFrame:
+    """A2: success and failed counts of a replay (optionally per ``by``, e.g. per attempt)."""
+    counts = [
         F.count_if(F.col(verdict) == "ok").alias("success"),
         F.count_if(F.col(verdict) != "ok").alias("failed"),
-    )
+    ]
+    return df.groupBy(by).agg(*counts) if by else df.agg(*counts)
 
 
 def request_count(df: DataFrame, matched: str | None = None) -> DataFrame:

@@ -18,7 +18,7 @@ from sluice.operators.assemble import client_addr
 from sluice.operators.prefix import request_paths
 from sluice.plans import derive, settings
 from sluice.operators.codec import decode, encode
-from sluice.operators.counters import receipts, request_count
+from sluice.operators.counters import receipts, replay_summary, request_count
 from sluice.operators.prefix import match_prefix
 from sluice.operators.routing import route, topic_for
 from sluice.plans.ingest import form_messages_and_dead_letters, ingest_forms, topic_counts
@@ -210,11 +210,7 @@ def dead_letter_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replay_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _replayed(spark, sf_dir)
-    return df.groupBy("attempt").agg(
-        F.count_if(F.col("verdict") == "ok").alias("success"),
-        F.count_if(F.col("verdict") != "ok").alias("failed"),
-    )
+    return replay_summary(_replayed(spark, sf_dir), by="attempt")
 
 
 def retry_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
