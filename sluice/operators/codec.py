@@ -36,11 +36,23 @@ def avro_schema_json() -> str:
     return json.dumps({"type": "record", "name": "Event", "fields": fields})
 
 
+def require_avro() -> None:
+    """Fail early and clearly when the ``spark-avro`` package is not on the classpath."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    try:
+        spark.sparkContext._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroDataToCatalyst")
+    except Exception as exc:  # py4j wraps ClassNotFoundException
+        raise RuntimeError("codec='avro' needs the spark-avro package on the Spark classpath") from exc
+
+
 def encode(rec: Column, codec: str = "json") -> Column:
     """Record struct to BINARY payload."""
     if codec == "json":
         return F.encode(F.to_json(rec, {"ignoreNullFields": "false"}), "UTF-8")
     if codec == "avro":
+        require_avro()
         from pyspark.sql.avro.functions import to_avro
 
         return to_avro(rec, avro_schema_json())
@@ -53,6 +65,7 @@ def decode_struct(value: Column, codec: str = "json") -> Column:
         text = value.cast("string")  # no charset check here: bad bytes surface as a corrupt record
         return F.from_json(text, _DECODE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
     if codec == "avro":
+        require_avro()
         from pyspark.sql.avro.functions import from_avro
 
         dec = from_avro(value, avro_schema_json(), {"mode": "PERMISSIVE"})

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.operators.codec import avro_schema_json, decode
+from sluice.operators.codec import avro_schema_json, decode, require_avro
 
 CODECS = {"null": "uncompressed", "deflate": "deflate"}
 
@@ -20,6 +20,7 @@ def export_avro(messages: DataFrame, path: str, codec: str = "null", payload_cod
     """Decoded records to Avro container files (requires ``spark-avro``)."""
     if codec not in CODECS:
         raise ValueError(f'"{codec}" codec is not supported.')
+    require_avro()
     recs = decode(messages, value="value", codec=payload_codec).filter(F.col("decoded")).select("record.*")
     recs.write.format("avro").option("compression", CODECS[codec]).option("avroSchema", avro_schema_json()).mode("append").save(path)
 

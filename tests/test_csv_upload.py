@@ -50,3 +50,18 @@ def test_oversized_file_rejected(spark, tmp_path):
     assert fv["big.csv"][0] == 400 and fv["big.csv"][1].startswith("The file is too large:")
     assert fv["small.csv"] == (200, None)
     assert {r.file for r in rows.collect()} == {"small.csv"}
+
+
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize(
+    "header,missing",
+    [("timestamp,event_type", "did"), ("did,event_type", "timestamp"), ("did,timestamp", "event_type"), ("x", "did")],
+)
+def test_each_missing_required_column(spark, tmp_path, header, missing):
+    _write(tmp_path, "f.csv", header + "\n" + ",".join(["v"] * len(header.split(","))) + "\n")
+    rows, files = _read(spark, tmp_path)
+    f = files.first()
+    assert (f.status, f.reason) == (400, f"Missing Required field: No {missing}")
+    assert rows.count() == 0

@@ -33,3 +33,27 @@ def test_message_shapes(spark):
     assert dict(m.dtypes)["value"] == "binary"
     s = to_string_messages(df, F.col("v"))
     assert dict(s.dtypes)["value"] == "string"
+
+
+def test_avro_codec_fails_clearly_without_package(spark):
+    from sluice.operators.codec import avro_schema_json, encode
+
+    import json
+
+    assert [f["name"] for f in json.loads(avro_schema_json())["fields"]][:3] == ["event", "id", "timestamp"]
+    try:
+        spark.sparkContext._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroDataToCatalyst")
+        pytest.skip("spark-avro is installed")
+    except Exception:
+        pass
+    with pytest.raises(RuntimeError, match="spark-avro"):
+        encode(F.struct(F.lit("x").alias("event")), codec="avro")
+
+
+def test_export_raw_roundtrip(spark, tmp_path):
+    from sluice.sinks.avro_export import export_raw
+
+    df = spark.createDataFrame([("t", 0, 5, bytearray(b"\x01\x02"))], "topic string, partition int, offset long, value binary")
+    export_raw(df, str(tmp_path / "raw"))
+    back = spark.read.parquet(str(tmp_path / "raw")).first()
+    assert bytes(back.value) == b"\x01\x02" and back.offset == 5
