@@ -4,8 +4,10 @@ Matching is by character (``/an`` matches ``/anx``), the longest prefix wins,
 no match gives ``No handler matched.``.
 
 The prefix table is configuration. Up to ``LITERAL_LIMIT`` prefixes (checked)
-become one CASE expression ordered by length, longest first: a row-local
-projection with no join and no shuffle. A larger table takes the general
+are folded into the plan: for each distinct prefix length, longest first,
+the path's leading characters of that length are tested against the set of
+prefixes of that length (a hash-set ``IN``). A row costs one probe per
+distinct length, not one comparison per prefix; no join, no shuffle. A larger table takes the general
 path: each path is expanded into its own prefixes of the lengths that occur
 in the table (a bounded set), equi-joined to the table, and the longest hit
 per request is kept with one aggregation keyed by the request key (unique
@@ -26,13 +28,16 @@ LITERAL_LIMIT = 2_000
 
 
 def longest_prefix(path: Column, prefixes: Sequence[str]) -> Column:
-    ordered = sorted(set(prefixes), key=lambda p: (-len(p), p))
-    if not ordered:
+    by_len: dict[int, list[str]] = {}
+    for p in set(prefixes):
+        by_len.setdefault(len(p), []).append(p)
+    if not by_len:
         return F.lit(None).cast("string")
     expr = None
-    for p in ordered:
-        cond = path.startswith(F.lit(p))
-        expr = F.when(cond, F.lit(p)) if expr is None else expr.when(cond, F.lit(p))
+    for n in sorted(by_len, reverse=True):
+        head = F.substring(path, 1, n) if n > 0 else F.lit("")
+        cond = (F.length(path) >= n) & head.isin(*sorted(by_len[n]))
+        expr = F.when(cond, head) if expr is None else expr.when(cond, head)
     return expr
 
 

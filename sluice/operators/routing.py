@@ -2,8 +2,10 @@
 
 A route table is configuration: one row per event type. When it is small
 (the normal case, checked by counting at most ``LITERAL_LIMIT + 1`` rows) it is
-folded into a literal map, so routing is a per-row expression inside
-whole-stage codegen: no join, no broadcast, no shuffle. A larger table is
+folded into the plan as one ``CASE`` with a branch per topic, testing
+``event_type IN (<types of that topic>)``; Spark turns large ``IN`` lists
+into hash sets, so a row costs one set probe per topic, inside whole-stage
+codegen: no join, no broadcast, no shuffle. A larger table is
 joined instead; since one event type may hold a third of all events, that join
 salts the event side and replicates the (unique-keyed) route rows, so no task
 receives a whole hot type.
@@ -22,19 +24,20 @@ LITERAL_LIMIT = 10_000
 SALT_BUCKETS = 64
 
 
-def route_map(routes: Mapping[str, str]) -> Column:
-    if DEFAULT_ROUTE not in routes:
-        raise ValueError("route table must hold a 'default' entry")
-    items = []
-    for k, v in routes.items():
-        items += [F.lit(k), F.lit(v)]
-    return F.create_map(*items)
-
-
 def topic_for(event_type: Column, routes: Mapping[str, str]) -> Column:
     """Exact lookup; unknown (or null) types take the ``default`` topic."""
-    m = route_map(routes)
-    return F.coalesce(F.try_element_at(m, event_type), F.lit(routes[DEFAULT_ROUTE]))
+    if DEFAULT_ROUTE not in routes:
+        raise ValueError("route table must hold a 'default' entry")
+    by_topic: dict[str, list[str]] = {}
+    for etype, topic in routes.items():
+        if etype != DEFAULT_ROUTE and etype is not None:
+            by_topic.setdefault(topic, []).append(etype)
+    expr = None
+    for topic, types in by_topic.items():
+        cond = event_type.isin(*types)
+        expr = F.when(cond, F.lit(topic)) if expr is None else expr.when(cond, F.lit(topic))
+    default = F.lit(routes[DEFAULT_ROUTE])
+    return default if expr is None else expr.otherwise(default)
 
 
 def routes_as_dict(routes: DataFrame, limit: int = LITERAL_LIMIT) -> dict[str, str] | None:

@@ -53,3 +53,23 @@ def test_prefix_join_path_equals_literal_path(spark, monkeypatch):
     monkeypatch.setattr(prefix_mod, "LITERAL_LIMIT", 1)
     joined = sorted((r.id, r.prefix) for r in match_prefix(df, table, key="id").collect())
     assert lit == joined
+
+
+def test_many_prefixes_and_routes_match_brute_force(spark):
+    import random
+
+    rng = random.Random(7)
+    alphabet = "/abc"
+    prefixes = sorted({"".join(rng.choice(alphabet) for _ in range(rng.randint(1, 6))) for _ in range(300)})
+    paths = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 9))) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(paths)), "id int, path string")
+    got = {r.id: r.prefix for r in match_prefix(df, prefixes).collect()}
+    for i, p in enumerate(paths):
+        hits = [q for q in prefixes if p.startswith(q)]
+        assert got[i] == (max(hits, key=len) if hits else None)
+
+    routes = {"default": "d", **{f"t{n}": f"topic{n % 7}" for n in range(50)}}
+    types = [f"t{n}" for n in range(60)] + [None, "default", ""]
+    tdf = spark.createDataFrame([(t,) for t in types], "event_type string")
+    got_topics = [r.topic for r in route(tdf, routes).collect()]
+    assert got_topics == [routes.get(t, "d") if t is not None else "d" for t in types]
