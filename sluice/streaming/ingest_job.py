@@ -14,6 +14,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
 
 from sluice.functions.forms import require_last_win
 from sluice.plans.ingest import form_messages_and_dead_letters, ingest_forms
@@ -33,18 +34,24 @@ def start_ingest_job(
     available_now: bool = False,
 ) -> StreamingQuery:
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        messages, dead = form_messages_and_dead_letters(ingest_forms(batch, routes))
-        if sink is not None:
-            sink(messages, batch_id)
-        else:
-            write_topic_table(messages, topics_path, batch_id)
-        (
-            dead.withColumn("batch_id", F.lit(int(batch_id)))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(dead_letter_path)
-        )
+        # two sinks read the same judged batch: keep it for the second write
+        # (a micro-batch is bounded by the trigger's file/offset limits)
+        judged = ingest_forms(batch, routes).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            messages, dead = form_messages_and_dead_letters(judged)
+            if sink is not None:
+                sink(messages, batch_id)
+            else:
+                write_topic_table(messages, topics_path, batch_id)
+            (
+                dead.withColumn("batch_id", F.lit(int(batch_id)))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("batch_id")
+                .parquet(dead_letter_path)
+            )
+        finally:
+            judged.unpersist()
 
     require_last_win(requests.sparkSession)
     writer = requests.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
