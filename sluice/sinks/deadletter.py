@@ -19,12 +19,13 @@ from sluice.schema import MAX_RETRY_GENERATIONS
 LOG_TIME = "yyyy/MM/dd HH:mm:ss"
 
 
-def to_dead_letters(df: DataFrame, error: Column, record: Column, data: Column, topic: Column, attempt: Column | int = 0) -> DataFrame:
+def to_dead_letters(df: DataFrame, error: Column, record: Column | None, data: Column, topic: Column, attempt: Column | int = 0) -> DataFrame:
+    """Rows of the ``dead_letter`` table; ``record`` (any struct or map) is kept as JSON text."""
     att = F.lit(attempt) if isinstance(attempt, int) else attempt
     return df.select(
         F.current_timestamp().alias("failed_at"),
         error.cast("string").alias("error"),
-        F.to_json(record).alias("record") if record is not None else F.lit(None).cast("string").alias("record"),
+        (F.to_json(record) if record is not None else F.lit(None).cast("string")).alias("record"),
         data.cast("binary").alias("data"),
         topic.cast("string").alias("topic"),
         att.cast("int").alias("attempt"),

@@ -4,7 +4,9 @@ Each micro-batch of request-log rows is parsed, validated, assembled and
 routed; valid records become topic messages and rejected requests become dead
 letters. Both writes finish before the batch's progress is committed (T3); a
 re-run batch replaces its own ``batch_id`` partitions, so nothing is doubled.
-``sink`` may replace the Parquet topic table with a broker write.
+``sink`` may replace the Parquet topic table with a broker write; if it
+raises, the batch's messages are kept whole as dead letters (error text,
+payload, topic) and the stream goes on.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.storagelevel import StorageLevel
 
 from sluice.functions.forms import require_last_win
 from sluice.plans.ingest import form_messages_and_dead_letters, ingest_forms
+from sluice.sinks.deadletter import to_dead_letters
 from sluice.sinks.topic_table import write_topic_table
 from sluice.sources.forms import REQUEST_LOG
 
@@ -39,10 +42,15 @@ def start_ingest_job(
         judged = ingest_forms(batch, routes).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             messages, dead = form_messages_and_dead_letters(judged)
-            if sink is not None:
-                sink(messages, batch_id)
-            else:
-                write_topic_table(messages, topics_path, batch_id)
+            try:
+                if sink is not None:
+                    sink(messages, batch_id)
+                else:
+                    write_topic_table(messages, topics_path, batch_id)
+            except Exception as exc:  # the sink refused the batch: keep it whole as dead letters
+                error = f"Failed to send message to kafka:{str(exc).splitlines()[0][:500]}"
+                failed = to_dead_letters(messages, F.lit(error), None, F.col("value"), F.col("topic"))
+                dead = dead.unionByName(failed)
             (
                 dead.withColumn("batch_id", F.lit(int(batch_id)))
                 .write.mode("overwrite")

@@ -56,3 +56,21 @@ def test_ingest_stream_equals_batch(spark):
     assert sorted(tuple(r) for r in streamed.collect()) == sorted(tuple(r) for r in batch.collect())
     dead = spark.read.parquet(f"{root}/dead")
     assert dead.count() + sum(r[1] for r in streamed.collect()) == events.count()
+
+
+def test_failed_sink_batches_become_dead_letters(spark):
+    from sluice.streaming.ingest_job import request_file_stream, start_ingest_job
+
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    root = scratch_path(spark, "test-failsink")
+    derive.request_log(events).repartition(2).write.parquet(f"{root}/in")
+
+    def broken_sink(messages, batch_id):
+        raise RuntimeError("broker unavailable")
+
+    q = start_ingest_job(request_file_stream(spark, f"{root}/in", 1), settings.ROUTES, f"{root}/topics", f"{root}/dead", f"{root}/ckpt", sink=broken_sink, available_now=True)
+    q.awaitTermination()
+    dead = spark.read.parquet(f"{root}/dead")
+    assert dead.count() == events.count()  # rejected requests plus every message the sink refused
+    failed = dead.filter(F.col("error").startswith("Failed to send message to kafka:broker unavailable"))
+    assert failed.count() > 0 and failed.filter(F.col("data").isNull() | F.col("topic").isNull()).count() == 0
