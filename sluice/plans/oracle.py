@@ -382,3 +382,15 @@ SELECT '{settings.ROUTES["click"]}' AS topic, true AS decoded,
 FROM f WHERE reason IS NULL AND et = 'click'
 """
 )
+
+ORACLE["replay_tables"] = (
+    REPLAY
+    + f"""
+SELECT 'topic' AS "table", {_topic('et')} AS part, CAST(NULL AS VARCHAR) AS error, count(*) AS n
+FROM r WHERE NOT bad GROUP BY 2
+UNION ALL
+SELECT 'dead_letter', CAST(CASE WHEN attempt + 1 <= 100 THEN attempt + 1 ELSE 101 END AS VARCHAR),
+  CASE WHEN attempt + 1 <= 100 THEN 'undecodable' ELSE 'exhausted' END, count(*)
+FROM r WHERE bad GROUP BY 2, 3
+"""
+)

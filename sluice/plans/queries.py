@@ -24,7 +24,7 @@ from sluice.operators.routing import route, topic_for
 from sluice.plans.ingest import form_messages_and_dead_letters, ingest_forms, topic_counts
 from sluice.plans.partner import click_outbox, judge_clicks, judge_postbacks, postback_outbox
 from sluice.schema import DEFAULT_ROUTE, RECEIPT_FMT
-from sluice.plans.replay import replay
+from sluice.plans.replay import replay, replay_to_tables
 from sluice.session import ensure_utc, landed_path, scratch_path, spread_small
 from sluice.sinks.deadletter import write_dead_letters
 from sluice.sinks.kafka import to_messages, to_string_messages
@@ -213,6 +213,17 @@ def replay_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay_summary(_replayed(spark, sf_dir), by="attempt")
 
 
+def replay_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: replay writes successes to the topic table and failures to the next attempt."""
+    root = scratch_path(spark, "replay")
+    replay_to_tables(_replayed(spark, sf_dir), f"{root}/topics", f"{root}/dead_letter")
+    topics = spark.read.parquet(f"{root}/topics").groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+    dead = spark.read.parquet(f"{root}/dead_letter").groupBy("attempt", "error").agg(F.count(F.lit(1)).alias("n"))
+    return topics.select(F.lit("topic").alias("table"), F.col("topic").alias("part"), F.lit(None).cast("string").alias("error"), "n").unionByName(
+        dead.select(F.lit("dead_letter").alias("table"), F.col("attempt").cast("string").alias("part"), "error", "n")
+    )
+
+
 def retry_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _replayed(spark, sf_dir).filter(F.col("retry") != "ok")
     return df.groupBy("attempt", "next_attempt", "retry").agg(F.count(F.lit(1)).alias("n_lines"))
@@ -444,4 +455,5 @@ QUERIES: dict[str, Query] = {
     "dead_letter_table": dead_letter_table,
     "stream_form_ingest": stream_form_ingest,
     "topic_dump": topic_dump,
+    "replay_tables": replay_tables,
 }

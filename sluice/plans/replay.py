@@ -25,3 +25,22 @@ def replay(lines: DataFrame, routes: Mapping[str, str] | DataFrame, codec: str =
     df = route(df, routes, event_type=et)
     df = df.withColumn("topic", F.when(F.col("decoded"), F.col("topic")))
     return next_generation(df)
+
+
+def replay_to_tables(replayed: DataFrame, topics_path: str, dead_letter_path: str, codec: str = "json") -> None:
+    """K5 write side: decoded lines go to the topic table; failed lines go back to
+    the dead-letter table as the next attempt. Lines past the last generation are
+    written with ``attempt`` = the last generation + 1 and error ``exhausted``, so
+    they stay visible but are never replayed again."""
+    from sluice.operators.codec import encode
+    from sluice.schema import MAX_RETRY_GENERATIONS
+    from sluice.sinks.deadletter import to_dead_letters, write_dead_letters
+    from sluice.sinks.kafka import to_messages
+    from sluice.sinks.topic_table import write_topic_table
+
+    ok = replayed.filter(F.col("verdict") == "ok")
+    write_topic_table(to_messages(ok, encode(F.col("record"), codec)), topics_path)
+    failed = replayed.filter(F.col("verdict") != "ok")
+    attempt = F.coalesce(F.col("next_attempt"), F.lit(MAX_RETRY_GENERATIONS + 1))
+    error = F.when(F.col("retry") == "exhausted", F.lit("exhausted")).otherwise(F.col("verdict"))
+    write_dead_letters(to_dead_letters(failed, error, None, F.col("data"), F.col("topic"), attempt), dead_letter_path)
