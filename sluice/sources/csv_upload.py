@@ -13,7 +13,9 @@ Plan:
 1. list files with the ``binaryFile`` source, content pruned (paths and sizes only);
 2. read each file's first line in a ``mapInPandas`` task: one short read per
    file, distributed over the cluster;
-3. group files by header: files with different headers never share a scan;
+3. group files by header: files with different headers never share a scan
+   (the header count is checked; paths reach the driver as Spark's own file
+   listing would bring them, streamed as rows, never gathered in one task);
 4. per header group, one ``multiLine`` CSV scan with a positional all-string
    schema (``header=True, enforceSchema=True``), PERMISSIVE mode with a
    corrupt-record column; assemble records from column positions;
@@ -174,18 +176,22 @@ def read_event_csv(spark: SparkSession, paths: str | list[str], glob: str = "*.c
     ``files``: one row per file with its file-level verdict (size, header).
     """
     uploads = file_verdicts(list_uploads(spark, paths, glob))
-    readable = uploads.filter(F.col("status").isNull()).groupBy("header").agg(F.collect_list("path").alias("files"))
-    groups = readable.limit(MAX_HEADER_GROUPS + 1).collect()
-    if len(groups) > MAX_HEADER_GROUPS:
+    n_headers = uploads.filter(F.col("status").isNull()).select("header").distinct().limit(MAX_HEADER_GROUPS + 1).count()
+    if n_headers > MAX_HEADER_GROUPS:
         raise ValueError(f"more than {MAX_HEADER_GROUPS} distinct CSV headers")
+    # A scan needs its file list on the driver, as Spark's own file listing
+    # holds it; the paths arrive as plain rows, so no task gathers a group.
+    by_header: dict[str, list[str]] = {}
+    for r in uploads.filter(F.col("status").isNull()).select("header", "path").toLocalIterator():
+        by_header.setdefault(r["header"], []).append(r["path"])
     header_checked = []
     scans = []
-    for g in groups:
-        names = header_names(g["header"])
+    for header, group_files in by_header.items():
+        names = header_names(header)
         code, why = header_verdict(names)
-        header_checked.append((g["header"], code, why))
+        header_checked.append((header, code, why))
         if code == OK:
-            scans.append(_scan_group(spark, list(g["files"]), names))
+            scans.append(_scan_group(spark, group_files, names))
     verdicts = spark.createDataFrame(header_checked or [("", OK, None)], "header string, h_status int, h_reason string")
     files = (
         uploads.join(F.broadcast(verdicts), "header", "left")
