@@ -21,7 +21,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", os.environ.get("SLUICE_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("SLUICE_DRIVER_MEMORY", "4g"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel(os.environ.get("SLUICE_LOG_LEVEL", "ERROR"))
