@@ -394,3 +394,21 @@ SELECT 'dead_letter', CAST(CASE WHEN attempt + 1 <= 100 THEN attempt + 1 ELSE 10
 FROM r WHERE bad GROUP BY 2, 3
 """
 )
+
+ORACLE["partition_manual"] = (
+    E
+    + f"""
+SELECT {_topic('et')} AS topic, 3 AS partition, 'a' || CAST(i AS VARCHAR) AS aid FROM e
+"""
+)
+
+ORACLE["csv_header_check"] = (
+    UPLOADS
+    + """
+SELECT DISTINCT upload_id, variant <> 3 AS header_ok,
+  CASE WHEN variant = 3 THEN 'Missing Required field: No timestamp' END AS missing
+FROM x
+"""
+)
+
+ORACLE["upload_size"] = UPLOADS + "SELECT DISTINCT upload_id, true AS within_cap FROM x"

@@ -23,7 +23,7 @@ from sluice.operators.prefix import match_prefix
 from sluice.operators.routing import route, topic_for
 from sluice.plans.ingest import form_messages_and_dead_letters, ingest_forms, topic_counts
 from sluice.plans.partner import click_outbox, judge_clicks, judge_postbacks, postback_outbox
-from sluice.schema import DEFAULT_ROUTE, RECEIPT_FMT
+from sluice.schema import DEFAULT_ROUTE, MAX_UPLOAD_BYTES, RECEIPT_FMT
 from sluice.plans.replay import replay, replay_to_tables
 from sluice.session import ensure_utc, landed_path, scratch_path, spread_small
 from sluice.sinks.deadletter import write_dead_letters
@@ -425,6 +425,26 @@ def topic_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def partition_manual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3, manual mode alone: every message pinned to partition 3."""
+    msgs = to_messages(_routed_records(spark, sf_dir), encode(F.col("record")), partition=None)
+    msgs = assign_partition(msgs, "manual", 3)
+    return msgs.select("topic", "partition", F.get_json_object(F.col("value").cast("string"), "$.aid").alias("aid"))
+
+
+def csv_header_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 alone: which uploads name every required column."""
+    _, files = _uploads(spark, sf_dir)
+    missing = F.when(F.col("reason").startswith("Missing Required field"), F.col("reason"))
+    return files.select("upload_id", missing.isNull().alias("header_ok"), missing.alias("missing"))
+
+
+def upload_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F4 alone: which uploads are within the 10 MiB cap."""
+    _, files = _uploads(spark, sf_dir)
+    return files.select("upload_id", (F.col("file_size") <= MAX_UPLOAD_BYTES).alias("within_cap"))
+
+
 QUERIES: dict[str, Query] = {
     "events_per_topic": events_per_topic,
     "form_event_record": form_event_record,
@@ -456,4 +476,7 @@ QUERIES: dict[str, Query] = {
     "stream_form_ingest": stream_form_ingest,
     "topic_dump": topic_dump,
     "replay_tables": replay_tables,
+    "partition_manual": partition_manual,
+    "csv_header_check": csv_header_check,
+    "upload_size": upload_size,
 }
