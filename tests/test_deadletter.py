@@ -51,3 +51,14 @@ def test_retry_generations(spark):
     df = spark.createDataFrame([(0, "undecodable"), (98, "undecodable"), (99, "undecodable"), (100, "undecodable"), (5, "ok")], "attempt int, verdict string")
     out = [(r.next_attempt, r.retry) for r in next_generation(df).collect()]
     assert out == [(1, "retry"), (99, "retry"), (100, "retry"), (None, "exhausted"), (None, "ok")]
+
+
+def test_read_backup_files_by_name(spark, tmp_path):
+    from sluice.sources.backup_log import read_backup_log
+
+    (tmp_path / "backup.log").write_text(
+        "2024/01/01 00:00:00 error: boom\n2024/01/01 00:00:00 record: x data: [1]\n2024/01/01 00:00:00 data: [104 105]\n"
+    )
+    (tmp_path / "backup.log.2").write_text("data: [33]\ndata: [1 256]\n")
+    got = sorted((r.attempt, r.bytes_ok, bytes(r.data) if r.data is not None else None) for r in read_backup_log(spark, str(tmp_path)).collect())
+    assert got == [(0, True, b"hi"), (3, False, None), (3, True, b"!")]
