@@ -176,14 +176,13 @@ def read_event_csv(spark: SparkSession, paths: str | list[str], glob: str = "*.c
     ``files``: one row per file with its file-level verdict (size, header).
     """
     uploads = file_verdicts(list_uploads(spark, paths, glob))
-    n_headers = uploads.filter(F.col("status").isNull()).select("header").distinct().limit(MAX_HEADER_GROUPS + 1).count()
-    if n_headers > MAX_HEADER_GROUPS:
-        raise ValueError(f"more than {MAX_HEADER_GROUPS} distinct CSV headers")
     # A scan needs its file list on the driver, as Spark's own file listing
-    # holds it; the paths arrive as plain rows, so no task gathers a group.
+    # holds it; the paths arrive as plain rows in one job, so no task gathers a group.
     by_header: dict[str, list[str]] = {}
-    for r in uploads.filter(F.col("status").isNull()).select("header", "path").toLocalIterator():
+    for r in uploads.filter(F.col("status").isNull()).select("header", "path").collect():
         by_header.setdefault(r["header"], []).append(r["path"])
+        if len(by_header) > MAX_HEADER_GROUPS:
+            raise ValueError(f"more than {MAX_HEADER_GROUPS} distinct CSV headers")
     header_checked = []
     scans = []
     for header, group_files in by_header.items():
