@@ -155,7 +155,7 @@ def postback_requests(events: DataFrame, key: str) -> DataFrame:
     )
     return events.select(
         _i().alias("request_id"),
-        F.lit("/anwo").alias("path"),
+        F.lit("/postback").alias("path"),
         query.alias("query"),
         body.alias("body"),
         F.lit(None).cast("string").alias("x_forwarded_for"),

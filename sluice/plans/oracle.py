@@ -8,6 +8,7 @@ derivation rules in ``sluice.plans.derive``. Column names equal the Spark ones.
 from __future__ import annotations
 
 from sluice.plans import settings
+from sluice.schema import POSTBACK_EVENT
 
 # Derived per-event values (mirrors sluice.plans.derive).
 E = """
@@ -152,7 +153,7 @@ ORACLE["postback_verdicts"] = POSTBACKS + "SELECT i AS request_id, status, reaso
 ORACLE["postback_records"] = (
     POSTBACKS
     + """
-SELECT i AS request_id, 'anwo_postback' AS event, 'kw' || CAST(i AS VARCHAR) AS id,
+SELECT i AS request_id, '""" + POSTBACK_EVENT + """' AS event, 'kw' || CAST(i AS VARCHAR) AS id,
   strftime(epoch_ms(CAST(pts AS BIGINT)), '%Y-%m-%dT%H:%M:%SZ') AS timestamp,
   'idfa-' || CAST(u AS VARCHAR) AS did, CAST(NULL AS VARCHAR) AS aid,
   CASE WHEN i % 3 <> 0 THEN ip END AS ip, 'ios' AS os,

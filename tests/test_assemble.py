@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from sluice.operators.assemble import client_addr, event_record, postback_record
+from sluice.schema import POSTBACK_EVENT
 
 
 def _one(spark, params, fn):
@@ -22,7 +23,7 @@ def test_event_record_extension_null_when_empty(spark):
 def test_postback_record(spark):
     p = {"appid": "a", "adname": "n", "adid": "1", "device": "D", "idfa": "I", "point": "5", "ts": "-5", "sign": "s", "keyword": "kw", "aid": "x", "timestamp": "y", "ip": "9.9.9.9"}
     r = _one(spark, p, postback_record)
-    assert (r.event, r.id, r.did, r.os, r.ip) == ("anwo_postback", "kw", "I", "ios", "9.9.9.9")
+    assert (r.event, r.id, r.did, r.os, r.ip) == (POSTBACK_EVENT, "kw", "I", "ios", "9.9.9.9")
     assert r.timestamp == "1969-12-31T23:59:59Z"
     assert r.extension == {"appid": "a", "adname": "n", "adid": "1", "device": "D", "point": "5"}
 

@@ -5,13 +5,13 @@ from sluice.operators import routing as routing_mod
 from sluice.operators.prefix import match_prefix
 from sluice.operators.routing import route
 
-ROUTES = {"default": "anwo_postback", "activation": "activation", "order": "order", "registration": "registration"}
+ROUTES = {"default": "fallback", "activation": "activation", "order": "order", "registration": "registration"}
 
 
 def test_route_known_unknown_default_empty(spark):
     df = spark.createDataFrame([("order",), ("click",), ("default",), ("",), (None,)], "event_type string")
     got = [r.topic for r in route(df, ROUTES).collect()]
-    assert got == ["order", "anwo_postback", "anwo_postback", "anwo_postback", "anwo_postback"]
+    assert got == ["order", "fallback", "fallback", "fallback", "fallback"]
 
 
 def test_route_table_dataframe_and_join_fallback(spark, monkeypatch):
@@ -31,23 +31,23 @@ def test_route_requires_default(spark):
         route(df, {"a": "b"})
 
 
-PATHS = [(1, "/anwo"), (2, "/anx/y"), (3, "/zzz"), (4, "/"), (5, "/an")]
+PATHS = [(1, "/ank"), (2, "/anx/y"), (3, "/zzz"), (4, "/"), (5, "/an")]
 
 
 def test_longest_prefix_by_character(spark):
     df = spark.createDataFrame(PATHS, "id int, path string")
-    out = {r.id: (r.prefix, r.reason) for r in match_prefix(df, ["/", "/an", "/anwo"]).collect()}
-    assert out[1] == ("/anwo", None)
+    out = {r.id: (r.prefix, r.reason) for r in match_prefix(df, ["/", "/an", "/ank"]).collect()}
+    assert out[1] == ("/ank", None)
     assert out[2] == ("/an", None)
     assert out[3] == ("/", None)
     assert out[5] == ("/an", None)
-    out2 = {r.id: (r.prefix, r.reason) for r in match_prefix(df, ["/anwo", "/b"]).collect()}
+    out2 = {r.id: (r.prefix, r.reason) for r in match_prefix(df, ["/ank", "/b"]).collect()}
     assert out2[3] == (None, "No handler matched.")
 
 
 def test_prefix_join_path_equals_literal_path(spark, monkeypatch):
     df = spark.createDataFrame(PATHS, "id int, path string")
-    prefixes = ["/", "/an", "/anwo", "/q"]
+    prefixes = ["/", "/an", "/ank", "/q"]
     table = spark.createDataFrame([(p,) for p in prefixes], "prefix string")
     lit = sorted((r.id, r.prefix) for r in match_prefix(df, table, key="id").collect())
     monkeypatch.setattr(prefix_mod, "LITERAL_LIMIT", 1)
