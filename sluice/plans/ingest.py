@@ -53,3 +53,22 @@ def form_messages_and_dead_letters(ingested: DataFrame, codec: str = "json") ->
         topic=F.lit(None).cast("string"),
     )
     return messages, dead
+
+
+def ingest_uploads(rows: DataFrame, files: DataFrame, routes: Mapping[str, str] | DataFrame, codec: str = "json") -> tuple[DataFrame, DataFrame]:
+    """CSV upload rows -> topic messages (routed by the row's ``event_type``) and
+    dead letters: every ragged row, plus one letter per rejected file."""
+    from sluice.operators.codec import encode
+    from sluice.sinks.deadletter import to_dead_letters
+    from sluice.sinks.kafka import to_messages
+
+    routed = route(rows, routes, event_type="event_type")
+    ok = F.col("status") == 200
+    messages = to_messages(routed.filter(ok), encode(F.col("record"), codec))
+    bad_rows = to_dead_letters(
+        routed.filter(~ok), F.col("reason"), None, F.encode(F.col("raw_line"), "UTF-8"), F.lit(None).cast("string")
+    )
+    bad_files = to_dead_letters(
+        files.filter(F.col("status") != 200), F.col("reason"), F.struct(F.col("file_path")), F.lit(None).cast("binary"), F.lit(None).cast("string")
+    )
+    return messages, bad_rows.unionByName(bad_files)

@@ -413,3 +413,14 @@ FROM x
 )
 
 ORACLE["upload_size"] = UPLOADS + "SELECT DISTINCT upload_id, true AS within_cap FROM x"
+
+ORACLE["upload_messages"] = (
+    UPLOADS
+    + f"""
+SELECT 'message' AS kind, {_topic('et')} AS name, count(*) AS n FROM x WHERE variant <> 3 AND NOT ragged GROUP BY 2
+UNION ALL
+SELECT 'dead_letter', 'Err read file:wrong number of fields', count(*) FROM x WHERE variant <> 3 AND ragged
+UNION ALL
+SELECT 'dead_letter', 'Missing Required field: No timestamp', count(DISTINCT upload_id) FROM x WHERE variant = 3
+"""
+)

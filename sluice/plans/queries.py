@@ -21,7 +21,7 @@ from sluice.operators.codec import decode, encode
 from sluice.operators.counters import receipts, replay_summary, request_count
 from sluice.operators.prefix import match_prefix
 from sluice.operators.routing import route, topic_for
-from sluice.plans.ingest import form_messages_and_dead_letters, ingest_forms, topic_counts
+from sluice.plans.ingest import form_messages_and_dead_letters, ingest_forms, ingest_uploads, topic_counts
 from sluice.plans.partner import click_outbox, judge_clicks, judge_postbacks, postback_outbox
 from sluice.schema import DEFAULT_ROUTE, MAX_UPLOAD_BYTES, RECEIPT_FMT
 from sluice.plans.replay import replay, replay_to_tables
@@ -329,6 +329,17 @@ def csv_event_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def upload_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 -> J1 -> K1/K4: upload rows become topic messages; bad rows and files become dead letters."""
+    rows, files = _uploads(spark, sf_dir)
+    messages, dead = ingest_uploads(rows, files, settings.ROUTES)
+    per_topic = messages.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+    per_error = dead.groupBy("error").agg(F.count(F.lit(1)).alias("n"))
+    return per_topic.select(F.lit("message").alias("kind"), F.col("topic").alias("name"), "n").unionByName(
+        per_error.select(F.lit("dead_letter").alias("kind"), F.col("error").alias("name"), "n")
+    )
+
+
 def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = _uploads(spark, sf_dir)
     bad = rows.filter(F.col("status") != 200)
@@ -479,4 +490,5 @@ QUERIES: dict[str, Query] = {
     "partition_manual": partition_manual,
     "csv_header_check": csv_header_check,
     "upload_size": upload_size,
+    "upload_messages": upload_messages,
 }
