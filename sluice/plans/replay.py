@@ -31,13 +31,25 @@ def replay_to_tables(replayed: DataFrame, topics_path: str, dead_letter_path: st
     """K5 write side: decoded lines go to the topic table; failed lines go back to
     the dead-letter table as the next attempt. Lines past the last generation are
     written with ``attempt`` = the last generation + 1 and error ``exhausted``, so
-    they stay visible but are never replayed again."""
+    they stay visible but are never replayed again.
+
+    The judged lines are written once to a staging table in the shared
+    checkpoint folder and both outputs read from it: the decode runs once, and
+    the two writes do not depend on re-running the replay's lineage.
+    """
     from sluice.operators.codec import encode
     from sluice.schema import MAX_RETRY_GENERATIONS
+    from sluice.session import scratch_path
     from sluice.sinks.deadletter import to_dead_letters, write_dead_letters
     from sluice.sinks.kafka import to_messages
     from sluice.sinks.topic_table import write_topic_table
 
+    spark = replayed.sparkSession
+    stage = scratch_path(spark, "replay-stage")
+    cols = ["record", "data", "topic", "verdict", "next_attempt", "retry"]
+    replayed.select(*cols).write.mode("overwrite").parquet(stage)
+    replayed = spark.read.parquet(stage)
+
     ok = replayed.filter(F.col("verdict") == "ok")
     write_topic_table(to_messages(ok, encode(F.col("record"), codec)), topics_path)
     failed = replayed.filter(F.col("verdict") != "ok")
