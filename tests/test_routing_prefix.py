@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from sluice.operators import prefix as prefix_mod
 from sluice.operators import routing as routing_mod
