@@ -38,3 +38,10 @@ def epoch_ms_to_rfc3339(ms: Column) -> Column:
 def now_epoch_seconds() -> Column:
     """X11: current UTC time in epoch seconds (fixed per query, so all rows agree)."""
     return F.unix_seconds(F.current_timestamp())
+
+
+def event_time(text: Column) -> Column:
+    """The instant a raw ``timestamp`` names: RFC 3339 if it parses, else whole epoch
+    seconds (digits only), else null. The raw text stays the record field."""
+    secs = F.when(text.rlike(r"^-?[0-9]{1,12}$"), text.try_cast("bigint"))
+    return F.coalesce(parse_rfc3339(text), F.timestamp_seconds(secs))

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.functions.timefmt import event_time
 from sluice.operators.assemble import assemble_event
 from sluice.operators.routing import route
 from sluice.operators.validate import validate_event
@@ -14,7 +15,8 @@ from sluice.sources.forms import parse_requests
 
 
 def ingest_forms(requests: DataFrame, routes: Mapping[str, str] | DataFrame) -> DataFrame:
-    """Every request with ``params``, ``status``/``reason``, ``record`` (valid rows) and ``topic``.
+    """Every request with ``params``, ``status``/``reason``, ``record`` (valid rows),
+    ``topic`` and ``event_time`` (the record's timestamp as TIMESTAMP, when it is one).
 
     Row-local from end to end: no shuffle, one pass over the request log.
     """
@@ -24,7 +26,13 @@ def ingest_forms(requests: DataFrame, routes: Mapping[str, str] | DataFrame) ->
     df = df.withColumn("record", F.when(F.col("status") == 200, F.col("record")))
     et = F.try_element_at(F.col("params"), F.lit("event_type"))
     df = route(df, routes, event_type=et)
-    return df.withColumn("topic", F.when(F.col("status") == 200, F.col("topic")))
+    return df.withColumns(
+        {
+            "topic": F.when(F.col("status") == 200, F.col("topic")),
+            # typed time for downstream use; not part of the record
+            "event_time": event_time(F.col("record.timestamp")),
+        }
+    )
 
 
 def topic_counts(ingested: DataFrame) -> DataFrame:

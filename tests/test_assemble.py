@@ -37,3 +37,14 @@ def test_client_addr(spark):
     df = spark.createDataFrame([("", "r:1"), (None, "r:2"), ("x", "r:3")], "xff string, remote string")
     got = [r[0] for r in df.select(client_addr(F.col("xff"), F.col("remote"))).collect()]
     assert got == ["r:1", "r:2", "x"]
+
+
+def test_event_time(spark):
+    import datetime as dt
+
+    from sluice.functions.timefmt import event_time
+
+    df = spark.createDataFrame([("2024-01-01T08:00:07.5+08:00",), ("1704067207",), ("soon",), (None,)], "t string")
+    got = [r[0] for r in df.select(event_time(F.col("t"))).collect()]
+    assert got[0] == dt.datetime(2024, 1, 1, 0, 0, 7, 500000) and got[1] == dt.datetime(2024, 1, 1, 0, 0, 7)
+    assert got[2] is None and got[3] is None
