@@ -424,3 +424,5 @@ UNION ALL
 SELECT 'dead_letter', 'Missing Required field: No timestamp', count(DISTINCT upload_id) FROM x WHERE variant = 3
 """
 )
+
+ORACLE["stream_upload_ingest"] = ORACLE["upload_messages"]

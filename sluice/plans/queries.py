@@ -35,6 +35,7 @@ from sluice.sources.csv_upload import read_event_csv
 from sluice.sources.topic_table import dump_topic
 from sluice.streaming.click_job import message_file_stream, start_click_job
 from sluice.streaming.ingest_job import request_file_stream, start_ingest_job
+from sluice.streaming.upload_job import start_upload_job, upload_file_stream
 from sluice.sources.forms import url_query
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -340,6 +341,32 @@ def upload_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_upload_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV uploads ingested by a file-stream query, a few files per micro-batch; same output as ``upload_messages``."""
+    ev = _events(spark, sf_dir)
+    uploads = landed_path(spark, "uploads", ev, lambda p: derive.write_uploads(ev, p))
+    root = scratch_path(spark, "uploadstream")
+    # about four micro-batches whatever the number of uploads
+    n_files = len(spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(uploads).select("path").inputFiles())
+    q = start_upload_job(
+        upload_file_stream(spark, uploads, glob="*.txt", max_files_per_trigger=max(1, -(-n_files // 4))),
+        settings.ROUTES,
+        f"{root}/topics",
+        f"{root}/dead_letter",
+        f"{root}/checkpoint",
+        glob="*.txt",
+        available_now=True,
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    topics = spark.read.parquet(f"{root}/topics").groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+    dead = spark.read.parquet(f"{root}/dead_letter").groupBy("error").agg(F.count(F.lit(1)).alias("n"))
+    return topics.select(F.lit("message").alias("kind"), F.col("topic").alias("name"), "n").unionByName(
+        dead.select(F.lit("dead_letter").alias("kind"), F.col("error").alias("name"), "n")
+    )
+
+
 def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = _uploads(spark, sf_dir)
     bad = rows.filter(F.col("status") != 200)
@@ -491,4 +518,5 @@ QUERIES: dict[str, Query] = {
     "csv_header_check": csv_header_check,
     "upload_size": upload_size,
     "upload_messages": upload_messages,
+    "stream_upload_ingest": stream_upload_ingest,
 }
