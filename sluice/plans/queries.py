@@ -346,10 +346,10 @@ def stream_upload_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir)
     uploads = landed_path(spark, "uploads", ev, lambda p: derive.write_uploads(ev, p))
     root = scratch_path(spark, "uploadstream")
-    # about four micro-batches whatever the number of uploads
+    # two micro-batches whatever the number of uploads
     n_files = len(spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(uploads).select("path").inputFiles())
     q = start_upload_job(
-        upload_file_stream(spark, uploads, glob="*.txt", max_files_per_trigger=max(1, -(-n_files // 4))),
+        upload_file_stream(spark, uploads, glob="*.txt", max_files_per_trigger=max(1, -(-n_files // 2))),
         settings.ROUTES,
         f"{root}/topics",
         f"{root}/dead_letter",

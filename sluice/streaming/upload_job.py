@@ -14,6 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
 
 from sluice.plans.ingest import ingest_uploads
 from sluice.sinks.topic_table import write_topic_table
@@ -48,15 +49,22 @@ def start_upload_job(
         if not paths:
             return
         rows, verdicts = read_event_csv(spark, paths, glob=glob)
-        messages, dead = ingest_uploads(rows, verdicts, routes)
-        write_topic_table(messages, topics_path, batch_id)
-        (
-            dead.withColumn("batch_id", F.lit(int(batch_id)))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(dead_letter_path)
-        )
+        # both sinks read the batch's rows and file verdicts: keep them (bounded by the trigger)
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        verdicts = verdicts.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            messages, dead = ingest_uploads(rows, verdicts, routes)
+            write_topic_table(messages, topics_path, batch_id)
+            (
+                dead.withColumn("batch_id", F.lit(int(batch_id)))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("batch_id")
+                .parquet(dead_letter_path)
+            )
+        finally:
+            rows.unpersist()
+            verdicts.unpersist()
 
     writer = files.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     if available_now:
