@@ -41,7 +41,8 @@ def device_id() -> Column:
 
 
 def ip_addr() -> Column:
-    return F.concat_ws(".", F.lit("10"), F.pmod(_u(), F.lit(256)).cast("string"), _m(256).cast("string"), F.pmod(F.floor(_i() / 256), F.lit(256)).cast("string"))
+    octets = [F.pmod(_u(), F.lit(256)), _m(256), F.pmod(F.floor(_i() / 256), F.lit(256))]
+    return F.concat_ws(".", F.lit("10"), *[o.cast("string") for o in octets])
 
 
 def k_of_props() -> Column:
@@ -80,7 +81,11 @@ def request_log(events: DataFrame) -> DataFrame:
         _when(_m(11) == 0, "q=a%3Db%3Dc%26d+e"),
         _when(_m(13) == 0, "event=fake&id=fake"),
     )
-    xff = F.when(_m(3) == 0, F.lit("")).when(_m(3) == 1, F.lit(None).cast("string")).otherwise(F.concat(F.lit("203.0.113."), _m(250).cast("string")))
+    xff = (
+        F.when(_m(3) == 0, F.lit(""))
+        .when(_m(3) == 1, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("203.0.113."), _m(250).cast("string")))
+    )
     remote = F.concat(ip_addr(), F.lit(":"), (F.lit(1024) + _m(50000)).cast("string"))
     return events.select(
         _i().alias("request_id"),
@@ -172,8 +177,13 @@ def click_record() -> Column:
     from sluice.operators.assemble import record
 
     k = k_of_props().cast("int")
-    adv = F.when(_m(5) == 2, F.lit("")).when(_m(10) == 3, F.lit(None).cast("string")).otherwise(F.concat(F.lit("adv"), F.pmod(_u(), F.lit(100)).cast("string")))
-    osv = F.when(_m(8) == 5, F.lit("")).otherwise(F.concat((F.pmod(k, F.lit(10)) + 7).cast("string"), F.lit("."), F.pmod(k, F.lit(3)).cast("string")))
+    adv = (
+        F.when(_m(5) == 2, F.lit(""))
+        .when(_m(10) == 3, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("adv"), F.pmod(_u(), F.lit(100)).cast("string")))
+    )
+    osv_text = F.concat((F.pmod(k, F.lit(10)) + 7).cast("string"), F.lit("."), F.pmod(k, F.lit(3)).cast("string"))
+    osv = F.when(_m(8) == 5, F.lit("")).otherwise(osv_text)
     model = F.when(_m(11) == 6, F.lit("")).otherwise(F.concat(F.lit("iPhone"), (F.pmod(_u(), F.lit(5)) + 8).cast("string")))
     campaign = F.when(_m(7) == 6, F.lit(None).cast("string")).otherwise(F.concat(F.lit("c"), _m(4).cast("string")))
     entries = F.array(

@@ -347,7 +347,8 @@ def stream_upload_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     uploads = landed_path(spark, "uploads", ev, lambda p: derive.write_uploads(ev, p))
     root = scratch_path(spark, "uploadstream")
     # two micro-batches whatever the number of uploads
-    n_files = len(spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(uploads).select("path").inputFiles())
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt")
+    n_files = len(listing.load(uploads).select("path").inputFiles())
     q = start_upload_job(
         upload_file_stream(spark, uploads, glob="*.txt", max_files_per_trigger=max(1, -(-n_files // 2))),
         settings.ROUTES,

@@ -27,7 +27,8 @@ def parse_backup_lines(lines: DataFrame, value: str = "value", path: str | None
     df = materialize(df, {"_inner": F.regexp_extract(v, DATA_LINE, 1)})
     df = materialize(df, {"_nums": list_text_numbers(F.col("_inner"))})
     ok = list_text_is_valid(F.col("_inner"), F.col("_nums"))
-    df = materialize(df, {"bytes_ok": ok}).withColumn("data", F.when(F.col("bytes_ok"), numbers_to_bytes(F.col("_nums")))).drop("_inner", "_nums")
+    df = materialize(df, {"bytes_ok": ok})
+    df = df.withColumn("data", F.when(F.col("bytes_ok"), numbers_to_bytes(F.col("_nums")))).drop("_inner", "_nums")
     cols = {}
     if path:
         gen = F.regexp_extract(F.col(path), GENERATION, 1)

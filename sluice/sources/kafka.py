@@ -33,7 +33,13 @@ def kafka_read_options(
     return opts
 
 
-def read_topics(spark: SparkSession, brokers: Sequence[str], topics: str | Sequence[str], read_from_oldest: bool = False, extra: Mapping[str, str] | None = None) -> DataFrame:
+def read_topics(
+    spark: SparkSession,
+    brokers: Sequence[str],
+    topics: str | Sequence[str],
+    read_from_oldest: bool = False,
+    extra: Mapping[str, str] | None = None,
+) -> DataFrame:
     """S3: streaming DataFrame ``(key, value, topic, partition, offset, timestamp, ...)``."""
     return spark.readStream.format("kafka").options(**kafka_read_options(brokers, topics, read_from_oldest, extra)).load()
 
