@@ -428,8 +428,9 @@ def stream_form_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir)
     source = landed_path(spark, "form-requests", ev, lambda p: derive.request_log(ev).write.mode("overwrite").parquet(p))
     root = scratch_path(spark, "ingeststream")
+    n_files = len(spark.read.parquet(source).inputFiles())
     q = start_ingest_job(
-        request_file_stream(spark, source, max_files_per_trigger=2),
+        request_file_stream(spark, source, max_files_per_trigger=max(1, -(-n_files // 2))),  # two micro-batches
         settings.ROUTES,
         f"{root}/topics",
         f"{root}/dead_letter",
