@@ -14,6 +14,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.sources.kafka import require_kafka
+
 
 def kafka_write_options(brokers: Sequence[str], extra: Mapping[str, str] | None = None) -> dict[str, str]:
     opts = {"kafka.bootstrap.servers": ",".join(brokers), "kafka.acks": "all"}
@@ -43,11 +45,13 @@ def to_string_messages(df: DataFrame, text: Column, topic: str = "topic", partit
 
 def write_topics(messages: DataFrame, brokers: Sequence[str], extra: Mapping[str, str] | None = None) -> None:
     """Batch write; raises if the connector is missing or any send fails."""
+    require_kafka(messages.sparkSession)
     messages.write.format("kafka").options(**kafka_write_options(brokers, extra)).save()
 
 
 def write_topics_stream(messages: DataFrame, brokers: Sequence[str], checkpoint: str, extra: Mapping[str, str] | None = None):
     """Streaming write: progress commits only after the sink has acknowledged the batch."""
+    require_kafka(messages.sparkSession)
     return (
         messages.writeStream.format("kafka")
         .options(**kafka_write_options(brokers, extra))

@@ -13,6 +13,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
+def require_kafka(spark: SparkSession) -> None:
+    """Fail early and clearly when the ``spark-sql-kafka`` package is not on the classpath."""
+    try:
+        spark.sparkContext._jvm.java.lang.Class.forName("org.apache.spark.sql.kafka010.KafkaSourceProvider")
+    except Exception as exc:  # py4j wraps ClassNotFoundException
+        raise RuntimeError("topic sources and sinks need the spark-sql-kafka package on the Spark classpath") from exc
+
+
 def kafka_read_options(
     brokers: Sequence[str],
     topics: str | Sequence[str],
@@ -41,11 +49,13 @@ def read_topics(
     extra: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """S3: streaming DataFrame ``(key, value, topic, partition, offset, timestamp, ...)``."""
+    require_kafka(spark)
     return spark.readStream.format("kafka").options(**kafka_read_options(brokers, topics, read_from_oldest, extra)).load()
 
 
 def read_topic_batch(spark: SparkSession, brokers: Sequence[str], topic: str, extra: Mapping[str, str] | None = None) -> DataFrame:
     """The whole topic, every partition, oldest to newest offset."""
+    require_kafka(spark)
     opts = kafka_read_options(brokers, topic, True, extra)
     opts["endingOffsets"] = "latest"
     return spark.read.format("kafka").options(**opts).load()

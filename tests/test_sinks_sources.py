@@ -57,3 +57,21 @@ def test_export_raw_roundtrip(spark, tmp_path):
     export_raw(df, str(tmp_path / "raw"))
     back = spark.read.parquet(str(tmp_path / "raw")).first()
     assert bytes(back.value) == b"\x01\x02" and back.offset == 5
+
+
+def test_kafka_paths_fail_clearly_without_connector(spark):
+    from sluice.sinks.kafka import write_topics
+    from sluice.sources.kafka import read_topic_batch, read_topics
+
+    try:
+        spark.sparkContext._jvm.java.lang.Class.forName("org.apache.spark.sql.kafka010.KafkaSourceProvider")
+        pytest.skip("spark-sql-kafka is installed")
+    except Exception:
+        pass
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        read_topics(spark, ["b:9092"], "t")
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        read_topic_batch(spark, ["b:9092"], "t")
+    df = spark.createDataFrame([("t", "x")], "topic string, v string")
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        write_topics(to_messages(df, F.encode(F.col("v"), "UTF-8")), ["b:9092"])
