@@ -65,3 +65,8 @@ def test_encode_parse_roundtrip(spark, pairs):
     for k, v in pairs:
         expected.setdefault(k, v)
     assert parse(spark, body, None) == expected
+
+
+def test_encoded_duplicate_key_first_wins(spark):
+    assert parse(spark, "a=1&%61=2", None) == {"a": "1"}
+    assert parse(spark, "%61=2&a=1", None) == {"a": "2"}
