@@ -63,19 +63,38 @@ def _fs_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+_FINGERPRINT: list[str] = []
+
+
+def code_fingerprint() -> str:
+    """Hash of this package's source: derived data is re-landed when the code changes."""
+    if not _FINGERPRINT:
+        import hashlib
+        from pathlib import Path
+
+        h = hashlib.sha1()
+        root = Path(__file__).resolve().parent
+        for f in sorted(root.rglob("*.py")):
+            h.update(str(f.relative_to(root)).encode())
+            h.update(f.read_bytes())
+        _FINGERPRINT.append(h.hexdigest()[:12])
+    return _FINGERPRINT[0]
+
+
 def landed_path(spark: SparkSession, kind: str, source, write) -> str:
-    """Land a derived dataset once and reuse it while its source is unchanged.
+    """Land a derived dataset once and reuse it while its source and this code are unchanged.
 
     ``source`` is the DataFrame it derives from; the key is the source's file
-    list and total size, so new data lands again. ``write(path)`` must write
-    the dataset to ``path`` (the writer's ``_SUCCESS`` marker is the commit).
+    list and total size plus the package's code fingerprint, so new data or
+    new derivation rules land again. ``write(path)`` must write the dataset to
+    ``path`` (the writer's ``_SUCCESS`` marker is the commit).
     """
     import hashlib
 
     files = sorted(source.inputFiles())
     # total bytes from the file index Spark already built (no extra file-system calls)
     size = str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    key = hashlib.sha1(("\n".join(files) + f"|{size}").encode()).hexdigest()[:16]
+    key = hashlib.sha1(("\n".join(files) + f"|{size}|{code_fingerprint()}").encode()).hexdigest()[:16]
     root = checkpoint_root(spark).rstrip("/")
     path = f"{root}/sluice/landed/{kind}-{key}"
     if not _fs_exists(spark, f"{path}/_SUCCESS"):
