@@ -11,12 +11,18 @@ import json
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.functions.forms import materialize
 from sluice.schema import DECODED_RECORD, EVENT_RECORD
 
 _CORRUPT = "_corrupt_record"
-_DECODE_SCHEMA = DECODED_RECORD.add(_CORRUPT, "string", True)
+# the extension is read as raw JSON text first, so a record whose extension is
+# not an object still decodes (and is then judged "no extension")
+_DECODE_SCHEMA = T.StructType(
+    [T.StructField(f.name, T.StringType() if f.name == "extension" else f.dataType, True) for f in DECODED_RECORD.fields]
+    + [T.StructField(_CORRUPT, T.StringType(), True)]
+)
 
 
 def avro_schema_json() -> str:
@@ -78,5 +84,9 @@ def decode(df: DataFrame, value: str = "value", codec: str = "json", out: str =
     df = materialize(df, {"_dec": decode_struct(F.col(value), codec)})
     d = F.col("_dec")
     good = F.col(value).isNotNull() & d.isNotNull() & d[_CORRUPT].isNull()
-    rec = F.struct(*[d[f.name].alias(f.name) for f in EVENT_RECORD.fields])
+    if codec == "json":
+        ext = F.from_json(d["extension"], "map<string,string>")  # null unless a JSON object
+    else:
+        ext = d["extension"]
+    rec = F.struct(*[(ext if f.name == "extension" else d[f.name]).alias(f.name) for f in EVENT_RECORD.fields])
     return materialize(df, {ok: good, out: F.when(good, rec)}).drop("_dec")

@@ -93,3 +93,10 @@ def test_epoch_ms_truncates_toward_zero(spark):
 
     df = spark.createDataFrame([("1969-12-31T23:59:59.9995Z",), ("1970-01-01T00:00:01.0019Z",), ("x",)], "t string")
     assert [r[0] for r in df.select(rfc3339_to_epoch_ms(F.col("t"))).collect()] == ["0", "1001", None]
+
+
+def test_extension_that_is_not_an_object(spark):
+    rows = [(bytearray(b'{"event":"click","id":"a","timestamp":"2024-01-01T00:00:00Z","extension":"x"}'),), (bytearray(b'{"event":"click","extension":[1,2]}'),)]
+    df = decode(spark.createDataFrame(rows, "value binary"))
+    out = df.select("decoded", click_verdict(F.col("record"), F.col("decoded"))).collect()
+    assert [tuple(r) for r in out] == [(True, "no_extension"), (True, "no_extension")]
