@@ -44,3 +44,16 @@ def test_topic_dump_prunes_partitions_and_columns(spark):
     p = plan(spark, "topic_dump")
     assert "PartitionFilters: [isnotnull(topic" in p and "= clicks)" in p
     assert "ReadSchema: struct<value:binary>" in p
+
+
+@pytest.mark.parametrize(
+    "name,schema",
+    [
+        ("event_validation", "struct<request_id:bigint,query:string,body:string>"),
+        ("click_verdicts", "struct<offset:bigint,value:binary>"),
+        ("client_address", "struct<request_id:bigint,x_forwarded_for:string,remote_addr:string>"),
+        ("prefix_match", "struct<page_id:bigint,url:string>"),
+    ],
+)
+def test_scans_read_only_needed_columns(spark, name, schema):
+    assert f"ReadSchema: {schema}" in plan(spark, name)
