@@ -1,8 +1,18 @@
 """Queries of the subpackage and, where SQL can express them, their DuckDB SQL."""
 
-from . import packing
+from . import decontam, linededup, lm, neardup, packing, quality, warc
 
 QUERIES = {
+    "op2_line_dedup": linededup.op2_line_dedup,
+    "op4_warc_normaliser": warc.op4_warc_normaliser,
+    "op5_lm_scoring": lm.op5_lm_scoring,
+    "op6_benchmark_decontamination": decontam.op6_benchmark_decontamination,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
+    "op8_quality_rules": quality.op8_quality_rules,
+    "op10_minhash_near_dedup": neardup.op10_minhash_near_dedup,
+}
+ORACLES: dict[str, str] = {
+    "op4_warc_normaliser": warc.OP4_SQL,
+    "op6_benchmark_decontamination": decontam.OP6_SQL,
+    "op10_minhash_near_dedup": neardup.OP10_SQL,
 }
-ORACLES: dict[str, str] = {}
