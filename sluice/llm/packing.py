@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, table
+from .common import Scratch, Words, gathered, slices, table
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
@@ -31,39 +31,82 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return str(public_tokenizers.path(name))
 
 
-def token_buffer(path: str):
-    """A function text -> little-endian unsigned 32-bit ids, equal to encoding the whole text.
+def token_buffers(path: str):
+    """A function Arrow texts -> little-endian unsigned 32-bit ids of each, equal to encoding each whole text.
 
-    The tokenizer's rule drops white space and never joins across it, so each
-    distinct run between ASCII white space is encoded once and its bytes are
-    reused. Texts with a special token's opening ``<|`` are encoded whole.
+    The tokenizer's rule drops white space and never joins across it, nor
+    across the border of a letter and a punctuation mark. So each distinct
+    word is encoded once and its bytes are reused; they stay with the Python
+    worker, up to CACHED_WORDS. A word of lower-case letters in normal form is
+    one unit to the tokenizer's rule and goes to its model directly; anything
+    else is encoded by the whole tokenizer, and so are texts with a special
+    token's opening ``<|``.
     """
     import os
+    import sys
+    from types import ModuleType
+    from unicodedata import is_normalized
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     import numpy as np
+    import pyarrow.compute as pc
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel
 
-    tok = Tokenizer.from_file(path)
+    kept = sys.modules.setdefault("sluice_met_words", ModuleType("sluice_met_words")).__dict__
+    if path not in kept:
+        kept[path] = (Tokenizer.from_file(path), {})
+    tok, cache = kept[path]
+    model, spell = tok.model, ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
 
     def encode(text: str) -> bytes:
         return np.asarray(tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    class Cache(dict):
-        def __missing__(self, chunk: bytes) -> bytes:
-            if len(self) >= CACHED_WORDS:
-                self.clear()
-            self[chunk] = ids = encode(chunk.decode())
-            return ids
-
-    cache = Cache()
-
-    def ids(text: str) -> bytes:
-        if "<|" in text:
-            return encode(text)
-        return b"".join(map(cache.__getitem__, text.encode().split()))
-
-    return ids
+    def unit(word: str) -> bytes | None:
+        """Ids of a word that is one unit, else None."""
+        if word.isascii():
+            spelt = word if word.isalpha() else None
+        else:
+            plain = word.isalpha() and word.lower() == word and is_normalized("NFC", word)
+            spelt = spell(word)[0][0] if plain else None
+        return spelt and np.asarray([t.id for t in model.tokenize(spelt)], dtype="<u4").tobytes()
+
+    def meet(chunk: bytes, passing: dict[bytes, bytes]) -> None:
+        """Learn a chunk; with punctuation behind a word only the word is kept, the chunk is for this call."""
+        word = chunk.rstrip(b".,!?;:")
+        ids = cache.get(word) or unit(word.decode())
+        if ids is None or not word:
+            cache[chunk] = encode(chunk.decode())
+            return
+        cache[word] = ids
+        if word != chunk:
+            tail = chunk[len(word) :]
+            if tail not in cache:
+                cache[tail] = encode(tail.decode())
+            last = word[-1:]
+            joined = last.isalpha() or last[0] > 127
+            passing[chunk] = ids + cache[tail] if joined and word.decode().isalpha() else encode(chunk.decode())
+
+    def buffers(texts) -> list[bytes]:
+        words = Words(texts)
+        if len(cache) > CACHED_WORDS:
+            cache.clear()
+        passing: dict[bytes, bytes] = {}
+        for name in words.names:
+            if name not in cache:
+                meet(name, passing)
+        spelt = [cache.get(w) or passing.get(w, b"") for w in words.names]
+        lengths = np.fromiter(map(len, spelt), np.int64, len(spelt)) // 4
+        flat = np.frombuffer(b"".join(spelt), dtype="<u4")
+        runs = lengths[words.index]
+        ids = flat[gathered((np.cumsum(lengths) - lengths)[words.index], runs)]
+        ends = np.concatenate([[0], np.cumsum(runs)])[words.ends].tolist()
+        out = [ids[a:b].tobytes() for a, b in zip([0, *ends], ends, strict=False)]
+        for i in pc.indices_nonzero(pc.fill_null(pc.match_substring(texts, "<|"), False)).to_pylist():
+            out[i] = encode(texts[i].as_py())
+        return out
+
+    return buffers
 
 
 def cut_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
@@ -79,13 +122,12 @@ def cut_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        ids, seen = token_buffer(path), [0] * (capacity + 1)
+        buffers, seen = token_buffers(path), [0] * (capacity + 1)
         end = end_id.to_bytes(4, "little")
-        for batch in batches:
+        for batch in slices(batches):
             cols: list[list] = [[] for _ in range(7)]
-            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                buf = ids(text.as_py() or "") + end
-                doc_id = doc_id.as_py()
+            for doc_id, buf in zip(batch.column(0).to_pylist(), buffers(batch.column(1)), strict=True):
+                buf += end
                 for piece, at in enumerate(range(0, len(buf), 4 * capacity)):
                     cell = buf[at : at + 4 * capacity]
                     n = len(cell) // 4
