@@ -1,14 +1,14 @@
 """Quality rules: fixed word rules, then Jensen-Shannon distance to the language's own histograms.
 
-Built-in functions only. Every document's histogram of character classes and
-of its language's most common words is compared with the whole corpus's
-histogram for that language. Short texts are guarded: too few characters or
-words give no verdict on that histogram.
+Built-in functions only. Every document's histograms of character classes and of
+its language's common words are compared with the whole corpus's
+histogram for that language. Short texts are guarded: with too few words the
+distances give no verdict.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import SPACE, Scratch, small_or_shuffled, table
@@ -16,10 +16,17 @@ from .common import SPACE, Scratch, small_or_shuffled, table
 MIN_WORDS = 20
 REPEAT_PERCENT = 30
 REPEAT_WINDOW = 8
-COMMON_WORDS = 30
-# Distances (0 to 1) above which a histogram is rejected, and the least text that is judged.
-MAX_CLASS_DISTANCE, MIN_CHARS = 0.3, 100
-MAX_WORD_DISTANCE, MIN_JUDGED_WORDS = 0.6, 50
+# The mean of the two distances (0 to 1) above which a text of so many words is rejected; without a list of
+# common words the character classes alone decide, by a bound of their own.
+MAX_DISTANCE, MAX_CLASS_DISTANCE, MIN_JUDGED_WORDS = 0.2, 0.33, 100
+# Common words of languages, as many of each: fixed values.
+LISTED = 12
+COMMON_WORDS = {
+    "en": "the of and to in a is that for it was on",
+    "fr": "de la le et les des en un que une est pour",
+    "de": "der die und in den von zu das mit sich des auf",
+    "es": "de la que el en y a los se del las un",
+}
 # Character classes: fixed values.
 CLASSES = {
     "lower": "[a-z]",
@@ -41,15 +48,20 @@ def count_of(text: Column, chars: str) -> Column:
     return F.length(F.regexp_replace(text, f"{inverse}+", "")).cast("long")
 
 
-def window_hashes(words: Column) -> Column:
-    """Hashes of the 8-word windows, each doubled from two neighbours; [] with fewer words."""
-
-    def pairs(a: Column, step: int) -> Column:
-        n = F.size(a) - step
-        return F.zip_with(F.slice(a, 1, n), F.slice(a, step + 1, n), lambda x, y: F.xxhash64(x, y))
+def with_windows(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``windows``: hashes of the 8-word windows of ``words``, doubled from neighbours; [] with fewer words.
 
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    return F.when(F.size(words) >= REPEAT_WINDOW, pairs(pairs(pairs(hashes, 1), 2), 4)).otherwise(F.array().cast("array<bigint>"))
+    Every doubling is a column of its own, since an expression used twice in another is evaluated twice.
+    """
+    enough = F.size("words") >= REPEAT_WINDOW
+    docs = docs.withColumn("windows", F.when(enough, F.transform("words", lambda w: F.xxhash64(w))).otherwise(F.array().cast("array<bigint>")))
+    step = 1
+    while step < REPEAT_WINDOW:
+        n = F.greatest(F.size("windows") - step, F.lit(0))
+        both = F.zip_with(F.slice("windows", 1, n), F.slice("windows", step + 1, n), lambda x, y: F.xxhash64(x, y))
+        docs = docs.withColumn("windows", both)
+        step *= 2
+    return docs
 
 
 def with_repeated_words(docs: DataFrame) -> DataFrame:
@@ -77,8 +89,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda s: s.rlike(f"[^{SPACE}]"))
     counted = (
-        docs.withColumn("words", text_words(F.col("text")))
-        .withColumn("windows", window_hashes(F.col("words")))
+        with_windows(docs.withColumn("words", text_words(F.col("text"))))
         .withColumn("lines", lines)
         .withColumns(
             {
@@ -93,22 +104,29 @@ def base_counts(docs: DataFrame) -> DataFrame:
     return with_repeated_words(counted)
 
 
-def common_words(docs: DataFrame, most: int = COMMON_WORDS) -> DataFrame:
-    """(lang, common): the most frequent lower-cased words of each language, the most frequent first."""
-    counts = docs.select("lang", F.explode(text_words(F.lower("text"))).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    top = counts.where("lang is not null").withColumn("rank", rank).where(F.col("rank") <= most)
-    listed = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "word"))).alias("ranked"))
-    return listed.select("lang", F.col("ranked.word").alias("common"))
+def common_words(lang: Column) -> Column:
+    """The language's common words, null for a language without a list."""
+    lists = [F.when(lang == k, F.array(*map(F.lit, v.split()))) for k, v in COMMON_WORDS.items()]
+    return F.coalesce(*lists)
 
 
-def with_word_histogram(docs: DataFrame, most: int) -> DataFrame:
-    """``docs`` with ``usual``: counts of the words in ``common`` by rank, then of all other ``words``; null without ``common``."""
-    places = F.transform("words", lambda w: F.coalesce(F.array_position("common", F.lower(w)), F.lit(0).cast("bigint")))
-    docs = docs.withColumn("places", F.when(F.col("common").isNotNull(), places))
-    # removing a rank and comparing sizes counts it without a lambda for each word
-    counts = [F.size("places") - F.size(F.array_remove("places", F.lit(k).cast("bigint"))) for k in [*range(1, most + 1), 0]]
-    return docs.withColumn("usual", F.when(F.col("places").isNotNull(), F.array(*counts).cast("array<double>"))).drop("places")
+def with_word_histogram(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``usual``: counts of its language's common words in ``words``, then of all other words; null without a list.
+
+    The words are joined with a blank on either side of each, so cutting out
+    " word " shortens the text by a known length each time.
+    """
+    padded = F.lower(F.concat(F.lit(" "), F.array_join("words", "  "), F.lit(" ")))
+    docs = docs.withColumns({"common": common_words(F.col("lang")), "padded": padded})
+
+    def count(k: int) -> Column:
+        sought = F.concat(F.lit(" "), F.get("common", F.lit(k)), F.lit(" "))
+        cut = F.octet_length("padded") - F.octet_length(F.replace(F.col("padded"), sought, F.lit("")))
+        return (cut / F.octet_length(sought)).cast("double")
+
+    docs = docs.withColumn("seen", F.when(F.col("common").isNotNull(), F.array(*[count(k) for k in range(LISTED)])))
+    rest = F.size("words") - F.aggregate("seen", F.lit(0.0), lambda s, x: s + x)
+    return docs.withColumn("usual", F.concat("seen", F.array(rest))).drop("common", "padded", "seen")
 
 
 def class_histogram(text: Column) -> Column:
@@ -137,19 +155,18 @@ def with_js_distance(docs: DataFrame, name: str, h: str, g: str) -> DataFrame:
     return docs.withColumn(name, distance).drop("n", "m")
 
 
-def judge(docs: DataFrame, most_common: int = COMMON_WORDS) -> DataFrame:
+def judge(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, the base counts, base_failed, kept and the two distances.
 
-    Null or empty texts have no words, so base_failed. Null languages have no
-    reference: their documents are judged by the base rules alone. Repeated
+    Null or empty texts have no words, so base_failed. A null language has no
+    reference: its documents are judged by the base rules alone. A language
+    without a list of common words is judged by its character classes. Repeated
     rows are judged one by one; an empty table gives no rows. Columns other
     than doc_id, text and lang are ignored.
     """
     scratch = Scratch(docs.sparkSession, "quality")
     docs = docs.select("doc_id", "text", "lang")
-    common = scratch.write(common_words(docs, most_common), "common")
-    listed = docs.join(small_or_shuffled(common), "lang", "left")
-    seen = with_word_histogram(base_counts(listed), most_common).select(
+    seen = with_word_histogram(base_counts(docs)).select(
         "doc_id",
         "lang",
         "n_words",
@@ -157,7 +174,6 @@ def judge(docs: DataFrame, most_common: int = COMMON_WORDS) -> DataFrame:
         "n_symbols",
         "n_dup_lines",
         "n_repeat_words",
-        F.length(F.coalesce("text", F.lit(""))).alias("n_text"),
         class_histogram(F.col("text")).alias("classes"),
         "usual",
     )
@@ -169,15 +185,16 @@ def judge(docs: DataFrame, most_common: int = COMMON_WORDS) -> DataFrame:
     def put_together(column: str, size: int) -> Column:
         return F.array(*[F.col(f"{column}{i}") for i in range(size)]).alias(f"{column}_ref")
 
-    sizes = {"classes": len(CLASSES) + 1, "usual": most_common + 1}
-    sums = seen.where("usual is not null").groupBy("lang").agg(*[c for k, n in sizes.items() for c in summed(k, n)])
+    sizes = {"classes": len(CLASSES) + 1, "usual": LISTED + 1}
+    sums = seen.groupBy("lang").agg(*[c for k, n in sizes.items() for c in summed(k, n)])
     refs = scratch.write(sums.select("lang", *[put_together(k, n) for k, n in sizes.items()]), "references")
     both = seen.join(small_or_shuffled(refs), "lang", "left")
     both = with_js_distance(both, "class_distance", "classes", "classes_ref")
     both = with_js_distance(both, "word_distance", "usual", "usual_ref")
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
-    far_classes = (F.col("n_text") >= MIN_CHARS) & (F.col("class_distance") > MAX_CLASS_DISTANCE)
-    far_words = (F.col("n_words") >= MIN_JUDGED_WORDS) & (F.col("word_distance") > MAX_WORD_DISTANCE)
+    mean = (F.col("class_distance") + F.col("word_distance")) / 2
+    far = F.coalesce(mean > MAX_DISTANCE, F.col("class_distance") > MAX_CLASS_DISTANCE, F.lit(False))
+    far = far & (F.col("n_words") >= MIN_JUDGED_WORDS)
     return (
         both.withColumn("base_failed", base_failed)
         .select(
@@ -188,7 +205,7 @@ def judge(docs: DataFrame, most_common: int = COMMON_WORDS) -> DataFrame:
             "n_dup_lines",
             "n_repeat_words",
             "base_failed",
-            (~F.col("base_failed") & ~F.coalesce(far_classes, F.lit(False)) & ~F.coalesce(far_words, F.lit(False))).alias("kept"),
+            (~F.col("base_failed") & ~far).alias("kept"),
             "class_distance",
             "word_distance",
         )
@@ -197,3 +214,49 @@ def judge(docs: DataFrame, most_common: int = COMMON_WORDS) -> DataFrame:
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
+
+
+OP8_SQL = r"""
+WITH d AS (
+  SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), ids AS (SELECT *, row_number() OVER (ORDER BY doc_id) AS r FROM d
+), grams AS (
+  SELECT r, p, array_to_string(w[p : p + 7], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS p FROM ids WHERE len(w) >= 8)
+), again AS (
+  SELECT r, count(DISTINCT q) AS n FROM (
+    SELECT r, unnest(range(p, p + 8)) AS q FROM (SELECT r, p, count(*) OVER (PARTITION BY r, g) AS c FROM grams) WHERE c > 1) GROUP BY r
+), lines AS (
+  SELECT r, count(*) - count(DISTINCT s) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS s FROM ids)
+  WHERE regexp_matches(s, '[^\x20\x09-\x0D]') GROUP BY r
+), listed(lang, common) AS (VALUES
+  LISTS
+), h AS (
+  SELECT ids.r, doc_id, ids.lang, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    coalesce(lines.n, 0) AS n_dup_lines, coalesce(again.n, 0) AS n_repeat_words,
+    list_transform(['[a-z]', '[A-Z]', '[0-9]', '[\x20\x09-\x0D]', '[#*$%&|<>]', '[^\x00-\x7F]'],
+      lambda c: length(t) - length(regexp_replace(t, c, '', 'g'))) AS six, length(t) AS n_text,
+    list_transform(w, lambda x: lower(x)) AS lw, common
+  FROM ids LEFT JOIN lines USING (r) LEFT JOIN again USING (r) LEFT JOIN listed ON ids.lang = listed.lang
+), bins AS (
+  SELECT r, lang, 0 AS kind, unnest(range(0, 7)) AS bin, unnest(list_append(six, n_text - list_sum(six))) AS c FROM h
+  UNION ALL
+  SELECT r, lang, 1, unnest(range(0, 13)), unnest(list_append(seen, n_words - list_sum(seen)))
+  FROM (SELECT r, lang, n_words, list_transform(common, lambda k: len(list_filter(lw, lambda x: x = k))) AS seen FROM h WHERE common IS NOT NULL)
+), refs AS (SELECT lang, kind, bin, sum(c) AS c FROM bins WHERE lang IS NOT NULL GROUP BY 1, 2, 3
+), shares AS (
+  SELECT b.r, b.kind, b.c / sum(b.c) OVER (PARTITION BY b.r, b.kind) AS p, f.c / sum(f.c) OVER (PARTITION BY b.r, b.kind) AS q,
+    sum(b.c) OVER (PARTITION BY b.r, b.kind) AS total
+  FROM bins b JOIN refs f USING (lang, kind, bin)
+), js AS (
+  SELECT r, kind, sqrt(greatest(sum(
+    (CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2), 0)) AS d
+  FROM shares WHERE total > 0 GROUP BY 1, 2
+), verdict AS (
+  SELECT h.*, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, a.d AS class_distance, b.d AS word_distance
+  FROM h LEFT JOIN js a ON a.r = h.r AND a.kind = 0 LEFT JOIN js b ON b.r = h.r AND b.kind = 1
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT (n_words >= 100 AND coalesce((class_distance + word_distance) / 2 > 0.2, class_distance > 0.33, FALSE)) AS kept
+FROM verdict
+""".replace("LISTS", ", ".join(f"('{k}', {v.split()})" for k, v in COMMON_WORDS.items()))

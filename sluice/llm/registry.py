@@ -14,5 +14,6 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op4_warc_normaliser": warc.OP4_SQL,
     "op6_benchmark_decontamination": decontam.OP6_SQL,
+    "op8_quality_rules": quality.OP8_SQL,
     "op10_minhash_near_dedup": neardup.OP10_SQL,
 }
