@@ -36,47 +36,28 @@ def document_lines(docs: DataFrame) -> DataFrame:
     return docs.select("*", split.alias("line_no", "line")).where(F.col("line").rlike(f"[^{SPACE}]"))
 
 
-def segment_bounds(length: Column, parts: Column, i: Column) -> tuple[Column, Column]:
-    """First place (from 1) and size of segment i (from 0) of even segments, the longer ones last."""
-    size = F.floor(length / parts)
-    long_from = parts - length % parts
-    return i * size + F.greatest(i - long_from, F.lit(0)) + 1, size + F.when(i >= long_from, 1).otherwise(0)
-
-
-def index_keys(most: int, per: int) -> Column:
-    """Bucket keys of a line's own segments."""
-    parts = allowed_edits(F.col("n"), most, per) + 1
-
-    def key(i: Column) -> Column:
-        at, size = segment_bounds(F.col("n"), parts, i)
-        return F.xxhash64(F.col("n"), i, F.substr("line", at.cast("int"), size.cast("int")))
-
-    return F.when(parts > 1, F.transform(F.sequence(F.lit(0), parts - 1), key)).otherwise(F.array().cast("array<bigint>"))
-
-
-def probe_keys(most: int, per: int) -> Column:
-    """Bucket keys of the substrings that could be a segment of an indexed line up to ``most`` characters shorter.
-
-    With d the length difference and t the edits allowed to the indexed line,
-    segment i can only have moved so far that the edits left of it and right
-    of it both stay possible (multi-match-aware selection).
+def bucket_keys(most: int, per: int) -> tuple[Column, Column]:
+    """Bucket keys of a line (columns line and n): of its own segments, and of its other probes.
+
+    An indexed line of l characters that allows t edits has t + 1 even
+    segments, the longer ones last. A line d characters longer probes segment
+    i only at the places from which the edits left and right of it both stay
+    possible (multi-match-aware selection), so the places are few and known
+    beforehand. A key hashes l, i and the substring.
     """
-
-    def of_length(d: int) -> Column:
-        n = F.col("n") - d
-        t = allowed_edits(n, most, per)
-
-        def of_segment(i: Column) -> Column:
-            at, size = segment_bounds(n, t + 1, i)
-            low = F.greatest(at - i, at + d - (t - i), F.lit(1))
-            high = F.least(at + i, at + d + (t - i), F.col("n") - size + 1)
-            places = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<bigint>"))
-            return F.transform(places, lambda p: F.xxhash64(n, i, F.substr("line", p.cast("int"), size.cast("int"))))
-
-        keys = F.flatten(F.transform(F.sequence(F.lit(0), t), of_segment))
-        return F.when(t >= F.greatest(F.lit(1), F.lit(d)), keys).otherwise(F.array().cast("array<bigint>"))
-
-    return F.array_distinct(F.concat(*[of_length(d) for d in range(most + 1)]))
+    own, others = [], []
+    for t in range(1, most + 1):
+        parts = t + 1
+        for d in range(t + 1):
+            size = f"((n - {d}) div {parts})"
+            long_from = f"({parts} - (n - {d}) % {parts})"
+            for i in range(parts):
+                for shift in range(max(-i, d - (t - i)), min(i, d + (t - i)) + 1):
+                    at = f"{i} * {size} + greatest({i} - {long_from}, 0) + 1 + {shift}"
+                    part = f"substring(line, int({at}), int({size} + if({i} >= {long_from}, 1, 0)))"
+                    key = F.expr(f"if(least({most}, (n - {d}) div {per}) = {t}, xxhash64(n - {d}, {i}, {part}), null)")
+                    (others if d or shift else own).append(key)
+    return F.array_compact(F.array(*own)), F.array_compact(F.array(*others))
 
 
 def common_prefix(a: Column, b: Column) -> Column:
@@ -147,7 +128,7 @@ def banded_distance(long: Column, short: Column, band: int) -> Column:
     return F.aggregate(columns, start, column, lambda s: s["dist"])
 
 
-def confirmed(pairs: DataFrame, lines: DataFrame, most: int, per: int) -> DataFrame:
+def confirmed(pairs: DataFrame, lines: DataFrame, scratch: Scratch, most: int, per: int) -> DataFrame:
     """The pairs (a, b) of nodes whose lines are within the edits allowed to the shorter one."""
     with_a = pairs.join(lines.select(F.col("node").alias("a"), F.col("line").alias("la"), F.col("n").alias("na")), "a")
     both = with_a.join(lines.select(F.col("node").alias("b"), F.col("line").alias("lb"), F.col("n").alias("nb")), "b")
@@ -177,26 +158,24 @@ def confirmed(pairs: DataFrame, lines: DataFrame, most: int, per: int) -> DataFr
     )
     blank = F.array().cast("array<string>")
     cores = cores.withColumns({c: F.when(F.col(c) == F.array(F.lit("")), blank).otherwise(F.col(c)) for c in ("long", "short")})
-    return cores.where(banded_distance(F.col("long"), F.col("short"), most) <= F.col("t")).select("a", "b")
+    # written before it is filtered: a filter would move below the steps above and repeat them for every character
+    measured = scratch.write(cores.select("a", "b", "t", banded_distance(F.col("long"), F.col("short"), most).alias("distance")), "distances")
+    return measured.where("distance <= t").select("a", "b")
 
 
 def near_lines(lines: DataFrame, scratch: Scratch, most: int, per: int) -> DataFrame:
     """(node, root) of the distinct lines (node, line, n) that have a near copy; root is the least node of the component."""
-    indexed = lines.select(F.explode(index_keys(most, per)).alias("bucket"), "node", F.lit(True).alias("own"))
-    probing = lines.select(F.explode(probe_keys(most, per)).alias("bucket"), "node", F.lit(False).alias("own"))
-    entries = indexed.union(probing)
-    shared = (
-        entries.groupBy("bucket")
-        .agg(F.min(F.when(F.col("own"), F.col("node"))).alias("center"), F.min("node").alias("x"), F.max("node").alias("y"))
-        .where("center is not null and x != y")
-        .select("bucket", "center")
-    )
-    members = scratch.write(entries.join(shared, "bucket"), "members")
-    star = members.where("node != center").select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b"))
+    own, others = bucket_keys(most, per)
+    indexed = lines.select(F.explode(own).alias("bucket"), "node", F.lit(True).alias("own"))
+    probing = lines.select(F.explode(others).alias("bucket"), "node", F.lit(False).alias("own"))
+    centers = indexed.groupBy("bucket").agg(F.min("node").alias("center"))
+    members = scratch.write(indexed.union(probing).join(centers, "bucket").where("node != center"), "members")
+    star = members.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b"))
     tried = scratch.write(star.distinct(), "pairs")
-    links = scratch.write(confirmed(tried, lines, most, per), "links")
+    links = confirmed(tried, lines, scratch, most, per)
     roots = scratch.write(components(links, scratch), "roots")
-    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    whole = members.drop("center").union(members.select("bucket", F.col("center").alias("node"), F.lit(True).alias("own"))).distinct()
+    rooted = whole.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = rooted.groupBy("bucket").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r != s").select("bucket")
     open_ = scratch.write(rooted.join(mixed, "bucket", "left_semi").select("bucket", "node", "own", "root"), "open")
     x = open_.where("own").select("bucket", F.col("node").alias("i"), F.col("root").alias("ir"))
@@ -209,7 +188,7 @@ def near_lines(lines: DataFrame, scratch: Scratch, most: int, per: int) -> DataF
         .join(tried, ["a", "b"], "left_anti")
     )
     rest = scratch.write(rest, "rest")
-    more = scratch.write(confirmed(rest, lines, most, per), "more")
+    more = confirmed(rest, lines, scratch, most, per)
     out = scratch.write(components(links.union(more), scratch), "roots")
     scratch.drop(members, open_, roots)
     return out
