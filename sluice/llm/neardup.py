@@ -6,9 +6,9 @@ them for coordinate k. Equal bands are only candidates; each link is
 confirmed on the full shingle sets.
 
 Texts with equal sets form one class from the start. Within a bucket the
-classes are first compared with the bucket's first member alone; only pairs
-that this leaves in different components are compared next, so a bucket of m
-copies costs m comparisons and not m squared, and no link is lost.
+classes are first compared with its most central member alone; only pairs that
+this leaves in different components are compared next, so a bucket of m copies
+of one text costs m comparisons and not m squared, and no link is lost.
 """
 
 from __future__ import annotations
@@ -191,13 +191,8 @@ def group_documents(
         "classes",
     )
     entries = classes.select(F.explode("bands").alias("bucket"), "node", "n")
-    shared = (
-        entries.groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("center"), F.min_by("n", "node").alias("center_n"))
-        .where("m > 1")
-        .drop("m")
-    )
-    members = scratch.write(entries.join(shared, "bucket"), "members")
+    sizes = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    members = scratch.write(entries.join(sizes, "bucket"), "members")
     links = linked_nodes(docs, classes, members, scratch, words, percent)
 
     grouped = classes.join(links, "node", "left")
@@ -225,32 +220,70 @@ def linked_nodes(docs: DataFrame, classes: DataFrame, members: DataFrame, scratc
         .agg(F.min("hashes").alias("hashes")),
         "sets",
     )
-    star = members.where((F.col("node") != F.col("center")) & close_sizes(F.col("n"), F.col("center_n"), percent))
-    pairs = star.groupBy(F.col("node").alias("b")).agg(F.min("center").alias("a")).select("a", "b")
-    tried = scratch.write(pairs, "pairs")
+    # The text that others were copied from shares buckets with most of them: compare each bucket with that member first.
+    weights = members.groupBy("node").agg(F.sum("m").alias("weight"))
+    members = scratch.write(members.join(weights, "node").select("bucket", "node", "n", "weight"), "weighed")
+    tried = scratch.write(star_pairs(members, percent), "pairs")
     links = scratch.write(confirmed(tried, sets, percent), "links")
     roots = scratch.write(components(links, scratch), "roots")
 
-    # The rest: pairs of one bucket that are still in different components and not compared yet.
+    # The rest: pairs of one bucket that are still in different components and not compared yet. Shingles that no other
+    # open member has cannot be common, which bounds a pair's intersection and rules out most pairs of loose copies.
     rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = rooted.groupBy("bucket").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r != s").select("bucket")
-    open_ = scratch.write(rooted.join(mixed, "bucket", "left_semi").select("bucket", "node", "n", "root"), "open")
-    x = open_.select("bucket", F.col("node").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar"))
-    y = open_.select("bucket", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("root").alias("br"))
+    open_ = rooted.join(mixed, "bucket", "left_semi").select("bucket", "node", "n", "root")
+    open_ = scratch.write(open_, "open")
+    alone = single_shingles(sets.join(open_.select("node").distinct(), "node", "left_semi"))
+    bound = open_.join(scratch.write(alone, "alone"), "node", "left").withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0)))
+    bound = bound.join(open_.groupBy("node").agg(F.collect_list("bucket").alias("all")), "node")
+
+    def side(name: str) -> DataFrame:
+        return bound.select("bucket", *[F.col(c).alias(f"{name}_{c}") for c in ("node", "n", "root", "most", "all")])
+
+    # a pair is formed in the least of the buckets that it shares
+    here = F.col("bucket") == F.array_min(F.array_intersect("a_all", "b_all"))
+    possible = (100 + percent) * F.least("a_most", "b_most") >= percent * (F.col("a_n") + F.col("b_n"))
     rest = (
-        x.join(y, "bucket")
-        .where((F.col("a") < F.col("b")) & (F.col("ar") != F.col("br")) & close_sizes(F.col("an"), F.col("bn"), percent))
-        .select("a", "b")
-        .distinct()
+        side("a")
+        .join(side("b"), "bucket")
+        .where((F.col("a_node") < F.col("b_node")) & (F.col("a_root") != F.col("b_root")) & possible & here)
+        .select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
         .join(tried, ["a", "b"], "left_anti")
     )
     rest = scratch.write(rest, "rest")
     more = scratch.write(confirmed(rest, sets, percent), "more")
     out = scratch.write(components(links.union(more), scratch), "roots")
-    scratch.drop(sets, open_, roots)
+    scratch.drop(sets, open_, members)
     return out
 
 
+def single_shingles(sets: DataFrame) -> DataFrame:
+    """(node, alone): how many shingles of each set are in no other of these sets, if any."""
+
+    def unpack(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in slices(batches, 64):
+            found = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(1)]
+            nodes = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(x) for x in found])
+            hashes = np.concatenate(found) if found else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(hashes)], names=["node", "hash"])
+
+    rows = sets.select("node", "hashes").mapInArrow(unpack, "node long, hash long")
+    once = rows.groupBy("hash").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("c")).where("c = 1")
+    return once.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+
+
+def star_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of each bucket's heaviest member, the first of equals, and its other members of a close size."""
+    best = F.struct("weight", (-F.col("node")).alias("less"), "n")
+    centers = members.groupBy("bucket").agg(F.max(best).alias("c"))
+    both = members.join(centers.select("bucket", (-F.col("c.less")).alias("center"), F.col("c.n").alias("cn")), "bucket")
+    apart = both.where((F.col("node") != F.col("center")) & close_sizes(F.col("n"), F.col("cn"), percent))
+    return apart.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct()
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_documents(table(spark, sf_dir, "documents"))
 

@@ -1,9 +1,10 @@
 """Queries of the subpackage and, where SQL can express them, their DuckDB SQL."""
 
-from . import decontam, linededup, lm, neardup, packing, quality, warc
+from . import decontam, linededup, lm, neardup, packing, quality, toxicity, warc
 
 QUERIES = {
     "op2_line_dedup": linededup.op2_line_dedup,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_warc_normaliser": warc.op4_warc_normaliser,
     "op5_lm_scoring": lm.op5_lm_scoring,
     "op6_benchmark_decontamination": decontam.op6_benchmark_decontamination,
