@@ -1,8 +1,9 @@
 """Queries of the subpackage and, where SQL can express them, their DuckDB SQL."""
 
-from . import decontam, linededup, lm, neardup, packing, quality, toxicity, warc
+from . import decontam, linededup, lm, neardup, packing, quality, secrets, tokencounts, toxicity, warc
 
 QUERIES = {
+    "op1_token_counts": tokencounts.op1_token_counts,
     "op2_line_dedup": linededup.op2_line_dedup,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_warc_normaliser": warc.op4_warc_normaliser,
@@ -10,6 +11,7 @@ QUERIES = {
     "op6_benchmark_decontamination": decontam.op6_benchmark_decontamination,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op8_quality_rules": quality.op8_quality_rules,
+    "op9_secret_scans": secrets.op9_secret_scans,
     "op10_minhash_near_dedup": neardup.op10_minhash_near_dedup,
 }
 ORACLES: dict[str, str] = {
