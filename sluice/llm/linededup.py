@@ -158,8 +158,15 @@ def confirmed(pairs: DataFrame, lines: DataFrame, scratch: Scratch, most: int, p
     )
     blank = F.array().cast("array<string>")
     cores = cores.withColumns({c: F.when(F.col(c) == F.array(F.lit("")), blank).otherwise(F.col(c)) for c in ("long", "short")})
+    # The cores differ at both ends. So of t edits one is before the first character that both keep and one behind the
+    # last: with one edit the cores are single characters, with two what is between the short one's ends is kept whole.
+    middle = F.array_join(F.slice("short", 2, F.greatest(F.size("short") - 2, F.lit(0))), "")
+    kept_whole = F.contains(F.array_join("long", ""), middle)
+    near = (F.size("long") <= 1) | (F.size("short") == 0) | F.when(F.col("t") == 1, F.lit(False)).when(F.col("t") == 2, kept_whole).otherwise(F.lit(True))
+    cores = cores.withColumn("near", near)
+    distance = F.when(F.col("near"), banded_distance(F.col("long"), F.col("short"), most)).otherwise(F.lit(most + 1))
     # written before it is filtered: a filter would move below the steps above and repeat them for every character
-    measured = scratch.write(cores.select("a", "b", "t", banded_distance(F.col("long"), F.col("short"), most).alias("distance")), "distances")
+    measured = scratch.write(cores.select("a", "b", "t", distance.alias("distance")), "distances")
     return measured.where("distance <= t").select("a", "b")
 
 
@@ -172,6 +179,8 @@ def near_lines(lines: DataFrame, scratch: Scratch, most: int, per: int) -> DataF
     members = scratch.write(indexed.union(probing).join(centers, "bucket").where("node != center"), "members")
     star = members.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b"))
     tried = scratch.write(star.distinct(), "pairs")
+    used = scratch.write(members.select("node").union(members.select("center")).distinct(), "used")
+    lines = scratch.write(lines.join(small_or_shuffled(used), "node", "left_semi"), "lines")
     links = confirmed(tried, lines, scratch, most, per)
     roots = scratch.write(components(links, scratch), "roots")
     whole = members.drop("center").union(members.select("bucket", F.col("center").alias("node"), F.lit(True).alias("own"))).distinct()
