@@ -6,33 +6,18 @@ skipped, ``key=value`` split at the first ``=`` (a bare ``key`` has value
 malformed escape dropped. When several texts are given (body, then query) their
 pieces are concatenated in that order and the **first** value of a key wins.
 
-Plan: reverse the piece order and let ``str_to_map`` (code-generated) build
-the map under the session's ``LAST_WIN`` key policy, so the last entry of the
-reversed list, i.e. the first parameter, wins. Decoding then runs once per map
-entry. Lambdas run interpreted, so passes the raw text shows to be unnecessary
-(dropping malformed pieces, decoding keys) are skipped after a code-generated
-regex test on the whole text.
+Keys are decoded before repeats are told, so ``a=1&%61=2`` has one key. No
+session setting is involved: repeats are gone before the map is built.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEDUP_POLICY = "spark.sql.mapKeyDedupPolicy"
 # a '%' not followed by two hex digits: the piece cannot be decoded
 _MALFORMED = r"%(?![0-9A-Fa-f]{2})"
-# some key (text between a piece start and its '=') holds an escape or a plus
-_CODED_KEY = r"(?:^|&)[^=&]*[%+]"
-# some value may need work: an escape or plus anywhere, or a piece without '='
-_VALUE_WORK = r"[%+]|(?:^|&)[^=&]*(?:&|$)"
-
-
-def require_last_win(spark: SparkSession | None = None) -> None:
-    """Form maps are built under ``LAST_WIN``; it only turns would-be errors into results."""
-    spark = spark or SparkSession.getActiveSession()
-    if spark is not None and spark.conf.get(DEDUP_POLICY, "EXCEPTION") != "LAST_WIN":
-        spark.conf.set(DEDUP_POLICY, "LAST_WIN")
+_MAP = "map<string,string>"
 
 
 def _decode(text: Column) -> Column:
@@ -40,44 +25,45 @@ def _decode(text: Column) -> Column:
     return F.when((F.instr(text, "%") > 0) | (F.instr(text, "+") > 0), F.url_decode(text)).otherwise(text)
 
 
-def _raw_map(joined: Column, pieces: Column) -> Column:
+def _entries(joined: Column) -> Column:
+    """Decoded ``(key, value)`` of every well-formed piece, in order, repeats included."""
+    pieces = F.array_remove(F.split(joined, "&"), "")
     good = F.when(joined.rlike(_MALFORMED), F.filter(pieces, lambda p: ~p.rlike(_MALFORMED))).otherwise(pieces)
-    return F.when(F.size(good) > 0, F.str_to_map(F.array_join(F.reverse(good), "&"), F.lit("&"), F.lit("="))).otherwise(
-        F.create_map().cast("map<string,string>")
-    )
 
+    def entry(piece: Column) -> Column:
+        at = F.instr(piece, "=")
+        key = F.when(at > 0, F.substring(piece, F.lit(1), at - 1)).otherwise(piece)
+        value = F.when(at > 0, F.substring(piece, at + 1, F.length(piece))).otherwise(F.lit(""))
+        return F.struct(_decode(key).alias("key"), _decode(value).alias("value"))
 
-def _decoded(raw: Column, coded_keys: Column, value_work: Column | None = None) -> Column:
-    keyed = F.when(coded_keys, F.transform_keys(raw, lambda k, _v: _decode(k))).otherwise(raw)
-    values = F.transform_values(keyed, lambda _k, v: F.coalesce(_decode(v), F.lit("")))
-    return values if value_work is None else F.when(value_work, values).otherwise(keyed)
+    return F.transform(good, entry)
 
 
 def parse_form(*texts: Column) -> Column:
     """``MAP<STRING,STRING>`` of the first value of every parameter in ``texts``.
 
-    A single expression; ``with_form_params`` computes the same map in stages
-    so that the parts without lambdas keep whole-stage code generation.
+    A single expression; ``with_form_params`` computes the same map in stages.
     """
-    require_last_win()
-    joined = F.concat_ws("&", *texts)  # null texts are skipped
-    pieces = F.array_remove(F.split(joined, "&"), "")
-    return _decoded(_raw_map(joined, pieces), joined.rlike(_CODED_KEY))
+
+    def add(known: Column, e: Column) -> Column:
+        return F.when(F.map_contains_key(known, e["key"]), known).otherwise(F.map_concat(known, F.create_map(e["key"], e["value"])))
+
+    return F.aggregate(_entries(F.concat_ws("&", *texts)), F.create_map().cast(_MAP), add)
 
 
 def with_form_params(df: DataFrame, out: str, *texts: Column) -> DataFrame:
     """Add ``out`` = ``parse_form(*texts)``, each stage computed once per row (see ``materialize``)."""
-    require_last_win(df.sparkSession)
-    j, pc, raw, ck = (f"_{out}_{n}" for n in ("joined", "pieces", "raw", "coded"))
-    joined = F.concat_ws("&", *texts)
-    df = materialize(df, {j: joined, pc: F.array_remove(F.split(joined, "&"), "")})
-    vw = f"_{out}_values"
-    df = materialize(df, {raw: _raw_map(F.col(j), F.col(pc)), ck: F.col(j).rlike(_CODED_KEY), vw: F.col(j).rlike(_VALUE_WORK)})
-    df = materialize(df, {out: _decoded(F.col(raw), F.col(ck), F.col(vw))})
-    return df.drop(j, pc, raw, ck, vw)
+    j, en, ks = (f"_{out}_{n}" for n in ("joined", "entries", "keys"))
+    df = materialize(df, {j: F.concat_ws("&", *texts)})  # null texts are skipped
+    df = materialize(df, {en: _entries(F.col(j))})
+    df = materialize(df, {en: F.col(en), ks: F.col(f"{en}.key")}, replace=True)
+    firsts = F.filter(F.col(en), lambda e, i: F.array_position(F.col(ks), e["key"]) == i + 1)
+    repeated = F.size(F.array_distinct(ks)) < F.size(ks)
+    df = materialize(df, {out: F.map_from_entries(F.when(repeated, firsts).otherwise(F.col(en)))})
+    return df.drop(j, en, ks)
 
 
-def materialize(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
+def materialize(df: DataFrame, cols: dict[str, Column], replace: bool = False) -> DataFrame:
     """Add ``cols``, each evaluated exactly once per row.
 
     Filters on later verdict columns are pushed down through projections by
@@ -90,7 +76,8 @@ def materialize(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
     tmp = {f"__m_{n}": c for n, c in cols.items()}
     df = df.withColumns(tmp)
     packed = F.array(F.struct(*[F.col(t).alias(n) for n, t in zip(cols, tmp)]))
-    return df.select("*", F.inline(packed)).drop(*tmp)
+    kept = [c for c in df.columns if not replace or c not in cols]
+    return df.select(*[F.col(f"`{c}`") for c in kept], F.inline(packed)).drop(*tmp)
 
 
 def decode_path(path: Column) -> Column:

@@ -42,6 +42,7 @@ def now_epoch_seconds() -> Column:
 
 def event_time(text: Column) -> Column:
     """The instant a raw ``timestamp`` names: RFC 3339 if it parses, else whole epoch
-    seconds (digits only), else null. The raw text stays the record field."""
-    secs = F.when(text.rlike(r"^-?[0-9]{1,12}$"), text.try_cast("bigint"))
-    return F.coalesce(parse_rfc3339(text), F.timestamp_seconds(secs))
+    seconds (digits only, years 0001 to 9999), else null. The raw text stays the record field."""
+    secs = F.when(text.rlike(r"^-?[0-9]+\z"), text.try_cast("bigint"))
+    in_range = secs.between(F.lit(MIN_EPOCH_MS // 1000), F.lit(MAX_EPOCH_MS // 1000))
+    return F.coalesce(parse_rfc3339(text), F.timestamp_seconds(F.when(in_range, secs)))

@@ -3,15 +3,14 @@
 Matching is by character (``/an`` matches ``/anx``), the longest prefix wins,
 no match gives ``No handler matched.``.
 
-The prefix table is configuration. Up to ``LITERAL_LIMIT`` prefixes (checked)
-are folded into the plan: for each distinct prefix length, longest first,
-the path's leading characters of that length are tested against the set of
-prefixes of that length (a hash-set ``IN``). A row costs one probe per
-distinct length, not one comparison per prefix; no join, no shuffle. A larger table takes the general
-path: each path is expanded into its own prefixes of the lengths that occur
-in the table (a bounded set), equi-joined to the table, and the longest hit
-per request is kept with one aggregation keyed by the request key (unique
-keys, so no hot group).
+Prefixes given as a list are folded into the plan: for each distinct length,
+longest first, the path's leading characters are tested against the set of
+prefixes of that length (a hash-set ``IN``). A prefix table given as a
+DataFrame is left-joined once per distinct length, at any size: rows are never
+multiplied, a null path or key matches nothing and is kept, the few short
+prefixes that most paths share are in small joins of their own, and Spark
+broadcasts each part if it is small. Distinct lengths are at most as many as
+the longest prefix has characters.
 """
 
 from __future__ import annotations
@@ -24,8 +23,6 @@ from pyspark.sql import functions as F
 from sluice.functions.forms import decode_path
 from sluice.schema import NO_HANDLER_MSG
 
-LITERAL_LIMIT = 2_000
-
 
 def longest_prefix(path: Column, prefixes: Sequence[str]) -> Column:
     by_len: dict[int, list[str]] = {}
@@ -49,33 +46,24 @@ def match_prefix(
     df: DataFrame,
     prefixes: Sequence[str] | DataFrame,
     path: str = "path",
-    key: str | None = None,
     out: str = "prefix",
 ) -> DataFrame:
     """Add ``prefix`` (longest match or null) and ``reason`` (null when matched)."""
     if isinstance(prefixes, DataFrame):
-        small = prefixes.select("prefix").limit(LITERAL_LIMIT + 1).collect()
-        if len(small) <= LITERAL_LIMIT:
-            prefixes = [r["prefix"] for r in small if r["prefix"] is not None]
-        else:
-            if key is None:
-                raise ValueError("a unique request key is needed to match against a large prefix table")
-            return _with_verdict(_match_by_join(df, prefixes, path, key, out), out)
+        return _with_verdict(_match_by_join(df, prefixes, path, out), out)
     return _with_verdict(df.withColumn(out, longest_prefix(F.col(path), prefixes)), out)
 
 
-def _match_by_join(df: DataFrame, table: DataFrame, path: str, key: str, out: str) -> DataFrame:
+def _match_by_join(df: DataFrame, table: DataFrame, path: str, out: str) -> DataFrame:
     table = table.select(F.col("prefix").alias("_pfx")).where(F.col("_pfx").isNotNull()).dropDuplicates()
     # distinct prefix lengths: bounded by the longest registered prefix
-    lengths = sorted(r[0] for r in table.select(F.length("_pfx")).distinct().collect())
-    lens = F.array(*[F.lit(n) for n in lengths])
-    cands = df.select(
-        F.col(key).alias("_k"),
-        F.explode(F.filter(lens, lambda n: n <= F.length(F.col(path)))).alias("_n"),
-        F.col(path).alias("_p"),
-    ).select("_k", F.substring(F.col("_p"), 1, F.col("_n")).alias("_pfx"))
-    hits = cands.join(table, "_pfx").groupBy("_k").agg(F.max_by("_pfx", F.length("_pfx")).alias(out))
-    return df.join(hits, df[key] == hits["_k"], "left").drop("_k")
+    lengths = sorted((r[0] for r in table.select(F.length("_pfx")).distinct().collect()), reverse=True)
+    for n in lengths:
+        part = table.where(F.length("_pfx") == n).withColumnRenamed("_pfx", f"_pfx{n}")
+        head = F.when(F.length(path) >= n, F.substring(F.col(path), 1, n) if n else F.lit(""))
+        df = df.join(part, head == F.col(f"_pfx{n}"), "left")
+    hit = F.coalesce(*[F.col(f"_pfx{n}") for n in lengths]) if lengths else F.lit(None).cast("string")
+    return df.withColumn(out, hit).drop(*[f"_pfx{n}" for n in lengths])
 
 
 def request_paths(df: DataFrame, url: str = "url", out: str = "path") -> DataFrame:

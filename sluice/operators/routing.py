@@ -1,14 +1,10 @@
 """Topic routing by event type with a ``default`` fallback.
 
-A route table is configuration: one row per event type. When it is small
-(the normal case, checked by counting at most ``LITERAL_LIMIT + 1`` rows) it is
-folded into the plan as one ``CASE`` with a branch per topic, testing
-``event_type IN (<types of that topic>)``; Spark turns large ``IN`` lists
-into hash sets, so a row costs one set probe per topic, inside whole-stage
-codegen: no join, no broadcast, no shuffle. A larger table is
-joined instead; since one event type may hold a third of all events, that join
-salts the event side and replicates the (unique-keyed) route rows, so no task
-receives a whole hot type.
+Routes given as a mapping are folded into the plan as one ``CASE`` with a
+branch per topic, testing ``event_type IN (<types of that topic>)``: no join.
+A route table given as a DataFrame is left-joined, at any size: repeats of an
+event type are one route (the least topic), so no event is multiplied, and
+Spark broadcasts the table if it is small or splits a hot type when it is not.
 """
 
 from __future__ import annotations
@@ -20,9 +16,6 @@ from pyspark.sql import functions as F
 
 from sluice.schema import DEFAULT_ROUTE
 
-LITERAL_LIMIT = 10_000
-SALT_BUCKETS = 64
-
 
 def topic_for(event_type: Column, routes: Mapping[str, str]) -> Column:
     """Exact lookup; unknown (or null) types take the ``default`` topic."""
@@ -40,36 +33,19 @@ def topic_for(event_type: Column, routes: Mapping[str, str]) -> Column:
     return default if expr is None else expr.otherwise(default)
 
 
-def routes_as_dict(routes: DataFrame, limit: int = LITERAL_LIMIT) -> dict[str, str] | None:
-    """The route table as a dict when it holds at most ``limit`` rows, else None."""
-    small = routes.select("event_type", "topic").limit(limit + 1).collect()
-    if len(small) > limit:
-        return None
-    return {r["event_type"]: r["topic"] for r in small}
-
-
 def route(df: DataFrame, routes: Mapping[str, str] | DataFrame, event_type: Column | str = "event_type", out: str = "topic") -> DataFrame:
     """Add the destination ``topic`` column."""
     et = F.col(event_type) if isinstance(event_type, str) else event_type
     if isinstance(routes, DataFrame):
-        small = routes_as_dict(routes)
-        if small is None:
-            return _route_join(df, routes, et, out)
-        routes = small
+        return _route_join(df, routes, et, out)
     return df.withColumn(out, topic_for(et, routes))
 
 
 def _route_join(df: DataFrame, routes: DataFrame, et: Column, out: str) -> DataFrame:
-    default_rows = routes.filter(F.col("event_type") == DEFAULT_ROUTE).select("topic").limit(1).collect()
-    if not default_rows:
+    default = routes.filter(F.col("event_type") == DEFAULT_ROUTE).agg(F.min("topic")).first()[0]
+    if default is None:
         raise ValueError("route table must hold a 'default' entry")
-    default_topic = default_rows[0]["topic"]
-    # deterministic salt: a retried task sends every row to the same reducer again
-    salted = df.withColumns({"_rt_key": et, "_rt_salt": F.pmod(F.monotonically_increasing_id(), F.lit(SALT_BUCKETS)).cast("int")})
-    replicated = routes.select(
-        F.col("event_type").alias("_rt_key"),
-        F.explode(F.sequence(F.lit(0), F.lit(SALT_BUCKETS - 1))).alias("_rt_salt"),
-        F.col("topic").alias("_rt_topic"),
-    )
-    joined = salted.join(replicated, ["_rt_key", "_rt_salt"], "left")
-    return joined.withColumn(out, F.coalesce(F.col("_rt_topic"), F.lit(default_topic))).drop("_rt_key", "_rt_salt", "_rt_topic")
+    known = F.col("event_type").isNotNull() & (F.col("event_type") != DEFAULT_ROUTE)
+    table = routes.filter(known).groupBy(F.col("event_type").alias("_rt_key")).agg(F.min("topic").alias("_rt_topic"))
+    joined = df.withColumn("_rt_type", et).join(table, F.col("_rt_type") == F.col("_rt_key"), "left")
+    return joined.withColumn(out, F.coalesce(F.col("_rt_topic"), F.lit(default))).drop("_rt_type", "_rt_key", "_rt_topic")

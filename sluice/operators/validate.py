@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.maps import has_key
 from sluice.functions.sign import first_item, postback_sign
+from sluice.functions.timefmt import epoch_ms_in_range
 from sluice.schema import (
     BAD_REQUEST,
     MISSING_FIELD_MSG,
@@ -22,10 +23,7 @@ from sluice.schema import (
     TS_PARSE_MSG,
 )
 
-INT64_TEXT = "^[+-]?[0-9]+$"
-# Postback times are epoch ms scaled to ns in 64 bits by the original; beyond
-# this the scaled value overflows, so such times are rejected instead of garbled.
-MAX_POSTBACK_MS = 9_223_372_036_854
+INT64_TEXT = r"^[+-]?[0-9]+\z"
 TS_RANGE_MSG = TS_PARSE_MSG + "timestamp out of range"
 
 
@@ -77,7 +75,7 @@ def postback_checks(params: Column, key: Column | str, bypass_sign: bool = False
     ts = F.try_element_at(params, F.lit("ts"))
     ms = postback_ts_ms(ts)
     checks.append((ms.isNull(), SERVER_ERROR, ts_parse_error(ts)))
-    checks.append((~ms.between(-MAX_POSTBACK_MS, MAX_POSTBACK_MS), SERVER_ERROR, F.lit(TS_RANGE_MSG)))
+    checks.append((~epoch_ms_in_range(ms), SERVER_ERROR, F.lit(TS_RANGE_MSG)))
     return checks
 
 

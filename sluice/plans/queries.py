@@ -25,7 +25,7 @@ from sluice.plans.ingest import form_messages_and_dead_letters, ingest_forms, in
 from sluice.plans.partner import click_outbox, judge_clicks, judge_postbacks, postback_outbox
 from sluice.schema import DEFAULT_ROUTE, MAX_UPLOAD_BYTES, RECEIPT_FMT
 from sluice.plans.replay import replay, replay_to_tables
-from sluice.session import ensure_utc, landed_path, scratch_path, spread_small
+from sluice.session import ensure_utc, landed_path, scratch_path
 from sluice.sinks.deadletter import write_dead_letters
 from sluice.sinks.kafka import to_messages, to_string_messages
 from sluice.sinks.partition import assign_partition
@@ -42,7 +42,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread_small(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +57,7 @@ def _ext(name: str) -> F.Column:
 def _landed(spark: SparkSession, sf_dir: str, kind: str, make) -> DataFrame:
     """A derived input (request log, messages) landed once as Parquet and read back."""
     ev = _events(spark, sf_dir)
-    return spread_small(spark.read.parquet(landed_path(spark, kind, ev, lambda p: make(ev).write.mode("overwrite").parquet(p))))
+    return spark.read.parquet(landed_path(spark, kind, ev, lambda p: make(ev).write.mode("overwrite").parquet(p)))
 
 
 def _request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -288,7 +288,7 @@ def message_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _dispatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = request_paths(table(spark, sf_dir, "pages").select("page_id", "url"))
-    return match_prefix(pages, list(settings.PREFIXES), key="page_id")
+    return match_prefix(pages, list(settings.PREFIXES))
 
 
 def prefix_match(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,26 +100,3 @@ def landed_path(spark: SparkSession, kind: str, source, write) -> str:
     if not _fs_exists(spark, f"{path}/_SUCCESS"):
         write(path)
     return path
-
-
-# Inputs at most this large may be re-spread; larger ones keep their scan splits.
-SPREAD_MAX_BYTES = 1 << 30
-
-
-def spread_small(df):
-    """Spread a small input over all cores when its scan yields fewer partitions.
-
-    A small table stored as one file with one row group scans as a single
-    task, which would run every row-local stage on one core. Only inputs up to
-    ``SPREAD_MAX_BYTES`` (by the plan's size estimate) are re-spread, with a
-    round-robin repartition; large inputs already scan as many tasks and are
-    left alone, so no big shuffle is ever added.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df._jdf.rdd().getNumPartitions() >= cores:
-        return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size > SPREAD_MAX_BYTES:
-        return df
-    return df.repartition(cores)

@@ -4,7 +4,7 @@ A line qualifies only if it is, in full, an optional ``yyyy/MM/dd HH:mm:ss``
 prefix, ``data: [``, decimal bytes separated by blanks, and ``]``. A
 ``record:`` line whose text merely contains ``data:`` does not. The retry
 generation comes from the file name: ``backup.log`` is attempt 0,
-``backup.log.N`` attempt N+1.
+``backup.log.N`` attempt N+1, null if N is no 32-bit number.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ def parse_backup_lines(lines: DataFrame, value: str = "value", path: str | None
     cols = {}
     if path:
         gen = F.regexp_extract(F.col(path), GENERATION, 1)
-        cols["attempt"] = F.when(gen == "", F.lit(0)).otherwise(gen.cast("int") + 1)
+        cols["attempt"] = F.when(gen == "", F.lit(0)).otherwise(gen.try_cast("int") + 1)
     return df.withColumns(cols)
 
 

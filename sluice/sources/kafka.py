@@ -3,6 +3,7 @@
 S3 is a streaming subscription to a comma-separated topic list; the query's
 checkpoint replaces the consumer group's committed offsets, and
 ``read_from_oldest`` picks ``earliest`` or ``latest`` for a fresh start (T4).
+A lost offset range is an error unless ``extra`` says otherwise.
 S4 reads every partition of a topic from the oldest offset as a batch.
 """
 
@@ -35,7 +36,7 @@ def kafka_read_options(
         "kafka.bootstrap.servers": ",".join(brokers),
         "subscribe": ",".join(names),
         "startingOffsets": "earliest" if read_from_oldest else "latest",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true",
     }
     opts.update(extra or {})
     return opts

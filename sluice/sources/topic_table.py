@@ -9,12 +9,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.operators.codec import decode
 
 
 def read_topic_table(spark: SparkSession, path: str, topic: str | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+    # topic names are text, even if every folder's name reads as a number
+    found = spark.read.parquet(path).schema
+    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == "topic" else f.dataType) for f in found])
+    df = spark.read.schema(schema).parquet(path)
     return df.filter(F.col("topic") == topic) if topic is not None else df
 
 

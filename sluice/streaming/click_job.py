@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.plans.partner import click_outbox
+from sluice.session import _fs_exists
 from sluice.sinks.outbox import write_outbox
 
 Deliver = Callable[[DataFrame, int], None]
@@ -43,7 +44,9 @@ def start_click_job(
         out = click_outbox(batch, base, pid, codec=codec)
         write_outbox(out, outbox_path, batch_id)
         if deliver is not None:
-            deliver(batch.sparkSession.read.parquet(f"{outbox_path}/batch_id={batch_id}"), batch_id)
+            # a batch without a valid click leaves no folder: it delivers no rows
+            written = f"{outbox_path}/batch_id={batch_id}"
+            deliver(batch.sparkSession.read.parquet(written) if _fs_exists(batch.sparkSession, written) else out, batch_id)
 
     writer = messages.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     if available_now:

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
-from sluice.functions.forms import require_last_win
 from sluice.plans.ingest import form_messages_and_dead_letters, ingest_forms
 from sluice.sinks.deadletter import to_dead_letters
 from sluice.sinks.topic_table import write_topic_table
@@ -48,7 +47,7 @@ def start_ingest_job(
                 else:
                     write_topic_table(messages, topics_path, batch_id)
             except Exception as exc:  # the sink refused the batch: keep it whole as dead letters
-                error = f"Failed to send message to kafka:{str(exc).splitlines()[0][:500]}"
+                error = f"Failed to send message to kafka:{str(exc) or type(exc).__name__}"
                 failed = to_dead_letters(messages, F.lit(error), None, F.col("value"), F.col("topic"))
                 dead = dead.unionByName(failed)
             (
@@ -61,7 +60,6 @@ def start_ingest_job(
         finally:
             judged.unpersist()
 
-    require_last_win(requests.sparkSession)
     writer = requests.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)

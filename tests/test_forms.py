@@ -2,7 +2,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sluice.functions.forms import decode_path, parse_form
+from sluice.functions.forms import decode_path, parse_form, with_form_params
 
 
 def parse(spark, body, query):
@@ -70,3 +70,12 @@ def test_encode_parse_roundtrip(spark, pairs):
 def test_encoded_duplicate_key_first_wins(spark):
     assert parse(spark, "a=1&%61=2", None) == {"a": "1"}
     assert parse(spark, "%61=2&a=1", None) == {"a": "2"}
+
+
+def test_first_value_wins_when_keys_are_encoded_and_no_setting_changes(spark):
+    before = spark.conf.get("spark.sql.mapKeyDedupPolicy", "EXCEPTION")
+    df = spark.createDataFrame([("a=1&%61=2&a=3",), ("%61=2&a=1",), ("a=&a=1&b&b=2",), ("a+b=1&a%20b=2&a=%zz&a=3",)], "q string")
+    expected = [{"a": "1"}, {"a": "2"}, {"a": "", "b": ""}, {"a b": "1", "a": "3"}]
+    assert [r.p for r in with_form_params(df, "p", F.col("q")).collect()] == expected
+    assert [r.p for r in df.select(parse_form(F.col("q")).alias("p")).collect()] == expected
+    assert spark.conf.get("spark.sql.mapKeyDedupPolicy", "EXCEPTION") == before

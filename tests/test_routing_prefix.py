@@ -1,6 +1,4 @@
 
-from sluice.operators import prefix as prefix_mod
-from sluice.operators import routing as routing_mod
 from sluice.operators.prefix import match_prefix
 from sluice.operators.routing import route
 
@@ -13,13 +11,14 @@ def test_route_known_unknown_default_empty(spark):
     assert got == ["order", "fallback", "fallback", "fallback", "fallback"]
 
 
-def test_route_table_dataframe_and_join_fallback(spark, monkeypatch):
-    table = spark.createDataFrame(list(ROUTES.items()), "event_type string, topic string")
-    df = spark.createDataFrame([("order", 1), ("x", 2), ("registration", 3)] * 50, "event_type string, n int")
-    small = sorted((r.n, r.topic) for r in route(df, table).collect())
-    monkeypatch.setattr(routing_mod, "LITERAL_LIMIT", 1)
-    big = sorted((r.n, r.topic) for r in route(df, table).collect())
-    assert small == big
+def test_route_table_with_repeats_nulls_and_many_rows(spark):
+    rows = [*ROUTES.items(), ("order", "zzz"), (None, "lost"), *[(f"t{n}", f"topic{n}") for n in range(10_500)]]
+    table = spark.createDataFrame(rows, "event_type string, topic string")
+    df = spark.createDataFrame([("order", 1), ("x", 2), ("registration", 3), (None, 4), ("default", 5), ("t10400", 6)], "event_type string, n int")
+    got = sorted((r.n, r.topic) for r in route(df, table).collect())
+    assert got == [(1, "order"), (2, "fallback"), (3, "registration"), (4, "fallback"), (5, "fallback"), (6, "topic10400")]
+    few = spark.createDataFrame(rows[:6], "event_type string, topic string")
+    assert sorted((r.n, r.topic) for r in route(df, few).collect())[:5] == got[:5]
 
 
 def test_route_requires_default(spark):
@@ -44,14 +43,15 @@ def test_longest_prefix_by_character(spark):
     assert out2[3] == (None, "No handler matched.")
 
 
-def test_prefix_join_path_equals_literal_path(spark, monkeypatch):
-    df = spark.createDataFrame(PATHS, "id int, path string")
+def test_prefix_table_equals_prefix_list_at_any_size(spark):
+    df = spark.createDataFrame([*PATHS, (None, "/ank"), (9, None), (3, "/zzz")], "id int, path string")
     prefixes = ["/", "/an", "/ank", "/q"]
-    table = spark.createDataFrame([(p,) for p in prefixes], "prefix string")
-    lit = sorted((r.id, r.prefix) for r in match_prefix(df, table, key="id").collect())
-    monkeypatch.setattr(prefix_mod, "LITERAL_LIMIT", 1)
-    joined = sorted((r.id, r.prefix) for r in match_prefix(df, table, key="id").collect())
-    assert lit == joined
+    few = spark.createDataFrame([(p,) for p in [*prefixes, "/", None]], "prefix string")
+    many = few.union(spark.createDataFrame([(f"/none{n}",) for n in range(10_500)], "prefix string"))
+    expected = sorted((r.id or 0, r.prefix or "") for r in match_prefix(df, prefixes).collect())
+    for table in (few, many):
+        assert sorted((r.id or 0, r.prefix or "") for r in match_prefix(df, table).collect()) == expected
+    assert all(r.prefix is None for r in match_prefix(df, few.limit(0)).collect())
 
 
 def test_many_prefixes_and_routes_match_brute_force(spark):

@@ -1,16 +1,6 @@
 from sluice import session as S
 
 
-def test_spread_small_only_spreads_small_inputs(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "one")
-    spark.range(1000).coalesce(1).write.parquet(path)
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    assert S.spread_small(df)._jdf.rdd().getNumPartitions() == max(cores, df._jdf.rdd().getNumPartitions())
-    monkeypatch.setattr(S, "SPREAD_MAX_BYTES", 1)
-    assert S.spread_small(df)._jdf.rdd().getNumPartitions() == df._jdf.rdd().getNumPartitions()
-
-
 def test_landed_path_writes_once_per_source(spark, tmp_path):
     src_path = str(tmp_path / "src")
     spark.range(10).write.parquet(src_path)
