@@ -6,36 +6,20 @@ aggregates; one trivial lambda turns each number into two hex digits. A
 number above 255, a leading zero or a non-number makes the whole list
 invalid (null bytes) rather than producing a wrong byte.
 
-Formatting (bytes to text) is used when writing legacy logs; Spark has no
-per-byte decimal formatter, so it runs as an Arrow-batched pandas UDF.
+Formatting (bytes to text), used when writing legacy logs, turns the pairs of
+hexadecimal digits into decimal text one by one.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# decimal text of every byte value, built by rule
-_DECIMAL = [str(v) for v in range(256)]
-
-
-def _format_batch(values: pd.Series) -> pd.Series:
-    dec = _DECIMAL
-    return pd.Series(
-        [None if v is None else "[" + " ".join([dec[b] for b in v]) + "]" for v in values],
-        dtype=object,
-    )
-
-
-_UDF = {}
-
 
 def bytes_to_list_text(b: Column) -> Column:
     """Binary to ``[b0 b1 ...]`` with decimal byte values; ``[]`` when empty."""
-    if "fmt" not in _UDF:
-        _UDF["fmt"] = F.pandas_udf(_format_batch, "string")
-    return _UDF["fmt"](b)
+    pairs = F.regexp_extract_all(F.hex(b), F.lit("(..)"), F.lit(1))
+    return F.concat(F.lit("["), F.array_join(F.transform(pairs, lambda x: F.conv(x, 16, 10)), " "), F.lit("]"))
 
 
 def _numbers(inner: Column) -> Column:

@@ -85,7 +85,7 @@ def landed_path(spark: SparkSession, kind: str, source, write) -> str:
     """Land a derived dataset once and reuse it while its source and this code are unchanged.
 
     ``source`` is the DataFrame it derives from; the key is the source's file
-    list and total size plus the package's code fingerprint, so new data or
+    list, total size and modification times plus the package's code fingerprint, so new data or
     new derivation rules land again. ``write(path)`` must write the dataset to
     ``path`` (the writer's ``_SUCCESS`` marker is the commit).
     """
@@ -94,7 +94,11 @@ def landed_path(spark: SparkSession, kind: str, source, write) -> str:
     files = sorted(source.inputFiles())
     # total bytes from the file index Spark already built (no extra file-system calls)
     size = str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    key = hashlib.sha1(("\n".join(files) + f"|{size}|{code_fingerprint()}").encode()).hexdigest()[:16]
+    # a source rewritten in place at the same size has another modification time
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = [jvm.org.apache.hadoop.fs.Path(f) for f in files]
+    times = [p.getFileSystem(conf).getFileStatus(p).getModificationTime() for p in paths]
+    key = hashlib.sha1(("\n".join(files) + f"|{size}|{times}|{code_fingerprint()}").encode()).hexdigest()[:16]
     root = checkpoint_root(spark).rstrip("/")
     path = f"{root}/sluice/landed/{kind}-{key}"
     if not _fs_exists(spark, f"{path}/_SUCCESS"):
