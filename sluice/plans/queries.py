@@ -346,16 +346,12 @@ def stream_upload_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir)
     uploads = landed_path(spark, "uploads", ev, lambda p: derive.write_uploads(ev, p))
     root = scratch_path(spark, "uploadstream")
-    # two micro-batches whatever the number of uploads
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt")
-    n_files = len(listing.load(uploads).select("path").inputFiles())
     q = start_upload_job(
-        upload_file_stream(spark, uploads, glob="*.txt", max_files_per_trigger=max(1, -(-n_files // 2))),
+        upload_file_stream(spark, uploads, glob="*.txt"),
         settings.ROUTES,
         f"{root}/topics",
         f"{root}/dead_letter",
         f"{root}/checkpoint",
-        glob="*.txt",
         available_now=True,
     )
     q.awaitTermination()

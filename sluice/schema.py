@@ -26,6 +26,11 @@ SIGN_MISMATCH_MSG = "Sign mismatched!"
 TS_PARSE_MSG = "Failed to parse ts:"
 RECEIPT_FMT = "%d messages have been writen."
 NO_HANDLER_MSG = "No handler matched."
+TOO_LARGE_MSG = "The file is too large:"
+EMPTY_UPLOAD_MSG = "Failed to read the first line of file:EOF"
+UNREAD_UPLOAD_MSG = "Failed to read upload file:"
+RAGGED_ROW_MSG = "wrong number of fields"
+BAD_QUOTE_MSG = 'bare " in non-quoted field'
 # Limits.
 MAX_UPLOAD_BYTES = 10 * 1024 * 1024
 MAX_RETRY_GENERATIONS = 100

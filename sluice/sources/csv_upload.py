@@ -1,210 +1,164 @@
 """CSV uploads to event records.
 
-An upload's first line names its columns, in any order. ``did``, ``aid``,
-``ip`` and ``timestamp`` become record fields; every other column goes into
-the extension (so ``event_type`` is there too). When a name repeats, its last
-column wins. ``did``, ``timestamp`` and ``event_type`` are required (checked in
-that order on the header; a file without one is rejected whole), a file above
-10 MiB is rejected whole, and a row with the wrong number of fields is
-quarantined. (The original stopped a file at its first bad row, keeping the
-rows before it; here every good row is kept and each bad one is reported.)
-
-Plan:
-1. list files with the ``binaryFile`` source, content pruned (paths and sizes only);
-2. read each file's first line in a ``mapInPandas`` task: one short read per
-   file, distributed over the cluster;
-3. group files by header: files with different headers never share a scan
-   (the header count is checked; paths reach the driver as Spark's own file
-   listing would bring them, streamed as rows, never gathered in one task);
-4. per header group, one ``multiLine`` CSV scan with a positional all-string
-   schema (``header=True, enforceSchema=True``), PERMISSIVE mode with a
-   corrupt-record column; assemble records from column positions;
-5. union the groups.
-
-Zero-length files are skipped by Spark's file listing, so an empty upload
-produces no rows and no file verdict (the original replied with an EOF error).
+An upload's first line that is not blank names its columns, in any order.
+``did``, ``aid``, ``ip`` and ``timestamp`` become record fields; every other
+column goes into the extension (so ``event_type`` is there too). When a name
+repeats, its last column wins. ``did``, ``timestamp`` and ``event_type`` are
+required (checked in that order on the header; a file without one is rejected
+whole), a file above 10 MiB is rejected whole, and a row with the wrong number
+of fields or a stray quote is quarantined. (The original stopped a file at its
+first bad row, keeping the rows before it; here every good row is kept and
+each bad one is reported.)
+
+Plan: one ``binaryFile`` scan. A file is one row, bounded by the 10 MiB cap (a
+larger one is never read: the size filter is pushed into the scan). Built-in
+expressions cut its text into records and each record into fields, and the
+header is the first record of the same row. So there is no shuffle, nothing
+reaches the driver, file names are never read as globs, and the same function
+parses a micro-batch of files.
+
+Spark's file listing leaves out empty files and names that begin with a dot or
+an underscore. Give ``manifest`` (a row per upload request: file_path,
+file_size) and each of its uploads gets a verdict.
 """
 
 from __future__ import annotations
 
-import csv
-import io
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.functions.forms import materialize
 from sluice.functions.maps import nonempty_map
 from sluice.operators.assemble import csv_record
-from pyspark.sql import types as T
-
-from sluice.schema import BAD_REQUEST, EVENT_RECORD, MAX_UPLOAD_BYTES, MISSING_FIELD_MSG, OK, REQUIRED_EVENT_FIELDS, SERVER_ERROR
+from sluice.schema import (
+    BAD_QUOTE_MSG,
+    BAD_REQUEST,
+    EMPTY_UPLOAD_MSG,
+    MAX_UPLOAD_BYTES,
+    MISSING_FIELD_MSG,
+    OK,
+    RAGGED_ROW_MSG,
+    REQUIRED_EVENT_FIELDS,
+    SERVER_ERROR,
+    TOO_LARGE_MSG,
+    UNREAD_UPLOAD_MSG,
+)
 
 CORE_FIELDS = ("did", "aid", "ip", "timestamp")
-CORRUPT = "_corrupt_record"
-MAX_HEADER_GROUPS = 10_000
-_HEADER_SCHEMA = "path string, size long, header string, header_error string"
 BOM = "\ufeff"
-ROWS_SCHEMA = T.StructType(
-    [
-        T.StructField("file_path", T.StringType()),
-        T.StructField("file_size", T.LongType()),
-        T.StructField("status", T.IntegerType()),
-        T.StructField("reason", T.StringType()),
-        T.StructField("record", EVENT_RECORD),
-        T.StructField("event_type", T.StringType()),
-        T.StructField("raw_line", T.StringType()),
-    ]
-)
+# A quoted field, one whose quote is never closed, or a plain one. Possessive, so long fields need no backtracking.
+_QUOTED = r'"(?:[^"]++|"")*+"'
+_FIELD = rf'(?:{_QUOTED}(?=[,\r\n]|\z)|"(?:[^"]++|"")*+\z|[^,\n]*+)'
+_RECORD = rf"{_FIELD}(?:,{_FIELD})*+(?:\r?\n|\z)"
 
 
-def _open(path: str):
-    """Open a file given as a URI; local files directly, others through pyarrow."""
-    if path.startswith("file:"):
-        local = path[5:]
-        while local.startswith("//"):
-            local = local[1:]
-        return open(local, "rb")
-    from pyarrow import fs
-
-    filesystem, inner = fs.FileSystem.from_uri(path)
-    return filesystem.open_input_stream(inner)
+def list_uploads(spark: SparkSession, paths: str | list[str], glob: str = "*.csv") -> DataFrame:
+    """One row per upload file: ``path``, ``length``, ``content`` (read only where it is used)."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(paths)
 
 
-def _first_line(path: str, limit: int = 1 << 20) -> tuple[str | None, str | None]:
-    """The first line of a file (without line ending and BOM), or an error text."""
-    try:
-        with _open(path) as fh:
-            buf = b""
-            while b"\n" not in buf and len(buf) < limit:
-                chunk = fh.read(65536)
-                if not chunk:
-                    break
-                buf += chunk
-    except OSError as exc:
-        return None, f"Failed to read upload file:{exc}"
-    line = buf.split(b"\n", 1)[0].rstrip(b"\r")
-    if not line and not buf:
-        return None, "Failed to read the first line of file:EOF"
-    text = line.decode("utf-8", errors="replace")
-    return (text[1:] if text.startswith(BOM) else text), None
+def _fields(record: Column) -> Column:
+    """The fields of a record as they are written; every match begins with a comma, so none is empty."""
+    return F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(f",({_FIELD})"), F.lit(1))
 
 
-def _read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        out = [(p, s, *_first_line(p)) for p, s in zip(pdf["path"], pdf["length"])]
-        yield pd.DataFrame(out, columns=["path", "size", "header", "header_error"])
+def _is_bad(field: Column) -> Column:
+    """A quote in a field that is not quoted as a whole."""
+    return (F.instr(field, '"') > 0) & ~field.rlike(rf"^{_QUOTED}\z")
 
 
-def header_names(header: str) -> list[str]:
-    """Column names of a header line (CSV quoting rules)."""
-    rows = list(csv.reader(io.StringIO(header)))
-    return rows[0] if rows else []
+def _value(field: Column) -> Column:
+    inner = F.replace(F.replace(field.substr(F.lit(2), F.length(field) - 2), F.lit('""'), F.lit('"')), F.lit("\r\n"), F.lit("\n"))
+    return F.when(F.startswith(field, F.lit('"')), inner).otherwise(field)
 
 
-def list_uploads(spark: SparkSession, paths: str | list[str], glob: str = "*.csv") -> DataFrame:
-    """One row per upload file: ``path``, ``size``, ``header``, ``header_error``."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "true")
-        .load(paths)
-        .select("path", "length")
+def with_headers(files: DataFrame) -> DataFrame:
+    """Uploads within the cap with their ``records``, column ``names`` and whether the header is well formed."""
+    text = F.regexp_replace(F.col("content").cast("string"), f"^{BOM}", "")
+    records = F.filter(
+        F.transform(F.regexp_extract_all(text, F.lit(_RECORD), F.lit(0)), lambda r: F.regexp_replace(r, r"\r?\n\z", "")),
+        lambda r: ~r.isin("", "\r"),
     )
-    return files.mapInPandas(_read_headers, _HEADER_SCHEMA)
-
-
-def header_verdict(names: list[str]) -> tuple[int, str | None]:
-    for f in REQUIRED_EVENT_FIELDS:
-        if f not in names:
-            return BAD_REQUEST, MISSING_FIELD_MSG % f
-    return OK, None
-
-
-def file_verdicts(uploads: DataFrame) -> DataFrame:
-    """F4 then F2 per file: ``status``/``reason`` (200/null when the file may be read)."""
-    too_big = F.col("size") > MAX_UPLOAD_BYTES
-    reason = F.when(F.col("header_error").isNotNull(), F.col("header_error")).when(
-        too_big, F.concat(F.lit("The file is too large:"), F.col("size").cast("string"), F.lit("bytes"))
+    df = files.where(F.col("length") <= MAX_UPLOAD_BYTES).select("path", "length", "content")
+    df = materialize(df, {"records": records}).drop("content")
+    df = materialize(df, {"header": _fields(F.get("records", F.lit(0)))})
+    return df.withColumns({"header_bad": F.exists("header", _is_bad), "names": F.transform("header", _value)})
+
+
+def _verdict(df: DataFrame) -> tuple[Column, Column]:
+    """Status and reason of a file with its header."""
+    checks = [(F.size("records") == 0, SERVER_ERROR, EMPTY_UPLOAD_MSG), (F.col("header_bad"), SERVER_ERROR, "Failed to read the first line of file:" + BAD_QUOTE_MSG)]
+    checks += [(~F.array_contains("names", f), BAD_REQUEST, MISSING_FIELD_MSG % f) for f in REQUIRED_EVENT_FIELDS]
+    status, reason = F.lit(OK), F.lit(None).cast("string")
+    for bad, code, text in reversed(checks):
+        status, reason = F.when(bad, F.lit(code)).otherwise(status), F.when(bad, F.lit(text)).otherwise(reason)
+    return status, reason
+
+
+def file_verdicts(files: DataFrame) -> DataFrame:
+    """F4 then F2 per file: ``file_path``, ``file_size``, ``status``, ``reason`` (200/null when the file may be read)."""
+    columns = [F.col("path").alias("file_path"), F.col("length").alias("file_size")]
+    large = files.where(F.col("length") > MAX_UPLOAD_BYTES).select(
+        *columns,
+        F.lit(BAD_REQUEST).alias("status"),
+        F.concat(F.lit(TOO_LARGE_MSG), F.col("length").cast("string"), F.lit("bytes")).alias("reason"),
     )
-    status = F.when(F.col("header_error").isNotNull(), F.lit(SERVER_ERROR)).when(too_big, F.lit(BAD_REQUEST))
-    return uploads.withColumns({"status": status, "reason": reason})
-
-
-def _scan_group(spark: SparkSession, files: list[str], names: list[str]) -> DataFrame:
-    n = len(names)
-    schema = ", ".join(f"c{j} string" for j in range(n)) + f", {CORRUPT} string"
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(files)
-        .withColumns({"file_path": F.col("_metadata.file_path"), "file_size": F.col("_metadata.file_size")})
+    read = with_headers(files)
+    status, reason = _verdict(read)
+    return read.select(*columns, status.alias("status"), reason.alias("reason")).unionByName(large)
+
+
+def upload_rows(files: DataFrame) -> DataFrame:
+    """One row per data record of every accepted file: file, ``status``/``reason``, ``record``, ``event_type``, ``raw_line``."""
+    read = with_headers(files)
+    read = read.where(_verdict(read)[0] == OK)
+    n = F.size("names")
+    backwards = F.reverse("names")
+
+    def last(name) -> Column:
+        """Place of the last column of a name, null without one."""
+        at = F.array_position(backwards, name)
+        return F.when(at > 0, (n - at).cast("int"))
+
+    read = materialize(read, {f"{f}_at": last(F.lit(f)) for f in (*CORE_FIELDS, "event_type")})
+    others = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (last(F.get("names", i)) == i) & ~F.get("names", i).isin(*CORE_FIELDS))
+    read = materialize(read, {"other_at": others})
+    read = read.withColumn("other_names", F.transform("other_at", lambda i: F.get("names", i)))
+    rows = read.select("*", F.explode(F.slice("records", 2, F.greatest(F.size("records") - 1, F.lit(0)))).alias("raw")).drop("records")
+    rows = materialize(rows, {"raw_fields": _fields(F.col("raw"))})
+    ragged, bad = F.size("raw_fields") != n, F.exists("raw_fields", _is_bad)
+    rows = materialize(rows, {"values": F.transform("raw_fields", _value), "fault": F.when(bad, F.lit(BAD_QUOTE_MSG)).when(ragged, F.lit(RAGGED_ROW_MSG))})
+    good = F.col("fault").isNull()
+    fields = {f: F.get("values", F.col(f"{f}_at")) for f in CORE_FIELDS}
+    extension = nonempty_map(F.map_from_arrays("other_names", F.transform("other_at", lambda i: F.get("values", i))))
+    return rows.select(
+        F.col("path").alias("file_path"),
+        F.col("length").alias("file_size"),
+        F.when(good, F.lit(OK)).otherwise(F.lit(SERVER_ERROR)).alias("status"),
+        F.concat(F.lit("Err read file:"), F.col("fault")).alias("reason"),
+        F.when(good, csv_record(fields, extension)).alias("record"),
+        F.when(good, F.get("values", F.col("event_type_at"))).alias("event_type"),
+        F.when(~good, F.col("raw")).alias("raw_line"),
     )
-    last = {name: j for j, name in enumerate(names)}  # a repeated name keeps its last column
-    val = {name: F.coalesce(F.col(f"c{j}"), F.lit("")) for name, j in last.items()}
-    fields = {k: v for k, v in val.items() if k in CORE_FIELDS}
-    ext_items: list[Column] = []
-    for k, v in val.items():
-        if k not in CORE_FIELDS:
-            ext_items += [F.lit(k), v]
-    ext = nonempty_map(F.create_map(*ext_items)) if ext_items else None
-    # Spark refuses a scan that reads only the corrupt-record column; the
-    # never-true length test keeps the first data column in the scan.
-    bad = F.col(CORRUPT).isNotNull() | (F.length(F.col("c0")) < 0)
-    return df.select(
+
+
+def with_manifest(verdicts: DataFrame, manifest: DataFrame) -> DataFrame:
+    """A verdict for every upload of ``manifest`` (file_path, file_size): an empty one ends at once, an unlisted one cannot be read."""
+    told = manifest.select("file_path", F.col("file_size").alias("sent")).join(verdicts, "file_path", "left")
+    none = F.col("status").isNull()
+    too_large = F.concat(F.lit(TOO_LARGE_MSG), F.col("sent").cast("string"), F.lit("bytes"))
+    reason = F.when(F.col("sent") == 0, F.lit(EMPTY_UPLOAD_MSG)).when(F.col("sent") > MAX_UPLOAD_BYTES, too_large).otherwise(F.lit(UNREAD_UPLOAD_MSG))
+    status = F.when(F.col("sent") > MAX_UPLOAD_BYTES, F.lit(BAD_REQUEST)).otherwise(F.lit(SERVER_ERROR))
+    return told.select(
         "file_path",
-        "file_size",
-        F.when(bad, F.lit(SERVER_ERROR)).otherwise(F.lit(OK)).alias("status"),
-        F.when(bad, F.lit("Err read file:wrong number of fields")).alias("reason"),
-        F.when(~bad, csv_record(fields, ext)).alias("record"),
-        F.when(~bad, val.get("event_type")).alias("event_type") if "event_type" in val else F.lit(None).cast("string").alias("event_type"),
-        F.col(CORRUPT).alias("raw_line"),
+        F.coalesce("file_size", "sent").alias("file_size"),
+        F.when(none, status).otherwise(F.col("status")).alias("status"),
+        F.when(none, reason).otherwise(F.col("reason")).alias("reason"),
     )
 
 
-def read_event_csv(spark: SparkSession, paths: str | list[str], glob: str = "*.csv") -> tuple[DataFrame, DataFrame]:
-    """Returns ``(rows, files)``.
-
-    ``rows``: one row per CSV data row of every accepted file: ``file_path``,
-    ``status``/``reason`` (500 for a ragged row), ``record``, ``event_type``.
-    ``files``: one row per file with its file-level verdict (size, header).
-    """
-    uploads = file_verdicts(list_uploads(spark, paths, glob))
-    # A scan needs its file list on the driver, as Spark's own file listing
-    # holds it; the paths arrive as plain rows in one job, so no task gathers a group.
-    by_header: dict[str, list[str]] = {}
-    for r in uploads.filter(F.col("status").isNull()).select("header", "path").collect():
-        by_header.setdefault(r["header"], []).append(r["path"])
-        if len(by_header) > MAX_HEADER_GROUPS:
-            raise ValueError(f"more than {MAX_HEADER_GROUPS} distinct CSV headers")
-    header_checked = []
-    scans = []
-    for header, group_files in by_header.items():
-        names = header_names(header)
-        code, why = header_verdict(names)
-        header_checked.append((header, code, why))
-        if code == OK:
-            scans.append(_scan_group(spark, group_files, names))
-    verdicts = spark.createDataFrame(header_checked or [("", OK, None)], "header string, h_status int, h_reason string")
-    files = (
-        uploads.join(F.broadcast(verdicts), "header", "left")
-        .select(
-            F.col("path").alias("file_path"),
-            F.col("size").alias("file_size"),
-            F.coalesce("status", "h_status", F.lit(OK)).alias("status"),
-            F.coalesce("reason", "h_reason").alias("reason"),
-        )
-    )
-    if scans:
-        rows = scans[0]
-        for s in scans[1:]:
-            rows = rows.unionByName(s)
-    else:
-        rows = spark.createDataFrame([], ROWS_SCHEMA)
-    return rows, files
+def read_event_csv(spark: SparkSession, paths: str | list[str], glob: str = "*.csv", manifest: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Returns ``(rows, files)``: see ``upload_rows`` and ``file_verdicts``; with ``manifest`` every upload in it has a verdict."""
+    uploads = list_uploads(spark, paths, glob)
+    verdicts = file_verdicts(uploads)
+    return upload_rows(uploads), verdicts if manifest is None else with_manifest(verdicts, manifest)

@@ -1,10 +1,9 @@
 """CSV uploads as a stream: files landing in a folder are ingested batch by batch.
 
-A ``binaryFile`` file stream (content pruned) yields the paths of new uploads,
-at most ``max_files_per_trigger`` per micro-batch; each batch runs the batch
-reader and ingest plan on exactly those files, writes messages to the topic
-table and dead letters under ``batch_id=N``, then commits. Uploads have
-different headers, so a fixed-schema CSV stream cannot read them directly.
+A ``binaryFile`` file stream yields new uploads with their content, at most
+``max_files_per_trigger`` per micro-batch; each batch is parsed and ingested by
+the batch reader's own functions, writes messages to the topic table and dead
+letters under ``batch_id=N``, then commits.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from pyspark.storagelevel import StorageLevel
 
 from sluice.plans.ingest import ingest_uploads
 from sluice.sinks.topic_table import write_topic_table
-from sluice.sources.csv_upload import read_event_csv
+from sluice.sources.csv_upload import file_verdicts, upload_rows
 
 
 def upload_file_stream(spark: SparkSession, folder: str, glob: str = "*.csv", max_files_per_trigger: int = 100) -> DataFrame:
@@ -29,7 +28,6 @@ def upload_file_stream(spark: SparkSession, folder: str, glob: str = "*.csv", ma
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .load(folder)
-        .select("path")
     )
 
 
@@ -39,19 +37,12 @@ def start_upload_job(
     topics_path: str,
     dead_letter_path: str,
     checkpoint: str,
-    glob: str = "*.csv",
     available_now: bool = False,
 ) -> StreamingQuery:
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        # a micro-batch holds at most max_files_per_trigger paths
-        paths = [r["path"] for r in batch.collect()]
-        if not paths:
-            return
-        rows, verdicts = read_event_csv(spark, paths, glob=glob)
         # both sinks read the batch's rows and file verdicts: keep them (bounded by the trigger)
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        verdicts = verdicts.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = upload_rows(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        verdicts = file_verdicts(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             messages, dead = ingest_uploads(rows, verdicts, routes)
             write_topic_table(messages, topics_path, batch_id)

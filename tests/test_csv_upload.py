@@ -25,7 +25,6 @@ def test_headers_quoting_and_ragged_rows(spark, tmp_path):
     fv = {r.file: (r.status, r.reason) for r in files.collect()}
     assert fv["a.csv"] == (200, None) and fv["b.csv"] == (200, None)
     assert fv["c.csv"] == (400, "Missing Required field: No timestamp")
-    assert "d.csv" not in fv  # Spark's file scan skips zero-length files: no rows, no verdict
     all_rows = rows.collect()
     got = {(r.file, r.record.did): r for r in all_rows if r.record}
     ok = [r for r in all_rows if r.status == 200]
@@ -65,3 +64,37 @@ def test_each_missing_required_column(spark, tmp_path, header, missing):
     f = files.first()
     assert (f.status, f.reason) == (400, f"Missing Required field: No {missing}")
     assert rows.count() == 0
+
+
+def test_odd_names_headers_and_quotes(spark, tmp_path):
+    _write(tmp_path, "up[1] a.csv", "\n\r\ndid,timestamp,event_type\r\nd1,1,order\r\n")
+    _write(tmp_path, "quoted.csv", 'did,timestamp,event_type,"odd\nname"\nd2,1,order,"a""b\r\nc"\n')
+    _write(tmp_path, "bare.csv", 'did,timestamp,event_type\nd3,1,cl"ick\nd4,1,"cl"ick\n"d5","1","order"\nd6,1,"never closed\nd7,1,order\n')
+    _write(tmp_path, "wide.csv", "did,timestamp,event_type," + "x" * 1_200_000 + "\nd8,1,order,v")
+    _write(tmp_path, "badhead.csv", 'did,"time"stamp,event_type\nd9,1,order\n')
+    _write(tmp_path, "headonly.csv", "did,timestamp,event_type")
+    _write(tmp_path, "twice.csv", "x,did,timestamp,event_type,x,did\n1,no,1,order,2,d10\n")
+    rows, files = _read(spark, tmp_path)
+    fv = {r.file: (r.status, r.reason) for r in files.collect()}
+    assert {k: v[0] for k, v in fv.items()} == {k: 500 if k == "badhead.csv" else 200 for k in fv} and len(fv) == 7
+    got = {(r.file, r.record.did): r for r in rows.collect() if r.record}
+    assert sorted(k[1] for k in got) == ["d1", "d10", "d2", "d5", "d8"]
+    assert got["quoted.csv", "d2"].record.extension == {"event_type": "order", "odd\nname": 'a"b\nc'}
+    assert got["wide.csv", "d8"].record.extension["x" * 1_200_000] == "v"
+    assert got["twice.csv", "d10"].record.extension == {"event_type": "order", "x": "2"}
+    bad = sorted(r.raw_line for r in rows.collect() if r.status == 500)
+    assert bad == ['d3,1,cl"ick', 'd4,1,"cl"ick', 'd6,1,"never closed\nd7,1,order']
+
+
+def test_every_upload_of_a_manifest_has_a_verdict(spark, tmp_path):
+    names = {"ok.csv": "did,timestamp,event_type\nd,1,order\n", "_hidden.csv": "did\n", "empty.csv": "", "head.csv": "did,timestamp,event_type\n"}
+    for name, text in names.items():
+        _write(tmp_path, name, text)
+    sent = [(f"file:{tmp_path}/{n}", len(t)) for n, t in names.items()] + [(f"file:{tmp_path}/gone.csv", 7), (f"file:{tmp_path}/huge.csv", 20_000_000)]
+    manifest = spark.createDataFrame(sent, "file_path string, file_size long")
+    _, files = read_event_csv(spark, str(tmp_path), manifest=manifest)
+    got = {r.file_path.rsplit("/", 1)[1]: (r.status, r.reason) for r in files.collect()}
+    assert got["ok.csv"] == got["head.csv"] == (200, None)
+    assert got["empty.csv"] == (500, "Failed to read the first line of file:EOF")
+    assert got["_hidden.csv"][0] == got["gone.csv"][0] == 500
+    assert got["huge.csv"] == (400, "The file is too large:20000000bytes")
