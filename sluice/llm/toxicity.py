@@ -33,6 +33,8 @@ EVIDENCE = 20.0  # least log-likelihood ratio statistic of a learnt word
 FEATURES = 3000  # learnt words and beginnings, at most
 SAMPLE = 20_000  # training rows that the classifier is fitted on, at most
 ROUNDS = 60
+# Share of a voter's entropy from which another voter is taken to repeat it.
+REPEATED = 0.7
 # Votes of a voter.
 NONE, CLEAN, TOXIC = 0, 1, 2
 
@@ -133,7 +135,8 @@ class LabelModel:
         weights = np.array([n for _, n in patterns], float)
         majority = (votes == TOXIC).sum(1) - 0.5 * (votes == CLEAN).sum(1)
         posterior = np.where(majority > 0, 0.9, 0.05)
-        self.parents = [-1] * votes.shape[1]
+        # voters that all but repeat another are tied to it from the start, lest they outvote the rest together
+        self.parents = self.correlated(votes, weights, np.zeros(len(votes)), REPEATED)
         for at in range(rounds):
             self.fit(votes, weights, posterior)
             posterior = self.posterior(votes)
@@ -162,14 +165,18 @@ class LabelModel:
             logs += np.log(self.tables[j][:, above, votes[:, j]]).T
         return 1 / (1 + np.exp(np.clip(logs[:, 0] - logs[:, 1], -50, 50)))
 
-    def correlated(self, votes, weights, posterior) -> list[int]:
-        """For each voter the earlier voter with the most information about it beyond the label, if it is notable."""
+    def correlated(self, votes, weights, posterior, least: float = 0.0) -> list[int]:
+        """For each voter the earlier voter with the most information about it beyond the label, if it is notable.
+
+        ``least`` asks for that share of the voter's own entropy.
+        """
         import numpy as np
 
         share = np.stack([weights * (1 - posterior), weights * posterior])
         parents = [-1] * votes.shape[1]
         for j in range(votes.shape[1]):
-            best = 0.01
+            shares = np.bincount(votes[:, j], weights, 3) / max(weights.sum(), 1.0)
+            best = max(0.01, least * -float((shares * np.log(np.maximum(shares, 1e-12))).sum()))
             for i in range(j):
                 gain = 0.0
                 for y in (0, 1):
