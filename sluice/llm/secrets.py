@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,10 +30,10 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 
 TOKEN = r"[\w+/\-]+|[^\w\s+/\-]"
 WINDOW = 40  # tokens on either side of a match that a training window holds
-WINDOWS = 3000  # training windows with a match, at most; as many without
+WINDOWS = 1000  # training windows with a match, at most; as many without
 SHAPES = 512
 FILES = 6
-EPOCHS = 150
+EPOCHS = 60
 OUT, BEGIN, INSIDE = 0, 1, 2
 KEYWORDS = ("password", "passwd", "pwd", "secret", "token", "key", "apikey", "api_key", "auth", "bearer", "credential", "access")
 
@@ -40,7 +41,9 @@ KEYWORDS = ("password", "passwd", "pwd", "secret", "token", "key", "apikey", "ap
 def base_spans(text: str, patterns=None) -> list[tuple[int, int, int, int]]:
     """(start, kind, end, start of the secret itself) of the base matches, in order of start, then kind."""
     assign, access, hexa = patterns or compiled()
-    found = [(m.start(), 0, m.end(), m.start(2)) for m in assign.finditer(text) if m.end() - m.start(2) >= LEAST["assign"]]
+    low, found = text.lower(), []
+    if any(word in low for word in ("passw", "secret", "token", "api")):  # without one of them there is no assignment
+        found = [(m.start(), 0, m.end(), m.start(2)) for m in assign.finditer(text) if m.end() - m.start(2) >= LEAST["assign"]]
     if "AKIA" in text:
         found += [(m.start(), 1, m.end(), m.start()) for m in access.finditer(text) if m.end() - m.start() >= LEAST["access"]]
     # a run of 24 or more is what a greedy run that is long enough matches
@@ -73,13 +76,19 @@ N_KINDS = 1 + len(KEYWORDS) + 13
 
 def shape_of(token: str) -> int:
     """A token's shape: length, character classes, their changes and whether it could be hexadecimal, hashed."""
-    import zlib
-
+    if token.isalpha() and token.islower() and token.strip("abcdef"):  # most words; the same key as below
+        return hashed(min(len(token), 8) if len(token) <= 8 else 8 + min(len(token) // 4, 12), "l", 0, False, False)
     classes = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else "s" for c in token[:64]]
     changes = sum(a != b for a, b in zip(classes, classes[1:], strict=False))
     size = min(len(token), 8) if len(token) <= 8 else 8 + min(len(token) // 4, 12)
     hexadecimal = len(token) >= 6 and all(c in "0123456789abcdefABCDEF" for c in token)
-    key = (size, "".join(sorted(set(classes))), min(changes, 3) if changes < 4 else 4 + min(changes // 4, 3), hexadecimal, token.startswith("AKIA"))
+    return hashed(size, "".join(sorted(set(classes))), min(changes, 3) if changes < 4 else 4 + min(changes // 4, 3), hexadecimal, token.startswith("AKIA"))
+
+
+@lru_cache(maxsize=10_000)
+def hashed(*key) -> int:
+    import zlib
+
     return zlib.crc32(repr(key).encode()) % SHAPES
 
 
@@ -91,7 +100,7 @@ def file_of(n_tokens: int, n_marks: int, n_keys: int) -> int:
 class Features(dict):
     """Shape and kind of tokens, remembered for at most ``most`` of them."""
 
-    def __init__(self, most: int = 200_000):
+    def __init__(self, most: int = 400_000):
         self.most = most
 
     def __missing__(self, token: str) -> int:
