@@ -27,6 +27,7 @@ TS_PARSE_MSG = "Failed to parse ts:"
 RECEIPT_FMT = "%d messages have been writen."
 NO_HANDLER_MSG = "No handler matched."
 TOO_LARGE_MSG = "The file is too large:"
+SEND_FAILED_MSG = "Failed to send message to kafka:"
 EMPTY_UPLOAD_MSG = "Failed to read the first line of file:EOF"
 UNREAD_UPLOAD_MSG = "Failed to read upload file:"
 RAGGED_ROW_MSG = "wrong number of fields"

@@ -15,7 +15,7 @@ state, no watermark, nothing grows with the stream.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sluice.plans.partner import click_outbox
 from sluice.session import _fs_exists
 from sluice.sinks.outbox import write_outbox
+from sluice.sources.kafka import read_topics
 
 Deliver = Callable[[DataFrame, int], None]
 
@@ -56,6 +57,13 @@ def start_click_job(
     return writer.start()
 
 
+def start_click_job_from_topics(
+    spark: SparkSession, brokers: Sequence[str], topics: str | Sequence[str], read_from_oldest: bool = False, **job
+) -> StreamingQuery:
+    """The job on a subscription to ``topics`` (comma-separated or a list); ``job`` goes to ``start_click_job``."""
+    return start_click_job(read_topics(spark, brokers, topics, read_from_oldest), **job)
+
+
 def message_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Parquet files of messages ``(topic, partition, offset, key, value, timestamp)`` as a stream."""
     from pyspark.sql import types as T

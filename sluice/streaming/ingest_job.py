@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
 from sluice.plans.ingest import form_messages_and_dead_letters, ingest_forms
+from sluice.schema import SEND_FAILED_MSG
 from sluice.sinks.deadletter import to_dead_letters
 from sluice.sinks.topic_table import write_topic_table
 from sluice.sources.forms import REQUEST_LOG
@@ -47,7 +48,7 @@ def start_ingest_job(
                 else:
                     write_topic_table(messages, topics_path, batch_id)
             except Exception as exc:  # the sink refused the batch: keep it whole as dead letters
-                error = f"Failed to send message to kafka:{str(exc) or type(exc).__name__}"
+                error = SEND_FAILED_MSG + (str(exc) or type(exc).__name__)
                 failed = to_dead_letters(messages, F.lit(error), None, F.col("value"), F.col("topic"))
                 dead = dead.unionByName(failed)
             (
