@@ -15,6 +15,8 @@ copies costs m comparisons and not m squared, and no link is lost.
 
 from __future__ import annotations
 
+from string import ascii_lowercase
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,8 @@ from .graph import components
 MAX_EDITS = 2
 # One edit is allowed for each such number of characters of the shorter line.
 CHARS_PER_EDIT = 20
+# Groups of letters whose counts are compared.
+LETTERS = [a + b for a, b in zip(ascii_lowercase[::2], ascii_lowercase[1::2], strict=True)]
 
 
 def allowed_edits(length: Column, most: int, per: int) -> Column:
@@ -170,6 +174,11 @@ def confirmed(pairs: DataFrame, lines: DataFrame, scratch: Scratch, most: int, p
     return measured.where("distance <= t").select("a", "b")
 
 
+def letter_counts(line: Column) -> Column:
+    """How often each group of LETTERS occurs."""
+    return F.array(*[F.length(F.regexp_replace(line, f"[^{g}]+", "")) for g in LETTERS])
+
+
 def near_lines(lines: DataFrame, scratch: Scratch, most: int, per: int) -> DataFrame:
     """(node, root) of the distinct lines (node, line, n) that have a near copy; root is the least node of the component."""
     own, others = bucket_keys(most, per)
@@ -187,11 +196,14 @@ def near_lines(lines: DataFrame, scratch: Scratch, most: int, per: int) -> DataF
     rooted = whole.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = rooted.groupBy("bucket").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r != s").select("bucket")
     open_ = scratch.write(rooted.join(mixed, "bucket", "left_semi").select("bucket", "node", "own", "root"), "open")
-    x = open_.where("own").select("bucket", F.col("node").alias("i"), F.col("root").alias("ir"))
-    y = open_.where("not own").select("bucket", F.col("node").alias("j"), F.col("root").alias("jr"))
+    # An edit changes the counts of at most two letters by one, which rules out most pairs before they are formed.
+    told = open_.join(lines.select("node", letter_counts(F.col("line")).alias("letters")), "node")
+    x = told.where("own").select("bucket", F.col("node").alias("i"), F.col("root").alias("ir"), F.col("letters").alias("il"))
+    y = told.select("bucket", F.col("node").alias("j"), F.col("root").alias("jr"), F.col("letters").alias("jl"))
+    apart = sum((F.abs(F.get("il", F.lit(k)) - F.get("jl", F.lit(k))) for k in range(len(LETTERS))), F.lit(0))
     rest = (
         x.join(y, "bucket")
-        .where("ir != jr")
+        .where((F.col("ir") != F.col("jr")) & (apart <= 2 * most))
         .select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"))
         .distinct()
         .join(tried, ["a", "b"], "left_anti")

@@ -81,6 +81,15 @@ def test_equals_brute_force(documents, odd_texts):
     assert judged(documents(texts)) == brute(texts)
 
 
+def test_lines_of_one_bucket_are_compared_among_themselves(documents):
+    a, b = "q" * 20, "z" * 20
+    middle = "the very same middle"  # the segment that all lines share
+    # the second and third are near each other and far from the first
+    texts = [f"{a}{middle}{a}", f"{b}{middle}{b}", f"{b}{middle}{b[1:]}y", f"{a}{middle}{b}", f"x{a[1:]}{middle}{b}"]
+    assert judged(documents(texts)) == brute(texts)
+    assert [bool(near) for *_, near in brute(texts)] == [False, False, True, False, True]
+
+
 def test_banded_distance_is_exact_up_to_the_band(spark):
     rng = random.Random(2)
     pairs = []
