@@ -38,7 +38,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without copied and nearly copied lines; one that loses its last line with a word goes. n_chars follows."""
     lost = F.size("exact") + F.size("near") > 0
-    less = linededup.dedup_lines(docs).where(~lost | F.coalesce(F.col("text").rlike(f"[^{SPACE}]"), F.lit(False)))
+    less = linededup.dedup_lines(docs, linededup.MAX_EDITS).where(~lost | F.coalesce(F.col("text").rlike(f"[^{SPACE}]"), F.lit(False)))
     if "n_chars" in docs.columns:
         less = less.withColumn("n_chars", F.when(lost, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return less.select(*docs.columns)

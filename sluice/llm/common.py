@@ -50,6 +50,11 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of queries that are done, which it does once their plans are collected."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def small_or_shuffled(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``most`` rows; else as it is, to be joined by a shuffle."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df

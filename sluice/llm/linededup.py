@@ -1,12 +1,13 @@
 """Line dedup across documents: exact copies by grouping, near copies by a segment-partition edit join.
 
 Built-in functions only. A line of l characters may be reached by ``allowed``
-edits (by its length, at most MAX_EDITS). It is cut into one segment more than
-that, so a line within that many edits keeps at least one segment unchanged
-near its place. Segments are the index; longer or equal lines probe it with
-their substrings, only at places that the length difference leaves open.
-Candidates are verified by a banded bit-parallel edit distance on what
-remains between the two lines' common ends.
+edits (by its length, at most MAX_EDITS, which covers a changed word). It is
+cut into one segment more than that, so a line within that many edits keeps at
+least one segment unchanged near its place. Segments are the index; longer or
+equal lines probe it with their substrings, only at places that the length
+difference leaves open.
+Candidates are verified by the bounded edit distance of what remains between
+the two lines' common ends.
 
 Buckets are compared with their first indexed line before anything else, and
 only pairs still in different components after that, so a bucket of m near
@@ -15,17 +16,21 @@ copies costs m comparisons and not m squared, and no link is lost.
 
 from __future__ import annotations
 
+from functools import reduce
 from string import ascii_lowercase
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, Scratch, small_or_shuffled, table
+from .common import SPACE, Scratch, free_shuffles, small_or_shuffled, table
 from .graph import components
 
-MAX_EDITS = 2
+# Edits that the query and the pipeline allow to a line, whatever its length.
+MAX_EDITS = 8
 # One edit is allowed for each such number of characters of the shorter line.
 CHARS_PER_EDIT = 20
+# Passes over the segments, so that only one pass's keys are on disk at a time.
+PASSES = 4
 # Groups of letters whose counts are compared.
 LETTERS = [a + b for a, b in zip(ascii_lowercase[::2], ascii_lowercase[1::2], strict=True)]
 
@@ -40,28 +45,27 @@ def document_lines(docs: DataFrame) -> DataFrame:
     return docs.select("*", split.alias("line_no", "line")).where(F.col("line").rlike(f"[^{SPACE}]"))
 
 
-def bucket_keys(most: int, per: int) -> tuple[Column, Column]:
-    """Bucket keys of a line (columns line and n): of its own segments, and of its other probes.
+def bucket_rows(lines: DataFrame, most: int, per: int, at: int = 0, passes: int = 1) -> DataFrame:
+    """(bucket, node, own): bucket keys of the lines (node, line, n), ``own`` if of the line's own segments and not of other probes.
 
-    An indexed line of l characters that allows t edits has t + 1 even
-    segments, the longer ones last. A line d characters longer probes segment
-    i only at the places from which the edits left and right of it both stay
-    possible (multi-match-aware selection), so the places are few and known
-    beforehand. A key hashes l, i and the substring.
+    Of ``passes`` the one numbered ``at`` has every so-manieth segment; no key is in two passes.
+
+    Lines of ``per`` neighbouring lengths are a class c and are indexed by
+    t + 1 segments of equal size from their start, t the edits allowed to the
+    class. Of lines within t edits some segment i is unchanged with i edits
+    before it and at most t - i behind it, so a line that is d characters
+    longer has it at few places (multi-match-aware selection); d lies between
+    what the class and t leave. A key hashes c, i and the substring.
     """
-    own, others = [], []
-    for t in range(1, most + 1):
-        parts = t + 1
-        for d in range(t + 1):
-            size = f"((n - {d}) div {parts})"
-            long_from = f"({parts} - (n - {d}) % {parts})"
-            for i in range(parts):
-                for shift in range(max(-i, d - (t - i)), min(i, d + (t - i)) + 1):
-                    at = f"{i} * {size} + greatest({i} - {long_from}, 0) + 1 + {shift}"
-                    part = f"substring(line, int({at}), int({size} + if({i} >= {long_from}, 1, 0)))"
-                    key = F.expr(f"if(least({most}, (n - {d}) div {per}) = {t}, xxhash64(n - {d}, {i}, {part}), null)")
-                    (others if d or shift else own).append(key)
-    return F.array_compact(F.array(*own)), F.array_compact(F.array(*others))
+    allowed = f"least({most}, n div {per})"
+    least, greatest = f"greatest(0, n - {per} * (c + 1) + 1)", f"least(t, n - {per} * c)"
+    classes = lines.select("node", "line", "n", F.expr(f"explode(sequence(int(greatest({per}, n - {allowed}) div {per}), int(n div {per})))").alias("c"))
+    sized = classes.withColumn("t", F.least(F.lit(most), "c")).where(F.expr(f"{least} <= t and t >= {at}"))
+    segments = sized.select("*", F.expr(f"explode(sequence({at}, t, {passes}))").alias("i"))
+    shifts = f"explode(sequence(greatest(-i, {least} - t + i), least(i, {greatest} + t - i)))"
+    places = segments.select("*", F.expr(shifts).alias("shift"), F.expr(f"int({per} * c div (t + 1))").alias("size"))
+    key = F.expr("xxhash64(c, i, substring(line, i * size + 1 + shift, size))")
+    return places.select(key.alias("bucket"), "node", F.expr(f"shift = 0 and c = n div {per}").alias("own"))
 
 
 def common_prefix(a: Column, b: Column) -> Column:
@@ -157,21 +161,18 @@ def confirmed(pairs: DataFrame, lines: DataFrame, scratch: Scratch, most: int, p
         "a",
         "b",
         "t",
-        F.expr("split(left(long, length(long) - q), '')").alias("long"),
-        F.expr("split(left(short, length(short) - q), '')").alias("short"),
+        F.expr("left(long, length(long) - q)").alias("long"),
+        F.expr("left(short, length(short) - q)").alias("short"),
     )
-    blank = F.array().cast("array<string>")
-    cores = cores.withColumns({c: F.when(F.col(c) == F.array(F.lit("")), blank).otherwise(F.col(c)) for c in ("long", "short")})
     # The cores differ at both ends. So of t edits one is before the first character that both keep and one behind the
     # last: with one edit the cores are single characters, with two what is between the short one's ends is kept whole.
-    middle = F.array_join(F.slice("short", 2, F.greatest(F.size("short") - 2, F.lit(0))), "")
-    kept_whole = F.contains(F.array_join("long", ""), middle)
-    near = (F.size("long") <= 1) | (F.size("short") == 0) | F.when(F.col("t") == 1, F.lit(False)).when(F.col("t") == 2, kept_whole).otherwise(F.lit(True))
-    cores = cores.withColumn("near", near)
-    distance = F.when(F.col("near"), banded_distance(F.col("long"), F.col("short"), most)).otherwise(F.lit(most + 1))
+    kept_whole = F.contains("long", F.expr("substr(short, 2, greatest(length(short) - 2, 0))"))
+    few = F.when(F.col("t") == 1, F.lit(False)).when(F.col("t") == 2, kept_whole).otherwise(F.lit(True))
+    near = (F.length("long") <= 1) | (F.length("short") == 0) | few
+    distance = F.when(near, F.levenshtein("long", "short", most)).otherwise(F.lit(-1))  # -1: above ``most``
     # written before it is filtered: a filter would move below the steps above and repeat them for every character
     measured = scratch.write(cores.select("a", "b", "t", distance.alias("distance")), "distances")
-    return measured.where("distance <= t").select("a", "b")
+    return measured.where("distance between 0 and t").select("a", "b")
 
 
 def letter_counts(line: Column) -> Column:
@@ -181,11 +182,13 @@ def letter_counts(line: Column) -> Column:
 
 def near_lines(lines: DataFrame, scratch: Scratch, most: int, per: int) -> DataFrame:
     """(node, root) of the distinct lines (node, line, n) that have a near copy; root is the least node of the component."""
-    own, others = bucket_keys(most, per)
-    indexed = lines.select(F.explode(own).alias("bucket"), "node", F.lit(True).alias("own"))
-    probing = lines.select(F.explode(others).alias("bucket"), "node", F.lit(False).alias("own"))
-    centers = indexed.groupBy("bucket").agg(F.min("node").alias("center"))
-    members = scratch.write(indexed.union(probing).join(centers, "bucket").where("node != center"), "members")
+    written = []
+    for at in range(PASSES):
+        keys = bucket_rows(lines, most, per, at, PASSES)
+        centers = keys.where("own").groupBy("bucket").agg(F.min("node").alias("center"))
+        written.append(scratch.write(keys.join(centers.hint("shuffle_hash"), "bucket").where("node != center"), "members"))
+        free_shuffles(lines.sparkSession)
+    members = reduce(DataFrame.union, written)
     star = members.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b"))
     tried = scratch.write(star.distinct(), "pairs")
     used = scratch.write(members.select("node").union(members.select("center")).distinct(), "used")
@@ -196,14 +199,15 @@ def near_lines(lines: DataFrame, scratch: Scratch, most: int, per: int) -> DataF
     rooted = whole.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = rooted.groupBy("bucket").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r != s").select("bucket")
     open_ = scratch.write(rooted.join(mixed, "bucket", "left_semi").select("bucket", "node", "own", "root"), "open")
-    # An edit changes the counts of at most two letters by one, which rules out most pairs before they are formed.
-    told = open_.join(lines.select("node", letter_counts(F.col("line")).alias("letters")), "node")
-    x = told.where("own").select("bucket", F.col("node").alias("i"), F.col("root").alias("ir"), F.col("letters").alias("il"))
-    y = told.select("bucket", F.col("node").alias("j"), F.col("root").alias("jr"), F.col("letters").alias("jl"))
-    apart = sum((F.abs(F.get("il", F.lit(k)) - F.get("jl", F.lit(k))) for k in range(len(LETTERS))), F.lit(0))
+    # lengths and letter counts rule out most pairs before they are formed
+    told = open_.join(lines.select("node", "n", letter_counts(F.col("line")).alias("letters")), "node")
+    x = told.where("own").select("bucket", F.col("node").alias("i"), F.col("root").alias("ir"), F.col("n").alias("ni"), F.col("letters").alias("il"))
+    y = told.select("bucket", F.col("node").alias("j"), F.col("root").alias("jr"), F.col("n").alias("nj"), F.col("letters").alias("jl"))
+    t = allowed_edits(F.least("ni", "nj"), most, per)
+    differ = sum((F.abs(F.get("il", F.lit(k)) - F.get("jl", F.lit(k))) for k in range(len(LETTERS))), F.lit(0))
     rest = (
         x.join(y, "bucket")
-        .where((F.col("ir") != F.col("jr")) & (apart <= 2 * most))
+        .where((F.col("ir") != F.col("jr")) & (F.abs(F.col("ni") - F.col("nj")) <= t) & (differ <= 2 * t))
         .select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"))
         .distinct()
         .join(tried, ["a", "b"], "left_anti")
@@ -211,7 +215,7 @@ def near_lines(lines: DataFrame, scratch: Scratch, most: int, per: int) -> DataF
     rest = scratch.write(rest, "rest")
     more = confirmed(rest, lines, scratch, most, per)
     out = scratch.write(components(links.union(more), scratch), "roots")
-    scratch.drop(members, open_, roots)
+    scratch.drop(*written, open_, roots)
     return out
 
 
@@ -225,6 +229,7 @@ def dropped_lines(docs: DataFrame, scratch: Scratch, most: int, per: int) -> Dat
     nodes = scratch.write(
         classes.select("line", F.length("line").alias("n"), "first", "copies", F.monotonically_increasing_id().alias("node")), "nodes"
     )
+    free_shuffles(docs.sparkSession)
     roots = near_lines(nodes.where(F.col("n") >= per).select("node", "line", "n"), scratch, most, per)
     heads = nodes.join(roots, "node").groupBy("root").agg(F.min("first").alias("head"))
     later = nodes.withColumns(hashes).drop("line", "n").join(roots, "node", "left").join(heads, "root", "left")
@@ -259,11 +264,12 @@ def with_text_less_lines(docs: DataFrame) -> DataFrame:
     return docs.withColumn("left", F.when(F.col("merged").isNotNull(), text).otherwise(F.col("text"))).drop("merged")
 
 
-def dedup_lines(docs: DataFrame, most: int = MAX_EDITS, per: int = CHARS_PER_EDIT) -> DataFrame:
+def dedup_lines(docs: DataFrame, most: int = 2, per: int = CHARS_PER_EDIT) -> DataFrame:
     """``docs`` with its text less the copied lines, and the numbers (from 0) of the lines gone in ``exact`` and ``near``.
 
     Of equal lines the first stays, by doc_id, then by text and place; of a
-    component of near lines the one that comes first. Lines without a word
+    component of near lines the one that comes first. A line may differ by one
+    edit for each ``per`` characters, at most ``most``. Lines without a word
     always stay. Lines below ``per`` characters are compared for equality
     only. Null texts stay null. Rows that repeat both doc_id and text are one
     document here: they lose the same lines. An empty table gives no rows.
@@ -286,7 +292,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its lines with a word, those gone as copies and as near copies, and a digest of the text that stays."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("whole"))
     n_lines = F.size(F.filter(F.split(F.coalesce("whole", F.lit("")), "\n"), lambda s: s.rlike(f"[^{SPACE}]")))
-    return dedup_lines(docs).select(
+    return dedup_lines(docs, MAX_EDITS).select(
         "doc_id",
         n_lines.cast("long").alias("n_lines"),
         F.size("exact").cast("long").alias("n_exact"),

@@ -108,3 +108,41 @@ def test_repeats_nulls_and_empty_tables(documents):
     assert sorted((r.doc_id or 0, r.text or "-") for r in linededup.dedup_lines(docs).collect()) == [(0, "same line"), (4, "-"), (4, "-"), (5, "-")]
     assert linededup.dedup_lines(documents([])).collect() == []
     assert linededup.dedup_lines(documents(["x"])).drop("exact", "near").columns == documents(["x"]).columns
+
+
+def test_long_lines_with_one_word_replaced_are_near(spark, tmp_path):
+    rng = random.Random(4)
+
+    def word():
+        return "".join(rng.choice("abcdefghijklmnoprstu") for _ in range(rng.randint(3, 8)))
+
+    lines, texts = [[word() for _ in range(32)] for _ in range(20)], []
+    for k, words in enumerate(lines):
+        at = rng.randrange(len(words))
+        other = words[:at] + [("vwxyzvwx" if k % 2 else "vwxy")] + words[at + 1 :]
+        texts += [" ".join(words), " ".join(other)]
+    assert all(distance(a, b) > 2 for a, b in zip(texts[::2], texts[1::2], strict=True))
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.n_near for r in linededup.op2_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {i: i % 2 for i in range(len(texts))}
+
+
+def test_more_edits_equal_brute_force(documents):
+    rng = random.Random(12)
+    base = ["".join(rng.choice("abcdefgh é") for _ in range(n)) + "x" for n in (38, 59, 99, 139, 158, 160, 199, 330)]
+    lines = list(base)
+    for s in base:
+        for n in (1, 3, 5, 7, 8, 9, 10):
+            chars = list(s)
+            for _ in range(n):
+                at = rng.randrange(len(chars))
+                chars[at : at + rng.randrange(2)] = rng.choice(["", "q", "r"])
+            lines.append("".join(chars))
+    rng.shuffle(lines)
+    group = list(range(len(lines)))
+    for k, a in enumerate(lines):
+        for j in range(k):
+            if distance(a, lines[j]) <= min(8, min(len(a), len(lines[j])) // 20):
+                group = [group[j] if g == group[k] else g for g in group]
+    want = [k for k, s in enumerate(lines) if group.index(group[k]) < k and lines.index(s) == k]
+    assert want and sorted(r.doc_id for r in linededup.dedup_lines(documents(lines), 8).collect() if r.near) == want
