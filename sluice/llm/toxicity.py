@@ -30,7 +30,6 @@ STEM = 5  # characters of a word beginning
 LEXICONS = 4  # voters that share the learnt words
 MIN_ROWS = 5  # labelled rows that a learnt word must be in
 EVIDENCE = 20.0  # least log-likelihood ratio statistic of a learnt word
-FEATURES = 3000  # learnt words and beginnings, at most
 SAMPLE = 20_000  # training rows that the classifier is fitted on, at most
 ROUNDS = 60
 # Share of a voter's entropy from which another voter is taken to repeat it.
@@ -79,8 +78,8 @@ def feature_counts(labelled: DataFrame) -> DataFrame:
     return counted.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def learnt_features(labelled: DataFrame, most: int = FEATURES) -> list[tuple[str, float]]:
-    """The features with the strongest evidence for one label, with their log odds; at most ``most``."""
+def learnt_features(labelled: DataFrame) -> list[tuple[str, float]]:
+    """All features with evidence for one label, the strongest first, with their log odds."""
     totals = labelled.agg(F.sum(F.col("toxic").cast("long")), F.count(F.lit(1))).first()
     toxic, n = totals[0] or 0, totals[1]
     odds = F.log((F.col("toxic") + 0.5) / F.lit(toxic + 1.0)) - F.log((F.col("clean") + 0.5) / F.lit(n - toxic + 1.0))
@@ -92,8 +91,8 @@ def learnt_features(labelled: DataFrame, most: int = FEATURES) -> list[tuple[str
         return F.when(F.col(c) > 0, 2 * F.col(c) * F.log(F.col(c) / expected)).otherwise(0.0)
 
     scored = seen.withColumns({"odds": odds, "evidence": part("toxic", rate) + part("clean", 1 - rate)})
-    best = scored.where(F.col("evidence") >= EVIDENCE).orderBy(F.desc("evidence"), "feature").limit(most)
-    return [(r.feature, r.odds) for r in best.collect()]
+    found = scored.where(F.col("evidence") >= EVIDENCE).select("feature", "odds", "evidence").collect()
+    return [(r.feature, r.odds) for r in sorted(found, key=lambda r: (-r.evidence, r.feature))]
 
 
 def voters_of(features: list[tuple[str, float]]) -> dict:

@@ -58,3 +58,11 @@ def test_without_labels_and_empty_tables(spark, documents):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert len(toxicity.score_toxicity(documents(["you idiot", "a kind word"]), none).collect()) == 2
     assert toxicity.score_toxicity(documents([]), none).collect() == []
+
+
+def test_every_word_with_evidence_is_learnt(spark):
+    # each word of the last toxic texts has less evidence than the 3,500 words of the first
+    many, rare = " ".join(f"{i:04x}" for i in range(3500)), "zzyx"
+    texts = [(many, True)] * 20 + [(rare, True)] * 10 + [(f"c{i}", False) for i in range(120)]
+    features = dict(toxicity.learnt_features(spark.createDataFrame(texts, "text string, toxic boolean")))
+    assert len(features) == 3501 and features[rare] > 2.0
