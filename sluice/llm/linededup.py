@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import SPACE, Scratch, free_shuffles, small_or_shuffled, table
 from .graph import components
 
-# Edits that the query and the pipeline allow to a line, whatever its length.
+# Edits that the query allows to a line, whatever its length.
 MAX_EDITS = 8
 # One edit is allowed for each such number of characters of the shorter line.
 CHARS_PER_EDIT = 20
