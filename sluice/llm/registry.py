@@ -1,6 +1,6 @@
 """Queries of the subpackage and, where SQL can express them, their DuckDB SQL."""
 
-from . import decontam, linededup, lm, neardup, packing, quality, secrets, tokencounts, toxicity, warc
+from . import decontam, divergence, linededup, lm, neardup, packing, pieces, quality, secrets, tokencounts, toxicity, warc, whitening
 
 QUERIES = {
     "op1_token_counts": tokencounts.op1_token_counts,
@@ -13,10 +13,14 @@ QUERIES = {
     "op8_quality_rules": quality.op8_quality_rules,
     "op9_secret_scans": secrets.op9_secret_scans,
     "op10_minhash_near_dedup": neardup.op10_minhash_near_dedup,
+    "op11_source_divergence": divergence.op11_source_divergence,
+    "op12_sentencepiece": pieces.op12_sentencepiece,
+    "op13_embedding_whitening": whitening.op13_embedding_whitening,
 }
 ORACLES: dict[str, str] = {
     "op4_warc_normaliser": warc.OP4_SQL,
     "op6_benchmark_decontamination": decontam.OP6_SQL,
     "op8_quality_rules": quality.OP8_SQL,
     "op10_minhash_near_dedup": neardup.OP10_SQL,
+    "op11_source_divergence": divergence.OP11_SQL,
 }
