@@ -6,8 +6,8 @@ aggregates; one trivial lambda turns each number into two hex digits. A
 number above 255, a leading zero or a non-number makes the whole list
 invalid (null bytes) rather than producing a wrong byte.
 
-Formatting (bytes to text), used when writing legacy logs, turns the pairs of
-hexadecimal digits into decimal text one by one.
+Formatting (bytes to text), used when writing legacy logs, reads the bytes as
+Latin-1 characters and takes the code of each: the only thing done per byte.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 def bytes_to_list_text(b: Column) -> Column:
     """Binary to ``[b0 b1 ...]`` with decimal byte values; ``[]`` when empty."""
-    pairs = F.regexp_extract_all(F.hex(b), F.lit("(..)"), F.lit(1))
-    return F.concat(F.lit("["), F.array_join(F.transform(pairs, lambda x: F.conv(x, 16, 10)), " "), F.lit("]"))
+    codes = F.transform(F.split(F.decode(b, "ISO-8859-1"), ""), F.ascii).cast("array<string>")
+    return F.when(F.octet_length(b) == 0, F.lit("[]")).otherwise(F.concat(F.lit("["), F.array_join(codes, " "), F.lit("]")))
 
 
 def _numbers(inner: Column) -> Column:

@@ -18,7 +18,7 @@ from sluice.schema import DECODED_RECORD, EVENT_RECORD
 
 _CORRUPT = "_corrupt_record"
 # the extension is read as raw JSON text first, so a record whose extension is
-# not an object still decodes (and is then judged "no extension")
+# not an object (a string, a number, an array) still decodes, without one
 _DECODE_SCHEMA = T.StructType(
     [T.StructField(f.name, T.StringType() if f.name == "extension" else f.dataType, True) for f in DECODED_RECORD.fields]
     + [T.StructField(_CORRUPT, T.StringType(), True)]
@@ -79,13 +79,24 @@ def decode_struct(value: Column, codec: str = "json") -> Column:
     raise ValueError(f"unknown codec {codec!r}")
 
 
+def _is_object(text: Column, extension: Column) -> Column:
+    """Whether the record's extension is a JSON object, by its type: a string that spells an object is none.
+
+    ``extension`` is its text with the type lost, so only where that looks like
+    an object is the record read as a variant. A record that is no variant (it
+    repeats a key) is taken by its text.
+    """
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(text), "$.extension", "variant"))
+    return F.ltrim(extension).startswith("{") & F.coalesce(kind.startswith("OBJECT"), F.lit(True))
+
+
 def decode(df: DataFrame, value: str = "value", codec: str = "json", out: str = "record", ok: str = "decoded") -> DataFrame:
     """Add ``record`` (null when undecodable) and ``decoded`` (bool)."""
     df = materialize(df, {"_dec": decode_struct(F.col(value), codec)})
     d = F.col("_dec")
     good = F.col(value).isNotNull() & d.isNotNull() & d[_CORRUPT].isNull()
     if codec == "json":
-        ext = F.from_json(d["extension"], "map<string,string>")  # null unless a JSON object
+        ext = F.when(_is_object(F.col(value).cast("string"), d["extension"]), F.from_json(d["extension"], "map<string,string>"))
     else:
         ext = d["extension"]
     rec = F.struct(*[(ext if f.name == "extension" else d[f.name]).alias(f.name) for f in EVENT_RECORD.fields])

@@ -83,10 +83,3 @@ def validate_postback(df: DataFrame, key: Column | str, params: str = "params",
     """F11 required fields in order, F12 signature (unless bypassed), F13 int64 ``ts``."""
     return with_verdict(df, postback_checks(F.col(params), key, bypass_sign))
 
-
-def verify_sign(df: DataFrame, key: Column | str, params: str = "params", bypass: bool = False) -> DataFrame:
-    """F12 alone: adds ``sign_ok`` (always true when bypassed)."""
-    if bypass:
-        return df.withColumn("sign_ok", F.lit(True))
-    p = F.col(params)
-    return df.withColumn("sign_ok", F.coalesce(postback_sign(p, key) == first_item(F.try_element_at(p, F.lit("sign"))), F.lit(False)))

@@ -14,6 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.schema import MAX_UPLOAD_BYTES, POSTBACK_REQUIRED_FIELDS, RECORD_FIELDS
+
+
 def _i() -> Column:
     return F.col("event_id")
 
@@ -115,10 +118,6 @@ def postback_ts() -> Column:
     )
 
 
-# postback parameters in the order the partner's handler requires them
-_PB_FIELDS = ("appid", "adname", "adid", "device", "idfa", "point", "ts", "sign", "keyword")
-
-
 def postback_requests(events: DataFrame, key: str) -> DataFrame:
     """One signed partner postback per event (request log schema)."""
     vals = {
@@ -150,10 +149,10 @@ def postback_requests(events: DataFrame, key: str) -> DataFrame:
     def part(pos: int, name: str) -> Column:
         return F.when(missing != pos + 1, F.concat(F.lit(name + "="), F.url_encode(vals[name])))
 
-    body = F.concat_ws("&", *[part(p, n) for p, n in enumerate(_PB_FIELDS) if p < 4])
+    body = F.concat_ws("&", *[part(p, n) for p, n in enumerate(POSTBACK_REQUIRED_FIELDS) if p < 4])
     query = F.concat_ws(
         "&",
-        *[part(p, n) for p, n in enumerate(_PB_FIELDS) if p >= 4],
+        *[part(p, n) for p, n in enumerate(POSTBACK_REQUIRED_FIELDS) if p >= 4],
         _when(_m(3) != 0, F.concat(F.lit("ip="), ip_addr())),
         _when(_m(4) == 1, F.concat(F.lit("aid=a"), _i().cast("string"), F.lit("&timestamp=t"), _i().cast("string"))),
         F.concat(F.lit("channel=c"), _m(3).cast("string")),
@@ -209,10 +208,17 @@ def click_messages(events: DataFrame, topic: str = "clicks") -> DataFrame:
     """Topic messages (``offset`` = event_id) carrying encoded click records; a few are corrupt."""
     from sluice.operators.codec import encode
 
+    whole = click_record()
+    bare = F.struct(*[(F.lit(None).cast("map<string,string>") if n == "extension" else whole[n]).alias(n) for n in RECORD_FIELDS])
+    text = encode(bare).cast("string")
+    # extensions of another JSON type than an object; the first spells one
+    other = F.when(_m(101) == 1, F.lit('"{\\"adv_id\\":\\"a\\",\\"device_model\\":\\"m\\"}"')).when(_m(101) == 2, F.lit("17")).when(_m(101) == 3, F.lit('[{"adv_id":"a"}]'))
+    other = F.concat(F.lit('"extension":'), other.otherwise(F.lit('"adv_id"')))
     value = (
         F.when(_m(89) == 7, F.encode(F.lit("not a record"), "UTF-8"))
         .when(_m(89) == 8, F.lit(None).cast("binary"))
-        .otherwise(encode(click_record()))
+        .when(_m(101).isin(1, 2, 3, 4), F.encode(F.replace(text, F.lit('"extension":null'), other), "UTF-8"))
+        .otherwise(encode(whole))
     )
     return events.select(
         F.lit(topic).alias("topic"),
@@ -281,6 +287,8 @@ def write_backup_logs(events: DataFrame, root: str) -> str:
 
 # CSV upload variants by upload_id % 4: header names, in file order.
 UPLOAD_ROWS = 500
+# Uploads beside those of the rows, numbered from these: header only, above the size cap, empty, missing.
+HEADER_ONLY, OVERSIZED, EMPTY, MISSING = 1_000_000_000, 2_000_000_000, 3_000_000_000, 4_000_000_000
 UPLOAD_HEADERS = (
     ("did", "timestamp", "event_type", "ip", "aid", "value", "k", "note"),
     ("event_type", "k", "value", "timestamp", "did"),
@@ -307,7 +315,9 @@ def write_uploads(events: DataFrame, root: str) -> str:
 
     Rows with ``event_id % 53 == 0`` get an extra field, ``% 59 == 0`` lose
     their last field. Variant 2's header starts with a byte-order mark and
-    names ``did`` twice (the first column holds junk).
+    names ``did`` twice (the first column holds junk). Beside upload N there is
+    one with a header only if ``N % 4 == 1``, and one above the size cap if
+    ``N % 50 == 3``.
     """
     upload = F.floor(_i() / UPLOAD_ROWS)
     variant = F.pmod(upload, F.lit(4))
@@ -343,8 +353,14 @@ def write_uploads(events: DataFrame, root: str) -> str:
         .otherwise(F.lit(",".join(UPLOAD_HEADERS[3])))
     )
     headers = rows.select("upload_id").distinct().select("upload_id", F.lit(-1).cast("long").alias("line_no"), header.alias("value"))
+    ids, first = rows.select("upload_id").distinct(), F.lit(-1).cast("long").alias("line_no")
+    plain = F.lit(",".join(UPLOAD_HEADERS[0])).alias("value")
+    only = ids.where("upload_id % 4 = 1").select((F.col("upload_id") + HEADER_ONLY).alias("upload_id"), first, plain)
+    large = ids.where("upload_id % 50 = 3").select((F.col("upload_id") + OVERSIZED).alias("upload_id"), first, F.concat(plain, F.lit("\n"), F.expr(f"repeat('x', {MAX_UPLOAD_BYTES})")).alias("value"))
     (
         rows.unionByName(headers)
+        .unionByName(only)
+        .unionByName(large)
         .repartition("upload_id")
         .sortWithinPartitions("upload_id", "line_no")
         .select("upload_id", "value")
@@ -353,3 +369,23 @@ def write_uploads(events: DataFrame, root: str) -> str:
         .text(root)
     )
     return root
+
+
+def upload_requests(events: DataFrame, files: DataFrame, root: str) -> DataFrame:
+    """The upload requests (file_path, file_size): one a file, and beside upload N an empty one if ``N % 5 == 0``, a missing one if ``N % 5 == 2``."""
+    ids = events.select(F.floor(_i() / UPLOAD_ROWS).alias("u")).distinct()
+
+    def beside(rule: str, first: int, size: int) -> DataFrame:
+        path = F.concat(F.lit(f"{root}/upload_id="), (F.col("u") + first).cast("string"), F.lit("/upload.txt"))
+        return ids.where(rule).select(path.alias("file_path"), F.lit(size).cast("long").alias("file_size"))
+
+    sent = files.select(F.col("path").alias("file_path"), F.col("length").alias("file_size"))
+    return sent.unionByName(beside("u % 5 = 0", EMPTY, 0)).unionByName(beside("u % 5 = 2", MISSING, 99))
+
+
+def prefix_table(pages: DataFrame) -> DataFrame:
+    """Prefixes from ``pages``: every beginning of every second page's URL, with repeats, ``/`` and a null."""
+    url = F.col("url")
+    starts = pages.where("page_id % 2 = 0").select(F.explode(F.transform(F.sequence(F.lit(1), F.length(url)), lambda n: F.substring(url, F.lit(1), n))).alias("prefix"))
+    odd = pages.select(F.explode(F.array(F.lit("/"), F.lit(None).cast("string"))).alias("prefix")).distinct()
+    return starts.unionByName(odd)

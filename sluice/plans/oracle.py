@@ -8,7 +8,8 @@ derivation rules in ``sluice.plans.derive``. Column names equal the Spark ones.
 from __future__ import annotations
 
 from sluice.plans import settings
-from sluice.schema import POSTBACK_EVENT
+from sluice.plans.derive import EMPTY, HEADER_ONLY, MISSING, OVERSIZED, UPLOAD_HEADERS
+from sluice.schema import MAX_UPLOAD_BYTES, POSTBACK_EVENT, POSTBACK_REQUIRED_FIELDS
 
 # Derived per-event values (mirrors sluice.plans.derive).
 E = """
@@ -124,8 +125,7 @@ FROM p
 """
 
 # --- partner postbacks ------------------------------------------------------
-_PB = ("appid", "adname", "adid", "device", "idfa", "point", "ts", "sign", "keyword")
-_PB_MISSING = " ".join(f"WHEN i % 19 = {n + 1} THEN 'Missing Required field: No {f}'" for n, f in enumerate(_PB))
+_PB_MISSING = " ".join(f"WHEN i % 19 = {n + 1} THEN 'Missing Required field: No {f}'" for n, f in enumerate(POSTBACK_REQUIRED_FIELDS))
 
 POSTBACKS = (
     E
@@ -183,7 +183,7 @@ CLICKS = (
     CASE WHEN i % 89 IN (7, 8) THEN 'undecodable'
          WHEN i % 97 = 3 THEN 'no_event'
          WHEN et <> 'click' THEN 'not_click'
-         WHEN i % 31 = 0 THEN 'no_extension'
+         WHEN i % 31 = 0 OR i % 101 IN (1, 2, 3, 4) THEN 'no_extension'
          WHEN i % 5 = 1 THEN 'no_adv_id'
          WHEN i % 5 = 2 OR i % 10 = 3 THEN 'bad_adv_id'
          WHEN i % 37 = 2 THEN 'no_id'
@@ -343,21 +343,29 @@ FROM x WHERE variant <> 3 AND ragged GROUP BY upload_id
 """
 )
 
-ORACLE["csv_file_verdicts"] = (
+# Every upload with a file: those of the rows, and those that are a header only or above the cap.
+# The one above the cap holds its header, the padding and two line ends.
+_HEADER = ",".join(UPLOAD_HEADERS[0])
+_LARGE = len(_HEADER) + MAX_UPLOAD_BYTES + 2
+FILES = (
     UPLOADS
-    + """
-SELECT DISTINCT upload_id, CASE WHEN variant = 3 THEN 400 ELSE 200 END AS status,
-  CASE WHEN variant = 3 THEN 'Missing Required field: No timestamp' END AS reason
-FROM x
+    + f""", u AS (SELECT DISTINCT upload_id, variant FROM x),
+files AS (
+  SELECT upload_id, CASE WHEN variant = 3 THEN 400 ELSE 200 END AS status,
+    CASE WHEN variant = 3 THEN 'Missing Required field: No timestamp' END AS reason FROM u
+  UNION ALL SELECT upload_id + {HEADER_ONLY}, 200, NULL FROM u WHERE upload_id % 4 = 1
+  UNION ALL SELECT upload_id + {OVERSIZED}, 400, 'The file is too large:{_LARGE}bytes' FROM u WHERE upload_id % 50 = 3)
 """
 )
 
+ORACLE["csv_file_verdicts"] = FILES + "SELECT * FROM files"
+
 ORACLE["upload_receipts"] = (
-    UPLOADS
+    FILES
     + """
-SELECT upload_id, count(*) FILTER (WHERE NOT ragged) AS n_written,
-  CAST(count(*) FILTER (WHERE NOT ragged) AS VARCHAR) || ' messages have been writen.' AS receipt
-FROM x WHERE variant <> 3 GROUP BY upload_id
+SELECT files.upload_id, count(x.i) FILTER (WHERE NOT ragged) AS n_written,
+  CAST(count(x.i) FILTER (WHERE NOT ragged) AS VARCHAR) || ' messages have been writen.' AS receipt
+FROM files LEFT JOIN x ON x.upload_id = files.upload_id WHERE status = 200 GROUP BY files.upload_id
 """
 )
 
@@ -404,25 +412,154 @@ SELECT {_topic('et')} AS topic, 3 AS partition, 'a' || CAST(i AS VARCHAR) AS aid
 )
 
 ORACLE["csv_header_check"] = (
-    UPLOADS
+    FILES
     + """
-SELECT DISTINCT upload_id, variant <> 3 AS header_ok,
-  CASE WHEN variant = 3 THEN 'Missing Required field: No timestamp' END AS missing
-FROM x
+SELECT upload_id, reason IS NULL OR reason LIKE 'The file%' AS header_ok,
+  CASE WHEN reason LIKE 'Missing%' THEN reason END AS missing
+FROM files
 """
 )
 
-ORACLE["upload_size"] = UPLOADS + "SELECT DISTINCT upload_id, true AS within_cap FROM x"
+ORACLE["upload_size"] = FILES + "SELECT upload_id, reason IS NULL OR reason NOT LIKE 'The file%' AS within_cap FROM files"
 
 ORACLE["upload_messages"] = (
-    UPLOADS
+    FILES
     + f"""
 SELECT 'message' AS kind, {_topic('et')} AS name, count(*) AS n FROM x WHERE variant <> 3 AND NOT ragged GROUP BY 2
 UNION ALL
-SELECT 'dead_letter', 'Err read file:wrong number of fields', count(*) FROM x WHERE variant <> 3 AND ragged
+SELECT 'dead_letter', 'Err read file:wrong number of fields', count(*) FROM x WHERE variant <> 3 AND ragged HAVING count(*) > 0
 UNION ALL
-SELECT 'dead_letter', 'Missing Required field: No timestamp', count(DISTINCT upload_id) FROM x WHERE variant = 3
+SELECT 'dead_letter', reason, count(*) FROM files WHERE status <> 200 GROUP BY reason
 """
 )
 
 ORACLE["stream_upload_ingest"] = ORACLE["upload_messages"]
+
+# Rows before an upload's first faulty one, where the original stops.
+PREFIX = (
+    FILES
+    + """, cut AS (
+  SELECT *, min(CASE WHEN ragged THEN i END) OVER (PARTITION BY upload_id) AS fault FROM x WHERE variant <> 3)
+"""
+)
+
+ORACLE["csv_prefix_rows"] = (
+    ORACLE["csv_event_record"].replace(UPLOADS, PREFIX).replace("FROM x WHERE variant <> 3 AND NOT ragged", "FROM cut WHERE fault IS NULL OR i < fault")
+)
+
+REQUESTS = f""", requests AS (
+  SELECT files.upload_id, status, reason, any_value(fault) AS fault,
+    count(cut.i) FILTER (WHERE fault IS NULL OR cut.i < fault) AS n_read
+  FROM files LEFT JOIN cut ON cut.upload_id = files.upload_id GROUP BY files.upload_id, status, reason
+  UNION ALL SELECT upload_id + {EMPTY}, 500, 'Failed to read the first line of file:EOF', NULL, 0 FROM u WHERE upload_id % 5 = 0
+  UNION ALL SELECT upload_id + {MISSING}, 500, 'Failed to read upload file:', NULL, 0 FROM u WHERE upload_id % 5 = 2)
+"""
+
+ORACLE["upload_replies"] = (
+    PREFIX
+    + REQUESTS
+    + """
+SELECT upload_id, CASE WHEN status <> 200 THEN status WHEN fault IS NOT NULL THEN 500 ELSE 200 END AS status,
+  n_read AS n_written,
+  CASE WHEN status <> 200 THEN reason WHEN fault IS NOT NULL THEN 'Err read file:wrong number of fields'
+    ELSE CAST(n_read AS VARCHAR) || ' messages have been writen.' END AS reply
+FROM requests
+"""
+)
+
+# The sink refuses every ninth line; lines are numbered within their upload.
+ORACLE["stream_upload_replies"] = (
+    PREFIX
+    + REQUESTS
+    + """, sends AS (
+  SELECT upload_id, count(*) FILTER (WHERE NOT ragged AND line % 9 = 0) AS n_unsent,
+    count(*) FILTER (WHERE NOT ragged AND line % 9 <> 0) AS n_sent, count(*) FILTER (WHERE ragged) AS n_ragged
+  FROM (SELECT *, row_number() OVER (PARTITION BY upload_id ORDER BY i) AS line FROM x WHERE variant <> 3) GROUP BY upload_id)
+SELECT r.upload_id,
+  CASE WHEN status <> 200 THEN status WHEN coalesce(n_unsent, 0) > 0 THEN 500 ELSE 200 END AS status,
+  coalesce(n_sent, 0) AS n_written,
+  CASE WHEN status <> 200 THEN reason WHEN coalesce(n_unsent, 0) > 0 THEN 'Failed to send to kafka:refused'
+    ELSE CAST(coalesce(n_sent, 0) AS VARCHAR) || ' messages have been writen.' END AS reply,
+  coalesce(n_unsent, 0) AS n_unsent,
+  coalesce(n_ragged, 0) + CASE WHEN status <> 200 THEN 1 ELSE 0 END AS n_rejected
+FROM requests r LEFT JOIN sends ON sends.upload_id = r.upload_id
+"""
+)
+
+# --- the dead-letter loop -----------------------------------------------------------
+# Request N is refused until its try N % 4; damaged payloads never decode.
+LOOP = (
+    FORMS
+    + f""", v AS (
+  SELECT *, {_topic('et')} AS topic, i % 43 = 5 AS damaged,
+    CASE WHEN i % 7 IN (1, 4) THEN 'other-' || CAST(i AS VARCHAR) ELSE did END AS form_did FROM f),
+tries AS (
+  SELECT *, unnest(generate_series(0, CASE WHEN damaged THEN 3 ELSE i % 4 END)) AS attempt
+  FROM v WHERE reason IS NULL AND i % 4 > 0),
+judged AS (
+  SELECT *, CASE WHEN damaged AND attempt > 0 THEN 'undecodable' WHEN attempt < i % 4 THEN 'refused' END AS error FROM tries)
+"""
+)
+
+ORACLE["dead_letter_replay"] = (
+    LOOP
+    + """
+SELECT i AS request_id, 'unsent' AS kind, 1::BIGINT AS copies, attempt::INTEGER AS attempt,
+  CASE WHEN error IS NULL THEN 'sent' ELSE 'failed' END AS outcome, error, topic,
+  CASE WHEN NOT damaged THEN form_did END AS did, CASE WHEN NOT damaged THEN ts_text END AS timestamp,
+  CASE WHEN NOT damaged THEN vtext END AS value
+FROM judged
+UNION ALL
+SELECT i, 'rejected', 1, 0, 'failed', reason, NULL, NULL, NULL, NULL FROM v WHERE reason IS NOT NULL
+"""
+)
+
+ORACLE["replayed_messages"] = (
+    LOOP
+    + """
+SELECT topic, form_did AS did, ts_text AS timestamp, CASE WHEN i % 5 <> 0 THEN 'a' || CAST(i AS VARCHAR) END AS aid,
+  et AS event_type, vtext AS value
+FROM v WHERE reason IS NULL AND (i % 4 = 0 OR NOT damaged)
+"""
+)
+
+ORACLE["replay_counts"] = (
+    LOOP
+    + """
+SELECT "commit", sum(success)::BIGINT AS success, sum(failed)::BIGINT AS failed FROM (
+  SELECT CASE WHEN attempt = 0 THEN 'ingest' ELSE 'replay-' || CAST(attempt AS VARCHAR) END AS "commit",
+    (error IS NULL)::INTEGER AS success, (error IS NOT NULL)::INTEGER AS failed FROM judged
+  UNION ALL SELECT 'ingest', 0, 1 FROM v WHERE reason IS NOT NULL)
+GROUP BY "commit"
+"""
+)
+
+ORACLE["stream_send_counts"] = (
+    FORMS
+    + """
+SELECT who AS "by", count(*) FILTER (WHERE reason IS NULL AND i % 5 <> 0) AS success,
+  count(*) FILTER (WHERE reason IS NULL AND i % 5 = 0) AS failed, count(*) FILTER (WHERE reason IS NOT NULL) AS rejected
+FROM f, (VALUES ('counted'), ('kept')) w(who) GROUP BY who
+"""
+)
+
+ORACLE["delivery_results"] = f"""
+SELECT source_id, url, (CASE WHEN i % 13 = 1 OR i % 11 = 0 THEN NULL WHEN i % 7 = 0 THEN 503 ELSE 200 END)::INTEGER AS status,
+  CASE WHEN i % 13 <> 1 AND i % 11 = 0 THEN 'timeout' END AS error,
+  CASE WHEN i % 13 = 1 THEN 'no_result' WHEN i % 11 = 0 THEN 'no_reply' WHEN i % 7 = 0 THEN 'bad_reply' ELSE 'delivered' END AS outcome
+FROM (SELECT source_id, source_id AS i, url FROM ({ORACLE['click_urls']}))
+"""
+
+ORACLE["click_at_most_once"] = f"SELECT source_id, url, 1::BIGINT AS n_sent FROM ({ORACLE['click_urls']})"
+
+ORACLE["keyed_partitions"] = E + "SELECT did, count(*) AS n_messages, 1::BIGINT AS n_partitions, true AS in_range FROM e GROUP BY did"
+
+ORACLE["prefix_table_match"] = """
+WITH starts AS (
+  SELECT DISTINCT unnest(list_transform(range(1, length(url) + 1), lambda n: url[1:n])) AS prefix FROM pages WHERE page_id % 2 = 0
+  UNION SELECT '/'),
+m AS (
+  SELECT page_id, url, arg_max(prefix, length(prefix)) AS prefix
+  FROM pages LEFT JOIN starts ON starts_with(url, prefix) GROUP BY page_id, url)
+SELECT page_id, prefix, CASE WHEN prefix IS NULL THEN 'No handler matched.' END AS reason FROM m
+"""

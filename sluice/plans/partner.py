@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sluice.operators.clicks import click_url, click_verdicts
 from sluice.operators.codec import decode, encode
 from sluice.operators.postback import postback_url, postbacks
-from sluice.sinks.kafka import to_messages
+from sluice.sinks.kafka import named_messages
 from sluice.sinks.outbox import to_outbox
 from sluice.sources.forms import parse_requests
 
@@ -36,4 +36,4 @@ def postback_outbox(judged: DataFrame, base: str, source_id: str = "request_id")
 def postback_messages(judged: DataFrame, topic: str, codec: str = "json") -> DataFrame:
     """P3 -> K1: one message on ``topic`` for every accepted postback."""
     ok = judged.filter(F.col("status") == 200).withColumn("topic", F.lit(topic))
-    return to_messages(ok, encode(F.col("record"), codec))
+    return named_messages(ok, encode(F.col("record"), codec), F.concat(F.lit("request:"), F.col("request_id").cast("string")))

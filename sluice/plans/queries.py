@@ -18,27 +18,30 @@ from sluice.operators.assemble import client_addr
 from sluice.operators.prefix import request_paths
 from sluice.plans import derive, settings
 from sluice.operators.codec import decode, encode
-from sluice.operators.counters import receipts, replay_summary, request_count
+from sluice.operators.counters import replay_summary, request_count
 from sluice.operators.prefix import match_prefix
 from sluice.operators.routing import route, topic_for
-from sluice.plans.ingest import form_messages_and_dead_letters, ingest_forms, ingest_uploads, topic_counts
+from sluice.plans.ingest import form_messages_and_dead_letters, ingest_forms, ingest_uploads, topic_counts, unsent_letters
 from sluice.plans.partner import click_outbox, judge_clicks, judge_postbacks, postback_outbox
-from sluice.schema import DEFAULT_ROUTE, MAX_UPLOAD_BYTES, RECEIPT_FMT
-from sluice.plans.replay import replay, replay_to_tables
+from sluice.plans.replay import replay, replay_ledger, replay_to_tables
+from sluice.schema import DEFAULT_ROUTE, RECEIPT_FMT
 from sluice.session import ensure_utc, landed_path, scratch_path
-from sluice.sinks.deadletter import write_dead_letters
 from sluice.sinks.kafka import to_messages, to_string_messages
+from sluice.sinks.ledger import DeadLetterLedger
 from sluice.sinks.partition import assign_partition
-from sluice.sources.backup_log import read_backup_log
+from sluice.sinks.send import settle
 from sluice.sinks.topic_table import write_topic_table
-from sluice.sources.csv_upload import read_event_csv
-from sluice.sources.topic_table import dump_topic
+from sluice.sources.backup_log import read_backup_log
+from sluice.sources.csv_upload import file_sizes, list_uploads, read_event_csv, upload_replies
+from sluice.sources.topic_table import dump_topic, read_topic_table
 from sluice.streaming.click_job import message_file_stream, start_click_job
 from sluice.streaming.ingest_job import request_file_stream, start_ingest_job
-from sluice.streaming.upload_job import start_upload_job, upload_file_stream
+from sluice.streaming.upload_job import start_upload_job, start_upload_request_job, upload_file_stream, upload_request_stream
 from sluice.sources.forms import url_query
 
 Query = Callable[[SparkSession, str], DataFrame]
+# Files of a micro-batch, whatever the size of the table.
+FILES_A_BATCH = 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -219,7 +222,7 @@ def replay_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "replay")
     replay_to_tables(_replayed(spark, sf_dir), f"{root}/topics", f"{root}/dead_letter")
     topics = spark.read.parquet(f"{root}/topics").groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
-    dead = spark.read.parquet(f"{root}/dead_letter").groupBy("attempt", "error").agg(F.count(F.lit(1)).alias("n"))
+    dead = DeadLetterLedger(spark, f"{root}/dead_letter").letters().groupBy("attempt", "error").agg(F.sum("copies").alias("n"))
     return topics.select(F.lit("topic").alias("table"), F.col("topic").alias("part"), F.lit(None).cast("string").alias("error"), "n").unionByName(
         dead.select(F.lit("dead_letter").alias("table"), F.col("attempt").cast("string").alias("part"), "error", "n")
     )
@@ -302,16 +305,28 @@ def request_count_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- CSV uploads -------------------------------------------------------------
 
 
-def _uploads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _upload_root(spark: SparkSession, sf_dir: str) -> str:
     ev = _events(spark, sf_dir)
-    root = landed_path(spark, "uploads", ev, lambda p: derive.write_uploads(ev, p))
-    rows, files = read_event_csv(spark, root, glob="*.txt")
-    uid = F.regexp_extract("file_path", r"upload_id=([0-9]+)", 1).cast("long").alias("upload_id")
-    return rows.withColumn("upload_id", uid), files.withColumn("upload_id", uid)
+    return landed_path(spark, "uploads", ev, lambda p: derive.write_uploads(ev, p))
 
 
-def csv_event_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, _ = _uploads(spark, sf_dir)
+def _upload_id(path: str = "file_path") -> F.Column:
+    return F.regexp_extract(path, r"upload_id=([0-9]+)", 1).cast("long").alias("upload_id")
+
+
+def _uploads(spark: SparkSession, sf_dir: str, until_fault: bool = False) -> tuple[DataFrame, DataFrame]:
+    rows, files = read_event_csv(spark, _upload_root(spark, sf_dir), glob="*.txt", until_fault=until_fault)
+    return rows.withColumn("upload_id", _upload_id()), files.withColumn("upload_id", _upload_id())
+
+
+def _upload_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, ev = _upload_root(spark, sf_dir), _events(spark, sf_dir)
+    files = list_uploads(spark, root, "*.txt")
+    return spark.read.parquet(landed_path(spark, "upload-requests", ev, lambda p: derive.upload_requests(ev, files, root).repartition(4, "file_path").write.mode("overwrite").parquet(p)))
+
+
+def csv_event_record(spark: SparkSession, sf_dir: str, until_fault: bool = False) -> DataFrame:
+    rows, _ = _uploads(spark, sf_dir, until_fault)
     rows = route(rows.filter(F.col("status") == 200), settings.ROUTES, event_type="event_type")
     return rows.select(
         "upload_id",
@@ -330,6 +345,40 @@ def csv_event_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def csv_prefix_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F3 the original's way: each upload's records before its first faulty one."""
+    return csv_event_record(spark, sf_dir, until_fault=True)
+
+
+def upload_replies_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The original's reply to every upload request: header-only, empty, missing and oversized ones too."""
+    requests = _upload_requests(spark, sf_dir)
+    rows, files = read_event_csv(spark, _upload_root(spark, sf_dir), glob="*.txt", manifest=requests, until_fault=True)
+    return upload_replies(rows, files, until_fault=True).select(_upload_id(), "status", "n_written", "reply")
+
+
+def stream_upload_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1/K4 in a stream of upload requests: the sink refuses every ninth message; replies and the letters kept."""
+    _upload_requests(spark, sf_dir)
+    ev = _events(spark, sf_dir)
+    source = landed_path(spark, "upload-requests", ev, lambda p: None)
+    root = scratch_path(spark, "uploadreplies")
+
+    def sink(messages: DataFrame, batch_id: int) -> DataFrame:
+        """Refuses what is on every ninth line of an upload."""
+        refused = F.regexp_extract("origin", r"#([0-9]+)\z", 1).cast("long") % 9 == 0
+        write_topic_table(messages.where(~refused), f"{root}/topics", batch_id)
+        return messages.select("message_id", F.when(refused, F.lit("refused")).alias("error"))
+
+    q = start_upload_request_job(
+        upload_request_stream(spark, source, 2), settings.ROUTES, f"{root}/topics", f"{root}/dead_letter", f"{root}/replies", f"{root}/checkpoint", available_now=True, sink=sink
+    )
+    _ended(q)
+    letters = DeadLetterLedger(spark, f"{root}/dead_letter").letters().groupBy(_upload_id("origin")).agg(F.count_if(F.col("kind") == "unsent").alias("n_unsent"), F.count_if(F.col("kind") == "rejected").alias("n_rejected"))
+    replies = spark.read.parquet(f"{root}/replies").select(_upload_id(), "status", "n_written", "reply")
+    return replies.join(letters, "upload_id", "left").na.fill(0, ["n_unsent", "n_rejected"])
+
+
 def upload_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2 -> J1 -> K1/K4: upload rows become topic messages; bad rows and files become dead letters."""
     rows, files = _uploads(spark, sf_dir)
@@ -343,8 +392,7 @@ def upload_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_upload_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV uploads ingested by a file-stream query, a few files per micro-batch; same output as ``upload_messages``."""
-    ev = _events(spark, sf_dir)
-    uploads = landed_path(spark, "uploads", ev, lambda p: derive.write_uploads(ev, p))
+    uploads = _upload_root(spark, sf_dir)
     root = scratch_path(spark, "uploadstream")
     q = start_upload_job(
         upload_file_stream(spark, uploads, glob="*.txt"),
@@ -354,11 +402,9 @@ def stream_upload_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{root}/checkpoint",
         available_now=True,
     )
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    _ended(q)
     topics = spark.read.parquet(f"{root}/topics").groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
-    dead = spark.read.parquet(f"{root}/dead_letter").groupBy("error").agg(F.count(F.lit(1)).alias("n"))
+    dead = DeadLetterLedger(spark, f"{root}/dead_letter").letters().groupBy("error").agg(F.sum("copies").alias("n"))
     return topics.select(F.lit("message").alias("kind"), F.col("topic").alias("name"), "n").unionByName(
         dead.select(F.lit("dead_letter").alias("kind"), F.col("error").alias("name"), "n")
     )
@@ -376,13 +422,21 @@ def csv_file_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upload_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, _ = _uploads(spark, sf_dir)
-    return receipts(rows, by="upload_id").select("upload_id", "n_written", "receipt")
+    """A1: the receipt of every upload that was read, of 0 messages too."""
+    rows, files = _uploads(spark, sf_dir)
+    read = upload_replies(rows, files).where(F.col("status") == 200)
+    return read.select(_upload_id(), "n_written", F.col("reply").alias("receipt"))
 
 
 # --- streaming ---------------------------------------------------------------
 
 
+def _ended(q) -> None:
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
 def stream_click_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The click job as a Structured Streaming query over a file stream of messages.
 
@@ -401,18 +455,17 @@ def stream_click_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
         settings.PARTNER_PID,
         available_now=True,
     )
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    _ended(q)
     return spark.read.parquet(f"{root}/outbox").drop("batch_id")
 
 
 def dead_letter_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K4: rejected form requests appended to a Parquet dead-letter table, read back by reason."""
+    """K4: rejected form requests appended to the dead-letter ledger, twice to no effect, read back by reason."""
     _, dead = form_messages_and_dead_letters(_forms(spark, sf_dir))
-    path = scratch_path(spark, "dead_letter")
-    write_dead_letters(dead, path)
-    back = spark.read.parquet(path)
+    ledger = DeadLetterLedger(spark, scratch_path(spark, "dead_letter"))
+    for commit in ("first", "first", "again"):
+        ledger.append(dead, commit)
+    back = ledger.letters()
     return back.groupBy("attempt", "error").agg(
         F.count(F.lit(1)).alias("n_letters"),
         F.count_if(F.col("data").isNotNull() & F.col("record").isNotNull()).alias("n_with_payload"),
@@ -424,18 +477,15 @@ def stream_form_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir)
     source = landed_path(spark, "form-requests", ev, lambda p: derive.request_log(ev).write.mode("overwrite").parquet(p))
     root = scratch_path(spark, "ingeststream")
-    n_files = len(spark.read.parquet(source).inputFiles())
     q = start_ingest_job(
-        request_file_stream(spark, source, max_files_per_trigger=max(1, -(-n_files // 2))),  # two micro-batches
+        request_file_stream(spark, source, max_files_per_trigger=FILES_A_BATCH),
         settings.ROUTES,
         f"{root}/topics",
         f"{root}/dead_letter",
         f"{root}/checkpoint",
         available_now=True,
     )
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    _ended(q)
     return spark.read.parquet(f"{root}/topics").groupBy("topic").agg(F.count(F.lit(1)).alias("n_events"))
 
 
@@ -476,9 +526,151 @@ def csv_header_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upload_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F4 alone: which uploads are within the 10 MiB cap."""
-    _, files = _uploads(spark, sf_dir)
-    return files.select("upload_id", (F.col("file_size") <= MAX_UPLOAD_BYTES).alias("within_cap"))
+    """F4 alone: which uploads are within the 10 MiB cap; told from the listing, without reading them."""
+    return file_sizes(list_uploads(spark, _upload_root(spark, sf_dir), "*.txt")).select(_upload_id(), "within_cap")
+
+
+# --- the dead-letter loop, results of sends and deliveries ---------------------------
+
+
+def _refusing(topics: str):
+    """A sender that takes request N at its try ``N % 4`` and refuses it before; what it takes is written."""
+
+    def send(messages: DataFrame, batch: str) -> DataFrame:
+        number = F.regexp_extract("origin", r"([0-9]+)\z", 1).cast("long")
+        now = F.col("attempt") + 1 if "attempt" in messages.columns else F.lit(0)
+        refused = number % 4 > now
+        write_topic_table(messages.where(~refused).select("topic", "partition", "key", "value"), topics, batch)
+        return messages.select("message_id", F.when(refused, F.lit("refused")).alias("error"))
+
+    return send
+
+
+def _closed_loop(spark: SparkSession, sf_dir: str) -> tuple[DeadLetterLedger, str]:
+    """Form events sent, the refused ones kept and replayed three times; every step is run twice. Some payloads are damaged."""
+    root = scratch_path(spark, "deadletterloop")
+    topics, ledger = f"{root}/topics", DeadLetterLedger(spark, f"{root}/dead_letter")
+    judged = f"{root}/judged"
+    _forms(spark, sf_dir).write.parquet(judged)  # messages and letters are made from one judgement
+    messages, dead = form_messages_and_dead_letters(spark.read.parquet(judged))
+    sent = settle(messages, _refusing(topics), "ingest")
+    number = F.regexp_extract("origin", r"([0-9]+)\z", 1)
+    damaged = F.when(number.cast("long") % 43 == 5, F.encode(F.concat(F.lit("no record "), number), "UTF-8")).otherwise(F.col("value"))
+    letters = dead.unionByName(unsent_letters(sent.failures(messages).withColumn("value", damaged)))
+    for commit in ("ingest", "ingest", "ingest-again"):
+        ledger.append(letters, commit)
+    for k in (1, 1, 2, 2, 3):
+        replay_ledger(ledger, _refusing(topics), settings.ROUTES, f"replay-{k}")
+    return ledger, topics
+
+
+def dead_letter_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4/K5: every try of every letter, with its payload."""
+    ledger, _ = _closed_loop(spark, sf_dir)
+    letters = decode(ledger.letters().drop("record"), value="data")
+    states = ledger.states().select("letter_id", F.col("attempt").alias("try"), "outcome", F.col("error").alias("try_error"))
+    return letters.join(states, "letter_id").select(
+        F.regexp_extract("origin", r"([0-9]+)\z", 1).cast("long").alias("request_id"),
+        "kind",
+        "copies",
+        F.col("try").alias("attempt"),
+        "outcome",
+        F.col("try_error").alias("error"),
+        "topic",
+        F.col("record.did").alias("did"),
+        F.when(F.col("decoded"), F.col("record.timestamp")).alias("timestamp"),
+        _ext("value").alias("value"),
+    )
+
+
+def replayed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: the payloads on every topic after the replays: each valid event once."""
+    _, topics = _closed_loop(spark, sf_dir)
+    df = decode(read_topic_table(spark, topics), value="value")
+    return df.select("topic", F.col("record.did").alias("did"), F.col("record.timestamp").alias("timestamp"), F.col("record.aid").alias("aid"), _ext("event_type").alias("event_type"), _ext("value").alias("value"))
+
+
+def replay_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: what each replay sent and what failed in it, by what became of the letters."""
+    ledger, _ = _closed_loop(spark, sf_dir)
+    return ledger.summary()
+
+
+def stream_send_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 in a stream: messages sent, failed and requests rejected by the job's counts, by the sink's table and by the ledger."""
+    ev = _events(spark, sf_dir)
+    source = landed_path(spark, "form-requests", ev, lambda p: derive.request_log(ev).write.mode("overwrite").parquet(p))
+    root = scratch_path(spark, "sendcounts")
+
+    def sink(messages: DataFrame, batch_id: int) -> DataFrame:
+        refused = F.regexp_extract("origin", r"([0-9]+)\z", 1).cast("long") % 5 == 0
+        write_topic_table(messages.where(~refused), f"{root}/topics", batch_id)
+        return messages.select("message_id", F.when(refused, F.lit("refused")).alias("error"))
+
+    _ended(
+        start_ingest_job(
+            request_file_stream(spark, source, FILES_A_BATCH), settings.ROUTES, f"{root}/topics", f"{root}/dead_letter", f"{root}/checkpoint", sink=sink, available_now=True, counts_path=f"{root}/counts"
+        )
+    )
+    told = spark.read.parquet(f"{root}/counts").agg(F.sum("success").alias("success"), F.sum("failed").alias("failed"), F.sum("rejected").alias("rejected"))
+    letters = DeadLetterLedger(spark, f"{root}/dead_letter").letters().agg(F.count_if(F.col("kind") == "unsent").alias("failed"), F.count_if(F.col("kind") == "rejected").alias("rejected"))
+    taken = spark.read.parquet(f"{root}/topics").agg(F.count(F.lit(1)).alias("success"))
+    return told.select(F.lit("counted").alias("by"), "success", "failed", "rejected").unionByName(
+        taken.crossJoin(letters).select(F.lit("kept").alias("by"), "success", "failed", "rejected")  # one row each
+    )
+
+
+def _delivering(told: Callable[[DataFrame], DataFrame | None], **paths: str):
+    """The click job over the landed messages, as in ``stream_click_urls``."""
+
+    def run(spark: SparkSession, sf_dir: str, checkpoint: str) -> None:
+        ev = _events(spark, sf_dir)
+        source = landed_path(spark, "click-messages", ev, lambda p: derive.click_messages(ev).write.mode("overwrite").parquet(p))
+        outbox = f"{checkpoint}-outbox"
+        stream = message_file_stream(spark, source, max_files_per_trigger=FILES_A_BATCH)
+        _ended(start_click_job(stream, outbox, checkpoint, settings.CLICK_BASE_URL, settings.PARTNER_PID, deliver=told, available_now=True, **paths))
+
+    return run
+
+
+def delivery_results_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: every click request with what came of it; replies other than 200, errors and requests without a result stay."""
+    root = scratch_path(spark, "delivery")
+
+    def told(requests: DataFrame, batch_id: int) -> DataFrame:
+        n = F.col("source_id")
+        silent = n % 11 == 0
+        status = F.when(~silent, F.when(n % 7 == 0, F.lit(503)).otherwise(F.lit(200)))
+        return requests.where(n % 13 != 1).select("request_key", status.alias("status"), F.when(silent, F.lit("timeout")).alias("error"))
+
+    _delivering(told, results_path=f"{root}/results")(spark, sf_dir, f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/results").select("source_id", "url", "status", "error", "outcome")
+
+
+def click_at_most_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 the original's way: batches are claimed before they are sent; a second run over the same messages sends nothing."""
+    root = scratch_path(spark, "claims")
+
+    def told(requests: DataFrame, batch_id: int) -> None:
+        requests.select("source_id", "url").write.mode("append").parquet(f"{root}/sent")
+
+    for run in ("first", "second"):
+        _delivering(told, claims_path=f"{root}/claims")(spark, sf_dir, f"{root}/{run}")
+    return spark.read.parquet(f"{root}/sent").groupBy("source_id", "url").agg(F.count(F.lit(1)).alias("n_sent"))
+
+
+def keyed_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3, keyed hash: all messages of a device on one partition of twelve."""
+    df = _stored(spark, sf_dir).select(F.col("record.did").alias("did"))
+    df = assign_partition(df, "hash", n=12, key="did")
+    one = F.col("partition").between(0, 11)
+    return df.groupBy("did").agg(F.count(F.lit(1)).alias("n_messages"), F.countDistinct("partition").alias("n_partitions"), F.bool_and(one).alias("in_range"))
+
+
+def prefix_table_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 with a table of many nested prefixes: the longest that each page's URL begins with."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return match_prefix(pages, derive.prefix_table(pages), path="url").select("page_id", "prefix", "reason")
 
 
 QUERIES: dict[str, Query] = {
@@ -517,4 +709,15 @@ QUERIES: dict[str, Query] = {
     "upload_size": upload_size,
     "upload_messages": upload_messages,
     "stream_upload_ingest": stream_upload_ingest,
+    "dead_letter_replay": dead_letter_replay,
+    "replayed_messages": replayed_messages,
+    "replay_counts": replay_counts,
+    "stream_send_counts": stream_send_counts,
+    "delivery_results": delivery_results_q,
+    "click_at_most_once": click_at_most_once,
+    "csv_prefix_rows": csv_prefix_rows,
+    "upload_replies": upload_replies_q,
+    "stream_upload_replies": stream_upload_replies,
+    "prefix_table_match": prefix_table_match,
+    "keyed_partitions": keyed_partitions,
 }

@@ -28,6 +28,8 @@ RECEIPT_FMT = "%d messages have been writen."
 NO_HANDLER_MSG = "No handler matched."
 TOO_LARGE_MSG = "The file is too large:"
 SEND_FAILED_MSG = "Failed to send message to kafka:"
+UPLOAD_SEND_FAILED_MSG = "Failed to send to kafka:"
+READ_FAILED_MSG = "Err read file:"
 EMPTY_UPLOAD_MSG = "Failed to read the first line of file:EOF"
 UNREAD_UPLOAD_MSG = "Failed to read upload file:"
 RAGGED_ROW_MSG = "wrong number of fields"
@@ -71,24 +73,31 @@ RECORD_FIELDS = tuple(f.name for f in EVENT_RECORD.fields)
 # The same record as read back from a codec: nothing can be trusted to be present.
 DECODED_RECORD = T.StructType([T.StructField(f.name, f.dataType, True) for f in EVENT_RECORD.fields])
 
-# Message rows as Spark's Kafka sink expects them.
-MESSAGE = T.StructType(
+# What a sender reports for a message; a null error means acknowledged.
+SEND_RESULT = T.StructType([T.StructField("message_id", T.StringType(), True), T.StructField("error", T.StringType(), True)])
+
+# What a delivery function reports for an outbound request: the reply's status, or the error that kept it from one.
+DELIVERY_RESULT = T.StructType(
     [
-        T.StructField("topic", T.StringType(), True),
-        T.StructField("partition", T.IntegerType(), True),
-        T.StructField("key", T.BinaryType(), True),
-        T.StructField("value", T.BinaryType(), True),
+        T.StructField("request_key", T.StringType(), True),
+        T.StructField("status", T.IntegerType(), True),
+        T.StructField("error", T.StringType(), True),
     ]
 )
 
-# Dead-letter table layout.
+# Dead letters: records that could not be written ("unsent", with their payload) and input that
+# never became a record ("rejected", with the raw input). ``attempt`` is the try that failed.
+UNSENT, REJECTED = "unsent", "rejected"
 DEAD_LETTER = T.StructType(
     [
-        T.StructField("failed_at", T.TimestampType(), True),
+        T.StructField("letter_id", T.StringType(), True),
+        T.StructField("kind", T.StringType(), True),
+        T.StructField("origin", T.StringType(), True),
+        T.StructField("topic", T.StringType(), True),
         T.StructField("error", T.StringType(), True),
         T.StructField("record", T.StringType(), True),
         T.StructField("data", T.BinaryType(), True),
-        T.StructField("topic", T.StringType(), True),
+        T.StructField("failed_at", T.TimestampType(), True),
         T.StructField("attempt", T.IntegerType(), True),
     ]
 )

@@ -1,10 +1,12 @@
-"""K4/K5: records that could not be written, kept as a table and replayed.
+"""K4/K5: records that could not be written, as rows of one layout.
 
 The original appended three text lines per failure (``error:``, ``record:``,
 ``data: [b0 b1 ...]``) to a backup log and replayed ``data:`` lines later;
 lines failing again went to ``backup.log.N`` for the first free N below 100.
-Here a dead letter is a row of the ``dead_letter`` table, partitioned by
-``attempt``; the text form is kept for old logs (``backup_lines``,
+Here a dead letter is a row (``schema.DEAD_LETTER``) named by a digest of its
+kind, topic, origin and payload, so the same failure has the same name however
+often it is reported; ``sinks.ledger`` keeps the letters and what became of
+them. The text form is kept for old logs (``backup_lines``,
 ``sources.backup_log``).
 """
 
@@ -14,29 +16,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.bytelist import bytes_to_list_text
-from sluice.schema import MAX_RETRY_GENERATIONS
+from sluice.schema import MAX_RETRY_GENERATIONS, UNSENT
 
 LOG_TIME = "yyyy/MM/dd HH:mm:ss"
 
 
-def to_dead_letters(df: DataFrame, error: Column, record: Column | None, data: Column, topic: Column, attempt: Column | int = 0) -> DataFrame:
-    """Rows of the ``dead_letter`` table; ``record`` (any struct or map) is kept as JSON text."""
+def message_id(topic: Column, origin: Column, data: Column, kind: Column | str = UNSENT) -> Column:
+    """Digest that names a message, and its dead letter: of kind, topic, origin and payload, each told from an absent one."""
+    kind = F.lit(kind) if isinstance(kind, str) else kind
+    head = F.concat_ws("\n", kind, *[F.coalesce(F.concat(F.lit("="), F.hex(c.cast("string"))), F.lit("-")) for c in (topic, origin)])
+    return F.sha2(F.concat(F.encode(head, "UTF-8"), F.coalesce(F.concat(F.encode(F.lit("\n="), "UTF-8"), data.cast("binary")), F.encode(F.lit("\n-"), "UTF-8"))), 256)
+
+
+def to_dead_letters(
+    df: DataFrame,
+    error: Column,
+    record: Column | None,
+    data: Column,
+    topic: Column,
+    attempt: Column | int = 0,
+    origin: Column | None = None,
+    kind: str = UNSENT,
+) -> DataFrame:
+    """Rows of the dead-letter layout; ``record`` (any struct or map) is kept as JSON text, ``origin`` says where the data came from."""
     att = F.lit(attempt) if isinstance(attempt, int) else attempt
+    origin = (F.lit(None) if origin is None else origin).cast("string")
     return df.select(
-        F.current_timestamp().alias("failed_at"),
+        message_id(topic, origin, data, kind).alias("letter_id"),
+        F.lit(kind).alias("kind"),
+        origin.alias("origin"),
+        topic.cast("string").alias("topic"),
         error.cast("string").alias("error"),
         (F.to_json(record) if record is not None else F.lit(None).cast("string")).alias("record"),
         data.cast("binary").alias("data"),
-        topic.cast("string").alias("topic"),
+        F.current_timestamp().alias("failed_at"),
         att.cast("int").alias("attempt"),
     )
 
 
-def write_dead_letters(dead: DataFrame, path: str) -> None:
-    """Append to the ``dead_letter`` Parquet table (partitioned by attempt)."""
-    dead.write.mode("append").partitionBy("attempt").parquet(path)
-
-
 def backup_lines(dead: DataFrame, dated: bool = True) -> DataFrame:
     """The legacy text form: ``error:``, ``record:`` and ``data: [..]`` lines, one ``value`` each."""
     prefix = F.concat(F.date_format("failed_at", LOG_TIME), F.lit(" ")) if dated else F.lit("")

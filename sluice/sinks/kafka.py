@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.sinks.deadletter import message_id
 from sluice.sources.kafka import require_kafka
 
 
@@ -33,6 +34,16 @@ def to_messages(df: DataFrame, value: Column, topic: str = "topic", partition: s
     )
 
 
+def named_messages(df: DataFrame, value: Column, origin: Column, topic: str = "topic", partition: str | None = "partition", key: Column | None = None) -> DataFrame:
+    """K1 with a name for each row: ``message_id``, the name of its dead letter if it is refused, and ``origin``. Sinks leave both out."""
+    named = df.withColumns({"_origin": origin.cast("string"), "_value": value.cast("binary")})
+    name = message_id(F.col(topic), F.col("_origin"), F.col("_value"))
+    named = named.select(name.alias("message_id"), F.col("_origin").alias("origin"), "*")
+    columns = [(F.col(partition) if partition and partition in df.columns else F.lit(None)).cast("int").alias("partition")]
+    columns += [(key if key is not None else F.lit(None)).cast("binary").alias("key"), F.col("_value").alias("value")]
+    return named.select("message_id", named["origin"], F.col(topic).alias("topic"), *columns)
+
+
 def to_string_messages(df: DataFrame, text: Column, topic: str = "topic", partition: str | None = "partition") -> DataFrame:
     """K2: the same rows with a STRING payload (the sink accepts string values)."""
     return df.select(
@@ -46,7 +57,7 @@ def to_string_messages(df: DataFrame, text: Column, topic: str = "topic", partit
 def write_topics(messages: DataFrame, brokers: Sequence[str], extra: Mapping[str, str] | None = None) -> None:
     """Batch write; raises if the connector is missing or any send fails."""
     require_kafka(messages.sparkSession)
-    messages.write.format("kafka").options(**kafka_write_options(brokers, extra)).save()
+    messages.drop("message_id", "origin").write.format("kafka").options(**kafka_write_options(brokers, extra)).save()
 
 
 def write_topics_stream(messages: DataFrame, brokers: Sequence[str], checkpoint: str, extra: Mapping[str, str] | None = None):

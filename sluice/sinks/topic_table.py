@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_topic_table(messages: DataFrame, path: str, batch_id: int | None = None) -> None:
-    df = messages
+def write_topic_table(messages: DataFrame, path: str, batch_id: int | str | None = None) -> None:
+    df = messages.drop("message_id", "origin")  # names of this run, not part of a message
     parts = ["topic"]
     if batch_id is not None:
-        df = df.withColumn("batch_id", F.lit(int(batch_id)))
+        df = df.withColumn("batch_id", F.lit(batch_id))
         parts = ["batch_id", "topic"]
     (
         df.write.mode("overwrite" if batch_id is not None else "append")
