@@ -8,9 +8,11 @@ bitfield of failed positions and the search steps back. Merging is local: a
 segmentation whose adjacent pieces are all compatible is the one that merging
 the whole text ends in, whatever its length.
 
-Where no piece holds a blank behind another character, no merge crosses the
-border in front of a blank; the text is then cut there and each distinct chunk
-is encoded once per Python worker. Characters of no piece are spelt as bytes.
+No merge crosses a border between two characters that stand side by side in no
+piece. The text is cut at such borders, as far as the pieces allow: in front of
+a blank, between letters and other characters, and around characters that no
+longer piece holds. Each distinct chunk is encoded once per Python worker.
+Characters of no piece are spelt as bytes.
 
 Defined results: null and empty texts have no ids and decode to ''. Repeated
 rows are encoded alike. Texts of any length are encoded whole. An empty table
@@ -19,6 +21,7 @@ gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +32,8 @@ from .common import slices, table
 
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
-# Chunks and pairs of pieces that a Python worker remembers; beyond, it starts anew.
-KEPT_CHUNKS, KEPT_PAIRS = 300_000, 1_000_000
+# Chunks that a Python worker remembers, in two generations; pairs of pieces, beyond which it starts anew.
+KEPT_CHUNKS, KEPT_PAIRS = 400_000, 1_000_000
 # Longer chunks are encoded each time.
 KEPT_LENGTH = 64
 TEXTS_AT_ONCE = 256
@@ -64,6 +67,7 @@ class PieceEncoder:
             self.spelt[pieces[c]] = self.as_bytes(c)
         self.pieces = pieces
         self.names = {i: p for p, i in pieces.items()}
+        self.known = {c for c in pieces if len(c) == 1}
         self.scores = {p: processor.get_score(i) for p, i in pieces.items() if i >= 0}
         self.lengths = {i: len(p) for p, i in pieces.items()}
         self.shorter = {i: next((pieces[p[:n]] for n in range(len(p) - 1, 0, -1) if p[:n] in pieces), None) for p, i in pieces.items()}
@@ -71,12 +75,26 @@ class PieceEncoder:
         for p, i in pieces.items():
             self.automaton.add_word(p, i)
         self.automaton.make_automaton()
-        known = "".join(map(re.escape, sorted(c for c in pieces if len(c) == 1)))
-        self.unknown = re.compile(f"([^{known}])")
-        crossing = any(p[k] != BLANK and p[k + 1] == BLANK for p in pieces for k in range(len(p) - 1))
-        self.chunk = re.compile(r"[\s\S]+" if crossing else f"{BLANK}*[^{BLANK}]+|{BLANK}+")
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.chunk = re.compile(self.chunk_pattern())
+        self.fits: dict[int, bool] = {}
         self.met: dict[str, bytes] = {}
+        self.met_before: dict[str, bytes] = {}
+
+    def chunk_pattern(self) -> str:
+        """A pattern whose matches, end to end, are the chunks that are merged by themselves."""
+        import re
+
+        beside = {(p[k], p[k + 1]) for p in self.pieces for k in range(len(p) - 1)}
+        if any(a != BLANK and b == BLANK for a, b in beside):
+            return r"[\s\S]+"
+        joined = {c for pair in beside for c in pair} - {BLANK}
+        letters = {c for c in joined if c.isalpha()}
+        if any((a in letters) != (b in letters) for a, b in beside if a != BLANK):
+            runs = [joined]
+        else:
+            runs = [letters, joined - letters]
+        # any other character stands alone
+        return "|".join([f"{BLANK}*[{''.join(map(re.escape, sorted(r)))}]+" for r in runs if r] + [f"{BLANK}+", r"[\s\S]"])
 
     def as_bytes(self, text: str) -> list[int]:
         return [self.byte_ids[b] for b in text.encode()]
@@ -96,53 +114,71 @@ class PieceEncoder:
 
     def compatible(self, left: int | None, right: int) -> bool:
         """Whether merging ``left`` and ``right`` side by side leaves both as they are (``right`` alone at a start)."""
-        known = self.fits.get((left, right))
-        if known is None:
-            if len(self.fits) >= KEPT_PAIRS:
-                self.fits.clear()
-            names = [self.names[i] for i in (left, right) if i is not None]
-            known = self.fits[left, right] = self.merge("".join(names)) == names
-        return known
+        names = [self.names[i] for i in (left, right) if i is not None]
+        return self.merge("".join(names)) == names
 
     def segment(self, text: str) -> list[int]:
         """Pieces of a text whose characters all have a place; by backtracking over places that can still be right."""
-        longest = [0] * len(text)
-        lengths = self.lengths
+        size = len(text)
+        longest = [0] * size
+        lengths, shorter, fits = self.lengths, self.shorter, self.fits
         # ends come in order, so the last piece set at a start is its longest
         for end, piece in self.automaton.iter(text):
             longest[end - lengths[piece] + 1] = piece
-        failed = bytearray(len(text) + 1)
+        failed = bytearray(size + 1)
         out: list[int] = []
-        at, piece = 0, longest[0]
+        at, piece, last, row = 0, longest[0], None, 0
         while True:
-            last = out[-1] if out else None
-            while piece is not None and (failed[at + lengths[piece]] or not self.compatible(last, piece)):
-                piece = self.shorter[piece]
+            while piece is not None:
+                end = at + lengths[piece]
+                if not failed[end]:
+                    fit = fits.get(row + piece)
+                    if fit is None:
+                        if len(fits) >= KEPT_PAIRS:
+                            fits.clear()
+                        fit = fits[row + piece] = self.compatible(last, piece)
+                    if fit:
+                        break
+                piece = shorter[piece]
             if piece is None:
                 failed[at] = 1
                 if last is None:
                     raise ValueError(f"no segmentation of {text[:40]!r}")
-                piece = self.shorter[out.pop()]
+                piece = shorter[out.pop()]
                 at -= lengths[last]
+                last = out[-1] if out else None
+                row = 0 if last is None else (last + 1) << 32
                 continue
-            out.append(piece)
-            at += lengths[piece]
-            if at == len(text):
+            if end == size:
+                out.append(piece)
                 return out
-            piece = longest[at]
+            out.append(piece)
+            at, last, row, piece = end, piece, (piece + 1) << 32, longest[end]
 
     def chunk_ids(self, chunk: str) -> bytes:
         """Little-endian 32-bit ids of a chunk."""
-        import numpy as np
-
-        ids: list[int] = []
-        for k, part in enumerate(self.unknown.split(chunk)):
-            if k % 2:
-                ids += self.as_bytes(part)
-            elif part:
-                for piece in self.segment(part):
-                    ids += self.spelt[piece]
-        return np.asarray(ids, "<i4").tobytes()
+        from array import array
+
+        if self.known.issuperset(chunk):
+            ids = self.segment(chunk)
+            if min(ids) < 0:
+                ids = [i for piece in ids for i in self.spelt[piece]]
+        else:  # characters of no piece part it
+            ids, run = [], ""
+            for c in chunk:
+                if c in self.known:
+                    run += c
+                else:
+                    ids += (self.ids_of(run) if run else []) + self.as_bytes(c)
+                    run = ""
+            ids += self.ids_of(run) if run else []
+        out = array("i", ids)
+        if sys.byteorder != "little":
+            out.byteswap()
+        return out.tobytes()
+
+    def ids_of(self, text: str) -> list[int]:
+        return [i for piece in self.segment(text) for i in self.spelt[piece]]
 
     def encode(self, text: str) -> bytes:
         """Little-endian 32-bit ids of a text."""
@@ -151,16 +187,17 @@ class PieceEncoder:
         met = self.met
         chunks = self.chunk.findall(self.processor.normalize(text))
         found = list(map(met.get, chunks))
-        for k, (chunk, ids) in enumerate(zip(chunks, found, strict=True)):
-            if ids is None:
-                if chunk not in met:
-                    if len(chunk) > KEPT_LENGTH:
-                        found[k] = self.chunk_ids(chunk)
-                        continue
-                    if len(met) >= KEPT_CHUNKS:
-                        met.clear()
-                    met[chunk] = self.chunk_ids(chunk)
-                found[k] = met[chunk]
+        if None in found:
+            for k in [k for k, ids in enumerate(found) if ids is None]:
+                chunk = chunks[k]
+                ids = met.get(chunk) or self.met_before.get(chunk) or self.chunk_ids(chunk)
+                if len(chunk) <= KEPT_LENGTH:
+                    if len(met) >= KEPT_CHUNKS // 2:
+                        # what is still in use comes over from the generation before
+                        self.met_before, self.met = met, {}
+                        met = self.met
+                    met[chunk] = ids
+                found[k] = ids
         return b"".join(found)
 
 
