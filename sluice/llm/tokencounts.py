@@ -58,12 +58,17 @@ class TokenRollup:
     that id in the batch only mean the replacement. Null ids are one id; null
     texts have no tokens; null sources and languages are groups of their own.
     An empty batch commits and changes nothing. Batches are applied in the
-    order of their numbers.
+    order of their numbers; one that comes late ends with an error.
+
+    What is committed is read from the folder, so a rollup that is opened
+    again goes on where the last one stopped. Every ``compact`` batches the
+    documents' current counts are written as one table, in the batch's own
+    folder and before its commit; a batch reads the last such table and the
+    batches behind it, however many came before.
     """
 
-    def __init__(self, spark: SparkSession, path: str, versions: dict[str, str | None] = VERSIONS):
-        self.spark, self.path, self.versions = spark, path, versions
-        self.batches: list[int] = []
+    def __init__(self, spark: SparkSession, path: str, versions: dict[str, str | None] = VERSIONS, compact: int = 16):
+        self.spark, self.path, self.versions, self.compact = spark, path, versions, compact
 
     def _folder(self, kind: str, batch: int) -> str:
         return f"{self.path}/{kind}/batch={batch}"
@@ -71,46 +76,73 @@ class TokenRollup:
     def committed(self, batch: int) -> bool:
         return _fs_exists(self.spark, f"{self._folder('deltas', batch)}/_SUCCESS")
 
+    @property
+    def batches(self) -> list[int]:
+        """Numbers of the committed batches, rising."""
+        if not _fs_exists(self.spark, f"{self.path}/deltas"):
+            return []
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/deltas")
+        listed = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+        numbers = [int(f.getPath().getName().split("=")[1]) for f in listed if f.getPath().getName().startswith("batch=")]
+        return sorted(n for n in numbers if self.committed(n))
+
     def apply(self, batch: int, changes: DataFrame) -> bool:
         """Commit a batch; False if it is committed already."""
-        if self.committed(batch):
-            if batch not in self.batches:
-                self.batches.append(batch)
+        batches = self.batches
+        if batch in batches:
             return False
+        if batches and batch < batches[-1]:
+            raise ValueError(f"batch {batch} comes after batch {batches[-1]}")
         puts = counted(changes.where("op = 'put'"), self.versions)
         gone = changes.where("op = 'delete'").select("doc_id", *[F.lit(None).cast("string").alias(c) for c in KEYS], *[F.lit(0).cast("long").alias(c) for c in SUMS])
         # doc_ids' counts after the batch; a delete is a row of zeros
         puts.unionByName(gone).write.mode("overwrite").parquet(self._folder("states", batch))
         now = self.spark.read.parquet(self._folder("states", batch))
         signed = now.select(*KEYS, *SUMS)
-        if self.batches:
-            was = self._states()
+        if batches:
+            was = self._states(batches)
             ids = now.select(F.col("doc_id").alias("changed")).distinct()
             old = was.join(ids, was["doc_id"].eqNullSafe(F.col("changed")), "left_semi")
             signed = signed.unionByName(old.select(*KEYS, *[(-F.col(c)).alias(c) for c in SUMS]))
         delta = signed.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).where(" or ".join(f"{c} != 0" for c in SUMS))
+        if (len(batches) + 1) % self.compact == 0:
+            whole = [*batches, batch]
+            self._states(whole, len(batches)).where("n_docs > 0").write.mode("overwrite").parquet(self._folder("current", batch))
+            self._sums(whole[:-1], delta).write.mode("overwrite").parquet(self._folder("sums", batch))
         delta.write.mode("overwrite").parquet(self._folder("deltas", batch))
-        self.batches.append(batch)
         return True
 
-    def _states(self) -> DataFrame:
+    def _since(self, kind: str, batches: list[int], before: int | None = None) -> tuple[list[str], list[int]]:
+        """The last compacted table of the batches (of the first ``before``), if any, and the batches behind it."""
+        for at in range((len(batches) if before is None else before) - 1, -1, -1):
+            if (at + 1) % self.compact == 0 and _fs_exists(self.spark, f"{self._folder(kind, batches[at])}/_SUCCESS"):
+                return [self._folder(kind, batches[at])], batches[at + 1 :]
+        return [], batches
+
+    def _states(self, batches: list[int], before: int | None = None) -> DataFrame:
         """Current counts of all documents: their rows of the last batch that has the doc_id."""
-        parts = [self.spark.read.parquet(self._folder("states", b)).withColumn("batch", F.lit(b)) for b in self.batches]
-        rows = parts[0]
-        for part in parts[1:]:
-            rows = rows.unionByName(part)
+        compacted, later = self._since("current", batches, before)
+        parts = [(0, p) for p in compacted] + [(1 + k, self._folder("states", b)) for k, b in enumerate(later)]
+        rows = None
+        for order, path in parts:
+            part = self.spark.read.parquet(path).withColumn("batch", F.lit(order))
+            rows = part if rows is None else rows.unionByName(part)
         last = rows.groupBy(F.col("doc_id").alias("id")).agg(F.max("batch").alias("last"))
         return rows.join(last, rows["doc_id"].eqNullSafe(F.col("id")) & (F.col("batch") == F.col("last"))).drop("id", "last", "batch")
 
+    def _sums(self, batches: list[int], *more: DataFrame) -> DataFrame:
+        compacted, later = self._since("sums", batches)
+        rows = None
+        for part in [*[self.spark.read.parquet(p) for p in (*compacted, *[self._folder("deltas", b) for b in later])], *more]:
+            rows = part if rows is None else rows.unionByName(part)
+        return rows.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS])
+
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, n_docs, n_tokens, n_chars over all committed batches; groups that came to nothing are left out."""
-        parts = [self.spark.read.parquet(self._folder("deltas", b)) for b in self.batches]
-        if not parts:
+        batches = self.batches
+        if not batches:
             raise ValueError("no batch is committed")
-        rows = parts[0]
-        for part in parts[1:]:
-            rows = rows.unionByName(part)
-        return rows.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).where("n_docs != 0")
+        return self._sums(batches).where("n_docs != 0")
 
 
 def roll_up(docs: DataFrame, path: str, versions: dict[str, str | None] = VERSIONS) -> TokenRollup:

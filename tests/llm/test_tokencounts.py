@@ -55,3 +55,40 @@ def test_roll_up_keeps_first_lines_and_first_copies(spark, documents, odd_texts)
     rows = [("s", "en", "\n".join(dict.fromkeys(t.split("\n")))) for t in kept] + [("s", "en", None)]
     assert totals(tokencounts.roll_up(docs, Scratch(spark, "test").path("rollup"))) == expected(rows)
     assert tokencounts.roll_up(documents([]), Scratch(spark, "test").path("rollup")).totals().collect() == []
+
+
+def test_a_rollup_opened_again_goes_on(spark):
+    path = Scratch(spark, "test").path("rollup")
+    tokencounts.TokenRollup(spark, path).apply(1, spark.createDataFrame([("put", 1, "a", "en", "x"), ("put", 2, "a", "en", "y z")], CHANGES))
+    again = tokencounts.TokenRollup(spark, path)
+    assert again.batches == [1] and totals(again) == expected([("a", "en", "x"), ("a", "en", "y z")])
+    assert not again.apply(1, spark.createDataFrame([("put", 1, "a", "en", "other")], CHANGES))
+    assert again.apply(3, spark.createDataFrame([("put", 1, "a", "en", "x x x"), ("delete", 2, None, None, None)], CHANGES))
+    last = tokencounts.TokenRollup(spark, path)
+    assert totals(last) == expected([("a", "en", "x x x")])
+    try:
+        last.apply(2, spark.createDataFrame([], CHANGES))
+    except ValueError as e:
+        assert "batch 2" in str(e)
+    else:
+        raise AssertionError("a late batch must not be applied")
+
+
+def test_many_batches_are_compacted(spark):
+    path, kept = Scratch(spark, "test").path("rollup"), {}
+    for k in range(1, 12):
+        rollup = tokencounts.TokenRollup(spark, path, {"words-1": None}, compact=3)
+        rows = [("put", k % 4, "a", "en", "w " * k), ("put", 10 + k, "b", "en", "v")] + ([("delete", 10 + k - 1, None, None, None)] if k % 2 else [])
+        if k == 6:  # a compaction that was written by an attempt without a commit is written anew
+            spark.range(1).write.parquet(rollup._folder("current", 6))
+        rollup.apply(k, spark.createDataFrame(rows, CHANGES))
+        kept[k % 4] = ("a", k)
+        kept[10 + k] = ("b", 1)
+        if k % 2:
+            kept.pop(10 + k - 1, None)
+        want = {}
+        for source, n in kept.values():
+            old = want.get(source, (0, 0))
+            want[source] = (old[0] + 1, old[1] + n)
+        assert {r.source: (r.n_docs, r.n_tokens) for r in rollup.totals().collect()} == want
+    assert len(rollup._since("current", rollup.batches)[1]) == 2 and len(rollup._states(rollup.batches).inputFiles()) < 40
