@@ -204,20 +204,20 @@ def search(index: DataFrame, items: list[tuple[str, list[bytes]]], window: int =
                     pa.array(segment.doc_ids, batch.schema.field("doc_ids").type.value_type),
                     pa.array(segment.sizes, pa.int64()),
                     pa.array([sorted(hits.get(d, ())) for d in range(n)], pa.list_(pa.int32())),
-                    pa.array([[names[i] for i in sorted(owners.get(d, ()))] for d in range(n)], pa.list_(pa.string())),
+                    pa.array([[names[i] for i in sorted(owners.get(d, ())) if names[i] is not None] for d in range(n)], pa.list_(pa.string())),
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return index.mapInArrow(find, schema)
 
 
-def item_blocks(benchmark: DataFrame, most_words: int) -> Iterator[list[tuple[str, list[bytes]]]]:
+def item_blocks(benchmark: DataFrame, most_words: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
     """The items with words, read in blocks that hold about ``most_words`` words each (an item is never split)."""
-    texts = benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("string").alias("item_id"), "text")
+    texts = benchmark.where("text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text")
     chars = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = chars // (2 * most_words) + 1  # a word and its separator have two bytes at least
     for block in range(n):
-        rows = texts.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == block).collect()
+        rows = texts.where(F.pmod(F.xxhash64("text"), F.lit(n)) == block).collect()
         items = [(r.item_id, words_of(r.text)) for r in rows]
         if found := [x for x in items if x[1]]:
             yield found
@@ -229,17 +229,25 @@ def decontaminate(
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     Null or empty texts have no words and are never contaminated; items with
-    a null text or id are left out. Rows of a repeated item_id count as one
+    a null text are left out. What an item without an id holds is hit, but the
+    item is neither counted nor named. Rows of a repeated item_id count as one
     item with the windows of all its rows. Repeated documents are judged one
     by one. An empty benchmark hits nothing; empty documents give no rows.
     Other columns are ignored.
     """
     scratch = Scratch(docs.sparkSession, "decontam")
     index = scratch.write(build_index(docs, segment_texts), "segments")
-    parts = [search(index, items, window) for items in item_blocks(benchmark, block_words)] or [search(index, [], window)]
-    found = parts[0]
-    if len(parts) > 1:
-        for part in parts[1:]:
+    parts: list[DataFrame] = []
+    held = None
+    for items in item_blocks(benchmark, block_words):
+        # a block's result is written before the next one is read, so one block is held at a time
+        if held is not None:
+            parts.append(scratch.write(search(index, held, window), "block"))
+        held = items
+    last = search(index, held or [], window)
+    found = scratch.write(last, "block") if parts else last
+    if parts:
+        for part in parts:
             found = found.unionByName(part)
         found = found.groupBy("row").agg(
             F.any_value("doc_id").alias("doc_id"),
@@ -282,7 +290,7 @@ WITH d AS (
   SELECT doc_id, count(DISTINCT q) AS n_hit
   FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM found) GROUP BY doc_id
 ), items AS (
-  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS joined
+  SELECT doc_id, count(item_id) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS joined
   FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,

@@ -51,3 +51,13 @@ def test_empty_tables(spark, documents):
     none = spark.createDataFrame([], "item_id string, text string")
     assert [r.contaminated for r in decontam.decontaminate(documents(["a b", None]), none).collect()] == [False, False]
     assert decontam.decontaminate(documents([]), none).collect() == []
+
+
+def test_items_without_an_id_hit_but_are_not_named(spark, documents):
+    passage = " ".join(f"p{i}" for i in range(20))
+    items = [(None, passage), ("a", " ".join(f"p{i}" for i in range(13))), (None, "other words here")]
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    got = judged(decontam.decontaminate(documents([passage, "other words here", "clean text"]), benchmark))
+    none = hashlib.sha256(b"").hexdigest()
+    assert got == [(0, 20, 20, 1, hashlib.sha256(b"a").hexdigest(), True), (1, 3, 3, 0, none, True), (2, 2, 0, 0, none, False)]
+    assert judged(decontam.decontaminate(documents([passage, "other words here", "clean text"]), benchmark, block_words=5)) == got
