@@ -26,8 +26,10 @@ def without(docs: DataFrame, gone: DataFrame, name: str) -> DataFrame:
     """``docs`` less the documents in ``gone``, whose doc_id is a key of ``keyed``."""
     ids = gone.select(F.col("doc_id.doc_id").alias("gone_id"), F.col("doc_id.text_hash").alias("gone_hash"))
     written = Scratch(docs.sparkSession, name).write(ids, "gone")
-    same = docs["doc_id"].eqNullSafe(F.col("gone_id")) & (F.xxhash64(docs["text"]) == F.col("gone_hash"))
-    return docs.join(small_or_shuffled(written), same, "left_anti")
+    # the other columns travel in one, so that their names can't clash
+    whole = docs.select(F.struct(*docs.columns).alias("whole"))
+    same = F.col("whole.doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64("whole.text") == F.col("gone_hash"))
+    return whole.join(small_or_shuffled(written), same, "left_anti").select("whole.*")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,10 +40,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without copied and nearly copied lines; one that loses its last line with a word goes. n_chars follows."""
     lost = F.size("exact") + F.size("near") > 0
-    less = linededup.dedup_lines(docs).where(~lost | F.coalesce(F.col("text").rlike(f"[^{SPACE}]"), F.lit(False)))
+    # the other columns travel in one, so that their names can't clash
+    keyed = docs.select("doc_id", "text", F.struct(*docs.columns).alias("whole"))
+    less = linededup.dedup_lines(keyed).where(~lost | F.coalesce(F.col("text").rlike(f"[^{SPACE}]"), F.lit(False)))
+    columns = {c: F.col("whole")[c] for c in docs.columns} | {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        less = less.withColumn("n_chars", F.when(lost, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return less.select(*docs.columns)
+        columns["n_chars"] = F.when(lost, F.length("text")).otherwise(columns["n_chars"]).cast(docs.schema["n_chars"].dataType)
+    return less.select(*[c.alias(n) for n, c in columns.items()])
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
