@@ -60,3 +60,20 @@ def test_each_stage_takes_effect_and_keeps_clean_documents(spark, tmp_path):
 
 def test_empty_documents(spark, tmp_path):
     assert corpus_pipeline.run(spark, tables(spark, tmp_path, [], [("1", "x")])).collect() == []
+
+
+def test_repeated_rows_long_texts_and_clashing_names(spark, tmp_path):
+    rng = random.Random(9)
+    long = "\n".join(prose(rng, 30) for _ in range(1500))
+    texts = [prose(rng, 80), long, prose(rng, 90), None]
+    names = "doc_id long, text string, lang string, source string, n_chars long, exact string, near long, whole int, root string, gone_id long, gone_hash string, node int, kept boolean"
+    rows = [(i, t, "en", "s", t and len(t), "e", 5, 6, "r", 7, "g", 8, False) for i, t in enumerate(texts)]
+    rows += [rows[2], (None, prose(rng, 70), None, None, None, *[None] * 8)]
+    spark.createDataFrame(rows, names).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([("1", "x y z")], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    *kept, packed = stages(spark, str(tmp_path))
+    for docs in kept:
+        got = {r.doc_id: r for r in docs.collect()}
+        assert {0, 1, 2, None} <= set(got) and 3 not in got
+        assert got[1].text == long and (got[0].exact, got[0].near, got[0].whole, got[0].gone_hash) == ("e", 5, 6, "g")
+    assert {r.doc_id for r in packed.collect()} == {0, 1, 2, None}
