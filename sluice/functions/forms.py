@@ -30,13 +30,13 @@ def _entries(joined: Column) -> Column:
     pieces = F.array_remove(F.split(joined, "&"), "")
     good = F.when(joined.rlike(_MALFORMED), F.filter(pieces, lambda p: ~p.rlike(_MALFORMED))).otherwise(pieces)
 
-    def entry(piece: Column) -> Column:
-        at = F.instr(piece, "=")
-        key = F.when(at > 0, F.substring(piece, F.lit(1), at - 1)).otherwise(piece)
-        value = F.when(at > 0, F.substring(piece, at + 1, F.length(piece))).otherwise(F.lit(""))
-        return F.struct(_decode(key).alias("key"), _decode(value).alias("value"))
+    # cut first, then decode the halves: nothing is looked for twice in a piece
+    halves = F.transform(good, lambda p: F.split(p, "=", 2))
 
-    return F.transform(good, entry)
+    def entry(half: Column) -> Column:
+        return F.struct(_decode(F.get(half, F.lit(0))).alias("key"), _decode(F.coalesce(F.get(half, F.lit(1)), F.lit(""))).alias("value"))
+
+    return F.transform(halves, entry)
 
 
 def parse_form(*texts: Column) -> Column:
@@ -53,14 +53,12 @@ def parse_form(*texts: Column) -> Column:
 
 def with_form_params(df: DataFrame, out: str, *texts: Column) -> DataFrame:
     """Add ``out`` = ``parse_form(*texts)``, each stage computed once per row (see ``materialize``)."""
-    j, en, ks = (f"_{out}_{n}" for n in ("joined", "entries", "keys"))
-    df = materialize(df, {j: F.concat_ws("&", *texts)})  # null texts are skipped
-    df = materialize(df, {en: _entries(F.col(j))})
-    df = materialize(df, {en: F.col(en), ks: F.col(f"{en}.key")}, replace=True)
-    firsts = F.filter(F.col(en), lambda e, i: F.array_position(F.col(ks), e["key"]) == i + 1)
-    repeated = F.size(F.array_distinct(ks)) < F.size(ks)
-    df = materialize(df, {out: F.map_from_entries(F.when(repeated, firsts).otherwise(F.col(en)))})
-    return df.drop(j, en, ks)
+    en = f"_{out}_entries"
+    df = materialize(df, {en: _entries(F.concat_ws("&", *texts))})  # null texts are skipped
+    keys = F.col(en)["key"]
+    firsts = F.filter(F.col(en), lambda e, i: F.array_position(keys, e["key"]) == i + 1)
+    repeated = F.size(F.array_distinct(keys)) < F.size(keys)
+    return materialize(df, {out: F.map_from_entries(F.when(repeated, firsts).otherwise(F.col(en)))}).drop(en)
 
 
 def materialize(df: DataFrame, cols: dict[str, Column], replace: bool = False) -> DataFrame:

@@ -57,10 +57,18 @@ def _ext(name: str) -> F.Column:
     return F.try_element_at(F.col("record.extension"), F.lit(name))
 
 
-def _landed(spark: SparkSession, sf_dir: str, kind: str, make) -> DataFrame:
-    """A derived input (request log, messages) landed once as Parquet and read back."""
+# Rows of a landed file: readers get splits of a fixed size, whatever tasks wrote them.
+LANDED_ROWS = 12_500
+
+
+def _land(spark: SparkSession, sf_dir: str, kind: str, make) -> str:
+    """The folder of a derived input (request log, messages), landed once as Parquet."""
     ev = _events(spark, sf_dir)
-    return spark.read.parquet(landed_path(spark, kind, ev, lambda p: make(ev).write.mode("overwrite").parquet(p)))
+    return landed_path(spark, kind, ev, lambda p: make(ev).write.mode("overwrite").option("maxRecordsPerFile", LANDED_ROWS).parquet(p))
+
+
+def _landed(spark: SparkSession, sf_dir: str, kind: str, make) -> DataFrame:
+    return spark.read.parquet(_land(spark, sf_dir, kind, make))
 
 
 def _request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,8 +149,12 @@ def form_url_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- partner postbacks and clicks ---------------------------------------
 
 
+def _postback_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed(spark, sf_dir, "postback-requests", lambda ev: derive.postback_requests(ev, settings.PARTNER_KEY))
+
+
 def _postbacks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _landed(spark, sf_dir, "postback-requests", lambda ev: derive.postback_requests(ev, settings.PARTNER_KEY))
+    log = _postback_log(spark, sf_dir)
     return judge_postbacks(log, settings.PARTNER_KEY)
 
 
@@ -192,10 +204,13 @@ def click_urls_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- dead letters and replay --------------------------------------------
 
 
-def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _backup_logs(spark: SparkSession, sf_dir: str) -> str:
     ev = _events(spark, sf_dir)
-    root = landed_path(spark, "backup-logs", ev, lambda p: derive.write_backup_logs(ev, p))
-    return replay(read_backup_log(spark, root), settings.ROUTES)
+    return landed_path(spark, "backup-logs", ev, lambda p: derive.write_backup_logs(ev, p))
+
+
+def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replay(read_backup_log(spark, _backup_logs(spark, sf_dir)), settings.ROUTES)
 
 
 def dead_letter_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,10 +334,14 @@ def _uploads(spark: SparkSession, sf_dir: str, until_fault: bool = False) -> tup
     return rows.withColumn("upload_id", _upload_id()), files.withColumn("upload_id", _upload_id())
 
 
-def _upload_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _upload_request_folder(spark: SparkSession, sf_dir: str) -> str:
     root, ev = _upload_root(spark, sf_dir), _events(spark, sf_dir)
-    files = list_uploads(spark, root, "*.txt")
-    return spark.read.parquet(landed_path(spark, "upload-requests", ev, lambda p: derive.upload_requests(ev, files, root).repartition(4, "file_path").write.mode("overwrite").parquet(p)))
+
+    def land(path: str) -> None:
+        files = list_uploads(spark, root, "*.txt")
+        derive.upload_requests(ev, files, root).repartition(4, "file_path").write.mode("overwrite").parquet(path)
+
+    return landed_path(spark, "upload-requests", ev, land)
 
 
 def csv_event_record(spark: SparkSession, sf_dir: str, until_fault: bool = False) -> DataFrame:
@@ -352,16 +371,14 @@ def csv_prefix_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upload_replies_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The original's reply to every upload request: header-only, empty, missing and oversized ones too."""
-    requests = _upload_requests(spark, sf_dir)
+    requests = spark.read.parquet(_upload_request_folder(spark, sf_dir))
     rows, files = read_event_csv(spark, _upload_root(spark, sf_dir), glob="*.txt", manifest=requests, until_fault=True)
     return upload_replies(rows, files, until_fault=True).select(_upload_id(), "status", "n_written", "reply")
 
 
 def stream_upload_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1/K4 in a stream of upload requests: the sink refuses every ninth message; replies and the letters kept."""
-    _upload_requests(spark, sf_dir)
-    ev = _events(spark, sf_dir)
-    source = landed_path(spark, "upload-requests", ev, lambda p: None)
+    source = _upload_request_folder(spark, sf_dir)
     root = scratch_path(spark, "uploadreplies")
 
     def sink(messages: DataFrame, batch_id: int) -> DataFrame:
@@ -444,8 +461,7 @@ def stream_click_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     with ``availableNow`` in several micro-batches, and the outbox the job
     wrote is returned (same rows as ``click_urls``).
     """
-    ev = _events(spark, sf_dir)
-    source = landed_path(spark, "click-messages", ev, lambda p: derive.click_messages(ev).write.mode("overwrite").parquet(p))
+    source = _land(spark, sf_dir, "click-messages", derive.click_messages)
     root = scratch_path(spark, "clickstream")
     q = start_click_job(
         message_file_stream(spark, source, max_files_per_trigger=2),
@@ -474,8 +490,7 @@ def dead_letter_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_form_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Form ingest as a streaming query: valid events per topic read back from the topic table."""
-    ev = _events(spark, sf_dir)
-    source = landed_path(spark, "form-requests", ev, lambda p: derive.request_log(ev).write.mode("overwrite").parquet(p))
+    source = _land(spark, sf_dir, "form-requests", derive.request_log)
     root = scratch_path(spark, "ingeststream")
     q = start_ingest_job(
         request_file_stream(spark, source, max_files_per_trigger=FILES_A_BATCH),
@@ -489,16 +504,17 @@ def stream_form_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/topics").groupBy("topic").agg(F.count(F.lit(1)).alias("n_events"))
 
 
-def topic_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land valid form events in the topic table, then dump one topic (pruned scan) and decode it."""
-    ev = _events(spark, sf_dir)
-
+def _topic_table(spark: SparkSession, sf_dir: str) -> str:
     def land(path: str) -> None:
         messages, _ = form_messages_and_dead_letters(ingest_forms(_request_log(spark, sf_dir), settings.ROUTES))
         write_topic_table(messages, path)
 
-    path = landed_path(spark, "topic-table", ev, land)
-    df = dump_topic(spark, path, settings.ROUTES["click"])
+    return landed_path(spark, "topic-table", _events(spark, sf_dir), land)
+
+
+def topic_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land valid form events in the topic table, then dump one topic (pruned scan) and decode it."""
+    df = dump_topic(spark, _topic_table(spark, sf_dir), settings.ROUTES["click"])
     return df.select(
         "topic",
         "decoded",
@@ -598,8 +614,7 @@ def replay_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_send_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2 in a stream: messages sent, failed and requests rejected by the job's counts, by the sink's table and by the ledger."""
-    ev = _events(spark, sf_dir)
-    source = landed_path(spark, "form-requests", ev, lambda p: derive.request_log(ev).write.mode("overwrite").parquet(p))
+    source = _land(spark, sf_dir, "form-requests", derive.request_log)
     root = scratch_path(spark, "sendcounts")
 
     def sink(messages: DataFrame, batch_id: int) -> DataFrame:
@@ -624,8 +639,7 @@ def _delivering(told: Callable[[DataFrame], DataFrame | None], **paths: str):
     """The click job over the landed messages, as in ``stream_click_urls``."""
 
     def run(spark: SparkSession, sf_dir: str, checkpoint: str) -> None:
-        ev = _events(spark, sf_dir)
-        source = landed_path(spark, "click-messages", ev, lambda p: derive.click_messages(ev).write.mode("overwrite").parquet(p))
+        source = _land(spark, sf_dir, "click-messages", derive.click_messages)
         outbox = f"{checkpoint}-outbox"
         stream = message_file_stream(spark, source, max_files_per_trigger=FILES_A_BATCH)
         _ended(start_click_job(stream, outbox, checkpoint, settings.CLICK_BASE_URL, settings.PARTNER_PID, deliver=told, available_now=True, **paths))
@@ -721,3 +735,9 @@ QUERIES: dict[str, Query] = {
     "prefix_table_match": prefix_table_match,
     "keyed_partitions": keyed_partitions,
 }
+
+
+def land_inputs(spark: SparkSession, sf_dir: str) -> None:
+    """Land every derived input that the queries read, so that a query's time is its own."""
+    for land in (_request_log, _postback_log, _clicks, _backup_logs, _upload_root, _upload_request_folder, _topic_table):
+        land(spark, sf_dir)
