@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,14 +77,13 @@ def shape_of(token: str) -> int:
     """A token's shape: length, character classes, their changes and whether it could be hexadecimal, hashed."""
     if token.isalpha() and token.islower() and token.strip("abcdef"):  # most words; the same key as below
         return hashed(min(len(token), 8) if len(token) <= 8 else 8 + min(len(token) // 4, 12), "l", 0, False, False)
-    classes = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else "s" for c in token[:64]]
+    classes = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else "s" for c in token]
     changes = sum(a != b for a, b in zip(classes, classes[1:], strict=False))
     size = min(len(token), 8) if len(token) <= 8 else 8 + min(len(token) // 4, 12)
     hexadecimal = len(token) >= 6 and all(c in "0123456789abcdefABCDEF" for c in token)
     return hashed(size, "".join(sorted(set(classes))), min(changes, 3) if changes < 4 else 4 + min(changes // 4, 3), hexadecimal, token.startswith("AKIA"))
 
 
-@lru_cache(maxsize=10_000)
 def hashed(*key) -> int:
     import zlib
 
