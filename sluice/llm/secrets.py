@@ -3,7 +3,11 @@
 Tokens are tagged as begin, inside or outside of a secret from their own
 shape, the kinds of the neighbouring tokens and features of the whole text,
 and decoded by Viterbi. The field is trained by exact gradients on a bounded
-sample of token windows, whose tags come from the base patterns' matches.
+sample of token windows, whose tags come from the base patterns' matches. In
+five of six windows the pattern's own cues are masked: its keyword becomes a
+plain word, its marks others or none; and in every second one the secret is in
+upper case. So the field has to tell a secret by
+its shape and what is left around it, and finds secrets that no pattern does.
 
 Decoding is exact and skips what cannot matter: where no run of tokens could
 gain over staying outside by any sum of its best scores, the best path is
@@ -28,11 +32,11 @@ KINDS = ("assign", "access", "hex", "crf")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
 TOKEN = r"[\w+/\-]+|[^\w\s+/\-]"
-WINDOW = 40  # tokens on either side of a match that a training window holds
-WINDOWS = 1000  # training windows with a match, at most; as many without
+WINDOW = 16  # tokens on either side of a match that a training window holds
+WINDOWS = 3000  # training windows with a match, at most; as many without; of distinct texts
 SHAPES = 512
 FILES = 6
-EPOCHS = 60
+EPOCHS = 150
 OUT, BEGIN, INSIDE = 0, 1, 2
 KEYWORDS = ("password", "passwd", "pwd", "secret", "token", "key", "apikey", "api_key", "auth", "bearer", "credential", "access")
 
@@ -258,6 +262,35 @@ def train(windows: list[dict], epochs: int = EPOCHS) -> dict:
     return weights
 
 
+PLAIN_WORD, OTHER_MARK = 1 + len(KEYWORDS) + 9, 1 + len(KEYWORDS) + 7
+# Kinds of =, : and the two quotes.
+MARKS = range(1 + len(KEYWORDS), 5 + len(KEYWORDS))
+
+
+def masked(window: dict) -> dict:
+    """The window with the cues of its pattern masked, by its rank.
+
+    The keyword becomes a plain word or stays; the marks between it and the
+    secret become another mark, go, or stay: six ways, one of them none.
+    """
+    if BEGIN not in window["tags"]:
+        return window
+    columns = [list(window[c]) for c in ("shapes", "kinds", "tags")]
+    shapes, kinds, tags = columns
+    begin, plain, marks = tags.index(BEGIN), window["rank"] % 2, window["rank"] // 2 % 3
+    for i in range(begin - 1, max(-1, begin - 7), -1):
+        if plain and 1 <= kinds[i] <= len(KEYWORDS):
+            kinds[i] = PLAIN_WORD
+        if marks and MARKS.start <= kinds[i] < MARKS.stop:
+            if marks == 1:
+                kinds[i] = OTHER_MARK
+            else:
+                for column in columns:
+                    del column[i]
+    keyed = any(1 <= k <= len(KEYWORDS) for k in kinds)
+    return window | {"shapes": shapes, "kinds": kinds, "tags": tags, "file": window["file"] if keyed else window["file"] % 2}
+
+
 def training_windows(docs: DataFrame, most: int = WINDOWS) -> list[dict]:
     """Token windows for training: the ``most`` with a base match and the ``most`` without whose texts' hashes are least.
 
@@ -273,6 +306,7 @@ def training_windows(docs: DataFrame, most: int = WINDOWS) -> list[dict]:
 
         patterns, token, features = compiled(), re.compile(TOKEN), Features()
         kept: dict[bool, list] = {True: [], False: []}
+        met: dict[bool, set] = {True: set(), False: set()}  # ranks in the heap: copies of a text are one
         for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 if not text:
@@ -280,45 +314,64 @@ def training_windows(docs: DataFrame, most: int = WINDOWS) -> list[dict]:
                 rank = zlib.crc32(text.encode())
                 spans = base_spans(text, patterns)
                 heap = kept[bool(spans)]
-                if len(heap) >= most and -heap[0][0] <= rank:
+                if rank in met[bool(spans)] or len(heap) >= most and -heap[0][0] <= rank:
                     continue
                 places = [m.span() for m in token.finditer(text)]
                 if not places:
                     continue
-                shapes, kinds, file = features.of([text[a:b] for a, b in places])
+                words = [text[a:b] for a, b in places]
                 tags = [OUT] * len(places)
                 for _, _, end, start in spans:
                     inner = [i for i, (a, b) in enumerate(places) if a >= start and b <= end]
                     for i in inner:
                         tags[i] = INSIDE
+                        if rank // 6 % 2:  # secrets in the other case are secrets too
+                            words[i] = words[i].upper()
                     if inner:
                         tags[inner[0]] = BEGIN
+                shapes, kinds, file = features.of(words)
                 middle = tags.index(BEGIN) if BEGIN in tags else rank % len(tags)
                 cut = slice(max(0, middle - WINDOW), middle + WINDOW)
                 window = (-rank, [shapes[cut].tolist(), kinds[cut].tolist(), tags[cut], file])
                 if window[1][2][0] == INSIDE:
                     continue
-                (heapq.heappush if len(heap) < most else heapq.heappushpop)(heap, window)
+                met[bool(spans)].add(rank)
+                if len(heap) < most:
+                    heapq.heappush(heap, window)
+                else:
+                    met[bool(spans)].discard(-heapq.heappushpop(heap, window)[0])
         rows = [(hit, -rank, *w) for hit, heap in kept.items() for rank, w in heap]
         kinds_ = [pa.bool_(), pa.int64(), *[pa.list_(pa.int32())] * 3, pa.int32()]
         cols = list(zip(*rows, strict=True)) or [()] * 6
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds_, strict=True)], names=["hit", "rank", "shapes", "kinds", "tags", "file"])
 
     picked = Scratch(docs.sparkSession, "secrets").write(docs.select("text").mapInArrow(pick, schema), "windows")
-    order = ["rank", F.hash("shapes", "kinds")]
-    return [r.asDict() for hit in (True, False) for r in picked.where(F.col("hit") == hit).orderBy(*order).limit(most).collect()]
-
-
-def find_secrets(docs: DataFrame, most: int = WINDOWS) -> DataFrame:
+    out = []
+    for hit in (True, False):
+        of_kind = picked.where(F.col("hit") == hit).dropDuplicates(["rank"])
+        # ranks are spread evenly: how many there are up to a bound is counted by 65,536 classes of them
+        classes = sorted(tuple(r) for r in of_kind.groupBy((F.col("rank") / 65536).cast("int").alias("k")).agg(F.count(F.lit(1))).collect())
+        bound, taken = 0, 0
+        for k, n in classes:
+            bound, taken = k, taken + n
+            if taken >= most:
+                break
+        rows = of_kind.where(F.col("rank") < (bound + 1) * 65536).collect()
+        out += [masked(r.asDict()) for r in sorted(rows, key=lambda r: r.rank)[:most]]
+    return out
+
+
+def find_secrets(docs: DataFrame, most: int = WINDOWS, weights: dict | None = None) -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans.
 
     Spans are kind:start:end in code points, in order of start, then kind. An
     added span that meets a base span is left out. Null and empty texts have
     none. Repeated rows are searched one by one; a null doc_id stays null. An
     empty table gives no rows, a table without matches trains a field that
-    adds nothing. Other columns are ignored.
+    adds nothing. Other columns are ignored. ``weights`` of another training
+    may be given; else the field is trained on ``docs``.
     """
-    weights = docs.sparkSession.sparkContext.broadcast(train(training_windows(docs, most)))
+    weights = docs.sparkSession.sparkContext.broadcast(train(training_windows(docs, most)) if weights is None else weights)
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
 
     def find(batches: Iterator) -> Iterator:
