@@ -256,7 +256,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     votes = scratch.write(voted(train.select("text", F.xxhash64("text").alias("place")), features), "votes")
     patterns = [(r.votes, r.n) for r in votes.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()]
     model = LabelModel(patterns) if patterns else None
-    taken = votes.orderBy("place", "size").limit(sample).select("votes", "numbers").collect()
+    # texts' hashes are spread evenly, so a bound on them takes about ``sample`` of the distinct texts; copies of one are one
+    distinct = votes.agg(F.approx_count_distinct("place", 0.01)).first()[0] or 1
+    bound = int(min(1.0, sample / distinct) * (1 << 64)) - (1 << 63)
+    few = votes.where(F.col("place") < F.lit(bound)) if bound < (1 << 63) else votes
+    taken = sorted(few.dropDuplicates(["place"]).select("place", "votes", "numbers").collect())
     import numpy as np
 
     posterior = model.posterior(np.array([r.votes for r in taken], np.int64)) if taken else []
