@@ -299,6 +299,26 @@ def score_texts(docs: DataFrame, sent, tables) -> DataFrame:
     return docs.select("doc_id", "held_out", "text").mapInArrow(score, schema)
 
 
+def frequent_words(counts: DataFrame, most: int, least: int) -> list:
+    """Rows of at most ``most`` of the most frequent words, by count and word; ``least`` at least, if there are so many.
+
+    A bound on the count is found from how many words each class of counts
+    has, so no more than these rows come to the driver.
+    """
+    classed = counts.withColumn("class", F.floor(F.log2("c") * 16).cast("int"))
+    sizes = sorted(((r["class"], r.n) for r in classed.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
+    bound, taken, beyond = None, 0, None
+    for k, n in sizes:
+        if taken + n > most:
+            beyond = k
+            break
+        bound, taken = k, taken + n
+    rows = classed.where(F.col("class") >= bound).collect() if bound is not None else []
+    if taken < least and beyond is not None:  # many words of about the same count
+        rows += classed.where(F.col("class") == beyond).orderBy(F.desc("c"), "token").limit(least - taken).collect()
+    return sorted(rows, key=lambda r: (-r.c, r.token))
+
+
 def score_documents(docs: DataFrame, heads: int = HEADS, tails: int = TAILS, sent_words: int = SENT_WORDS, rounds: int = ROUNDS) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -314,8 +334,7 @@ def score_documents(docs: DataFrame, heads: int = HEADS, tails: int = TAILS, sen
     train = docs.where("not held_out")
     counts = scratch.write(count_words(train).where("c > 0"), "counts")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    order = [F.desc("c"), "token"]
-    sent_list = [(r.token, r.c) for r in counts.orderBy(*order).limit(max(sent_words, heads)).collect()]
+    sent_list = [(r.token, r.c) for r in frequent_words(counts, max(sent_words, heads), heads)]
     head_rows = [(w,) for w, _ in sent_list[:heads]]
     tail = counts
     if head_rows:
