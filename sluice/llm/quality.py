@@ -2,8 +2,8 @@
 
 Built-in functions only. Every document's histograms of character classes and of
 its language's common words are compared with the whole corpus's
-histogram for that language. Short texts are guarded: with too few words the
-distances give no verdict.
+histogram for that language. Short texts are guarded: chance alone moves their
+histograms, so the bound on the distances widens as words get fewer.
 """
 
 from __future__ import annotations
@@ -16,9 +16,11 @@ from .common import SPACE, Scratch, small_or_shuffled, table
 MIN_WORDS = 20
 REPEAT_PERCENT = 30
 REPEAT_WINDOW = 8
-# The mean of the two distances (0 to 1) above which a text of so many words is rejected; without a list of
-# common words the character classes alone decide, by a bound of their own.
-MAX_DISTANCE, MAX_CLASS_DISTANCE, MIN_JUDGED_WORDS = 0.2, 0.33, 100
+# The mean of the two distances (0 to 1) above which a text is rejected; without a list of common words the
+# character classes alone decide, by a bound of their own. Below FULL_WORDS words the bounds rise evenly, by
+# WIDER and WIDER_CLASS for SHORT_WORDS words and fewer.
+MAX_DISTANCE, MAX_CLASS_DISTANCE = 0.2, 0.33
+WIDER, WIDER_CLASS, SHORT_WORDS, FULL_WORDS = 0.1, 0.04, 60, 120
 # Common words of languages, as many of each: fixed values.
 LISTED = 12
 COMMON_WORDS = {
@@ -193,8 +195,9 @@ def judge(docs: DataFrame) -> DataFrame:
     both = with_js_distance(both, "word_distance", "usual", "usual_ref")
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     mean = (F.col("class_distance") + F.col("word_distance")) / 2
-    far = F.coalesce(mean > MAX_DISTANCE, F.col("class_distance") > MAX_CLASS_DISTANCE, F.lit(False))
-    far = far & (F.col("n_words") >= MIN_JUDGED_WORDS)
+    short = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.lit(FULL_WORDS) - F.col("n_words")) / F.lit(float(FULL_WORDS - SHORT_WORDS))))
+    too_far = F.col("class_distance") > MAX_CLASS_DISTANCE + WIDER_CLASS * short
+    far = F.coalesce(mean > MAX_DISTANCE + WIDER * short, too_far, F.lit(False))
     return (
         both.withColumn("base_failed", base_failed)
         .select(
@@ -253,10 +256,12 @@ WITH d AS (
     (CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2), 0)) AS d
   FROM shares WHERE total > 0 GROUP BY 1, 2
 ), verdict AS (
-  SELECT h.*, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, a.d AS class_distance, b.d AS word_distance
+  SELECT h.*, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, a.d AS class_distance, b.d AS word_distance,
+    least(1.0::DOUBLE, greatest(0.0::DOUBLE, (120 - n_words)::DOUBLE / 60)) AS short
   FROM h LEFT JOIN js a ON a.r = h.r AND a.kind = 0 LEFT JOIN js b ON b.r = h.r AND b.kind = 1
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT (n_words >= 100 AND coalesce((class_distance + word_distance) / 2 > 0.2, class_distance > 0.33, FALSE)) AS kept
+  NOT base_failed AND NOT coalesce((class_distance + word_distance) / 2 > 0.2::DOUBLE + 0.1::DOUBLE * short,
+    class_distance > 0.33::DOUBLE + 0.04::DOUBLE * short, FALSE) AS kept
 FROM verdict
 """.replace("LISTS", ", ".join(f"('{k}', {v.split()})" for k, v in COMMON_WORDS.items()))
