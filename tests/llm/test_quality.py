@@ -40,9 +40,13 @@ def test_junk_goes_and_clean_and_short_texts_stay(documents):
     clean = "The history of the town is that of a river and it was on the way to the sea for a long time in which people came "
     texts = [clean.replace("town", f"town{i}") + " ".join(f"of the word{i}{j} and" for j in range(60)) for i in range(30)]
     junk = " | ".join(f"#x{j}$$" for j in range(150))
-    rows = {r.doc_id: r for r in quality.judge(documents([*texts, junk, junk[:400]])).collect()}
-    assert all(rows[i].kept for i in range(30)) and not rows[30].kept
-    assert rows[31].n_words < quality.MIN_JUDGED_WORDS and rows[31].kept
+    shorter = [" ".join([*t.split()[:8], *t.split()[-n + 8 :]]) for t in texts[:5] for n in (24, 40, 70, 99)]  # clean texts of few words
+    junks = [junk, junk[:400], " ".join(junk.split()[:20]), " ".join(junk.split()[:60])]
+    rows = {r.doc_id: r for r in quality.judge(documents([*texts, *shorter, *junks])).collect()}
+    first = len(texts) + len(shorter)
+    assert all(rows[i].kept for i in range(first))
+    for i in range(first, first + len(junks)):  # junk goes, however short
+        assert rows[i].n_words >= quality.MIN_WORDS and not rows[i].base_failed and not rows[i].kept
 
 
 def test_null_languages_and_empty_tables(documents):
