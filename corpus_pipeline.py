@@ -50,8 +50,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of every group of near copies."""
-    return without(docs, neardup.group_documents(keyed(docs)).where(~F.col("kept")), "pipeline-neardup")
+    """The first document of every group of near copies: 80 of 100 five-word shingles shared.
+
+    32 bands: a pair at that similarity shares no band with probability below 4e-6.
+    """
+    return without(docs, neardup.group_documents(keyed(docs), percent=80, bands=32).where(~F.col("kept")), "pipeline-neardup")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
