@@ -15,6 +15,7 @@ a scheduled replay is.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -55,6 +56,11 @@ class DeadLetterLedger:
     def is_committed(self, commit: str) -> bool:
         return _fs_exists(self.spark, f"{self.states_path}/commit={commit}/_SUCCESS")
 
+    def _checked(self, commit: str) -> str:
+        if not re.fullmatch(r"[A-Za-z0-9_.-]+", commit):
+            raise ValueError(f"a commit's name is a folder's: {commit!r} holds other than letters, digits, _ . and -")
+        return commit
+
     def _append(self, rows: DataFrame, path: str, keys: list[str], known: DataFrame, commit: str) -> None:
         fresh = rows.join(known.where(F.col("commit") != commit).select(*keys), keys, "left_anti")
         fresh.write.mode("overwrite").parquet(f"{path}/commit={commit}")
@@ -64,6 +70,7 @@ class DeadLetterLedger:
 
         Returns how many were reported, counted as they are written.
         """
+        commit = self._checked(commit)
         staged = scratch_path(self.spark, "ledger-append")
         values = [F.min(c).alias(c) for c in DEAD_LETTER.fieldNames() if c not in ("letter_id", "attempt")]
         tries = dead.groupBy("letter_id", "attempt").agg(*values, F.count(F.lit(1)).alias("copies"))
@@ -94,6 +101,7 @@ class DeadLetterLedger:
 
     def settle(self, tried: DataFrame, commit: str, limit: int = MAX_RETRY_GENERATIONS) -> None:
         """Log a replay: ``tried`` holds letter_id, the ``attempt`` before it and its ``error`` (null when sent)."""
+        commit = self._checked(commit)
         now = F.col("attempt") + 1
         outcome = F.when(F.col("error").isNull(), F.lit(SENT)).when(now > limit, F.lit(EXHAUSTED)).otherwise(F.lit(FAILED))
         self._append_states(tried.select("letter_id", now.alias("attempt"), outcome.alias("outcome"), "error"), commit)

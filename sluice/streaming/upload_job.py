@@ -26,7 +26,6 @@ from pyspark.storagelevel import StorageLevel
 
 from sluice.plans.ingest import ingest_uploads, unsent_letters
 from sluice.schema import MAX_UPLOAD_BYTES
-from sluice.session import _fs_exists
 from sluice.sinks.ledger import DeadLetterLedger
 from sluice.sinks.outbox import write_outbox
 from sluice.sinks.send import settle
@@ -55,11 +54,17 @@ def upload_request_stream(spark: SparkSession, folder: str, max_files_per_trigge
     return spark.readStream.schema(UPLOAD_REQUEST).option("maxFilesPerTrigger", max_files_per_trigger).parquet(folder)
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getFileStatus(p).isFile()
+
+
 def requested_files(requests: DataFrame) -> DataFrame:
     """The uploads that a micro-batch's requests name and that are there; the list of them is as long as the batch."""
     spark = requests.sparkSession
     wanted = requests.where((F.col("file_size") > 0) & (F.col("file_size") <= MAX_UPLOAD_BYTES)).select("file_path").distinct()
-    found = [r.file_path for r in wanted.collect() if r.file_path and _fs_exists(spark, r.file_path)]
+    found = [r.file_path for r in wanted.collect() if r.file_path and is_file(spark, r.file_path)]
     if not found:
         return spark.createDataFrame([], UPLOAD_FILE)
     # names are names, not patterns

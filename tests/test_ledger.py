@@ -123,7 +123,7 @@ def test_backup_logs_join_the_loop(spark, ledger, tmp_path):
     (logs / "backup.log.99").write_text(f"data: [{listed}]\n")
     lines = read_backup_log(spark, str(logs))
     ledger.append(lines_to_letters(lines), "logs")
-    ledger.append(lines_to_letters(lines), "logs again")
+    ledger.append(lines_to_letters(lines), "logs-again")
     assert sorted(r.attempt for r in ledger.pending().collect()) == [0, 0, 100]
 
     def refuse(messages, batch):
@@ -148,3 +148,9 @@ def test_replaying_the_same_files_into_tables_again_changes_nothing(spark, tmp_p
     assert [(r.topic, json.loads(bytes(r.value))["extension"]["event_type"]) for r in rows] == [("clicks", "click")]
     dead = DeadLetterLedger(spark, f"{tmp_path}/dead").letters().collect()
     assert [(r.attempt, r.error, bytes(r.data), r.copies) for r in dead] == [(1, "undecodable", b"\x01\x02", 2)]
+
+
+def test_commits_are_named_like_folders(spark, ledger):
+    for name in ("a/b", "a b", "", "x=1"):
+        with pytest.raises(ValueError):
+            ledger.append(letters(spark, [1]), name)

@@ -69,6 +69,9 @@ def test_lines_are_numbered_by_record(spark, folder):
 def requests_of(spark, folder):
     sent = [(f"file:{folder}/{n}", len(t.encode())) for n, t in FILES.items()]
     sent += [(f"file:{folder}/empty.csv", 0), (f"file:{folder}/gone.csv", 5), (f"file:{folder}/huge.csv", MAX_UPLOAD_BYTES + 1)]
+    (folder / "folder").mkdir()
+    (folder / "folder" / "inside.csv").write_text(HEAD + "d99,1,click\n")
+    sent += [(f"file:{folder}/folder", 7)]  # not a file
     return spark.createDataFrame(sent, UPLOAD_REQUEST)
 
 
@@ -92,12 +95,13 @@ def test_every_request_of_a_stream_is_answered(spark, folder):
     want |= {
         "empty.csv": (500, 0, "Failed to read the first line of file:EOF"),
         "gone.csv": (500, 0, "Failed to read upload file:"),
+        "folder": (500, 0, "Failed to read upload file:"),
         "huge.csv": (400, 0, f"The file is too large:{MAX_UPLOAD_BYTES + 1}bytes"),
     }
     assert replies == want
     assert spark.read.parquet(f"{out}/topics").count() == 6
-    # three faulty rows and five rejected uploads
-    assert counts == (6, 0, 8)
+    # three faulty rows and six rejected uploads
+    assert counts == (6, 0, 9)
 
 
 def test_a_sink_that_refuses_does_not_end_the_stream(spark, folder):
