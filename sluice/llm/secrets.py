@@ -22,7 +22,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, slices, table
+from .common import slices, table
 
 # Base patterns: fixed values. Letters of the first are matched in either case.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -291,31 +291,62 @@ def masked(window: dict) -> dict:
     return window | {"shapes": shapes, "kinds": kinds, "tags": tags, "file": window["file"] if keyed else window["file"] % 2}
 
 
+def rank_bounds(docs: DataFrame, most: int) -> dict[bool, int]:
+    """For texts with a base match and texts without: the bound below which the hashes of about ``most`` distinct texts lie."""
+
+    def rank(batches: Iterator) -> Iterator:
+        import zlib
+
+        import pyarrow as pa
+
+        patterns = compiled()
+        for batch in slices(batches):
+            texts = [t for t in batch.column(0).to_pylist() if t]
+            hits = [bool(base_spans(t, patterns)) for t in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(hits, pa.bool_()), pa.array([zlib.crc32(t.encode()) for t in texts], pa.int64())], names=["hit", "rank"])
+
+    ranks = docs.select("text").mapInArrow(rank, "hit boolean, rank long").distinct()
+    # ranks are spread evenly: how many there are up to a bound is counted by 65,536 classes of them
+    classes = ranks.groupBy("hit", (F.col("rank") / 65536).cast("int").alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()
+    bounds = {}
+    for hit in (True, False):
+        bounds[hit], taken = 0, 0
+        for k, n in sorted((r.k, r.n) for r in classes if r.hit == hit):
+            if taken < most:
+                bounds[hit], taken = (k + 1) * 65536, taken + n
+    return bounds
+
+
 def training_windows(docs: DataFrame, most: int = WINDOWS) -> list[dict]:
-    """Token windows for training: the ``most`` with a base match and the ``most`` without whose texts' hashes are least.
+    """Token windows for training: of the ``most`` texts with a base match and the ``most`` without whose hashes are least.
 
-    Every task keeps its least ones, so the choice does not depend on how the rows are dealt out.
+    Copies of a text are one. The bounds are found first, so features are made
+    of the chosen texts only, and the choice does not depend on how the rows
+    are dealt out.
     """
     schema = "hit boolean, rank long, shapes array<int>, kinds array<int>, tags array<int>, file int"
+    bounds = rank_bounds(docs, most)
 
     def pick(batches: Iterator) -> Iterator:
-        import heapq
         import zlib
 
         import pyarrow as pa
 
         patterns, token, features = compiled(), re.compile(TOKEN), Features()
-        kept: dict[bool, list] = {True: [], False: []}
-        met: dict[bool, set] = {True: set(), False: set()}  # ranks in the heap: copies of a text are one
+        met: dict[bool, set] = {True: set(), False: set()}
         for batch in slices(batches):
+            rows = []
             for text in batch.column(0).to_pylist():
                 if not text:
                     continue
                 rank = zlib.crc32(text.encode())
+                if rank >= max(bounds.values()):
+                    continue
                 spans = base_spans(text, patterns)
-                heap = kept[bool(spans)]
-                if rank in met[bool(spans)] or len(heap) >= most and -heap[0][0] <= rank:
+                hit = bool(spans)
+                if rank >= bounds[hit] or rank in met[hit]:
                     continue
+                met[hit].add(rank)
                 places = [m.span() for m in token.finditer(text)]
                 if not places:
                     continue
@@ -332,32 +363,17 @@ def training_windows(docs: DataFrame, most: int = WINDOWS) -> list[dict]:
                 shapes, kinds, file = features.of(words)
                 middle = tags.index(BEGIN) if BEGIN in tags else rank % len(tags)
                 cut = slice(max(0, middle - WINDOW), middle + WINDOW)
-                window = (-rank, [shapes[cut].tolist(), kinds[cut].tolist(), tags[cut], file])
-                if window[1][2][0] == INSIDE:
-                    continue
-                met[bool(spans)].add(rank)
-                if len(heap) < most:
-                    heapq.heappush(heap, window)
-                else:
-                    met[bool(spans)].discard(-heapq.heappushpop(heap, window)[0])
-        rows = [(hit, -rank, *w) for hit, heap in kept.items() for rank, w in heap]
-        kinds_ = [pa.bool_(), pa.int64(), *[pa.list_(pa.int32())] * 3, pa.int32()]
-        cols = list(zip(*rows, strict=True)) or [()] * 6
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds_, strict=True)], names=["hit", "rank", "shapes", "kinds", "tags", "file"])
-
-    picked = Scratch(docs.sparkSession, "secrets").write(docs.select("text").mapInArrow(pick, schema), "windows")
+                if tags[cut][0] != INSIDE:
+                    rows.append((hit, rank, shapes[cut].tolist(), kinds[cut].tolist(), tags[cut], file))
+            kinds_ = [pa.bool_(), pa.int64(), *[pa.list_(pa.int32())] * 3, pa.int32()]
+            cols = list(zip(*rows, strict=True)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds_, strict=True)], names=["hit", "rank", "shapes", "kinds", "tags", "file"])
+
+    picked = docs.select("text").mapInArrow(pick, schema).dropDuplicates(["hit", "rank"]).collect()  # about 2 * most
     out = []
     for hit in (True, False):
-        of_kind = picked.where(F.col("hit") == hit).dropDuplicates(["rank"])
-        # ranks are spread evenly: how many there are up to a bound is counted by 65,536 classes of them
-        classes = sorted(tuple(r) for r in of_kind.groupBy((F.col("rank") / 65536).cast("int").alias("k")).agg(F.count(F.lit(1))).collect())
-        bound, taken = 0, 0
-        for k, n in classes:
-            bound, taken = k, taken + n
-            if taken >= most:
-                break
-        rows = of_kind.where(F.col("rank") < (bound + 1) * 65536).collect()
-        out += [masked(r.asDict()) for r in sorted(rows, key=lambda r: r.rank)[:most]]
+        rows = sorted((r for r in picked if r.hit == hit), key=lambda r: r.rank)[:most]
+        out += [masked(r.asDict()) for r in rows]
     return out
 
 
