@@ -628,11 +628,11 @@ def stream_send_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     told = spark.read.parquet(f"{root}/counts").agg(F.sum("success").alias("success"), F.sum("failed").alias("failed"), F.sum("rejected").alias("rejected"))
-    letters = DeadLetterLedger(spark, f"{root}/dead_letter").letters().agg(F.count_if(F.col("kind") == "unsent").alias("failed"), F.count_if(F.col("kind") == "rejected").alias("rejected"))
-    taken = spark.read.parquet(f"{root}/topics").agg(F.count(F.lit(1)).alias("success"))
-    return told.select(F.lit("counted").alias("by"), "success", "failed", "rejected").unionByName(
-        taken.crossJoin(letters).select(F.lit("kept").alias("by"), "success", "failed", "rejected")  # one row each
-    )
+    kind, none = F.col("kind"), F.lit(0).cast("long")
+    letters = DeadLetterLedger(spark, f"{root}/dead_letter").letters().agg(none.alias("success"), F.count_if(kind == "unsent").alias("failed"), F.count_if(kind == "rejected").alias("rejected"))
+    taken = spark.read.parquet(f"{root}/topics").agg(F.count(F.lit(1)).alias("success"), none.alias("failed"), none.alias("rejected"))
+    kept = letters.unionByName(taken).agg(*[F.sum(c).alias(c) for c in ("success", "failed", "rejected")])
+    return told.select(F.lit("counted").alias("by"), "*").unionByName(kept.select(F.lit("kept").alias("by"), "*"))
 
 
 def _delivering(told: Callable[[DataFrame], DataFrame | None], **paths: str):
