@@ -66,3 +66,63 @@ def test_every_word_with_evidence_is_learnt(spark):
     texts = [(many, True)] * 20 + [(rare, True)] * 10 + [(f"c{i}", False) for i in range(120)]
     features = dict(toxicity.learnt_features(spark.createDataFrame(texts, "text string, toxic boolean")))
     assert len(features) == 3501 and features[rare] > 2.0
+
+
+def test_posteriors_equal_sums_over_the_labels():
+    """The label model's posterior against a product of its own probabilities, taken one by one."""
+    import itertools
+    import random
+
+    import numpy as np
+
+    rng = random.Random(2)
+    patterns = []
+    for _ in range(400):
+        toxic = rng.random() < 0.3
+        votes = [rng.choice([0, 1, 2]) if rng.random() < 0.3 else (toxicity.TOXIC if toxic else toxicity.CLEAN) for _ in range(3)]
+        patterns.append(([*votes, votes[0] if rng.random() < 0.9 else toxicity.NONE], rng.randint(1, 5)))  # the last follows the first
+    model = toxicity.LabelModel(patterns)
+    assert model.parents[3] == 0
+    every = np.array(list(itertools.product(range(3), repeat=4)))
+    got = model.posterior(every)
+    for votes, p in zip(every.tolist(), got.tolist(), strict=True):
+        joint = []
+        for y in (0, 1):
+            of = model.prior[y]
+            for j, parent in enumerate(model.parents):
+                of *= model.tables[j][y][votes[parent] if parent >= 0 else 0][votes[j]]
+            joint.append(of)
+        assert abs(p - joint[1] / sum(joint)) < 1e-9
+    # what the model takes for probabilities are such
+    assert abs(sum(model.prior) - 1) < 1e-9 and all(np.allclose(t.sum(2), 1) for t in model.tables)
+
+
+def test_classifier_comes_to_the_optimum_of_a_plain_one():
+    import random
+
+    import numpy as np
+
+    rng = random.Random(4)
+    rows = [(sorted(rng.sample(range(6), rng.randint(0, 4))), rng.random()) for _ in range(300)]
+    x = np.zeros((300, 6))
+    for i, (columns, _) in enumerate(rows):
+        x[i, columns] = 1
+    goal = np.array([p for _, p in rows])
+    w, bias = np.zeros(6), 0.0
+    for _ in range(20_000):  # plain gradient steps on the same objective
+        error = goal - 1 / (1 + np.exp(-(x @ w + bias)))
+        w += 0.01 * (x.T @ error - 0.05 * w)
+        bias += 0.01 * error.sum()
+    got, got_bias = toxicity.fit_classifier(rows, 6, 3000)
+    assert np.abs(got - w).max() < 0.02 and abs(got_bias - bias) < 0.02
+
+
+def test_a_hot_text_does_not_fill_the_sample(documents, spark):
+    """Copies of one text, more than the sample, leave room for the rest: scores tell the toxic texts apart."""
+    words = "river stone winter garden music letter window bread horse market".split()
+    clean = [" ".join(words[(i + k) % 10] for k in range(8)) + f" n{i}" for i in range(120)]
+    toxic = [f"you worthless idiot {w} moron {i}" for i, w in enumerate(words * 12)]
+    texts = [clean[0]] * 2000 + clean + toxic
+    labels = spark.createDataFrame([(i, 0, int(i >= 2120)) for i in range(2000, len(texts))], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(documents(texts), labels, sample=150).collect()}
+    assert min(got[i] for i in range(2120, len(texts))) > max(got[i] for i in range(2000, 2120))
