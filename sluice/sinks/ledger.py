@@ -61,32 +61,67 @@ class DeadLetterLedger:
             raise ValueError(f"a commit's name is a folder's: {commit!r} holds other than letters, digits, _ . and -")
         return commit
 
-    def _append(self, rows: DataFrame, path: str, keys: list[str], known: DataFrame, commit: str) -> None:
-        fresh = rows.join(known.where(F.col("commit") != commit).select(*keys), keys, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{path}/commit={commit}")
+    def _has_other(self, path: str, commit: str) -> bool:
+        """Whether another commit has a folder; the first one found ends the search."""
+        jvm = self.spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return fs.exists(folder) and any(s.getPath().getName() not in (f"commit={commit}", "_SUCCESS") for s in fs.listStatus(folder))
+
+    def _known(self, table: DataFrame, path: str, keys: list[str], tries: DataFrame, commit: str) -> tuple[int, DataFrame | None]:
+        """Those of ``tries``, by their keys, that another commit holds, and how many; only keys are moved."""
+        if not self._has_other(path, commit):
+            return 0, None
+        found, counted = scratch_path(self.spark, "ledger-known"), Observation()
+        others = table.where(F.col("commit") != commit).select(*keys)
+        tries.select(*keys).join(others, keys, "left_semi").observe(counted, F.count(F.lit(1)).alias("n")).write.parquet(found)
+        return counted.get.get("n") or 0, self.spark.read.parquet(found)
+
+    def _write(self, fresh: DataFrame, path: str, commit: str) -> None:
+        fresh.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/commit={commit}")
 
     def append(self, dead: DataFrame, commit: str) -> int:
         """Letters that failed (``to_dead_letters``), each at its ``attempt``; again under the same name, or another, they are known.
 
-        Returns how many were reported, counted as they are written.
+        Returns how many were reported, counted as their names are. Names and
+        attempts are looked at first: payloads are shuffled only if letters
+        repeat within the commit, or if some but not all are known.
         """
         commit = self._checked(commit)
-        staged = scratch_path(self.spark, "ledger-append")
-        values = [F.min(c).alias(c) for c in DEAD_LETTER.fieldNames() if c not in ("letter_id", "attempt")]
-        tries = dead.groupBy("letter_id", "attempt").agg(*values, F.count(F.lit(1)).alias("copies"))
-        counted = Observation()
-        # one time of failure, one list of copies, for both tables
-        tries.observe(counted, F.sum("copies").alias("n")).write.parquet(staged)
-        tries = self.spark.read.parquet(staged)
-        first = tries.groupBy("letter_id").agg(F.min_by(F.struct(*[c for c in tries.columns if c != "letter_id"]), "attempt").alias("t"))
-        letters = first.select("letter_id", "t.*").select(*LETTERS.fieldNames()[:-1])
-        self._append(letters, self.path, ["letter_id"], self.letters(), commit)
+        path, seen = scratch_path(self.spark, "ledger-tries"), Observation()
+        counts = [F.sum("copies").alias("n"), F.count(F.lit(1)).alias("tries"), F.count("attempt").alias("attempts"), F.min("attempt").alias("first"), F.max("attempt").alias("last")]
+        dead.groupBy("letter_id", "attempt").agg(F.count(F.lit(1)).alias("copies")).observe(seen, *counts).write.option("compression", "zstd").parquet(path)
+        tries, got = self.spark.read.parquet(path), seen.get
+        reported, n = got.get("n") or 0, got.get("tries") or 0
+        known_letters = self._known(self.letters(), self.path, ["letter_id"], tries, commit)
+        known_states = self._known(self.states(), self.states_path, ["letter_id", "attempt"], tries, commit)
+
+        def fresh(rows: DataFrame, keys: list[str], known: tuple[int, DataFrame | None]) -> DataFrame:
+            count, found = known
+            return rows if not count else rows.where(F.lit(False)) if count == n else rows.join(found, keys, "left_anti")
+
+        single = reported == n == got.get("attempts") and got.get("first") == got.get("last")
+        if single:  # every row is a letter of its own
+            told = letters = dead.withColumn("copies", F.lit(1).cast("long"))
+        else:
+            staged = scratch_path(self.spark, "ledger-append")
+            values = [F.min(c).alias(c) for c in DEAD_LETTER.fieldNames() if c not in ("letter_id", "attempt")]
+            # one time of failure, one list of copies, for both tables
+            dead.groupBy("letter_id", "attempt").agg(*values, F.count(F.lit(1)).alias("copies")).write.option("compression", "zstd").parquet(staged)
+            told = self.spark.read.parquet(staged)
+            first = told.groupBy("letter_id").agg(F.min_by(F.struct(*[c for c in told.columns if c != "letter_id"]), "attempt").alias("t"))
+            letters = first.select("letter_id", "t.*")
+        self._write(fresh(letters.select(*LETTERS.fieldNames()[:-1]), ["letter_id"], known_letters), self.path, commit)
+        if single and not known_letters[0]:  # all of them were written
+            told = self.spark.read.schema(LETTERS).parquet(f"{self.path}/commit={commit}")
         outcome = F.when((F.col("kind") == UNSENT) & (F.col("attempt") > MAX_RETRY_GENERATIONS), F.lit(EXHAUSTED)).otherwise(F.lit(FAILED))
-        self._append_states(tries.select("letter_id", "attempt", outcome.alias("outcome"), "error"), commit)
-        return counted.get.get("n") or 0
+        states = told.select("letter_id", "attempt", outcome.alias("outcome"), "error")
+        self._write(fresh(states, ["letter_id", "attempt"], known_states), self.states_path, commit)
+        return reported
 
     def _append_states(self, states: DataFrame, commit: str) -> None:
-        self._append(states, self.states_path, ["letter_id", "attempt"], self.states(), commit)
+        known = self.states().where(F.col("commit") != commit).select("letter_id", "attempt")
+        self._write(states.join(known, ["letter_id", "attempt"], "left_anti"), self.states_path, commit)
 
     def last_states(self) -> DataFrame:
         """One row a letter: its last try and what came of it. A letter that was sent once is sent."""
