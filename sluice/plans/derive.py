@@ -356,15 +356,20 @@ def write_uploads(events: DataFrame, root: str) -> str:
     ids, first = rows.select("upload_id").distinct(), F.lit(-1).cast("long").alias("line_no")
     plain = F.lit(",".join(UPLOAD_HEADERS[0])).alias("value")
     only = ids.where("upload_id % 4 = 1").select((F.col("upload_id") + HEADER_ONLY).alias("upload_id"), first, plain)
-    large = ids.where("upload_id % 50 = 3").select((F.col("upload_id") + OVERSIZED).alias("upload_id"), first, F.concat(plain, F.lit("\n"), F.expr(f"repeat('x', {MAX_UPLOAD_BYTES})")).alias("value"))
+    large = ids.where("upload_id % 50 = 3").select((F.col("upload_id") + OVERSIZED).alias("upload_id"), first, plain)
+    # made after the shuffle and the sort, which would hold it otherwise
+    above = uid.between(OVERSIZED, EMPTY - 1) & (F.col("line_no") == -1)
+    filler = F.when(above, F.concat(F.lit("\n"), F.repeat(F.lit("x"), F.when(above, F.lit(MAX_UPLOAD_BYTES)).otherwise(F.lit(0))))).otherwise(F.lit(""))
     (
         rows.unionByName(headers)
         .unionByName(only)
         .unionByName(large)
         .repartition("upload_id")
         .sortWithinPartitions("upload_id", "line_no")
-        .select("upload_id", "value")
+        .select("upload_id", F.concat("value", filler).alias("value"))
         .write.mode("overwrite")
+        # a folder an upload: tasks put their own in place, not the driver one after the other; _SUCCESS says when all are there
+        .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
         .partitionBy("upload_id")
         .text(root)
     )
