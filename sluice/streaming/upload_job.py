@@ -1,8 +1,8 @@
 """CSV uploads as a stream.
 
 ``start_upload_job`` follows a landing folder: a ``binaryFile`` file stream
-yields new uploads with their content, at most ``max_files_per_trigger`` per
-micro-batch. ``start_upload_request_job`` follows the upload requests instead
+yields new uploads with their content, as many per micro-batch as a hundred of
+the largest weigh. ``start_upload_request_job`` follows the upload requests instead
 (file_path, file_size): each micro-batch reads the files that its requests name
 and joins them back, so that empty, missing, oversized and header-only uploads
 get their reply too.
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,17 +35,20 @@ from sluice.sources.csv_upload import file_verdicts, upload_replies, upload_rows
 from sluice.streaming.counts import job_name, write_counts
 
 UPLOAD_REQUEST = T.StructType([T.StructField("file_path", T.StringType()), T.StructField("file_size", T.LongType())])
+# Bytes of a micro-batch: small uploads are many to a batch, so that its fixed cost is shared.
+BATCH_BYTES = 100 * MAX_UPLOAD_BYTES
 UPLOAD_FILE = "path string, modificationTime timestamp, length long, content binary"
 Sink = Callable[[DataFrame, int], "DataFrame | None"]
 
 
-def upload_file_stream(spark: SparkSession, folder: str, glob: str = "*.csv", max_files_per_trigger: int = 100) -> DataFrame:
+def upload_file_stream(spark: SparkSession, folder: str, glob: str = "*.csv", max_files_per_trigger: int | None = None, max_bytes_per_trigger: int = BATCH_BYTES) -> DataFrame:
+    bound = ("maxFilesPerTrigger", max_files_per_trigger) if max_files_per_trigger else ("maxBytesPerTrigger", max_bytes_per_trigger)
     return (
         spark.readStream.format("binaryFile")
         .schema(UPLOAD_FILE)
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .option(*bound)
         .load(folder)
     )
 
@@ -54,17 +58,25 @@ def upload_request_stream(spark: SparkSession, folder: str, max_files_per_trigge
     return spark.readStream.schema(UPLOAD_REQUEST).option("maxFilesPerTrigger", max_files_per_trigger).parquet(folder)
 
 
-def is_file(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p) and fs.getFileStatus(p).isFile()
+def are_files(spark: SparkSession, paths: list[str]) -> list[bool]:
+    """Whether each path is a file that is there, asked for side by side."""
+    to_path, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def is_file(path: str) -> bool:
+        p = to_path(path)
+        fs = p.getFileSystem(conf)
+        return fs.exists(p) and fs.getFileStatus(p).isFile()
+
+    with ThreadPoolExecutor(16) as pool:
+        return list(pool.map(is_file, paths))
 
 
 def requested_files(requests: DataFrame) -> DataFrame:
     """The uploads that a micro-batch's requests name and that are there; the list of them is as long as the batch."""
     spark = requests.sparkSession
     wanted = requests.where((F.col("file_size") > 0) & (F.col("file_size") <= MAX_UPLOAD_BYTES)).select("file_path").distinct()
-    found = [r.file_path for r in wanted.collect() if r.file_path and is_file(spark, r.file_path)]
+    named = [r.file_path for r in wanted.collect() if r.file_path]
+    found = [path for path, there in zip(named, are_files(spark, named)) if there]
     if not found:
         return spark.createDataFrame([], UPLOAD_FILE)
     # names are names, not patterns
