@@ -40,8 +40,10 @@ from sluice.streaming.upload_job import start_upload_job, start_upload_request_j
 from sluice.sources.forms import url_query
 
 Query = Callable[[SparkSession, str], DataFrame]
-# Files of a micro-batch, whatever the size of the table.
-FILES_A_BATCH = 4
+# Bytes of a micro-batch's files, whatever the size of the table.
+BATCH_BYTES = 64 * 1024 * 1024
+# Events that one task renders: Spark cuts a table by its bytes, and a few of them make many lines.
+ROWS_A_TASK = 50_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +55,11 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
+def _spread(events: DataFrame) -> DataFrame:
+    """The events over as many tasks as there are rows for: a task's sort and time don't grow with the table."""
+    return events.repartition(max(1, -(-events.count() // ROWS_A_TASK)))
+
+
 def _ext(name: str) -> F.Column:
     return F.try_element_at(F.col("record.extension"), F.lit(name))
 
@@ -64,7 +71,7 @@ LANDED_ROWS = 12_500
 def _land(spark: SparkSession, sf_dir: str, kind: str, make) -> str:
     """The folder of a derived input (request log, messages), landed once as Parquet."""
     ev = _events(spark, sf_dir)
-    return landed_path(spark, kind, ev, lambda p: make(ev).write.mode("overwrite").option("maxRecordsPerFile", LANDED_ROWS).parquet(p))
+    return landed_path(spark, kind, ev, lambda p: make(_spread(ev)).write.mode("overwrite").option("maxRecordsPerFile", LANDED_ROWS).parquet(p))
 
 
 def _landed(spark: SparkSession, sf_dir: str, kind: str, make) -> DataFrame:
@@ -206,7 +213,7 @@ def click_urls_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _backup_logs(spark: SparkSession, sf_dir: str) -> str:
     ev = _events(spark, sf_dir)
-    return landed_path(spark, "backup-logs", ev, lambda p: derive.write_backup_logs(ev, p))
+    return landed_path(spark, "backup-logs", ev, lambda p: derive.write_backup_logs(_spread(ev), p))
 
 
 def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,7 +329,7 @@ def request_count_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _upload_root(spark: SparkSession, sf_dir: str) -> str:
     ev = _events(spark, sf_dir)
-    return landed_path(spark, "uploads", ev, lambda p: derive.write_uploads(ev, p))
+    return landed_path(spark, "uploads", ev, lambda p: derive.write_uploads(_spread(ev), p))
 
 
 def _upload_id(path: str = "file_path") -> F.Column:
@@ -458,13 +465,13 @@ def stream_click_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The click job as a Structured Streaming query over a file stream of messages.
 
     The messages Spark derives from ``events`` are landed as Parquet, streamed
-    with ``availableNow`` in several micro-batches, and the outbox the job
+    with ``availableNow`` in micro-batches of so many bytes, and the outbox the job
     wrote is returned (same rows as ``click_urls``).
     """
     source = _land(spark, sf_dir, "click-messages", derive.click_messages)
     root = scratch_path(spark, "clickstream")
     q = start_click_job(
-        message_file_stream(spark, source, max_files_per_trigger=2),
+        message_file_stream(spark, source, max_bytes_per_trigger=BATCH_BYTES),
         f"{root}/outbox",
         f"{root}/checkpoint",
         settings.CLICK_BASE_URL,
@@ -493,7 +500,7 @@ def stream_form_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = _land(spark, sf_dir, "form-requests", derive.request_log)
     root = scratch_path(spark, "ingeststream")
     q = start_ingest_job(
-        request_file_stream(spark, source, max_files_per_trigger=FILES_A_BATCH),
+        request_file_stream(spark, source, max_bytes_per_trigger=BATCH_BYTES),
         settings.ROUTES,
         f"{root}/topics",
         f"{root}/dead_letter",
@@ -567,14 +574,16 @@ def _closed_loop(spark: SparkSession, sf_dir: str) -> tuple[DeadLetterLedger, st
     root = scratch_path(spark, "deadletterloop")
     topics, ledger = f"{root}/topics", DeadLetterLedger(spark, f"{root}/dead_letter")
     judged = f"{root}/judged"
-    _forms(spark, sf_dir).write.parquet(judged)  # messages and letters are made from one judgement
+    # messages and letters are made from one judgement, and of these columns
+    _forms(spark, sf_dir).select("request_id", "status", "reason", "params", "body", "query", "record", "topic").write.option("compression", "zstd").parquet(judged)
     messages, dead = form_messages_and_dead_letters(spark.read.parquet(judged))
     sent = settle(messages, _refusing(topics), "ingest")
     number = F.regexp_extract("origin", r"([0-9]+)\z", 1)
     damaged = F.when(number.cast("long") % 43 == 5, F.encode(F.concat(F.lit("no record "), number), "UTF-8")).otherwise(F.col("value"))
     letters = dead.unionByName(unsent_letters(sent.failures(messages).withColumn("value", damaged)))
+    letters.write.option("compression", "zstd").parquet(f"{root}/letters")  # reported three times, made once
     for commit in ("ingest", "ingest", "ingest-again"):
-        ledger.append(letters, commit)
+        ledger.append(spark.read.parquet(f"{root}/letters"), commit)
     for k in (1, 1, 2, 2, 3):
         replay_ledger(ledger, _refusing(topics), settings.ROUTES, f"replay-{k}")
     return ledger, topics
@@ -624,7 +633,7 @@ def stream_send_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     _ended(
         start_ingest_job(
-            request_file_stream(spark, source, FILES_A_BATCH), settings.ROUTES, f"{root}/topics", f"{root}/dead_letter", f"{root}/checkpoint", sink=sink, available_now=True, counts_path=f"{root}/counts"
+            request_file_stream(spark, source, max_bytes_per_trigger=BATCH_BYTES), settings.ROUTES, f"{root}/topics", f"{root}/dead_letter", f"{root}/checkpoint", sink=sink, available_now=True, counts_path=f"{root}/counts"
         )
     )
     told = spark.read.parquet(f"{root}/counts").agg(F.sum("success").alias("success"), F.sum("failed").alias("failed"), F.sum("rejected").alias("rejected"))
@@ -641,7 +650,7 @@ def _delivering(told: Callable[[DataFrame], DataFrame | None], **paths: str):
     def run(spark: SparkSession, sf_dir: str, checkpoint: str) -> None:
         source = _land(spark, sf_dir, "click-messages", derive.click_messages)
         outbox = f"{checkpoint}-outbox"
-        stream = message_file_stream(spark, source, max_files_per_trigger=FILES_A_BATCH)
+        stream = message_file_stream(spark, source, max_bytes_per_trigger=BATCH_BYTES)
         _ended(start_click_job(stream, outbox, checkpoint, settings.CLICK_BASE_URL, settings.PARTNER_PID, deliver=told, available_now=True, **paths))
 
     return run

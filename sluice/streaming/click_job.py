@@ -92,7 +92,7 @@ def start_click_job_from_topics(
     return start_click_job(read_topics(spark, brokers, topics, read_from_oldest), **job)
 
 
-def message_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def message_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Parquet files of messages ``(topic, partition, offset, key, value, timestamp)`` as a stream."""
     from pyspark.sql import types as T
 
@@ -109,4 +109,6 @@ def message_file_stream(spark: SparkSession, path: str, max_files_per_trigger: i
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    elif max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.parquet(path)

@@ -61,8 +61,10 @@ def start_ingest_job(
     return writer.start()
 
 
-def request_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def request_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(REQUEST_LOG)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    elif max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.parquet(path)
