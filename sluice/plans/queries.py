@@ -26,6 +26,7 @@ from sluice.plans.partner import click_outbox, judge_clicks, judge_postbacks, po
 from sluice.plans.replay import replay, replay_ledger, replay_to_tables
 from sluice.schema import DEFAULT_ROUTE, RECEIPT_FMT
 from sluice.session import ensure_utc, landed_path, scratch_path
+from sluice.sinks.deadletter import packed
 from sluice.sinks.kafka import to_messages, to_string_messages
 from sluice.sinks.ledger import DeadLetterLedger
 from sluice.sinks.partition import assign_partition
@@ -574,8 +575,9 @@ def _closed_loop(spark: SparkSession, sf_dir: str) -> tuple[DeadLetterLedger, st
     root = scratch_path(spark, "deadletterloop")
     topics, ledger = f"{root}/topics", DeadLetterLedger(spark, f"{root}/dead_letter")
     judged = f"{root}/judged"
-    # messages and letters are made from one judgement, and of these columns
-    _forms(spark, sf_dir).select("request_id", "status", "reason", "params", "body", "query", "record", "topic").write.option("compression", "zstd").parquet(judged)
+    # messages and letters are made from one judgement, and of these columns; a valid request's form is in its record
+    form = [F.when(F.col("status") != 200, F.col(c)).alias(c) for c in ("params", "body", "query")]
+    _forms(spark, sf_dir).select("request_id", "status", "reason", *form, "record", "topic").write.option("compression", "zstd").parquet(judged)
     messages, dead = form_messages_and_dead_letters(spark.read.parquet(judged))
     sent = settle(messages, _refusing(topics), "ingest")
     number = F.regexp_extract("origin", r"([0-9]+)\z", 1)
@@ -593,19 +595,18 @@ def dead_letter_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4/K5: every try of every letter, with its payload."""
     ledger, _ = _closed_loop(spark, sf_dir)
     letters = decode(ledger.letters().drop("record"), value="data")
-    states = ledger.states().select("letter_id", F.col("attempt").alias("try"), "outcome", F.col("error").alias("try_error"))
-    return letters.join(states, "letter_id").select(
+    states = ledger.states().select(packed("letter_id").alias("name"), "attempt", "outcome", "error")
+    told = letters.select(
+        packed("letter_id").alias("name"),
         F.regexp_extract("origin", r"([0-9]+)\z", 1).cast("long").alias("request_id"),
         "kind",
         "copies",
-        F.col("try").alias("attempt"),
-        "outcome",
-        F.col("try_error").alias("error"),
         "topic",
         F.col("record.did").alias("did"),
         F.when(F.col("decoded"), F.col("record.timestamp")).alias("timestamp"),
         _ext("value").alias("value"),
     )
+    return told.join(states, "name").select("request_id", "kind", "copies", "attempt", "outcome", "error", "topic", "did", "timestamp", "value")
 
 
 def replayed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

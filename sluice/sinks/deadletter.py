@@ -28,6 +28,19 @@ def message_id(topic: Column, origin: Column, data: Column, kind: Column | str =
     return F.sha2(F.concat(F.encode(head, "UTF-8"), F.coalesce(F.concat(F.encode(F.lit("\n="), "UTF-8"), data.cast("binary")), F.encode(F.lit("\n-"), "UTF-8"))), 256)
 
 
+def packed(name: Column | str) -> Column:
+    """A digest's text as its 32 bytes, for shuffles by name; another text is longer than that, so no two names become one."""
+    name = F.col(name) if isinstance(name, str) else name
+    return F.when(name.rlike(r"\A[0-9a-f]{64}\z"), F.unhex(name)).otherwise(F.encode(F.concat(name, F.lit(" " * 33)), "UTF-8"))
+
+
+def unpacked(name: Column | str) -> Column:
+    """The text that ``packed`` was given."""
+    name = F.col(name) if isinstance(name, str) else name
+    text = F.decode(name, "UTF-8")
+    return F.when(F.octet_length(name) == 32, F.lower(F.hex(name))).otherwise(F.left(text, F.length(text) - 33))
+
+
 def to_dead_letters(
     df: DataFrame,
     error: Column,

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from sluice.schema import DEAD_LETTER, MAX_RETRY_GENERATIONS, UNSENT
 from sluice.session import _fs_exists, scratch_path
+from sluice.sinks.deadletter import packed, unpacked
 
 LETTERS = T.StructType([*DEAD_LETTER.fields, T.StructField("copies", T.LongType()), T.StructField("commit", T.StringType())])
 STATES = T.StructType(
@@ -69,13 +70,11 @@ class DeadLetterLedger:
         return fs.exists(folder) and any(s.getPath().getName() not in (f"commit={commit}", "_SUCCESS") for s in fs.listStatus(folder))
 
     def _known(self, table: DataFrame, path: str, keys: list[str], tries: DataFrame, commit: str) -> tuple[int, DataFrame | None]:
-        """Those of ``tries``, by their keys, that another commit holds, and how many; only keys are moved."""
+        """How many of ``tries`` another commit holds, by their keys, and the keys of the others; only keys are moved."""
         if not self._has_other(path, commit):
             return 0, None
-        found, counted = scratch_path(self.spark, "ledger-known"), Observation()
-        others = table.where(F.col("commit") != commit).select(*keys)
-        tries.select(*keys).join(others, keys, "left_semi").observe(counted, F.count(F.lit(1)).alias("n")).write.parquet(found)
-        return counted.get.get("n") or 0, self.spark.read.parquet(found)
+        others = table.where(F.col("commit") != commit).withColumn("name", packed("letter_id")).select(*keys)
+        return tries.select(*keys).join(others, keys, "left_semi").count(), others
 
     def _write(self, fresh: DataFrame, path: str, commit: str) -> None:
         fresh.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/commit={commit}")
@@ -85,22 +84,32 @@ class DeadLetterLedger:
 
         Returns how many were reported, counted as their names are. Names and
         attempts are looked at first: payloads are shuffled only if letters
-        repeat within the commit, or if some but not all are known.
+        repeat within the commit, or if some but not all are known. Where no
+        other commit can know them, only hashes of them are counted: fewer
+        hashes than rows means that letters may repeat.
         """
         commit = self._checked(commit)
-        path, seen = scratch_path(self.spark, "ledger-tries"), Observation()
-        counts = [F.sum("copies").alias("n"), F.count(F.lit(1)).alias("tries"), F.count("attempt").alias("attempts"), F.min("attempt").alias("first"), F.max("attempt").alias("last")]
-        dead.groupBy("letter_id", "attempt").agg(F.count(F.lit(1)).alias("copies")).observe(seen, *counts).write.option("compression", "zstd").parquet(path)
-        tries, got = self.spark.read.parquet(path), seen.get
+        counts = [F.sum("copies").alias("n"), F.count(F.lit(1)).alias("tries"), F.sum("attempts").alias("attempts"), F.min("first").alias("first"), F.max("last").alias("last")]
+        of_try = [F.count(F.lit(1)).alias("copies"), F.count("attempt").alias("attempts"), F.min("attempt").alias("first"), F.max("attempt").alias("last")]
+        known_letters = known_states = 0, None
+        if self._has_other(self.path, commit) or self._has_other(self.states_path, commit):
+            path, seen = scratch_path(self.spark, "ledger-tries"), Observation()
+            tries = dead.groupBy(packed("letter_id").alias("name"), "attempt").agg(*of_try).observe(seen, *counts)
+            tries.select("name", "attempt").write.option("compression", "zstd").parquet(path)
+            tries, got = self.spark.read.parquet(path), seen.get
+            known_letters = self._known(self.letters(), self.path, ["name"], tries, commit)
+            known_states = self._known(self.states(), self.states_path, ["name", "attempt"], tries, commit)
+        else:
+            got = dead.groupBy(F.xxhash64("letter_id", "attempt").alias("hash")).agg(*of_try).agg(*counts).head().asDict()
         reported, n = got.get("n") or 0, got.get("tries") or 0
-        known_letters = self._known(self.letters(), self.path, ["letter_id"], tries, commit)
-        known_states = self._known(self.states(), self.states_path, ["letter_id", "attempt"], tries, commit)
 
         def fresh(rows: DataFrame, keys: list[str], known: tuple[int, DataFrame | None]) -> DataFrame:
-            count, found = known
-            return rows if not count else rows.where(F.lit(False)) if count == n else rows.join(found, keys, "left_anti")
+            count, others = known
+            if not count:
+                return rows
+            return rows.where(F.lit(False)) if count == n else rows.withColumn("name", packed("letter_id")).join(others, keys, "left_anti").select(*rows.columns)
 
-        single = reported == n == got.get("attempts") and got.get("first") == got.get("last")
+        single = reported == n == (got.get("attempts") or 0) and got.get("first") == got.get("last")
         if single:  # every row is a letter of its own
             told = letters = dead.withColumn("copies", F.lit(1).cast("long"))
         else:
@@ -111,17 +120,22 @@ class DeadLetterLedger:
             told = self.spark.read.parquet(staged)
             first = told.groupBy("letter_id").agg(F.min_by(F.struct(*[c for c in told.columns if c != "letter_id"]), "attempt").alias("t"))
             letters = first.select("letter_id", "t.*")
-        self._write(fresh(letters.select(*LETTERS.fieldNames()[:-1]), ["letter_id"], known_letters), self.path, commit)
+        self._write(fresh(letters.select(*LETTERS.fieldNames()[:-1]), ["name"], known_letters), self.path, commit)
         if single and not known_letters[0]:  # all of them were written
             told = self.spark.read.schema(LETTERS).parquet(f"{self.path}/commit={commit}")
         outcome = F.when((F.col("kind") == UNSENT) & (F.col("attempt") > MAX_RETRY_GENERATIONS), F.lit(EXHAUSTED)).otherwise(F.lit(FAILED))
         states = told.select("letter_id", "attempt", outcome.alias("outcome"), "error")
-        self._write(fresh(states, ["letter_id", "attempt"], known_states), self.states_path, commit)
+        self._write(fresh(states, ["name", "attempt"], known_states), self.states_path, commit)
         return reported
 
     def _append_states(self, states: DataFrame, commit: str) -> None:
-        known = self.states().where(F.col("commit") != commit).select("letter_id", "attempt")
-        self._write(states.join(known, ["letter_id", "attempt"], "left_anti"), self.states_path, commit)
+        """Only logged tries of the same numbers can be known: a replay's are new, and then nothing is joined."""
+        first, last = states.agg(F.min("attempt"), F.max("attempt")).head()
+        known = self.states().where((F.col("commit") != commit) & F.col("attempt").between(F.lit(first), F.lit(last)))
+        if first is not None and not known.isEmpty():
+            known = known.select(packed("letter_id").alias("name"), "attempt")
+            states = states.withColumn("name", packed("letter_id")).join(known, ["name", "attempt"], "left_anti").select(*states.columns)
+        self._write(states, self.states_path, commit)
 
     def last_states(self) -> DataFrame:
         """One row a letter: its last try and what came of it. A letter that was sent once is sent."""
@@ -131,8 +145,12 @@ class DeadLetterLedger:
 
     def pending(self) -> DataFrame:
         """Letters to be tried again, with the ``attempt`` that failed last."""
-        last = self.last_states().where(F.col("outcome") == FAILED).select("letter_id", "attempt")
-        return self.letters().where(F.col("kind") == UNSENT).drop("attempt", "commit").join(last, "letter_id")
+        tries = [F.bool_or(F.col("outcome") == SENT).alias("sent"), F.max("attempt").alias("attempt"), F.max(F.when(F.col("outcome") == EXHAUSTED, F.col("attempt"))).alias("end")]
+        last = self.states().groupBy(packed("letter_id").alias("name")).agg(*tries)
+        failed = last.where(~F.col("sent") & (F.col("end").isNull() | (F.col("end") < F.col("attempt")))).select("name", "attempt")
+        rest = [c for c in LETTERS.fieldNames() if c not in ("letter_id", "attempt", "commit")]
+        letters = self.letters().where(F.col("kind") == UNSENT).select(packed("letter_id").alias("name"), *rest)
+        return letters.join(failed, "name").select(unpacked("name").alias("letter_id"), *rest, "attempt")
 
     def settle(self, tried: DataFrame, commit: str, limit: int = MAX_RETRY_GENERATIONS) -> None:
         """Log a replay: ``tried`` holds letter_id, the ``attempt`` before it and its ``error`` (null when sent)."""

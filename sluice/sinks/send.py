@@ -19,9 +19,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.schema import SEND_FAILED_MSG, SEND_RESULT
 from sluice.session import scratch_path
+from sluice.sinks.deadletter import packed, unpacked
 from sluice.sinks.topic_table import write_topic_table
 
 Send = Callable[[DataFrame, str], DataFrame | None]
@@ -48,34 +50,40 @@ class Sent:
 
     def failures(self, messages: DataFrame) -> DataFrame:
         """The messages that were not acknowledged, with their ``error``."""
-        return messages.join(self.results.where(F.col("error").isNotNull()), "message_id")
+        rest = [c for c in messages.columns if c != "message_id"]
+        refused = self.results.where(F.col("error").isNotNull()).select(packed("message_id").alias("name"), "error")
+        named = messages.select(packed("message_id").alias("name"), *rest).join(refused, "name")
+        return named.select(unpacked("name").alias("message_id"), *rest, "error")
 
 
-def settle(messages: DataFrame, send: Send, batch: str) -> Sent:
+def settle(messages: DataFrame, send: Send, batch: str, keep: tuple[str, ...] = ()) -> Sent:
+    """Sends the messages and writes what came of each; ``keep`` names columns, one value a message, that go with the results."""
     spark = messages.sparkSession
-    ids = messages.groupBy("message_id").agg(F.count(F.lit(1)).alias("copies"))
+    ids = messages.groupBy(packed("message_id").alias("name")).agg(F.count(F.lit(1)).alias("copies"), *[F.min(c).alias(c) for c in keep])
     path = scratch_path(spark, "send-results")
+    schema = T.StructType([*SEND_RESULT.fields, *[messages.schema[c] for c in keep]])
 
     def written(results: DataFrame) -> Sent:
         counts = Observation()
         ok = F.col("error").isNull()
+        results = results.select(unpacked("name").alias("message_id"), "error", *keep, "copies")
         counted = results.observe(counts, F.sum(F.when(ok, F.col("copies"))).alias("success"), F.sum(F.when(~ok, F.col("copies"))).alias("failed"))
-        counted.write.mode("overwrite").parquet(path)
+        counted.write.mode("overwrite").option("compression", "zstd").parquet(path)
         got = counts.get
-        return Sent(spark.read.schema(SEND_RESULT).parquet(path), got.get("success") or 0, got.get("failed") or 0)
+        return Sent(spark.read.schema(schema).parquet(path), got.get("success") or 0, got.get("failed") or 0)
 
     try:
         told = send(messages, batch)
         if told is None:
-            return written(ids.select("message_id", F.lit(None).cast("string").alias("error"), "copies"))
-        told = checked(told, SEND_RESULT).groupBy("message_id").agg(F.max("error").alias("error"), F.lit(True).alias("told"))
+            return written(ids.withColumn("error", F.lit(None).cast("string")))
+        told = checked(told, SEND_RESULT).groupBy(packed("message_id").alias("name")).agg(F.max("error").alias("error"), F.lit(True).alias("told"))
         error = F.when(F.col("told").isNull(), F.lit(NO_RESULT)).otherwise(F.col("error"))
-        return written(ids.join(told, "message_id", "left").select("message_id", error.alias("error"), "copies"))
+        return written(ids.join(told, "name", "left").withColumn("error", error))
     except BadResult:
         raise
     except Exception as exc:  # the sink refused the batch
         error = SEND_FAILED_MSG + (str(exc) or type(exc).__name__)
-        return written(ids.select("message_id", F.lit(error).alias("error"), "copies"))
+        return written(ids.withColumn("error", F.lit(error)))
 
 
 def topic_table_sender(path: str) -> Send:

@@ -8,7 +8,7 @@ from sluice.plans import derive, settings
 from sluice.plans import queries as Q
 from sluice.schema import MAX_UPLOAD_BYTES
 from sluice.sinks import ledger as L
-from sluice.sinks.deadletter import to_dead_letters
+from sluice.sinks.deadletter import packed, to_dead_letters, unpacked
 from sluice.streaming.click_job import message_file_stream, start_click_job
 from sluice.streaming.ingest_job import request_file_stream, start_ingest_job
 from sluice.streaming.upload_job import start_upload_job, upload_file_stream
@@ -79,3 +79,39 @@ def test_uploads_above_the_cap_are_filled_after_the_sort(spark, tmp_path):
     head = len(",".join(derive.UPLOAD_HEADERS[0]))
     assert sizes[str(derive.OVERSIZED + 3)] == head + 1 + MAX_UPLOAD_BYTES + 1
     assert sizes[str(derive.HEADER_ONLY + 1)] == head + 1 and len(sizes) == 6
+
+
+def test_packed_names_are_told_apart_and_come_back(spark):
+    digest = "0f" * 32
+    names = [digest, digest.upper(), digest + "\n", digest[:-1], "x" * 32, "", "é", " " * 33, None]
+    rows = spark.createDataFrame([(n,) for n in names], "name string").select("name", packed("name").alias("p"))
+    got = [(r.name, bytes(r.p) if r.p is not None else None, r.back) for r in rows.select("*", unpacked("p").alias("back")).collect()]
+    assert [n for n, _, _ in got] == [b for _, _, b in got] == names
+    assert len({p for _, p, _ in got}) == len(names) and len(got[0][1]) == 32
+
+
+def test_only_an_append_that_others_may_know_stages_its_names(spark, tmp_path, monkeypatch):
+    staged, path = [], L.scratch_path
+    monkeypatch.setattr(L, "scratch_path", lambda s, name: staged.append(name) or path(s, name))
+    ledger = L.DeadLetterLedger(spark, f"file:{tmp_path}/dead")
+    for _ in range(2):
+        assert ledger.append(letters(spark, range(6)), "one") == 6
+    assert staged == []
+    assert ledger.append(letters(spark, range(6)), "again") == 6
+    assert staged == ["ledger-tries"] and ledger.letters().count() == ledger.states().count() == 6
+
+
+def test_a_replay_joins_its_tries_only_with_tries_of_the_same_number(spark, tmp_path, monkeypatch):
+    ledger, written = L.DeadLetterLedger(spark, f"file:{tmp_path}/dead"), []
+    ledger.append(letters(spark, range(6)), "one")
+    write = L.DeadLetterLedger._write
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(L.DeadLetterLedger, "_write", lambda self, df, *a: written.append(plan(df)) or write(self, df, *a))
+    ids = [r.letter_id for r in ledger.letters().orderBy("letter_id").collect()]
+    tried = spark.createDataFrame([(i, 0, "no") for i in ids[:4]], "letter_id string, attempt int, error string")
+    ledger.settle(tried, "replay")
+    assert "Join" not in written[-1] and ledger.states().count() == 10
+    ledger.settle(tried.union(spark.createDataFrame([(ids[5], 0, None)], tried.schema)), "other")
+    assert "Join" in written[-1]
+    assert [r.letter_id for r in ledger.states().where("commit = 'other'").collect()] == [ids[5]]
+    assert sorted((r.letter_id, r.attempt) for r in ledger.pending().collect()) == sorted([*[(i, 1) for i in ids[:4]], (ids[4], 0)])
