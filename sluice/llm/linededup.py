@@ -2,12 +2,11 @@
 
 Built-in functions only. A line of l characters may be reached by ``allowed``
 edits (by its length, at most MAX_EDITS, which covers a changed word). It is
-cut into one segment more than that, so a line within that many edits keeps at
-least one segment unchanged near its place. Segments are the index; longer or
-equal lines probe it with their substrings, only at places that the length
-difference leaves open.
-Candidates are verified by the bounded edit distance of what remains between
-the two lines' common ends.
+cut into one segment more than that, placed from its nearer end, so a line
+within that many edits keeps at least one segment unchanged near its place
+there. Segments are the index; longer or equal lines probe it with their
+substrings, only at places that the edits and the length difference leave open.
+Candidates are verified by the bounded edit distance.
 
 Buckets are compared with their first indexed line before anything else, and
 only pairs still in different components after that, so a bucket of m near
@@ -29,8 +28,12 @@ from .graph import components
 MAX_EDITS = 8
 # One edit is allowed for each such number of characters of the shorter line.
 CHARS_PER_EDIT = 20
+# From so many times CHARS_PER_EDIT characters on a class has twice as many lengths.
+WIDE_FROM = 8
 # Passes over the segments, so that only one pass's keys are on disk at a time.
-PASSES = 4
+PASSES = 3
+# Characters compared at once to find what two lines share at their ends.
+BLOCKS = (256, 128, 64, 32, 16, 8)
 # Groups of letters whose counts are compared.
 LETTERS = [a + b for a, b in zip(ascii_lowercase[::2], ascii_lowercase[1::2], strict=True)]
 
@@ -45,40 +48,57 @@ def document_lines(docs: DataFrame) -> DataFrame:
     return docs.select("*", split.alias("line_no", "line")).where(F.col("line").rlike(f"[^{SPACE}]"))
 
 
-def bucket_rows(lines: DataFrame, most: int, per: int, at: int = 0, passes: int = 1) -> DataFrame:
-    """(bucket, node, own): bucket keys of the lines (node, line, n), ``own`` if of the line's own segments and not of other probes.
+def class_sql(n: str, most: int, per: int) -> str:
+    """The class of length ``n``: ``per`` neighbouring lengths, or twice as many where a class of them is a small part of the length."""
+    wide = max(most, WIDE_FROM)
+    return f"int(if({n} < {wide * per}, {n} div {per}, {wide} + ({n} - {wide * per}) div {2 * per}))"
 
-    Of ``passes`` the one numbered ``at`` has every so-manieth segment; no key is in two passes.
 
-    Lines of ``per`` neighbouring lengths are a class c and are indexed by
-    t + 1 segments of equal size from their start, t the edits allowed to the
-    class. Of lines within t edits some segment i is unchanged with i edits
-    before it and at most t - i behind it, so a line that is d characters
-    longer has it at few places (multi-match-aware selection); d lies between
-    what the class and t leave. A key hashes c, i and the substring.
-    """
-    allowed = f"least({most}, n div {per})"
-    least, greatest = f"greatest(0, n - {per} * (c + 1) + 1)", f"least(t, n - {per} * c)"
-    classes = lines.select("node", "line", "n", F.expr(f"explode(sequence(int(greatest({per}, n - {allowed}) div {per}), int(n div {per})))").alias("c"))
-    sized = classes.withColumn("t", F.least(F.lit(most), "c")).where(F.expr(f"{least} <= t and t >= {at}"))
-    segments = sized.select("*", F.expr(f"explode(sequence({at}, t, {passes}))").alias("i"))
-    shifts = f"explode(sequence(greatest(-i, {least} - t + i), least(i, {greatest} + t - i)))"
-    places = segments.select("*", F.expr(shifts).alias("shift"), F.expr(f"int({per} * c div (t + 1))").alias("size"))
-    key = F.expr("xxhash64(c, i, substring(line, i * size + 1 + shift, size))")
-    return places.select(key.alias("bucket"), "node", F.expr(f"shift = 0 and c = n div {per}").alias("own"))
+def least_sql(c: str, most: int, per: int) -> str:
+    """The least length of class ``c``."""
+    wide = max(most, WIDE_FROM)
+    return f"if({c} <= {wide}, {per} * ({c}), {per} * (2 * ({c}) - {wide}))"
+
 
+def key_sql(shift: str) -> str:
+    """Key of segment i of class c (t, size) in a line (n characters, code) at a place ``shift`` characters on; ``code`` has four bytes a character."""
+    start = f"if(i <= t div 2, i * size, n - (t - i + 1) * size) + {shift}"
+    return f"xxhash64(c, i, substring(code, int(4 * ({start}) + 1), int(4 * size)))"
 
-def common_prefix(a: Column, b: Column) -> Column:
-    """Characters that two strings share at their start, by halving steps."""
-    n = F.least(F.length(a), F.length(b))
-    steps = F.sequence(F.ceil(F.log2(n + 1)).cast("int"), F.lit(0), F.lit(-1))
 
-    def step(known: Column, k: Column) -> Column:
-        size = F.pow(F.lit(2.0), k).cast("int")
-        fits = (known + size <= n) & (F.substr(a, known + 1, size) == F.substr(b, known + 1, size))
-        return F.when(fits, known + size).otherwise(known)
+def sized(lines: DataFrame, most: int, per: int) -> DataFrame:
+    """``lines`` of a class c with t, the edits allowed to it, and the size of its t + 1 segments."""
+    return lines.withColumns({"t": F.least(F.lit(most), "c"), "size": F.expr(f"int(({least_sql('c', most, per)}) div (least({most}, c) + 1))")})
 
-    return F.aggregate(steps, F.lit(0), step)
+
+def bucket_rows(lines: DataFrame, most: int, per: int, at: int = 0, passes: int = 1, own: bool = False) -> DataFrame:
+    """(bucket, node, tag): bucket keys of the lines (node, line, n); the tag holds class, segment and whether it is one of the line's own segments.
+
+    Of ``passes`` the one numbered ``at`` has every so-manieth segment; no key is in two passes. With ``own`` only the own ones.
+
+    A class of lengths c is indexed by t + 1 segments of equal size, t the
+    edits allowed to it: those up to the middle are placed from the line's
+    start, the others from its end. Let a line be within t edits. If every
+    segment i from the start is touched or has more than i edits before it,
+    the first half has more edits than segments, and so from the end; both
+    together would be more than t. So some segment i is unchanged and at most
+    i places off, counted from its end of the line. With d characters more,
+    d between what the class and t leave, it is also at most (t - d) / 2
+    places to one side and (t + d) / 2 to the other. A key hashes c, i and the substring.
+    """
+    allowed, c_of = f"least({most}, n div {per})", class_sql("n", most, per)
+    fewest, greatest = f"greatest(0, n - ({least_sql('c + 1', most, per)}) + 1)", f"least(t, n - ({least_sql('c', most, per)}))"
+    c_from = c_of if own else class_sql(f"greatest({per}, n - {allowed})", most, per)
+    classes = lines.select("node", "n", F.expr("encode(line, 'UTF-32')").alias("code"), F.expr(f"explode(sequence({c_from}, {c_of}))").alias("c"))
+    classes = sized(classes, most, per).where(F.expr(f"{fewest} <= t and t >= {at}"))
+    segments = classes.select("*", F.expr(f"explode(sequence({at}, t, {passes}))").alias("i"))
+    if own:
+        places = segments.withColumn("shift", F.lit(0))
+    else:
+        less, more = f"int((t - {fewest}) div 2)", f"int((t + {greatest}) div 2)"
+        shifts = f"explode(if(i <= t div 2, sequence(-least(i, {less}), least(i, {more})), sequence(-least(t - i, {more}), least(t - i, {less}))))"
+        places = segments.select("*", F.expr(shifts).alias("shift"))
+    return places.select(F.expr(key_sql("shift")).alias("bucket"), "node", F.expr(f"(c * 64 + i) * 2 + int(shift = 0 and c = {c_of})").alias("tag"))
 
 
 def banded_distance(long: Column, short: Column, band: int) -> Column:
@@ -136,43 +156,37 @@ def banded_distance(long: Column, short: Column, band: int) -> Column:
     return F.aggregate(columns, start, column, lambda s: s["dist"])
 
 
+def without_ends(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """``pairs`` with the strings ``a`` and ``b`` less most of what they share at their start and their end.
+
+    Blocks of halving size are compared, so up to 504 characters go at each
+    end and at most 7 shared ones stay; the edit distance is the same.
+    """
+    columns = [c for c in pairs.columns if c not in (a, b)]
+    out = pairs.withColumns({"ca": F.encode(a, "UTF-32"), "cb": F.encode(b, "UTF-32"), "room": F.least(F.length(a), F.length(b)), "p": F.lit(0), "q": F.lit(0)})
+
+    def same(start_a: str, start_b: str, size: int) -> str:
+        return f"substring(ca, 4 * ({start_a}) + 1, {4 * size}) = substring(cb, 4 * ({start_b}) + 1, {4 * size})"
+
+    for size in BLOCKS:
+        out = out.withColumn("p", F.expr(f"p + if(p + {size} <= room and {same('p', 'p', size)}, {size}, 0)"))
+    for size in BLOCKS:
+        from_end = same(f"length(ca) div 4 - q - {size}", f"length(cb) div 4 - q - {size}", size).replace("4 * (", "4 * int(")
+        out = out.withColumn("q", F.expr(f"q + if(p + q + {size} <= room and {from_end}, {size}, 0)"))
+    cores = [F.expr(f"substring({c}, p + 1, length({c}) - p - q)").alias(c) for c in (a, b)]
+    return out.select(*columns, *cores)
+
+
 def confirmed(pairs: DataFrame, lines: DataFrame, scratch: Scratch, most: int, per: int) -> DataFrame:
     """The pairs (a, b) of nodes whose lines are within the edits allowed to the shorter one."""
     with_a = pairs.join(lines.select(F.col("node").alias("a"), F.col("line").alias("la"), F.col("n").alias("na")), "a")
     both = with_a.join(lines.select(F.col("node").alias("b"), F.col("line").alias("lb"), F.col("n").alias("nb")), "b")
-    a_longer = F.col("na") >= F.col("nb")
-    ordered = both.select(
-        "a",
-        "b",
-        F.when(a_longer, F.col("la")).otherwise(F.col("lb")).alias("long"),
-        F.when(a_longer, F.col("lb")).otherwise(F.col("la")).alias("short"),
-        allowed_edits(F.least("na", "nb"), most, per).alias("t"),
-    ).where(F.length("long") - F.length("short") <= F.col("t"))
-    head = ordered.withColumn("p", common_prefix(F.col("long"), F.col("short")))
-    rest = head.select(
-        "a",
-        "b",
-        "t",
-        F.expr("substr(long, p + 1)").alias("long"),
-        F.expr("substr(short, p + 1)").alias("short"),
-    )
-    tail = rest.withColumn("q", common_prefix(F.reverse("long"), F.reverse("short")))
-    cores = tail.select(
-        "a",
-        "b",
-        "t",
-        F.expr("left(long, length(long) - q)").alias("long"),
-        F.expr("left(short, length(short) - q)").alias("short"),
-    )
-    # The cores differ at both ends. So of t edits one is before the first character that both keep and one behind the
-    # last: with one edit the cores are single characters, with two what is between the short one's ends is kept whole.
-    kept_whole = F.contains("long", F.expr("substr(short, 2, greatest(length(short) - 2, 0))"))
-    few = F.when(F.col("t") == 1, F.lit(False)).when(F.col("t") == 2, kept_whole).otherwise(F.lit(True))
-    near = (F.length("long") <= 1) | (F.length("short") == 0) | few
-    distance = F.when(near, F.levenshtein("long", "short", most)).otherwise(F.lit(-1))  # -1: above ``most``
-    # written before it is filtered: a filter would move below the steps above and repeat them for every character
-    measured = scratch.write(cores.select("a", "b", "t", distance.alias("distance")), "distances")
-    return measured.where("distance between 0 and t").select("a", "b")
+    t = allowed_edits(F.least("na", "nb"), most, per)
+    close = both.withColumn("t", t).where(F.abs(F.col("na") - F.col("nb")) <= F.col("t"))
+    cores = without_ends(close.select("a", "b", "t", "la", "lb"), "la", "lb")
+    measured = cores.select("a", "b", "t", F.levenshtein("la", "lb", most).alias("distance"))  # -1: above ``most``
+    # written before it is filtered, as a filter would repeat the steps above
+    return scratch.write(measured, "distances").where("distance between 0 and t").select("a", "b")
 
 
 def letter_counts(line: Column) -> Column:
@@ -185,7 +199,7 @@ def near_lines(lines: DataFrame, scratch: Scratch, most: int, per: int) -> DataF
     written = []
     for at in range(PASSES):
         keys = bucket_rows(lines, most, per, at, PASSES)
-        centers = keys.where("own").groupBy("bucket").agg(F.min("node").alias("center"))
+        centers = bucket_rows(lines, most, per, at, PASSES, own=True).groupBy("bucket").agg(F.min("node").alias("center"))
         written.append(scratch.write(keys.join(centers.hint("shuffle_hash"), "bucket").where("node != center"), "members"))
         free_shuffles(lines.sparkSession)
     members = reduce(DataFrame.union, written)
@@ -195,20 +209,24 @@ def near_lines(lines: DataFrame, scratch: Scratch, most: int, per: int) -> DataF
     lines = scratch.write(lines.join(small_or_shuffled(used), "node", "left_semi"), "lines")
     links = confirmed(tried, lines, scratch, most, per)
     roots = scratch.write(components(links, scratch), "roots")
-    whole = members.drop("center").union(members.select("bucket", F.col("center").alias("node"), F.lit(True).alias("own"))).distinct()
+    whole = members.drop("center").union(members.select("bucket", F.col("center").alias("node"), F.col("tag").bitwiseOR(F.lit(1)).alias("tag"))).distinct()
     rooted = whole.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = rooted.groupBy("bucket").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r != s").select("bucket")
-    open_ = scratch.write(rooted.join(mixed, "bucket", "left_semi").select("bucket", "node", "own", "root"), "open")
-    # lengths and letter counts rule out most pairs before they are formed
-    told = open_.join(lines.select("node", "n", letter_counts(F.col("line")).alias("letters")), "node")
-    x = told.where("own").select("bucket", F.col("node").alias("i"), F.col("root").alias("ir"), F.col("n").alias("ni"), F.col("letters").alias("il"))
-    y = told.select("bucket", F.col("node").alias("j"), F.col("root").alias("jr"), F.col("n").alias("nj"), F.col("letters").alias("jl"))
-    t = allowed_edits(F.least("ni", "nj"), most, per)
-    differ = sum((F.abs(F.get("il", F.lit(k)) - F.get("jl", F.lit(k))) for k in range(len(LETTERS))), F.lit(0))
+    open_ = scratch.write(rooted.join(mixed, "bucket", "left_semi").select("bucket", "node", "tag", "root", F.expr("tag div 128").cast("int").alias("c")), "open")
+    # lengths and letter counts rule out most pairs before they are formed, and a pair is formed in the first bucket that both are in at the same place
+    held = open_.select("node", "c").distinct().join(lines, "node").withColumn("code", F.expr("encode(line, 'UTF-32')"))
+    keys = F.expr(f"transform(sequence(0, t), i -> {key_sql('0')})")
+    held = sized(held, most, per).select("node", "c", "n", letter_counts(F.col("line")).alias("letters"), keys.alias("keys"))
+    told = open_.join(held, ["node", "c"]).withColumns({"own": F.expr("tag % 2 = 1"), "before": F.expr("slice(keys, 1, int(tag div 2 % 64))")})
+    x = told.where("own").select("bucket", *[F.col(f).alias(f"i_{f}") for f in ("node", "root", "n", "letters", "before")])
+    y = told.select("bucket", *[F.col(f).alias(f"j_{f}") for f in ("node", "own", "root", "n", "letters", "before")])
+    t = allowed_edits(F.least("i_n", "j_n"), most, per)
+    differ = sum((F.abs(F.get("i_letters", F.lit(k)) - F.get("j_letters", F.lit(k))) for k in range(len(LETTERS))), F.lit(0))
+    once = (~F.col("j_own") | (F.col("i_node") < F.col("j_node"))) & ~F.arrays_overlap("i_before", "j_before")
     rest = (
         x.join(y, "bucket")
-        .where((F.col("ir") != F.col("jr")) & (F.abs(F.col("ni") - F.col("nj")) <= t) & (differ <= 2 * t))
-        .select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"))
+        .where((F.col("i_root") != F.col("j_root")) & (F.abs(F.col("i_n") - F.col("j_n")) <= t) & (differ <= 2 * t) & once)
+        .select(F.least("i_node", "j_node").alias("a"), F.greatest("i_node", "j_node").alias("b"))
         .distinct()
         .join(tried, ["a", "b"], "left_anti")
     )

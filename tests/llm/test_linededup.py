@@ -146,3 +146,18 @@ def test_more_edits_equal_brute_force(documents):
                 group = [group[j] if g == group[k] else g for g in group]
     want = [k for k, s in enumerate(lines) if group.index(group[k]) < k and lines.index(s) == k]
     assert want and sorted(r.doc_id for r in linededup.dedup_lines(documents(lines), 8).collect() if r.near) == want
+
+
+def test_lines_less_their_ends_keep_their_distance(spark):
+    rng = random.Random(6)
+    pairs = [("", ""), ("", "a"), ("a" * 16, "a" * 24), ("ab" * 30, "ab" * 26), ("é" * 600, "é" * 590 + "x" * 10)]
+    for n in (8, 20, 90, 300, 700):
+        s = "".join(rng.choice("abcé\U0001f600") for _ in range(n))
+        at = rng.randrange(n)
+        pairs += [(s, s), (s, s[:at] + "zz" + s[at:]), (s[:at] + "z" + s[at + 1 :], s), (s, s[:at] + s[at + 3 :])]
+    frame = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(pairs)], "k int, a string, b string")
+    got = {r.k: (r.a, r.b) for r in linededup.without_ends(frame, "a", "b").collect()}
+    for k, (a, b) in enumerate(pairs):
+        x, y = got[k]
+        assert distance(x, y) == distance(a, b)
+        assert a != b or len(a) > 504 or len(x) < 8
