@@ -22,8 +22,10 @@ class Scratch:
     """Written intermediate tables of one operator run, in the session's shared folder.
 
     A written table cuts the lineage, survives a lost executor and fixes what
-    a task decided once (row keys, ranks). ``drop`` removes the tables that
-    the returned DataFrame no longer reads.
+    a task decided once (row keys, ranks). What its query left in the driver's
+    heap and on the executors' disks is let go at once, as operators write
+    dozens of tables. ``drop`` removes the tables that the returned DataFrame
+    no longer reads.
     """
 
     def __init__(self, spark: SparkSession, name: str):
@@ -36,6 +38,7 @@ class Scratch:
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
         df.write.parquet(path)
+        free_shuffles(self.spark)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.written_path = path
         return out
@@ -51,7 +54,7 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def free_shuffles(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of queries that are done, which it does once their plans are collected."""
+    """Lets Spark delete the shuffle files of queries that are done, which it does once their plans are collected, and keeps the driver's heap small."""
     spark.sparkContext._jvm.System.gc()
 
 
