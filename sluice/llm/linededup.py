@@ -10,7 +10,8 @@ Candidates are verified by the bounded edit distance.
 
 Buckets are compared with their first indexed line before anything else, and
 only pairs still in different components after that, so a bucket of m near
-copies costs m comparisons and not m squared, and no link is lost.
+copies costs m comparisons and not m squared, and no link is lost. Pairs of a
+large bucket must share one more unchanged piece, which is part of their key.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from string import ascii_lowercase
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, Scratch, free_shuffles, small_or_shuffled, table
+from .common import SPACE, Scratch, small_or_shuffled, table
 from .graph import components
 
 # Edits that the query allows to a line, whatever its length.
@@ -34,6 +35,8 @@ WIDE_FROM = 8
 PASSES = 3
 # Characters compared at once to find what two lines share at their ends.
 BLOCKS = (256, 128, 64, 32, 16, 8)
+# In buckets of more rows pairs are formed by a finer key.
+LARGE = 8
 # Groups of letters whose counts are compared.
 LETTERS = [a + b for a, b in zip(ascii_lowercase[::2], ascii_lowercase[1::2], strict=True)]
 
@@ -98,7 +101,35 @@ def bucket_rows(lines: DataFrame, most: int, per: int, at: int = 0, passes: int
         less, more = f"int((t - {fewest}) div 2)", f"int((t + {greatest}) div 2)"
         shifts = f"explode(if(i <= t div 2, sequence(-least(i, {less}), least(i, {more})), sequence(-least(t - i, {more}), least(t - i, {less}))))"
         places = segments.select("*", F.expr(shifts).alias("shift"))
-    return places.select(F.expr(key_sql("shift")).alias("bucket"), "node", F.expr(f"(c * 64 + i) * 2 + int(shift = 0 and c = {c_of})").alias("tag"))
+    tag = f"((bigint(c) * 64 + i) * 64 + shift + 32) * 2 + int(shift = 0 and c = {c_of})"
+    return places.select(F.expr(key_sql("shift")).alias("bucket"), "node", F.expr(tag).alias("tag"))
+
+
+def tagged(rows: DataFrame, most: int, per: int) -> DataFrame:
+    """``rows`` with what their ``tag`` holds: class c (t, size), segment i, its ``shift``, and whether it is the line's own."""
+    told = rows.withColumns({"c": F.expr("int(tag div 8192)"), "i": F.expr("int(tag div 128 % 64)"), "shift": F.expr("int(tag div 2 % 64) - 32"), "own": F.expr("tag % 2 = 1")})
+    return sized(told, most, per)
+
+
+def finer_rows(rows: DataFrame, own: bool) -> DataFrame:
+    """``rows`` (tagged, of lines n, code) with ``finer``: keys of the bucket and one piece more of the line.
+
+    Two lines that share segment i in an alignment of at most t edits have all
+    of them left and right of it. The two sides are cut into t + 1 pieces, p on
+    the left and r on the right, so that one side has fewer edits than pieces.
+    That side lies between fixed ends, the line's and the segment's, so the
+    argument of ``bucket_rows`` holds for it: some piece q of m is unchanged and
+    at most min(q, m - 1 - q) places off, counted from its nearer end. Sizes follow from the class alone.
+    """
+    start = "int(if(i <= t div 2, i * size, n - (t - i + 1) * size) + shift)"
+    sides = rows.withColumn("start", F.expr(start)).withColumn("p", F.expr("if(i = 0, 0, i + int(i > t - i))"))
+    pieces = sides.select("*", F.expr("explode(sequence(0, t))").alias("at")).withColumns({"left": F.expr("at < p"), "q": F.expr("if(at < p, at, at - p)"), "m": F.expr("if(at < p, p, t + 1 - p)")})
+    pieces = pieces.withColumn("piece", F.expr("int(if(left, i * size, (t - i) * size) div m)"))
+    off = "0" if own else "explode(sequence(-least(q, m - 1 - q), least(q, m - 1 - q)))"
+    places = pieces.select("*", F.expr(off).alias("off"))
+    place = "if(q <= (m - 1) div 2, if(left, 0, start + size) + q * piece, if(left, start, n) - (m - q) * piece) + off"
+    finer = F.expr(f"xxhash64(bucket, at, substring(code, int(4 * ({place}) + 1), int(4 * piece)))")
+    return places.select(finer.alias("finer"), *[c for c in rows.columns if c != "code"])
 
 
 def banded_distance(long: Column, short: Column, band: int) -> Column:
@@ -194,6 +225,17 @@ def letter_counts(line: Column) -> Column:
     return F.array(*[F.length(F.regexp_replace(line, f"[^{g}]+", "")) for g in LETTERS])
 
 
+def across(x: DataFrame, y: DataFrame, key: str, most: int, per: int) -> DataFrame:
+    """(a, b): pairs of a row of ``x``, which are lines' own, and one of ``y`` with the same ``key``, of different roots and not too far by lengths and letters."""
+    x = x.select(key, *[F.col(f).alias(f"i_{f}") for f in ("node", "root", "n", "letters")])
+    y = y.select(key, *[F.col(f).alias(f"j_{f}") for f in ("node", "own", "root", "n", "letters")])
+    t = allowed_edits(F.least("i_n", "j_n"), most, per)
+    differ = sum((F.abs(F.get("i_letters", F.lit(k)) - F.get("j_letters", F.lit(k))) for k in range(len(LETTERS))), F.lit(0))
+    once = ~F.col("j_own") | (F.col("i_node") < F.col("j_node"))
+    pairs = x.join(y, key).where((F.col("i_root") != F.col("j_root")) & (F.abs(F.col("i_n") - F.col("j_n")) <= t) & (differ <= 2 * t) & once)
+    return pairs.select(F.least("i_node", "j_node").alias("a"), F.greatest("i_node", "j_node").alias("b"))
+
+
 def near_lines(lines: DataFrame, scratch: Scratch, most: int, per: int) -> DataFrame:
     """(node, root) of the distinct lines (node, line, n) that have a near copy; root is the least node of the component."""
     written = []
@@ -201,7 +243,6 @@ def near_lines(lines: DataFrame, scratch: Scratch, most: int, per: int) -> DataF
         keys = bucket_rows(lines, most, per, at, PASSES)
         centers = bucket_rows(lines, most, per, at, PASSES, own=True).groupBy("bucket").agg(F.min("node").alias("center"))
         written.append(scratch.write(keys.join(centers.hint("shuffle_hash"), "bucket").where("node != center"), "members"))
-        free_shuffles(lines.sparkSession)
     members = reduce(DataFrame.union, written)
     star = members.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b"))
     tried = scratch.write(star.distinct(), "pairs")
@@ -209,31 +250,28 @@ def near_lines(lines: DataFrame, scratch: Scratch, most: int, per: int) -> DataF
     lines = scratch.write(lines.join(small_or_shuffled(used), "node", "left_semi"), "lines")
     links = confirmed(tried, lines, scratch, most, per)
     roots = scratch.write(components(links, scratch), "roots")
-    whole = members.drop("center").union(members.select("bucket", F.col("center").alias("node"), F.col("tag").bitwiseOR(F.lit(1)).alias("tag"))).distinct()
+    # a center has its own segment there, not moved
+    centers = members.select("bucket", F.col("center").alias("node"), F.expr("tag div 128 * 128 + 65").alias("tag"))
+    whole = members.drop("center").union(centers).distinct()
     rooted = whole.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = rooted.groupBy("bucket").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r != s").select("bucket")
-    open_ = scratch.write(rooted.join(mixed, "bucket", "left_semi").select("bucket", "node", "tag", "root", F.expr("tag div 128").cast("int").alias("c")), "open")
-    # lengths and letter counts rule out most pairs before they are formed, and a pair is formed in the first bucket that both are in at the same place
-    held = open_.select("node", "c").distinct().join(lines, "node").withColumn("code", F.expr("encode(line, 'UTF-32')"))
-    keys = F.expr(f"transform(sequence(0, t), i -> {key_sql('0')})")
-    held = sized(held, most, per).select("node", "c", "n", letter_counts(F.col("line")).alias("letters"), keys.alias("keys"))
-    told = open_.join(held, ["node", "c"]).withColumns({"own": F.expr("tag % 2 = 1"), "before": F.expr("slice(keys, 1, int(tag div 2 % 64))")})
-    x = told.where("own").select("bucket", *[F.col(f).alias(f"i_{f}") for f in ("node", "root", "n", "letters", "before")])
-    y = told.select("bucket", *[F.col(f).alias(f"j_{f}") for f in ("node", "own", "root", "n", "letters", "before")])
-    t = allowed_edits(F.least("i_n", "j_n"), most, per)
-    differ = sum((F.abs(F.get("i_letters", F.lit(k)) - F.get("j_letters", F.lit(k))) for k in range(len(LETTERS))), F.lit(0))
-    once = (~F.col("j_own") | (F.col("i_node") < F.col("j_node"))) & ~F.arrays_overlap("i_before", "j_before")
-    rest = (
-        x.join(y, "bucket")
-        .where((F.col("i_root") != F.col("j_root")) & (F.abs(F.col("i_n") - F.col("j_n")) <= t) & (differ <= 2 * t) & once)
-        .select(F.least("i_node", "j_node").alias("a"), F.greatest("i_node", "j_node").alias("b"))
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti")
-    )
+    mixed = rooted.groupBy("bucket").agg(F.min("root").alias("r"), F.max("root").alias("s"), F.count(F.lit(1)).alias("rows")).where("r != s")
+    open_ = scratch.write(rooted.join(mixed.select("bucket", (F.col("rows") > LARGE).alias("large")), "bucket"), "open")
+    # lengths and letter counts rule out most pairs before they are formed
+    held = lines.join(open_.select("node").distinct(), "node", "left_semi").select("node", "line", "n", letter_counts(F.col("line")).alias("letters"))
+    held = scratch.write(held, "held")
+    small = tagged(open_.where("not large").join(held.drop("line"), "node"), most, per)
+    # pairs of a large bucket are formed within those that share one more piece
+    large = open_.where("large").join(held.withColumn("code", F.expr("encode(line, 'UTF-32')")).drop("line"), "node")
+    large = tagged(large, most, per)
+    formed = [
+        across(small.where("own"), small, "bucket", most, per),
+        across(finer_rows(large.where("own"), own=True), finer_rows(large, own=False), "finer", most, per),
+    ]
+    rest = formed[0].union(formed[1]).distinct().join(tried, ["a", "b"], "left_anti")
     rest = scratch.write(rest, "rest")
     more = confirmed(rest, lines, scratch, most, per)
     out = scratch.write(components(links.union(more), scratch), "roots")
-    scratch.drop(*written, open_, roots)
+    scratch.drop(*written, open_, held, roots)
     return out
 
 
@@ -247,7 +285,6 @@ def dropped_lines(docs: DataFrame, scratch: Scratch, most: int, per: int) -> Dat
     nodes = scratch.write(
         classes.select("line", F.length("line").alias("n"), "first", "copies", F.monotonically_increasing_id().alias("node")), "nodes"
     )
-    free_shuffles(docs.sparkSession)
     roots = near_lines(nodes.where(F.col("n") >= per).select("node", "line", "n"), scratch, most, per)
     heads = nodes.join(roots, "node").groupBy("root").agg(F.min("first").alias("head"))
     later = nodes.withColumns(hashes).drop("line", "n").join(roots, "node", "left").join(heads, "root", "left")

@@ -161,3 +161,45 @@ def test_lines_less_their_ends_keep_their_distance(spark):
         x, y = got[k]
         assert distance(x, y) == distance(a, b)
         assert a != b or len(a) > 504 or len(x) < 8
+
+
+def test_pairs_of_a_large_bucket_equal_brute_force(documents, monkeypatch):
+    monkeypatch.setattr(linededup, "LARGE", 0)
+    monkeypatch.setattr(linededup, "letter_counts", lambda line: F.array(*[F.lit(0)] * len(linededup.LETTERS)))
+    rng, lines = random.Random(21), []
+    for n in (20, 39, 45, 66, 88, 125, 170, 215, 330):
+        middle = "".join(rng.choice("abcdef é") for _ in range(n // 3))
+        for k in range(4):
+            # lines that share their middle and are near in groups, far otherwise
+            s = "".join(rng.choice("abcdef") for _ in range(n // 3)) + middle + "".join(rng.choice("abcdef") for _ in range(n - 2 * (n // 3)))
+            lines.append(s)
+            for e in (1, 2, 3, 5, 7, 8):
+                chars = list(s)
+                for _ in range(e):
+                    at = rng.randrange(len(chars))
+                    chars[at : at + rng.randrange(2)] = rng.choice(["", "q", "r"])
+                lines.append("".join(chars))
+    lines = list(dict.fromkeys(lines))
+    rng.shuffle(lines)
+    group = list(range(len(lines)))
+    for k, a in enumerate(lines):
+        for j in range(k):
+            t = min(8, min(len(a), len(lines[j])) // 20)
+            if abs(len(a) - len(lines[j])) <= t and group[j] != group[k] and distance(a, lines[j]) <= t:
+                group = [group[j] if g == group[k] else g for g in group]
+    want = [k for k in range(len(lines)) if group.index(group[k]) < k]
+    assert want and sorted(r.doc_id for r in linededup.dedup_lines(documents(lines), 8).collect() if r.near) == want
+
+
+def test_pairs_of_a_large_bucket_do_not_grow_with_its_square(documents, monkeypatch):
+    formed, confirmed = [], linededup.confirmed
+    monkeypatch.setattr(linededup, "confirmed", lambda pairs, *rest: (formed.append(pairs.count()), confirmed(pairs, *rest))[1])
+    rng, letters = random.Random(5), list("abcdefghijklmnopqrstuvwxyz")
+
+    def line():
+        rng.shuffle(letters)
+        return "the very same" + "".join(letters)
+
+    lines = [line() for _ in range(120)]
+    linededup.dedup_lines(documents([*lines, lines[0] + "s"]))
+    assert 0 < sum(formed) < 4 * len(lines)
