@@ -8,10 +8,12 @@ there. Segments are the index; longer or equal lines probe it with their
 substrings, only at places that the edits and the length difference leave open.
 Candidates are verified by the bounded edit distance.
 
-Buckets are compared with their first indexed line before anything else, and
+Buckets are compared with their most central line before anything else, and
 only pairs still in different components after that, so a bucket of m near
-copies costs m comparisons and not m squared, and no link is lost. Pairs of a
-large bucket must share one more unchanged piece, which is part of their key.
+copies costs m comparisons and not m squared, and no link is lost. A pair is
+formed in the first bucket that it shares, if lengths and letter counts allow
+it. In a large bucket whose lines share little else, it must also share one
+more unchanged piece, which is part of the key there.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from string import ascii_lowercase
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, Scratch, small_or_shuffled, table
+from .common import Scratch, small_or_shuffled, table
 from .graph import components
 
 # Edits that the query allows to a line, whatever its length.
@@ -35,20 +37,27 @@ WIDE_FROM = 8
 PASSES = 3
 # Characters compared at once to find what two lines share at their ends.
 BLOCKS = (256, 128, 64, 32, 16, 8)
-# In buckets of more rows pairs are formed by a finer key.
-LARGE = 8
-# Groups of letters whose counts are compared.
-LETTERS = [a + b for a, b in zip(ascii_lowercase[::2], ascii_lowercase[1::2], strict=True)]
+# In buckets of more rows pairs are formed by a finer key, unless lines share more segments than COPIED, as copies do.
+LARGE, COPIED = 8, 2
+# Characters whose counts are compared; a long holds LANES of them, a byte each, up to 127.
+LETTERS = [*ascii_lowercase, " ", ","]
+LANES = 7
+WORDS = [f"k{g}" for g in range(len(LETTERS) // LANES)]
+COUNTS = [*WORDS, "counted"]
 
 
 def allowed_edits(length: Column, most: int, per: int) -> Column:
     return F.least(F.lit(most), F.floor(length / per)).cast("int")
 
 
+def has_word(line: Column) -> Column:
+    return F.ltrim(line, F.lit(" \t\n\x0b\f\r")) != ""
+
+
 def document_lines(docs: DataFrame) -> DataFrame:
     """row (position in the document), line: the documents' lines that have a word."""
     split = F.posexplode(F.split(F.coalesce(F.col("text"), F.lit("")), "\n"))
-    return docs.select("*", split.alias("line_no", "line")).where(F.col("line").rlike(f"[^{SPACE}]"))
+    return docs.select("*", split.alias("line_no", "line")).where(has_word(F.col("line")))
 
 
 def class_sql(n: str, most: int, per: int) -> str:
@@ -210,30 +219,88 @@ def without_ends(pairs: DataFrame, a: str, b: str) -> DataFrame:
 
 def confirmed(pairs: DataFrame, lines: DataFrame, scratch: Scratch, most: int, per: int) -> DataFrame:
     """The pairs (a, b) of nodes whose lines are within the edits allowed to the shorter one."""
-    with_a = pairs.join(lines.select(F.col("node").alias("a"), F.col("line").alias("la"), F.col("n").alias("na")), "a")
-    both = with_a.join(lines.select(F.col("node").alias("b"), F.col("line").alias("lb"), F.col("n").alias("nb")), "b")
-    t = allowed_edits(F.least("na", "nb"), most, per)
-    close = both.withColumn("t", t).where(F.abs(F.col("na") - F.col("nb")) <= F.col("t"))
-    cores = without_ends(close.select("a", "b", "t", "la", "lb"), "la", "lb")
-    measured = cores.select("a", "b", "t", F.levenshtein("la", "lb", most).alias("distance"))  # -1: above ``most``
+    sides = {x: lines.select(F.col("node").alias(x), *[F.col(f).alias(f"{x}_{f}") for f in ("line", "n", *COUNTS)]) for x in "ab"}
+    close = pairs.join(sides["a"], "a").join(sides["b"], "b").where(alike("a", "b", most, per))
+    t = allowed_edits(F.least("a_n", "b_n"), most, per)
+    cores = without_ends(close.select("a", "b", t.alias("t"), "a_line", "b_line"), "a_line", "b_line")
+    measured = cores.select("a", "b", "t", F.levenshtein("a_line", "b_line", most).alias("distance"))  # -1: above ``most``
     # written before it is filtered, as a filter would repeat the steps above
     return scratch.write(measured, "distances").where("distance between 0 and t").select("a", "b")
 
 
 def letter_counts(line: Column) -> Column:
-    """How often each group of LETTERS occurs."""
-    return F.array(*[F.length(F.regexp_replace(line, f"[^{g}]+", "")) for g in LETTERS])
+    """How often each of LETTERS occurs."""
+    return F.array(*[F.octet_length(line) - F.octet_length(F.replace(line, F.lit(g), F.lit(""))) for g in LETTERS])
+
+
+def packed(lines: DataFrame) -> DataFrame:
+    """``lines`` with COUNTS, which hold the array ``letters`` and its sum."""
+    counts = [F.least(F.get("letters", F.lit(k)), F.lit(127)).cast("bigint") for k in range(len(LETTERS))]
+    lanes = [F.shiftleft(c, 8 * (k % LANES)) for k, c in enumerate(counts)]
+    words = {w: reduce(Column.bitwiseOR, lanes[g * LANES : (g + 1) * LANES]) for g, w in enumerate(WORDS)}
+    return lines.withColumns(words | {"counted": reduce(Column.__add__, counts)}).drop("letters")
+
+
+def surplus_sql(x: str, y: str) -> str:
+    """How many of the counted letters ``x`` has more than ``y``, or less where that is 255 or more.
+
+    Each byte of (x | high bits) - y keeps its high bit where x has not fewer, and then the surplus below it.
+    A remainder by 255 is the sum of the bytes, less 255 where it is as many.
+    """
+    high, low, terms = 0x80808080808080, 0x1010101010101, []
+    for w in WORDS:
+        less = f"(({x}_{w} | {high}L) - {y}_{w})"
+        terms.append(f"({less} & ((shiftright({less}, 7) & {low}L) * 127L)) % 255L")
+    return " + ".join(terms)
+
+
+def alike(x: str, y: str, most: int, per: int) -> Column:
+    """Whether lengths and letters allow ``x`` and ``y`` to be near: an edit adds one character at most, and takes one at most."""
+    t = allowed_edits(F.least(f"{x}_n", f"{y}_n"), most, per)
+    more = F.greatest(F.lit(0), F.col(f"{y}_counted") - F.col(f"{x}_counted"))
+    return (F.abs(F.col(f"{x}_n") - F.col(f"{y}_n")) <= t) & (F.expr(surplus_sql(x, y)) + more <= t)
 
 
 def across(x: DataFrame, y: DataFrame, key: str, most: int, per: int) -> DataFrame:
-    """(a, b): pairs of a row of ``x``, which are lines' own, and one of ``y`` with the same ``key``, of different roots and not too far by lengths and letters."""
-    x = x.select(key, *[F.col(f).alias(f"i_{f}") for f in ("node", "root", "n", "letters")])
-    y = y.select(key, *[F.col(f).alias(f"j_{f}") for f in ("node", "own", "root", "n", "letters")])
-    t = allowed_edits(F.least("i_n", "j_n"), most, per)
-    differ = sum((F.abs(F.get("i_letters", F.lit(k)) - F.get("j_letters", F.lit(k))) for k in range(len(LETTERS))), F.lit(0))
-    once = ~F.col("j_own") | (F.col("i_node") < F.col("j_node"))
-    pairs = x.join(y, key).where((F.col("i_root") != F.col("j_root")) & (F.abs(F.col("i_n") - F.col("j_n")) <= t) & (differ <= 2 * t) & once)
-    return pairs.select(F.least("i_node", "j_node").alias("a"), F.greatest("i_node", "j_node").alias("b"))
+    """(a, b): pairs of a row of ``x``, which are lines' own, and one of ``y`` with the same ``key``, of different roots and not too far by lengths and letters.
+
+    With ``before`` and ``own_before``, only if no earlier bucket of ``x`` is one of ``y`` too.
+    """
+    ends = ("node", "root", "n", "plain", *COUNTS)
+    first = "before" in y.columns
+    x = x.select(key, *[F.col(f).alias(f"i_{f}") for f in (*ends, *["own_before"] * first)])
+    y = y.select(key, *[F.col(f).alias(f"j_{f}") for f in (*ends, "own", *["before"] * first)])
+    # where both are own and both would form the pair, one does
+    once = ~F.col("j_own") | (F.col("i_plain") != F.col("j_plain")) | (F.col("i_node") < F.col("j_node"))
+    wanted = (F.col("i_root") != F.col("j_root")) & (F.col("i_node") != F.col("j_node")) & once & alike("i", "j", most, per)
+    if first:
+        wanted = wanted & ~F.arrays_overlap("i_own_before", "j_before")
+    return x.join(y, key).where(wanted).select(F.least("i_node", "j_node").alias("a"), F.greatest("i_node", "j_node").alias("b"))
+
+
+def centered(whole: DataFrame) -> DataFrame:
+    """(bucket, center): of each bucket's lines whose own it is, the one that shares its own segments with the most lines."""
+    sizes = whole.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"))
+    own = whole.where("tag % 2 = 1").join(sizes, "bucket").select("bucket", "node", "rows")
+    scores = own.groupBy("node").agg(F.sum("rows").alias("score"))
+    return own.select("bucket", "node").join(scores, "node").groupBy("bucket").agg(F.max_by("node", F.struct("score", "node")).alias("center"))
+
+
+def with_buckets_before(rows: DataFrame) -> DataFrame:
+    """``rows`` (bucket, node, tag, large and the node's columns) with ``plain`` and the node's buckets of the same class and an earlier segment.
+
+    A row is plain, so that its pairs are formed by the bucket alone, if the
+    bucket is small or the line shares many own segments, as copies do: then
+    one more piece would hardly tell pairs apart. ``before`` has all the
+    node's earlier buckets, ``own_before`` those that are own and plain.
+    """
+    node = [c for c in rows.columns if c not in ("bucket", "tag", "large")]
+    of_class = rows.groupBy(*node, F.expr("tag div 8192").alias("c")).agg(F.collect_list(F.struct("bucket", "tag", "large")).alias("all"))
+    told = of_class.withColumn("copied", F.expr(f"size(filter(all, s -> s.tag % 2 = 1)) > {COPIED}"))
+    each = told.select("*", F.expr("inline(all)")).withColumn("plain", F.expr("copied or not large"))
+    before = "filter(all, s -> s.tag div 128 < tag div 128)"
+    own_before = "if(plain and tag % 2 = 1, filter(all, s -> s.tag div 128 < tag div 128 and s.tag % 2 = 1 and (copied or not s.large)).bucket, array())"
+    return each.select("bucket", "tag", "large", *node, "plain", F.expr(f"{before}.bucket").alias("before"), F.expr(own_before).alias("own_before"))
 
 
 def near_lines(lines: DataFrame, scratch: Scratch, most: int, per: int) -> DataFrame:
@@ -244,34 +311,33 @@ def near_lines(lines: DataFrame, scratch: Scratch, most: int, per: int) -> DataF
         centers = bucket_rows(lines, most, per, at, PASSES, own=True).groupBy("bucket").agg(F.min("node").alias("center"))
         written.append(scratch.write(keys.join(centers.hint("shuffle_hash"), "bucket").where("node != center"), "members"))
     members = reduce(DataFrame.union, written)
-    star = members.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b"))
-    tried = scratch.write(star.distinct(), "pairs")
-    used = scratch.write(members.select("node").union(members.select("center")).distinct(), "used")
-    lines = scratch.write(lines.join(small_or_shuffled(used), "node", "left_semi"), "lines")
+    # the first own line has its own segment there, not moved
+    firsts = members.select("bucket", F.col("center").alias("node"), F.expr("tag div 128 * 128 + 65").alias("tag"))
+    whole = scratch.write(members.drop("center").union(firsts).distinct(), "whole")
+    scratch.drop(*written)
+    star = whole.join(centered(whole), "bucket").where("node != center")
+    tried = scratch.write(star.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct(), "pairs")
+    used = scratch.write(whole.select("node").distinct(), "used")
+    used_lines = lines.join(small_or_shuffled(used), "node", "left_semi").withColumn("letters", letter_counts(F.col("line")))
+    lines = packed(scratch.write(used_lines, "lines"))
     links = confirmed(tried, lines, scratch, most, per)
     roots = scratch.write(components(links, scratch), "roots")
-    # a center has its own segment there, not moved
-    centers = members.select("bucket", F.col("center").alias("node"), F.expr("tag div 128 * 128 + 65").alias("tag"))
-    whole = members.drop("center").union(centers).distinct()
     rooted = whole.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = rooted.groupBy("bucket").agg(F.min("root").alias("r"), F.max("root").alias("s"), F.count(F.lit(1)).alias("rows")).where("r != s")
-    open_ = scratch.write(rooted.join(mixed.select("bucket", (F.col("rows") > LARGE).alias("large")), "bucket"), "open")
+    opened = rooted.join(mixed.select("bucket", (F.col("rows") > LARGE).alias("large")), "bucket")
     # lengths and letter counts rule out most pairs before they are formed
-    held = lines.join(open_.select("node").distinct(), "node", "left_semi").select("node", "line", "n", letter_counts(F.col("line")).alias("letters"))
-    held = scratch.write(held, "held")
-    small = tagged(open_.where("not large").join(held.drop("line"), "node"), most, per)
-    # pairs of a large bucket are formed within those that share one more piece
-    large = open_.where("large").join(held.withColumn("code", F.expr("encode(line, 'UTF-32')")).drop("line"), "node")
-    large = tagged(large, most, per)
-    formed = [
-        across(small.where("own"), small, "bucket", most, per),
-        across(finer_rows(large.where("own"), own=True), finer_rows(large, own=False), "finer", most, per),
-    ]
-    rest = formed[0].union(formed[1]).distinct().join(tried, ["a", "b"], "left_anti")
+    open_ = scratch.write(with_buckets_before(opened.join(lines.drop("line"), "node")), "open")
+    told = tagged(open_, most, per)
+    plain = across(told.where("own and plain"), told, "bucket", most, per)
+    # pairs of the other rows are formed within those that share one more piece
+    asked = open_.where("not plain and tag % 2 = 1").select("bucket").distinct()
+    coded = tagged(open_.drop("before", "own_before").join(asked, "bucket", "left_semi").join(lines.select("node", F.expr("encode(line, 'UTF-32')").alias("code")), "node"), most, per)
+    fine = across(finer_rows(coded.where("own and not plain"), own=True), finer_rows(coded, own=False), "finer", most, per)
+    rest = plain.union(fine).distinct().join(tried, ["a", "b"], "left_anti")
     rest = scratch.write(rest, "rest")
     more = confirmed(rest, lines, scratch, most, per)
     out = scratch.write(components(links.union(more), scratch), "roots")
-    scratch.drop(*written, open_, held, roots)
+    scratch.drop(whole, open_, roots)
     return out
 
 
@@ -287,7 +353,7 @@ def dropped_lines(docs: DataFrame, scratch: Scratch, most: int, per: int) -> Dat
     )
     roots = near_lines(nodes.where(F.col("n") >= per).select("node", "line", "n"), scratch, most, per)
     heads = nodes.join(roots, "node").groupBy("root").agg(F.min("first").alias("head"))
-    later = nodes.withColumns(hashes).drop("line", "n").join(roots, "node", "left").join(heads, "root", "left")
+    later = nodes.withColumns(hashes).drop("line", "n").join(small_or_shuffled(roots), "node", "left").join(heads, "root", "left")
     marks = later.select("h1", "h2", "first", "copies", F.coalesce(F.col("head") < F.col("first"), F.lit(False)).alias("near"))
     marks = scratch.write(marks.where("copies > 1 or near").drop("copies"), "marks")
     scratch.drop(nodes)
@@ -346,7 +412,7 @@ def dedup_lines(docs: DataFrame, most: int = 2, per: int = CHARS_PER_EDIT) -> Da
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its lines with a word, those gone as copies and as near copies, and a digest of the text that stays."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("whole"))
-    n_lines = F.size(F.filter(F.split(F.coalesce("whole", F.lit("")), "\n"), lambda s: s.rlike(f"[^{SPACE}]")))
+    n_lines = F.size(F.filter(F.split(F.coalesce("whole", F.lit("")), "\n"), has_word))
     return dedup_lines(docs, MAX_EDITS).select(
         "doc_id",
         n_lines.cast("long").alias("n_lines"),

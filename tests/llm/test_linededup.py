@@ -203,3 +203,63 @@ def test_pairs_of_a_large_bucket_do_not_grow_with_its_square(documents, monkeypa
     lines = [line() for _ in range(120)]
     linededup.dedup_lines(documents([*lines, lines[0] + "s"]))
     assert 0 < sum(formed) < 4 * len(lines)
+
+
+def test_pairs_of_copies_are_formed_once(documents, monkeypatch):
+    monkeypatch.setattr(linededup, "letter_counts", lambda line: F.array(*[F.lit(0)] * len(linededup.LETTERS)))
+    made, across = [], linededup.across
+
+    def counted(*args):
+        pairs = across(*args)
+        made.append((pairs.count(), pairs.distinct().count()))
+        return pairs
+
+    monkeypatch.setattr(linededup, "across", counted)
+    rng = random.Random(17)
+
+    def word():
+        return "".join(rng.choice("abcdefghijklmnoprstu") for _ in range(5))
+
+    base, lines = [word() for _ in range(30)], []
+    for k in range(24):
+        # every third line is near an earlier one
+        words = lines[rng.randrange(k)].split() if k % 3 == 2 else list(base)
+        for at in rng.sample(range(30), 1 if k % 3 == 2 else 3):
+            words[at] = word()
+        lines.append(" ".join(words))
+    group = list(range(len(lines)))
+    for k, a in enumerate(lines):
+        for j in range(k):
+            if group[j] != group[k] and distance(a, lines[j]) <= 8:
+                group = [group[j] if g == group[k] else g for g in group]
+    want = [k for k in range(len(lines)) if group.index(group[k]) < k]
+    assert want and sorted(r.doc_id for r in linededup.dedup_lines(documents(lines), 8).collect() if r.near) == want
+    rows, pairs = map(sum, zip(*made, strict=True))
+    assert 0 < pairs <= rows <= 2 * pairs
+
+
+def test_letters_of_near_lines_are_alike(spark):
+    rng, rows = random.Random(3), []
+    for n in (20, 45, 170, 400, 900):
+        for e in (0, 1, 2, 5, 8, 30):
+            a = "".join(rng.choice("aab cdé,Zé z") for _ in range(n))
+            chars = list(a)
+            for _ in range(e):
+                at = rng.randrange(len(chars))
+                chars[at : at + rng.randrange(2)] = rng.choice(["", "q", "a"])
+            rows.append((a, "".join(chars), e))
+    frame = spark.createDataFrame(rows, "x string, y string, e int")
+    sides = [
+        linededup.packed(frame.select("e", "x", "y", F.length(c).alias("n"), linededup.letter_counts(F.col(c)).alias("letters"))).select(
+            "e", "x", "y", *[F.col(f).alias(f"{c}_{f}") for f in ("n", *linededup.COUNTS)]
+        )
+        for c in "xy"
+    ]
+    both = sides[0].withColumnsRenamed({"x": "left", "y": "right"}).join(sides[1].withColumnsRenamed({"x": "left", "y": "right"}), ["left", "right", "e"])
+    got = {(r.left, r.right): (r.alike, r.more) for r in both.select("left", "right", linededup.alike("x", "y", 8, 20).alias("alike"), F.expr(linededup.surplus_sql("x", "y")).alias("more")).collect()}
+    for a, b, e in rows:
+        alike, more = got[a, b]
+        t = min(8, min(len(a), len(b)) // 20)
+        assert more == sum(max(0, min(127, a.count(c)) - min(127, b.count(c))) for c in linededup.LETTERS)
+        assert alike or e > t
+    assert not all(alike for alike, _ in got.values())
